@@ -136,6 +136,10 @@ def crc_id(key: Column, modulus: int | None = None) -> Column:
 CODECS = {
     "text": lambda c: c.cast("string"),
     "datetime": lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+    "offset": lambda c: F.concat(
+        F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss"),
+        F.when(F.date_format(c, "SSSSSS") == "000000", "").otherwise(F.date_format(c, ".SSSSSS")),
+        F.lit("+00:00")),
     "date": lambda c: F.date_format(c, "yyyy-MM-dd"),
     "date-compact": lambda c: F.date_format(c, "yyyyMMdd"),
     "money": lambda c: F.format_string("%.2f", c.cast("double")),

@@ -10,11 +10,11 @@ the dated rates, codes and stake bands. Keys are fixed width, so they sort.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import cents
 from ..markets import MARKETS
 
 RUN_TS = "2026-07-08 12:00:00"
@@ -28,479 +28,405 @@ GAME_LABELS = [["Video Slots", "Table Games - Blackjack", "Slots"], ["Live Roule
 PLAY_GAMES = ["SLOTS", "BLACKJACK", "POKER", "SLOTS", "operator-jackpots"]
 PAY_METHODS = ["CARD", "BANK", "WALLET"]
 SELECTIONS = ["HOME", "DRAW", "AWAY"]
+STUDIOS = ["Spribe", "Hacksaw"]
 
-c = F.col
 
+def pick(values: list[str], index: str) -> str:
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"element_at(array({listed}), cast(({index}) % {len(values)} as int) + 1)"
 
-def pick(values: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index % len(values) + 1).cast("int"))
 
+def key(prefix: str, number: str, width: int) -> str:
+    return f"concat('{prefix}', lpad(cast({number} as string), {width}, '0'))"
 
-def div(a: Column, n: int) -> Column:
-    return F.floor(a / n).cast("bigint")
 
+def account(number: str) -> str:
+    return key("A", number, 10)
 
-def key(prefix: str, number: Column, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(number.cast("string"), width, "0"))
 
+def money(minor: str) -> str:
+    return f"cast(cast({minor} as decimal(16,0)) * 0.01 as decimal(18,2))"
 
-def account(number: Column) -> Column:
-    return key("A", number, 10)
+
+def days(n: str) -> str:
+    return f"make_dt_interval(cast({n} as int))"
+
+
+def minutes(n: str) -> str:
+    return f"make_dt_interval(0, 0, cast({n} as int))"
 
 
-def at(text: str) -> Column:
-    return F.lit(text).cast("timestamp")
+def seconds(n: str) -> str:
+    return f"make_dt_interval(0, 0, 0, cast({n} as decimal(18,6)))"
 
 
-def plus(ts: Column, days: Column | int = 0, minutes: Column | int = 0,
-         seconds: Column | int = 0) -> Column:
-    parts = [x if isinstance(x, Column) else F.lit(x) for x in (days, F.lit(0), minutes, seconds)]
-    return ts + F.make_dt_interval(*[p.cast("int") for p in parts[:3]], parts[3].cast("decimal(18,6)"))
+def row(**fields: str) -> str:
+    return "named_struct(" + ", ".join(f"'{n}', {v}" for n, v in fields.items()) + ")"
 
 
-def images(df: DataFrame, *variants: tuple[Column | bool, str, Column, dict[str, Column]]) -> DataFrame:
-    """Explodes each row to its change images: (kept when, op, commit instant, changed columns)."""
-    names = df.columns
-    structs = [
-        F.when(F.lit(when) if isinstance(when, bool) else when,
-               F.struct(*[changed.get(n, c(n)).alias(n) for n in names],
-                        F.lit(op).alias("_op"), commit.alias("_commit_ts")))
-        for when, op, commit, changed in variants
-    ]
-    return (df.select(F.explode(F.array(*structs)).alias("i")).filter(c("i").isNotNull())
-            .select("i.*"))
+def when(condition: str, value: str) -> str:
+    return f"if({condition}, {value}, null)"
+
+
+def rows(df: DataFrame, keep: str, *structs: str) -> DataFrame:
+    """Explodes a list of structs, leaving out those that are NULL."""
+    return df.selectExpr(keep, f"inline(array_compact(array({', '.join(structs)})))")
 
 
 def sources(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFrame]]:
+    @cache
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
+    @cache
     def customers() -> DataFrame:
-        k = c("c_custkey")
-        return table("customer").select(
-            k.alias("k"), account(k).alias("account_id"), pick(MARKETS, k).alias("jurisdiction"),
-            c("c_nationkey").alias("nation"), c("c_acctbal").alias("bal"),
-            plus(at("2019-06-01"), minutes=k * 61 % 200000).alias("opened_at"))
+        return table("customer").selectExpr(
+            "c_custkey as k", f"{account('c_custkey')} as account_id", f"{pick(MARKETS, 'c_custkey')} as jurisdiction",
+            "c_nationkey as nation", "c_acctbal as bal",
+            f"timestamp'2019-06-01' + {minutes('c_custkey * 61 % 200000')} as opened_at")
 
     def accounts() -> DataFrame:
-        df = customers().select(
-            "k", "account_id", "jurisdiction",
-            F.concat(F.lit("ID"), (c("k") * 7919 % 99999989).cast("string")).alias("national_id"),
-            F.date_add(F.lit("1955-01-01").cast("date"), (c("k") * 37 % 18993).cast("int"))
-            .alias("date_of_birth"),
-            F.lit("PENDING").alias("kyc_status"), "opened_at")
-        opened, k = c("opened_at"), c("k")
-        return images(
-            df, (True, "I", opened, {}),
-            (k % 3 != 0, "U", plus(opened, days=1), {"kyc_status": F.lit("VERIFIED")}),
-            (k % 97 == 96, "D", plus(opened, days=2), {})).drop("k")
+        def image(op: str, kyc: str, lag: int) -> str:
+            return row(kyc_status=f"'{kyc}'", _op=f"'{op}'", _commit_ts=f"opened_at + {days(str(lag))}")
+        return customers().selectExpr(
+            "account_id", "jurisdiction", "concat('ID', cast(k * 7919 % 99999989 as string)) as national_id",
+            "date_add(date'1955-01-01', cast(k * 37 % 18993 as int)) as date_of_birth", "opened_at",
+            f"inline(array_compact(array({image('I', 'PENDING', 0)}, {when('k % 3 <> 0', image('U', 'VERIFIED', 1))}, "
+            f"{when('k % 97 = 96', image('D', 'PENDING', 2))})))")
 
     def fixtures() -> DataFrame:
-        k = c("p_partkey")
-        label = F.create_map(*[F.lit(x) for kv in SPORT_LABELS.items() for x in kv])
-        df = table("part").select(
-            k.alias("k"), key("F", k, 10).alias("fixture_id"),
-            label[c("p_type")].alias("sport_name_raw"), c("p_brand").alias("competition_raw"),
-            pick(TEAM_LABELS, k).alias("home_raw"), pick(TEAM_LABELS, div(k, 10) + 1).alias("away_raw"),
-            plus(at("2020-01-01"), days=k % 2000).alias("start_ts"))
-        start, k = c("start_ts"), c("k")
-        return images(
-            df, (True, "I", plus(start, days=-9), {}),
-            (k % 10 == 0, "U", plus(start, days=-2), {"start_ts": plus(start, minutes=90)}),
-            (k % 101 == 100, "D", plus(start, days=-1), {})).drop("k")
-
+        labels = " ".join(f"when '{a}' then '{b}'" for a, b in SPORT_LABELS.items())
+
+        def image(op: str, start: str, lead: int) -> str:
+            return row(start_ts=start, _op=f"'{op}'", _commit_ts=f"start - {days(str(lead))}")
+        return table("part").selectExpr(
+            "*", f"timestamp'2020-01-01' + {days('p_partkey % 2000')} as start").selectExpr(
+            f"{key('F', 'p_partkey', 10)} as fixture_id", f"case p_type {labels} end as sport_name_raw",
+            "p_brand as competition_raw", f"{pick(TEAM_LABELS, 'p_partkey')} as home_raw",
+            f"{pick(TEAM_LABELS, 'p_partkey div 10 + 1')} as away_raw",
+            f"inline(array_compact(array({image('I', 'start', 9)}, "
+            f"{when('p_partkey % 10 = 0', image('U', 'start + ' + minutes('90'), 2))}, "
+            f"{when('p_partkey % 101 = 100', image('D', 'start', 1))})))")
+
+    @cache
     def orders() -> DataFrame:
-        k = c("o_orderkey")
-        moved = c("o_orderdate").cast("timestamp") + F.expr("make_ym_interval(25, 0)")
-        stake = F.floor(c("o_totalprice") / 100).cast("bigint")
-        settles = (c("o_orderstatus") == "F") | ((c("o_orderstatus") == "P") & (k % 5 != 1))
-        return (table("orders").select(
-            k.alias("k"), c("o_custkey").alias("cust"), key("S", k, 12).alias("slip_id"),
-            account(c("o_custkey")).alias("account_id"), key("F", div(k, 10), 10).alias("fixture_id"),
-            plus(moved, seconds=k * 7919 % 86400).alias("placed_at"), stake.alias("stake_c"),
-            div(stake * (k * 31 % 9) * 25, 100).alias("payout_c"),
-            settles.alias("settles"),
-            ((c("o_orderstatus") == "P") & (k % 5 < 2)).alias("voids"))
-            .withColumn("settled_ts", plus(c("placed_at"), seconds=(c("k") % 72 + 1) * 3600))
-            .withColumn("voided_ts", F.when(c("k") % 5 == 0, plus(c("settled_ts"), days=1))
-                        .otherwise(plus(c("placed_at"), seconds=7200))))
+        return (table("orders").selectExpr(
+            "o_orderkey as k", "o_custkey as cust", f"{key('S', 'o_orderkey', 12)} as slip_id",
+            f"{account('o_custkey')} as account_id", f"{key('F', 'o_orderkey div 10', 10)} as fixture_id",
+            f"cast(o_orderdate as timestamp) + make_ym_interval(25, 0) + {seconds('o_orderkey * 7919 % 86400')} as placed_at",
+            "cast(floor(o_totalprice / 100) as bigint) as stake_c",
+            "cast(floor(o_totalprice / 100) as bigint) * (o_orderkey * 31 % 9) * 25 div 100 as payout_c",
+            "o_orderstatus = 'F' or (o_orderstatus = 'P' and o_orderkey % 5 <> 1) as settles",
+            "o_orderstatus = 'P' and o_orderkey % 5 < 2 as voids")
+            .selectExpr("*", f"placed_at + {seconds('(k % 72 + 1) * 3600')} as settled_ts")
+            .selectExpr("*", f"if(k % 5 = 0, settled_ts + {days('1')}, placed_at + {minutes('120')}) as voided_ts"))
 
     def bet_slips() -> DataFrame:
-        k = c("k")
-        df = orders().select(
-            "k", "slip_id", "account_id", "fixture_id", F.lit("SINGLE").alias("product"),
-            pick(SELECTIONS, k).alias("selection"), cents(k % 400 + 120).alias("odds"), "placed_at")
-        return images(df, (True, "I", c("placed_at"), {}),
-                      (k % 13 == 0, "U", plus(c("placed_at"), minutes=1), {})).drop("k", "placed_at")
+        def image(op: str, late: int) -> str:
+            return row(_op=f"'{op}'", _commit_ts=f"placed_at + {minutes(str(late))}")
+        return orders().selectExpr(
+            "slip_id", "account_id", "fixture_id", "'SINGLE' as product", f"{pick(SELECTIONS, 'k')} as selection",
+            f"{money('k % 400 + 120')} as odds",
+            f"inline(array_compact(array({image('I', 0)}, {when('k % 13 = 0', image('U', 1))})))")
 
     def bet_slip_events() -> DataFrame:
-        zero = F.lit(0).cast("decimal(18,2)")
-        stake, payout = cents(c("stake_c")), cents(c("payout_c"))
-
-        def image(when, kind, ts, s, p, commit):
-            return F.when(when, F.struct(F.lit(kind).alias("event_type"), ts.alias("event_ts"),
-                                         s.alias("stake"), p.alias("payout"), F.lit("I").alias("_op"),
-                                         commit.alias("_commit_ts")))
-        rows = F.array(
-            image(F.lit(True), "PLACED", c("placed_at"), stake, zero, c("placed_at")),
-            image(c("settles"), "SETTLED", c("settled_ts"), zero, payout, c("settled_ts")),
-            image(c("settles") & (c("k") % 11 == 0), "SETTLED", c("settled_ts"), zero,
-                  cents(c("payout_c") + 100), plus(c("settled_ts"), minutes=5)),
-            image(c("voids"), "VOIDED", c("voided_ts"), zero, zero, c("voided_ts")),
-            image(c("k") % 17 == 0, "CASHOUT_QUOTE", c("placed_at"), zero, zero, c("placed_at")))
-        return (orders().select("slip_id", F.explode(rows).alias("i")).filter(c("i").isNotNull())
-                .select("slip_id", "i.*"))
+        nil = money("0")
+
+        def image(kind: str, ts: str, stake: str = nil, payout: str = nil, late: int = 0) -> str:
+            return row(event_type=f"'{kind}'", event_ts=ts, stake=stake, payout=payout, _op="'I'",
+                       _commit_ts=f"{ts} + {minutes(str(late))}")
+        return rows(orders(), "slip_id", image("PLACED", "placed_at", stake=money("stake_c")),
+                    when("settles", image("SETTLED", "settled_ts", payout=money("payout_c"))),
+                    when("settles and k % 11 = 0",
+                         image("SETTLED", "settled_ts", payout=money("payout_c + 100"), late=5)),
+                    when("voids", image("VOIDED", "voided_ts")),
+                    when("k % 17 = 0", image("CASHOUT_QUOTE", "placed_at")))
 
     def reg_attributes() -> DataFrame:
-        k, digest = c("k"), F.upper(F.md5(c("slip_id").cast("binary")))
-        bad = F.when(k % 31 == 0, "x").otherwise("")
-
-        def attr(market, name, value):
-            return F.when(pick(MARKETS, c("cust")) == market,
-                          F.struct(F.lit("SLIP").alias("entity_type"), c("slip_id").alias("entity_id"),
-                                   F.lit(name).alias("attr_name"), F.concat(value, bad).alias("attr_value")))
-        rows = F.array(
-            attr("DK", "safe_tampertoken", F.concat(F.lit("TT-"), F.substring(digest, 1, 8))),
-            attr("BG", "nra_registration_id", key("BG-2024-", k % 1000000000, 9)),
-            attr("NL", "cruks_check_ref", F.concat(F.lit("CRUKS-"), F.substring(digest, 1, 8))),
-            attr("NL", "cdb_record_id", key("NL-CDB-", k, 10)),
-            attr("DE", "lugas_activity_id", F.concat(F.lit("LUGAS-"), F.substring(digest, 1, 12))))
-        df = (orders().filter(c("k") % 29 != 0)
-              .select("k", "placed_at", F.explode(rows).alias("i")).filter(c("i").isNotNull())
-              .select("k", "placed_at", "i.*"))
-        return images(df, (c("k") % 17 == 0, "I", plus(c("placed_at"), minutes=-1),
-                           {"attr_value": F.lit("stale")}),
-                      (True, "U", c("placed_at"), {})).drop("k", "placed_at")
-
+        def attr(market: str, name: str, value: str) -> str:
+            return when(f"m = '{market}'", row(attr_name=f"'{name}'", good=f"concat({value}, bad)"))
+        named = orders().filter("k % 29 <> 0").selectExpr(
+            "k", "placed_at", "slip_id", f"{pick(MARKETS, 'cust')} as m",
+            "upper(md5(cast(slip_id as binary))) as h", "if(k % 31 = 0, 'x', '') as bad")
+        good = named.selectExpr("k", "placed_at", "slip_id", "inline(array_compact(array(" + ", ".join([
+            attr("DK", "safe_tampertoken", "'TT-', left(h, 8)"),
+            attr("BG", "nra_registration_id", key("BG-2024-", "k % 1000000000", 9)),
+            attr("NL", "cruks_check_ref", "'CRUKS-', left(h, 8)"),
+            attr("NL", "cdb_record_id", key("NL-CDB-", "k", 10)),
+            attr("DE", "lugas_activity_id", "'LUGAS-', left(h, 12)")]) + ")))")
+        stale = row(attr_value="'stale'", _op="'I'", _commit_ts=f"placed_at - {minutes('1')}")
+        return good.selectExpr(
+            "'SLIP' as entity_type", "slip_id as entity_id", "attr_name",
+            f"inline(array_compact(array({when('k % 17 = 0', stale)}, "
+            f"{row(attr_value='good', _op=repr('U'), _commit_ts='placed_at')})))")
+
+    @cache
     def lines() -> DataFrame:
         """One row per game play; the feed is chosen by supplier."""
-        ok, ln, sk = c("l_orderkey"), c("l_linenumber"), c("l_suppkey")
-        stake = F.floor(c("l_extendedprice") / 200).cast("bigint")
-        moved = c("l_shipdate").cast("timestamp") + F.expr("make_ym_interval(25, 0)")
-        player = div(c("l_partkey") * 3, 4)
-        return (table("lineitem").select(
-            ok.alias("ok"), ln.alias("ln"), sk.alias("sk"), c("l_partkey").alias("pk"),
-            (sk % 5).alias("feed"),
-            F.concat(F.lpad(ok.cast("string"), 12, "0"), F.lit("-"), ln.cast("string")).alias("round_ref"),
-            player.alias("cust"), account(player).alias("player_ref"),
-            F.concat(F.lit("R"), sk.cast("string")).alias("game_ref"), key("G", sk, 8).alias("game_id"),
-            plus(moved, seconds=(ok * 131 + ln * 977) % 86400).alias("ts"),
-            stake.alias("stake_c"), div(stake * (ok * 17 % 8) * 20, 100).alias("payout_c"))
-            .withColumn("session_ref", F.when(
-                c("ok") % 7 != 0,
-                F.concat(F.lit("GS"), F.lpad(c("cust").cast("string"), 10, "0"),
-                         F.date_format("ts", "yyyyMMdd"))))
-            .withColumn("_op", F.when(c("ok") % 53 == 52, "D").otherwise("I"))
-            .withColumn("_commit_ts", c("ts")))
+        stake = "cast(floor(l_extendedprice / 200) as bigint)"
+        return (table("lineitem").selectExpr(
+            "l_orderkey as ok", "l_suppkey as sk", "l_partkey as pk", "l_suppkey % 5 as feed",
+            "concat(lpad(cast(l_orderkey as string), 12, '0'), '-', cast(l_linenumber as string)) as round_ref",
+            "l_partkey * 3 div 4 as cust", f"{account('l_partkey * 3 div 4')} as player_ref",
+            "concat('R', cast(l_suppkey as string)) as game_ref", f"{key('G', 'l_suppkey', 8)} as game_id",
+            "cast(l_shipdate as timestamp) + make_ym_interval(25, 0) + "
+            f"{seconds('(l_orderkey * 131 + l_linenumber * 977) % 86400')} as ts",
+            f"{stake} as stake_c", f"{stake} * (l_orderkey * 17 % 8) * 20 div 100 as payout_c",
+            "if(l_orderkey % 53 = 52, 'D', 'I') as _op")
+            .selectExpr("*", "if(ok % 7 <> 0, concat('GS', lpad(cast(cust as string), 10, '0'), "
+                             "date_format(ts, 'yyyyMMdd')), null) as session_ref", "ts as _commit_ts"))
 
     def netent_rounds() -> DataFrame:
-        extra = F.when(c("ok") % 41 == 0, 1).otherwise(0)
-        return lines().filter("feed = 0").select(
-            "round_ref", "player_ref", "game_ref", cents(c("stake_c")).alias("bet_amount"),
-            cents(c("payout_c")).alias("win_amount"),
-            cents(div(c("stake_c") + 50, 100) + extra).alias("jp_contribution"),
-            F.concat(F.lit("JP"), (c("sk") % 7).cast("string")).alias("jp_id"),
-            "session_ref", c("ts").alias("round_ts"), "_op", "_commit_ts")
+        return lines().filter("feed = 0").selectExpr(
+            "round_ref", "player_ref", "game_ref", f"{money('stake_c')} as bet_amount",
+            f"{money('payout_c')} as win_amount",
+            f"{money('(stake_c + 50) div 100 + if(ok % 41 = 0, 1, 0)')} as jp_contribution",
+            "concat('JP', cast(sk % 7 as string)) as jp_id", "session_ref", "ts as round_ts", "_op", "_commit_ts")
 
     def evolution_transactions() -> DataFrame:
-        tx = F.array(
-            F.struct(F.lit("BET").alias("tx_type"), c("stake_c").alias("amount_cents")),
-            F.struct(F.lit("WIN").alias("tx_type"), c("payout_c").alias("amount_cents")))
-        return (lines().filter("feed = 1").select("*", F.explode(tx).alias("t"))
-                .select(F.concat(c("round_ref"), F.lit("-"), c("t.tx_type")).alias("tx_id"), "round_ref",
-                        "player_ref", c("game_ref").alias("table_ref"), "t.tx_type", "t.amount_cents",
-                        c("ts").alias("tx_ts"), "_op", "_commit_ts"))
+        pair = (row(tx_type="'BET'", amount_cents="stake_c") + ", " + row(tx_type="'WIN'", amount_cents="payout_c"))
+        return (lines().filter("feed = 1").selectExpr("*", f"inline(array({pair}))")
+                .selectExpr("concat(round_ref, '-', tx_type) as tx_id", "round_ref", "player_ref",
+                            "game_ref as table_ref", "tx_type", "amount_cents", "ts as tx_ts", "_op", "_commit_ts"))
 
     def playtech_rounds() -> DataFrame:
-        return lines().filter("feed = 2").select(
-            "round_ref", "player_ref", c("game_ref").alias("game_code"), cents(c("stake_c")).alias("stake"),
-            cents(c("payout_c")).alias("payout"), c("ts").alias("round_ts"), "_op", "_commit_ts")
+        return lines().filter("feed = 2").selectExpr(
+            "round_ref", "player_ref", "game_ref as game_code", f"{money('stake_c')} as stake",
+            f"{money('payout_c')} as payout", "ts as round_ts", "_op", "_commit_ts")
 
     def aggregator_rounds() -> DataFrame:
-        return lines().filter("feed = 3").select(
-            "round_ref", pick(["Spribe", "Hacksaw"], div(c("sk"), 5)).alias("sub_provider"), "player_ref",
-            "game_ref", cents(c("stake_c")).alias("bet"), cents(c("payout_c")).alias("win"),
-            c("ts").alias("round_ts"), "_op", "_commit_ts")
+        return lines().filter("feed = 3").selectExpr(
+            "round_ref", f"{pick(STUDIOS, 'sk div 5')} as sub_provider", "player_ref", "game_ref",
+            f"{money('stake_c')} as bet", f"{money('payout_c')} as win", "ts as round_ts", "_op", "_commit_ts")
 
     def poker_activity() -> DataFrame:
-        kind = F.when(c("ok") % 19 == 0, "PLAY_MONEY").otherwise(
-            pick(["CASH_HAND", "TOURNAMENT_ENTRY"], div(c("sk"), 5)))
-        return lines().filter("feed = 4").select(
-            F.concat(F.lit("PK"), c("round_ref")).alias("activity_id"),
-            c("player_ref").alias("account_id"), "game_id", kind.alias("kind"),
-            cents(c("stake_c")).alias("amount_in"), cents(c("payout_c")).alias("amount_out"),
-            cents(div(c("stake_c") * 5, 100)).alias("rake_or_fee"), c("session_ref").alias("session_id"),
-            c("ts").alias("activity_ts"), "_op", "_commit_ts")
+        kind = pick(["CASH_HAND", "TOURNAMENT_ENTRY"], "sk div 5")
+        return lines().filter("feed = 4").selectExpr(
+            "concat('PK', round_ref) as activity_id", "player_ref as account_id", "game_id",
+            f"if(ok % 19 = 0, 'PLAY_MONEY', {kind}) as kind", f"{money('stake_c')} as amount_in",
+            f"{money('payout_c')} as amount_out", f"{money('stake_c * 5 div 100')} as rake_or_fee",
+            "session_ref as session_id", "ts as activity_ts", "_op", "_commit_ts")
+
+    @cache
+    def sessions() -> DataFrame:
+        """One platform session per player and day with stamped play."""
+        return (lines().filter("feed in (0, 4) and session_ref is not null")
+                .groupBy(F.col("session_ref").alias("session_id"), F.col("player_ref").alias("account_id"), "cust")
+                .agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")))
 
     def gaming_sessions() -> DataFrame:
-        per = (lines().filter("feed in (0, 4) and session_ref is not null")
-               .groupBy("session_ref", "player_ref", "cust")
-               .agg(F.min("ts").alias("first"), F.max("ts").alias("last")))
-        h = c("cust") % 10
-        df = per.select(
-            c("session_ref").alias("session_id"), c("player_ref").alias("account_id"),
-            plus(c("first"), seconds=-60).alias("started_at"), c("last").alias("last_activity_ts"),
-            F.when(h == 0, None).when(h < 7, plus(c("last"), minutes=5))
-            .when(h < 9, plus(c("last"), minutes=30)).otherwise(plus(c("last"), minutes=-1))
-            .alias("ended_at"),
-            F.when(h == 0, None).when(h < 7, "LOGOUT").when(h < 9, "INACTIVITY").otherwise("KICKED")
-            .alias("end_reason"))
-        none = F.lit(None)
-        return images(df, (True, "I", c("started_at"), {"ended_at": none.cast("timestamp"),
-                                                        "end_reason": none.cast("string")}),
-                      (True, "U", plus(c("last_activity_ts"), minutes=45), {}))
+        opened = row(ended_at="cast(null as timestamp)", end_reason="cast(null as string)", _op="'I'",
+                     _commit_ts=f"first_ts - {seconds('60')}")
+        ended = (f"case when cust % 10 = 0 then null when cust % 10 < 7 then last_ts + {minutes('5')} "
+                 f"when cust % 10 < 9 then last_ts + {minutes('30')} else last_ts - {minutes('1')} end")
+        reason = ("case when cust % 10 = 0 then null when cust % 10 < 7 then 'LOGOUT' "
+                  "when cust % 10 < 9 then 'INACTIVITY' else 'KICKED' end")
+        closed = row(ended_at=ended, end_reason=reason, _op="'U'", _commit_ts=f"last_ts + {minutes('45')}")
+        return sessions().selectExpr(
+            "session_id", "account_id", f"first_ts - {seconds('60')} as started_at", "last_ts as last_activity_ts",
+            f"inline(array({opened}, {closed}))")
 
     def games() -> DataFrame:
-        k = c("s_suppkey")
-        feed, turn = k % 5, div(k, 5)
-        provider = (F.when(feed == 0, "NetEnt").when(feed == 1, "Evolution").when(feed == 2, "Playtech")
-                    .when(feed == 3, pick(["Spribe", "Hacksaw"], turn)).otherwise("PokerNet"))
-        raw = F.lit(None).cast("string")
-        for n, labels in enumerate(GAME_LABELS):
-            raw = F.when(feed == n, pick(labels, turn)).otherwise(raw)
-        real = table("supplier").select(
-            key("G", k, 8).alias("game_id"), F.concat(F.lit("Game "), k.cast("string")).alias("game_name"),
-            provider.alias("provider"), F.concat(F.lit("R"), k.cast("string")).alias("provider_game_ref"),
-            raw.alias("game_type_raw"))
-        n = c("n_nationkey").cast("string")
-        phantom = table("nation").filter("n_nationkey < 3").select(
-            F.concat(F.lit("OJ"), n).alias("game_id"), F.concat(F.lit("Jackpot "), n).alias("game_name"),
-            F.lit("Operator").alias("provider"), F.concat(F.lit("OJ"), n).alias("provider_game_ref"),
-            F.lit("Operator Jackpot").alias("game_type_raw"))
-        return (real.unionByName(phantom).withColumn("_op", F.lit("I"))
-                .withColumn("_commit_ts", at("2019-01-01")))
+        raw = " ".join(f"when {n} then {pick(v, 's_suppkey div 5')}" for n, v in enumerate(GAME_LABELS))
+        real = table("supplier").selectExpr(
+            f"{key('G', 's_suppkey', 8)} as game_id", "concat('Game ', cast(s_suppkey as string)) as game_name",
+            "case s_suppkey % 5 when 0 then 'NetEnt' when 1 then 'Evolution' when 2 then 'Playtech' "
+            f"when 3 then {pick(STUDIOS, 's_suppkey div 5')} else 'PokerNet' end as provider",
+            "concat('R', cast(s_suppkey as string)) as provider_game_ref",
+            f"case s_suppkey % 5 {raw} end as game_type_raw")
+        n = "cast(n_nationkey as string)"
+        phantom = table("nation").filter("n_nationkey < 3").selectExpr(
+            f"concat('OJ', {n}) as game_id", f"concat('Jackpot ', {n}) as game_name", "'Operator' as provider",
+            f"concat('OJ', {n}) as provider_game_ref", "'Operator Jackpot' as game_type_raw")
+        return real.unionByName(phantom).selectExpr("*", "'I' as _op", "timestamp'2019-01-01' as _commit_ts")
 
     def jackpot_pools() -> DataFrame:
-        n = c("n_nationkey")
-        return table("nation").filter("n_nationkey < 7").select(
-            F.concat(F.lit("JP"), n.cast("string")).alias("jackpot_id"), c("n_name").alias("jackpot_name"),
-            F.lit("NetEnt").alias("provider"), cents((n + 1) * 100000).alias("seed_amount"),
-            F.lit(0.01).cast("decimal(9,4)").alias("contribution_rate"))
+        return table("nation").filter("n_nationkey < 7").selectExpr(
+            "concat('JP', cast(n_nationkey as string)) as jackpot_id", "n_name as jackpot_name",
+            "'NetEnt' as provider", f"{money('(n_nationkey + 1) * 100000')} as seed_amount",
+            "cast(0.01 as decimal(9,4)) as contribution_rate")
 
     def jackpot_wins() -> DataFrame:
-        return orders().filter("k % 500 = 7").select(
-            key("JW", c("k"), 12).alias("win_id"),
-            F.concat(F.lit("JP"), (c("k") % 7).cast("string")).alias("jackpot_id"), "account_id",
-            cents(c("stake_c") * 3).alias("amount"), c("placed_at").alias("win_ts"))
+        return orders().filter("k % 500 = 7").selectExpr(
+            f"{key('JW', 'k', 12)} as win_id", "concat('JP', cast(k % 7 as string)) as jackpot_id", "account_id",
+            f"{money('stake_c * 3')} as amount", "placed_at as win_ts")
 
     def operator_jackpot_pools() -> DataFrame:
-        n = c("n_nationkey").cast("string")
-        return table("nation").filter("n_nationkey < 3").select(
-            F.concat(F.lit("OJP"), n).alias("jackpot_id"), c("n_name").alias("jackpot_name"),
-            cents(F.lit(50000)).alias("seed_amount"))
+        return table("nation").filter("n_nationkey < 3").selectExpr(
+            "concat('OJP', cast(n_nationkey as string)) as jackpot_id", "n_name as jackpot_name",
+            f"{money('50000')} as seed_amount")
 
     def jackpot_optins() -> DataFrame:
-        start = plus(at("2021-01-01"), days=c("k") % 365)
-        return customers().filter("k % 4 = 0").select(
-            key("OPT", c("k"), 10).alias("optin_id"), "account_id", F.lit("OJP0").alias("jackpot_id"),
-            start.alias("opted_in_at"),
-            F.when(c("k") % 8 == 0, plus(start, days=365)).alias("opted_out_at"),
-            F.lit("I").alias("_op"), start.alias("_commit_ts"))
+        start = f"timestamp'2021-01-01' + {days('k % 365')}"
+        return customers().filter("k % 4 = 0").selectExpr(
+            f"{key('OPT', 'k', 10)} as optin_id", "account_id", "'OJP0' as jackpot_id", f"{start} as opted_in_at",
+            f"{when('k % 8 = 0', start + ' + ' + days('365'))} as opted_out_at", "'I' as _op",
+            f"{start} as _commit_ts")
 
     def operator_jackpot_contributions() -> DataFrame:
-        slot = (c("k") % 3).cast("string")
-        slips = orders().filter("k % 6 = 0").select(
-            key("OC", c("k"), 12).alias("contribution_id"), "account_id",
-            F.concat(F.lit("OJP"), slot).alias("jackpot_id"), F.concat(F.lit("OJ"), slot).alias("game_id"),
-            F.lit("SPORTS_BET").alias("trigger_type"), c("slip_id").alias("trigger_ref"),
-            cents(div(c("stake_c"), 20) + 1).alias("amount"), F.lit(None).cast("string").alias("session_id"),
-            c("placed_at").alias("contributed_at"), F.lit("I").alias("_op"),
-            c("placed_at").alias("_commit_ts"))
-        slot = (c("ok") % 3).cast("string")
-        rounds = lines().filter("feed = 0 and ok % 9 = 0").select(
-            F.concat(F.lit("OR"), c("round_ref")).alias("contribution_id"),
-            c("player_ref").alias("account_id"), F.concat(F.lit("OJP"), slot).alias("jackpot_id"),
-            F.concat(F.lit("OJ"), slot).alias("game_id"), F.lit("GAMING_ROUND").alias("trigger_type"),
-            F.concat(F.lit("NE:"), c("round_ref")).alias("trigger_ref"),
-            cents(div(c("stake_c"), 100) + 1).alias("amount"), c("session_ref").alias("session_id"),
-            c("ts").alias("contributed_at"), "_op", "_commit_ts")
+        slips = orders().filter("k % 6 = 0").selectExpr(
+            f"{key('OC', 'k', 12)} as contribution_id", "account_id",
+            "concat('OJP', cast(k % 3 as string)) as jackpot_id", "concat('OJ', cast(k % 3 as string)) as game_id",
+            "'SPORTS_BET' as trigger_type", "slip_id as trigger_ref", f"{money('stake_c div 20 + 1')} as amount",
+            "cast(null as string) as session_id", "placed_at as contributed_at", "'I' as _op",
+            "placed_at as _commit_ts")
+        rounds = lines().filter("feed = 0 and ok % 9 = 0").selectExpr(
+            "concat('OR', round_ref) as contribution_id", "player_ref as account_id",
+            "concat('OJP', cast(ok % 3 as string)) as jackpot_id", "concat('OJ', cast(ok % 3 as string)) as game_id",
+            "'GAMING_ROUND' as trigger_type", "concat('NE:', round_ref) as trigger_ref",
+            f"{money('stake_c div 100 + 1')} as amount", "session_ref as session_id", "ts as contributed_at",
+            "_op", "_commit_ts")
         return slips.unionByName(rounds)
 
     def operator_jackpot_wins() -> DataFrame:
-        slot = (c("k") % 3).cast("string")
-        return orders().filter("k % 400 = 9").select(
-            key("OW", c("k"), 12).alias("win_id"), F.concat(F.lit("OJP"), slot).alias("jackpot_id"),
-            "account_id", F.concat(F.lit("OJ"), slot).alias("game_id"),
-            cents(c("stake_c") * 2).alias("amount"), F.lit(None).cast("string").alias("session_id"),
-            c("placed_at").alias("win_ts"), F.lit("I").alias("_op"), c("placed_at").alias("_commit_ts"))
+        return orders().filter("k % 400 = 9").selectExpr(
+            f"{key('OW', 'k', 12)} as win_id", "concat('OJP', cast(k % 3 as string)) as jackpot_id", "account_id",
+            "concat('OJ', cast(k % 3 as string)) as game_id", f"{money('stake_c * 2')} as amount",
+            "cast(null as string) as session_id", "placed_at as win_ts", "'I' as _op", "placed_at as _commit_ts")
 
     def game_round_voids() -> DataFrame:
-        return lines().filter("feed = 0 and ok % 27 = 0").select(
-            F.concat(F.lit("NE:"), c("round_ref")).alias("round_id"),
-            plus(c("ts"), minutes=60).alias("voided_at"))
+        return lines().filter("feed = 0 and ok % 27 = 0").selectExpr(
+            "concat('NE:', round_ref) as round_id", f"ts + {minutes('60')} as voided_at")
 
     def player_limits() -> DataFrame:
-        k = c("k")
-
-        def limit(when, tag, kind, minor):
-            return F.when(when, F.struct(key(f"L{tag}", k, 10).alias("limit_id"),
-                                         F.lit(kind).alias("limit_type"), cents(minor).alias("amount")))
-        rows = F.array(
-            limit(k % 7 == 0, "A", "DEPOSIT_DAILY", (k % 200 + 40) * 100),
-            limit(k % 14 == 0, "B", "DEPOSIT_DAILY", (k % 90 + 20) * 100),
-            limit(k % 11 == 0, "C", "DEPOSIT_WEEKLY", (k % 300 + 60) * 100),
-            limit(k % 6 == 0, "D", "DEPOSIT_MONTHLY", (k % 500 + 90) * 100),
-            limit(k % 13 == 0, "E", "LOSS_DAILY", (k % 50 + 1) * 100),
-            limit(k % 9 == 1, "F", "LOSS_WEEKLY", (k % 60 + 5) * 100),
-            limit(k % 10 == 3, "G", "LOSS_MONTHLY", (k % 70 + 10) * 100),
-            limit(k % 17 == 0, "H", "STAKE_CASINO", (k % 4 + 1) * 100))
-        start = at("2019-12-01")
-        return (customers().select("k", "account_id", F.explode(rows).alias("l")).filter(c("l").isNotNull())
-                .select("l.limit_id", "account_id", "l.limit_type", "l.amount", start.alias("set_at"),
-                        F.when(c("k") % 5 == 0, at("2023-06-01")).alias("revoked_at"),
-                        F.lit("I").alias("_op"), start.alias("_commit_ts")))
+        def limit(condition: str, tag: str, kind: str, units: str) -> str:
+            return when(condition, row(limit_id=key(f"L{tag}", "k", 10), limit_type=f"'{kind}'",
+                                       amount=money(f"({units}) * 100")))
+        listed = ", ".join([
+            limit("k % 7 = 0", "A", "DEPOSIT_DAILY", "k % 200 + 40"),
+            limit("k % 14 = 0", "B", "DEPOSIT_DAILY", "k % 90 + 20"),
+            limit("k % 11 = 0", "C", "DEPOSIT_WEEKLY", "k % 300 + 60"),
+            limit("k % 6 = 0", "D", "DEPOSIT_MONTHLY", "k % 500 + 90"),
+            limit("k % 13 = 0", "E", "LOSS_DAILY", "k % 50 + 1"),
+            limit("k % 9 = 1", "F", "LOSS_WEEKLY", "k % 60 + 5"),
+            limit("k % 10 = 3", "G", "LOSS_MONTHLY", "k % 70 + 10"),
+            limit("k % 17 = 0", "H", "STAKE_CASINO", "k % 4 + 1")])
+        return customers().selectExpr(
+            "account_id", f"inline(array_compact(array({listed})))", "timestamp'2019-12-01' as set_at",
+            f"{when('k % 5 = 0', 'timestamp' + repr('2023-06-01'))} as revoked_at", "'I' as _op",
+            "timestamp'2019-12-01' as _commit_ts")
 
     def self_exclusions() -> DataFrame:
-        start = plus(at("2022-01-01"), days=c("k") % 700)
-        return customers().filter("k % 13 = 5").select(
-            key("X", c("k"), 10).alias("exclusion_id"), "account_id",
-            F.when(c("k") % 3 == 0, "NATIONAL").otherwise("OPERATOR").alias("source"),
-            start.alias("start_ts"), F.when(c("k") % 2 == 1, plus(start, days=90)).alias("end_ts"),
-            F.lit("I").alias("_op"), start.alias("_commit_ts"))
+        start = f"timestamp'2022-01-01' + {days('k % 700')}"
+        return customers().filter("k % 13 = 5").selectExpr(
+            f"{key('X', 'k', 10)} as exclusion_id", "account_id",
+            "if(k % 3 = 0, 'NATIONAL', 'OPERATOR') as source", f"{start} as start_ts",
+            f"{when('k % 2 = 1', start + ' + ' + days('90'))} as end_ts", "'I' as _op", f"{start} as _commit_ts")
 
     def verifications() -> DataFrame:
-        k, opened = c("k"), c("opened_at")
-
-        def check(when, tag, kind, status, ts):
-            return F.when(when, F.struct(key(f"V{tag}", k, 10).alias("verification_id"),
-                                         F.lit(kind).alias("check_type"), F.lit(status).alias("status"),
-                                         ts.alias("event_ts")))
-        rows = F.array(
-            check(F.lit(True), "P", "IDENTITY", "PENDING", opened),
-            check(k % 9 != 7, "V", "IDENTITY", "VERIFIED", plus(opened, days=k % 1700 + 1)),
-            check(k % 4 == 0, "A", "ADDRESS", "VERIFIED", plus(opened, days=2)))
-        return (customers().select("account_id", F.explode(rows).alias("v")).filter(c("v").isNotNull())
-                .select("v.verification_id", "account_id", "v.check_type", "v.status", "v.event_ts",
-                        F.lit("I").alias("_op"), c("v.event_ts").alias("_commit_ts")))
+        def check(tag: str, kind: str, status: str, ts: str) -> str:
+            return row(verification_id=key(f"V{tag}", "k", 10), check_type=f"'{kind}'", status=f"'{status}'",
+                       event_ts=ts)
+        listed = ", ".join([
+            check("P", "IDENTITY", "PENDING", "opened_at"),
+            when("k % 9 <> 7", check("V", "IDENTITY", "VERIFIED", f"opened_at + {days('k % 1700 + 1')}")),
+            when("k % 4 = 0", check("A", "ADDRESS", "VERIFIED", f"opened_at + {days('2')}"))])
+        return customers().selectExpr("account_id", f"inline(array_compact(array({listed})))").selectExpr(
+            "*", "'I' as _op", "event_ts as _commit_ts")
 
     def payments() -> DataFrame:
-        first = customers().select(
-            key("PC", c("k"), 12).alias("payment_id"), "account_id", F.lit("DEPOSIT").alias("direction"),
-            cents(F.greatest(F.floor(c("bal") * 5), F.lit(1000))).alias("amount"),
-            pick(PAY_METHODS, c("k")).alias("method"), F.lit("COMPLETED").alias("status"),
-            c("opened_at").alias("requested_ts"), plus(c("opened_at"), minutes=3).alias("completed_ts"),
-            F.lit("I").alias("_op"), c("opened_at").alias("_commit_ts"))
-        kind, k = c("event_type"), c("event_id")
-        ts = c("ts").cast("timestamp")
-        later = table("events").select(
-            key("PE", k, 12).alias("payment_id"), account(c("user_id")).alias("account_id"),
-            F.when(kind == "signup", "WITHDRAWAL").when(k % 50 == 7, "TRANSFER").otherwise("DEPOSIT")
-            .alias("direction"),
-            cents(F.floor(c("value") * 100)).alias("amount"), pick(PAY_METHODS, k).alias("method"),
-            F.when(kind == "error", "BLOCKED").when(kind == "view", "HELD").otherwise("COMPLETED")
-            .alias("status"),
-            ts.alias("requested_ts"),
-            F.when(~kind.isin("error", "view"), plus(ts, minutes=2)).alias("completed_ts"),
-            F.lit("I").alias("_op"), ts.alias("_commit_ts"))
-        return first.unionByName(later)
+        first = customers().selectExpr(
+            f"{key('PC', 'k', 12)} as payment_id", "account_id", "'DEPOSIT' as direction",
+            f"{money('greatest(cast(floor(bal * 5) as bigint), 1000L)')} as amount",
+            f"{pick(PAY_METHODS, 'k')} as method", "'COMPLETED' as status", "opened_at as requested_ts",
+            f"opened_at + {minutes('3')} as completed_ts")
+        later = table("events").selectExpr("*", "cast(ts as timestamp) as at").selectExpr(
+            f"{key('PE', 'event_id', 12)} as payment_id", f"{account('user_id')} as account_id",
+            "case when event_type = 'signup' then 'WITHDRAWAL' when event_id % 50 = 7 then 'TRANSFER' "
+            "else 'DEPOSIT' end as direction",
+            f"{money('cast(floor(value * 100) as bigint)')} as amount", f"{pick(PAY_METHODS, 'event_id')} as method",
+            "case event_type when 'error' then 'BLOCKED' when 'view' then 'HELD' else 'COMPLETED' end as status",
+            "at as requested_ts", f"if(event_type in ('error', 'view'), null, at + {minutes('2')}) as completed_ts")
+        return first.unionByName(later).selectExpr("*", "'I' as _op", "requested_ts as _commit_ts")
 
     def account_addresses() -> DataFrame:
-        k = c("k")
-        d4, d5 = F.lpad((k % 10000).cast("string"), 4, "0"), F.lpad((k % 100000).cast("string"), 5, "0")
-        d3, d2 = F.lpad((k % 1000).cast("string"), 3, "0"), F.lpad((k % 100).cast("string"), 2, "0")
-        prefix = F.concat(F.char(c("nation") % 26 + 65), F.lit("XT"))
-        m = c("jurisdiction")
-        good = (F.when(m == "MT", F.concat(prefix, F.lit(" "), d4)).when(m.isin("DK", "BG"), d4)
-                .when(m == "GR", F.concat(d3, F.lit(" "), d2)).when(m == "NL", F.concat(d4, F.lit(" AB")))
-                .when(m == "PT", F.concat(d4, F.lit("-"), d3)).otherwise(d5))
-        return customers().select(
-            "account_id",
-            F.when(k % 19 == 3, F.concat(F.lit("BAD"), k.cast("string"))).otherwise(good).alias("postcode"),
-            F.lit("Town").alias("city"), F.lit("I").alias("_op"), c("opened_at").alias("_commit_ts"))
+        def digits(n: int) -> str:
+            return f"lpad(cast(k % {10 ** n} as string), {n}, '0')"
+        return customers().selectExpr(
+            "account_id", "'Town' as city",
+            "case when k % 19 = 3 then concat('BAD', cast(k as string)) "
+            f"when jurisdiction = 'MT' then concat(char(nation % 26 + 65), 'XT ', {digits(4)}) "
+            f"when jurisdiction in ('DK', 'BG') then {digits(4)} "
+            f"when jurisdiction = 'GR' then concat({digits(3)}, ' ', {digits(2)}) "
+            f"when jurisdiction = 'NL' then concat({digits(4)}, ' AB') "
+            f"when jurisdiction = 'PT' then concat({digits(4)}, '-', {digits(3)}) else {digits(5)} end as postcode",
+            "'I' as _op", "opened_at as _commit_ts")
 
     def postcode_regions() -> DataFrame:
-        return table("nation").filter("n_nationkey % 6 <> 5").select(
-            F.concat(F.char(c("n_nationkey") % 26 + 65), F.lit("XT")).alias("postcode_prefix"),
-            c("n_name").alias("region_name"))
+        return table("nation").filter("n_nationkey % 6 <> 5").selectExpr(
+            "concat(char(n_nationkey % 26 + 65), 'XT') as postcode_prefix", "n_name as region_name")
 
     def source_watermarks() -> DataFrame:
-        market = c("cust") % len(MARKETS)
-        done = orders().groupBy(market.alias("m")).agg(F.max("placed_at").alias("last"))
-        return done.select(
-            F.explode(F.array(F.lit("bet_settlement"), F.lit("payments"))).alias("source"),
-            pick(MARKETS, c("m")).alias("jurisdiction"),
-            plus(c("last"), days=c("m") * -40).alias("complete_through"))
+        done = orders().selectExpr(f"cust % {len(MARKETS)} as m", "placed_at").groupBy("m").agg({"placed_at": "max"})
+        return done.selectExpr(
+            "explode(array('bet_settlement', 'payments')) as source", f"{pick(MARKETS, 'm')} as jurisdiction",
+            f"`max(placed_at)` - {days('m * 40')} as complete_through")
 
     def exception_state() -> DataFrame:
-        k = c("k")
-        now = at(RUN_TS)
-        attempts = (div(k, 18) % 6 + 1).cast("int")
-        return customers().filter("k % 18 = 0 and k % 19 <> 3").select(
-            F.lit("ADDRESS").alias("entity_type"), c("account_id").alias("entity_id"),
-            F.lit("region_not_found").alias("reason_code"), F.lit("TRANSIENT").alias("error_class"),
-            attempts.alias("attempt_count"), plus(now, days=-(attempts)).alias("first_seen"),
-            plus(now, minutes=(k % 5 - 2) * 60).alias("next_retry_at"), F.lit("RETRYING").alias("status"))
+        tries = "cast(k div 18 % 6 + 1 as int)"
+        return customers().filter("k % 18 = 0 and k % 19 <> 3").selectExpr(
+            "'ADDRESS' as entity_type", "account_id as entity_id", "'region_not_found' as reason_code",
+            "'TRANSIENT' as error_class", f"{tries} as attempt_count",
+            f"timestamp'{RUN_TS}' - {days(tries)} as first_seen",
+            f"timestamp'{RUN_TS}' + {minutes('(k % 5 - 2) * 60')} as next_retry_at", "'RETRYING' as status")
 
     def provider_statements() -> DataFrame:
-        name = (F.when(c("feed") == 0, "NetEnt").when(c("feed") == 1, "Evolution")
-                .when(c("feed") == 2, "Playtech").otherwise(pick(["Spribe", "Hacksaw"], div(c("sk"), 5))))
-        day = F.to_date("ts")
-        return (lines().filter("feed < 4").groupBy(name.alias("provider"), day.alias("statement_date"))
-                .agg(cents(F.sum(c("stake_c") - c("payout_c"))).alias("reported_ggr"))
-                .filter(F.dayofmonth("statement_date") != 17))
+        return lines().filter("feed < 4").selectExpr(
+            "case feed when 0 then 'NetEnt' when 1 then 'Evolution' when 2 then 'Playtech' "
+            f"else {pick(STUDIOS, 'sk div 5')} end as provider", "to_date(ts) as statement_date",
+            "stake_c - payout_c as net_c").groupBy("provider", "statement_date").agg({"net_c": "sum"}).filter(
+            "dayofmonth(statement_date) <> 17").selectExpr(
+            "provider", "statement_date", f"{money('`sum(net_c)`')} as reported_ggr")
 
     def play_rounds() -> DataFrame:
         """Rounds as the operator's own platform keeps them, with their funding."""
-        game = pick(PLAY_GAMES, c("sk"))
-        bonus = game.isin("BLACKJACK", "POKER") & (c("ok") % 10 == 3)
-        return lines().select(
-            F.concat_ws("-", F.concat(F.lit("R"), c("round_ref")), c("pk").cast("string"),
-                        c("sk").cast("string")).alias("round_id"),
-            c("player_ref").alias("account_id"), game.alias("game"), cents(c("stake_c")).alias("stake"),
-            cents(c("payout_c")).alias("payout"),
-            F.when(bonus, "GOLDEN_CHIP").otherwise("CASH").alias("funding"),
-            c("session_ref").alias("session_id"), c("ts").alias("round_ts"))
+        return lines().selectExpr(
+            "ok", "concat('R', round_ref, '-', cast(pk as string), '-', cast(sk as string)) as round_id",
+            "player_ref as account_id", f"{pick(PLAY_GAMES, 'sk')} as game", f"{money('stake_c')} as stake",
+            f"{money('payout_c')} as payout", "session_ref as session_id", "ts as round_ts").selectExpr(
+            "round_id", "account_id", "game", "stake", "payout",
+            "if(game in ('BLACKJACK', 'POKER') and ok % 10 = 3, 'GOLDEN_CHIP', 'CASH') as funding",
+            "session_id", "round_ts")
 
     def delivery_log() -> DataFrame:
         """What earlier passes already delivered."""
-        slips = orders().filter("settles and not voids and k % 4 = 0").select(
-            F.lit("bets").alias("record_type"), F.concat(c("slip_id"), F.lit("|SETTLED")).alias("record_key"),
-            pick(MARKETS, c("cust")).alias("jurisdiction"),
-            key("BETS-", c("k"), 12).alias("receipt_id"), c("settled_ts").alias("submitted_at"))
-        voids = orders().filter("voids and k % 10 = 0").select(
-            F.lit("bets").alias("record_type"), F.concat(c("slip_id"), F.lit("|VOIDED")).alias("record_key"),
-            pick(MARKETS, c("cust")).alias("jurisdiction"),
-            F.lit("SUPPRESSED-VOID").alias("receipt_id"), c("voided_ts").alias("submitted_at"))
-        paid = table("events").filter("event_id % 5 = 0").select(
-            F.lit("payments").alias("record_type"), key("PE", c("event_id"), 12).alias("record_key"),
-            pick(MARKETS, c("user_id")).alias("jurisdiction"),
-            key("PAY-", c("event_id"), 12).alias("receipt_id"),
-            plus(c("ts").cast("timestamp"), minutes=9).alias("submitted_at"))
-        people = customers().filter("k % 6 = 1").select(
-            F.lit("players").alias("record_type"),
-            F.concat(c("account_id"), F.lit("|VERIFIED")).alias("record_key"), "jurisdiction",
-            key("PLAY-", c("k"), 12).alias("receipt_id"), plus(c("opened_at"), days=3).alias("submitted_at"))
-        played = play_rounds().filter("cast(substring(round_id, 2, 12) as bigint) % 3 = 0").select(
-            F.lit("gaming").alias("record_type"), c("round_id").alias("record_key"),
-            F.lit(None).cast("string").alias("jurisdiction"), F.lit("VIA-SESSION").alias("receipt_id"),
-            c("round_ts").alias("submitted_at"))
-        logged = gaming_sessions().filter("_op = 'U' and cast(substring(session_id, 3, 10) as bigint) % 4 = 1")
-        sessions = logged.select(
-            F.lit("sessions").alias("record_type"), c("session_id").alias("record_key"),
-            F.lit(None).cast("string").alias("jurisdiction"), F.lit("SESS-1").alias("receipt_id"),
-            c("last_activity_ts").alias("submitted_at"))
-        return slips.unionByName(voids).unionByName(paid).unionByName(people).unionByName(
-            played).unionByName(sessions)
+        def log(df: DataFrame, kind: str, record: str, market: str, receipt: str, at: str) -> DataFrame:
+            return df.selectExpr(f"'{kind}' as record_type", f"{record} as record_key",
+                                 f"{market} as jurisdiction", f"{receipt} as receipt_id", f"{at} as submitted_at")
+        own, none = pick(MARKETS, "cust"), "cast(null as string)"
+        parts = [
+            log(orders().filter("settles and not voids and k % 4 = 0"), "bets", "concat(slip_id, '|SETTLED')", own,
+                key("BETS-", "k", 12), "settled_ts"),
+            log(orders().filter("voids and k % 10 = 0"), "bets", "concat(slip_id, '|VOIDED')", own,
+                "'SUPPRESSED-VOID'", "voided_ts"),
+            log(table("events").filter("event_id % 5 = 0"), "payments", key("PE", "event_id", 12),
+                pick(MARKETS, "user_id"), key("PAY-", "event_id", 12), f"cast(ts as timestamp) + {minutes('9')}"),
+            log(customers().filter("k % 6 = 1"), "players", "concat(account_id, '|VERIFIED')", "jurisdiction",
+                key("PLAY-", "k", 12), f"opened_at + {days('3')}"),
+            log(lines().filter("ok % 3 = 0"), "gaming",
+                "concat('R', round_ref, '-', cast(pk as string), '-', cast(sk as string))", none,
+                "'VIA-SESSION'", "ts"),
+            log(sessions().filter("cust % 4 = 1"), "sessions", "session_id", none, "'SESS-1'", "last_ts")]
+        out = parts[0]
+        for part in parts[1:]:
+            out = out.unionByName(part)
+        return out
 
     def legacy_capture() -> DataFrame:
         """A legacy system's file: some rows missing, some extra, some amounts off."""
-        off = F.when(c("k") % 37 == 0, 7).otherwise(0)
-        return orders().filter("settles and k % 43 <> 0").select(
-            pick(MARKETS, c("cust")).alias("jurisdiction"), c("slip_id").alias("bet_id"),
-            F.to_date("settled_ts").alias("report_date"), cents(c("stake_c") + off).alias("stake"),
-            cents(c("payout_c")).alias("payout"), cents(c("stake_c") + off - c("payout_c")).alias("ggr"))
+        stake = "stake_c + if(k % 37 = 0, 7, 0)"
+        return orders().filter("settles and k % 43 <> 0").selectExpr(
+            f"{pick(MARKETS, 'cust')} as jurisdiction", "slip_id as bet_id", "to_date(settled_ts) as report_date",
+            f"{money(stake)} as stake", f"{money('payout_c')} as payout", f"{money(stake + ' - payout_c')} as ggr")
 
     def settled_bets() -> DataFrame:
         """Flat settled bets, as the starter scaffold expects them."""
-        k = c("k")
-        return orders().filter("settles and k % 47 <> 0").select(
-            pick(MARKETS, c("cust")).alias("jurisdiction"), c("slip_id").alias("bet_id"),
-            c("account_id").alias("player_id"),
-            F.concat(F.lit("ID"), (c("cust") * 7919 % 99999989).cast("string")).alias("player_national_id"),
-            pick(["single", "combo", "free_spin", "single"], k).alias("game_type"),
-            pick(["sports", "casino", "poker", "lottery"], div(k, 3)).alias("vertical"),
-            cents(c("stake_c")).alias("stake"), cents(c("payout_c")).alias("payout"),
-            c("settled_ts").alias("settled_at"))
+        return orders().filter("settles and k % 47 <> 0").selectExpr(
+            f"{pick(MARKETS, 'cust')} as jurisdiction", "slip_id as bet_id", "account_id as player_id",
+            "concat('ID', cast(cust * 7919 % 99999989 as string)) as player_national_id",
+            f"{pick(['single', 'combo', 'free_spin', 'single'], 'k')} as game_type",
+            f"{pick(['sports', 'casino', 'poker', 'lottery'], 'k div 3')} as vertical",
+            f"{money('stake_c')} as stake", f"{money('payout_c')} as payout", "settled_ts as settled_at")
 
     feeds = [
         accounts, fixtures, bet_slips, bet_slip_events, reg_attributes, games, netent_rounds,

@@ -5,11 +5,11 @@ from __future__ import annotations
 import re
 
 from .. import markets
-from . import oracle_models  # noqa: F401  (fills CTES)
+from . import oracle_documents, oracle_models  # noqa: F401  (fill CTES)
 from .derive import RUN_TS
 from .oracle_feeds import CTES, text
 from .oracle_models import civil, day, norm, valid_on
-from ..operators import cdc
+from ..operators import cdc, document_formats
 
 FINAL: dict[str, str] = {}
 
@@ -578,11 +578,16 @@ CTES["open_bets"] = f"""
       FROM slip_amounts JOIN stg_accounts USING (account_id, jurisdiction) JOIN market USING (jurisdiction)
       WHERE settled_at IS NOT NULL OR voided_at IS NOT NULL) WHERE ('bets', log_key) NOT IN (SELECT record_type, record_key FROM log_keys)"""
 CTES["open_rounds"] = f"""
-    SELECT round_id, jurisdiction, {_ref}, game, CASE game {' '.join(f"WHEN '{g}' THEN {n}" for g, n in markets.GAME_TYPE_CODES.items())} END AS game_type_code,
+    SELECT round_id, account_id, session_id, round_ts, jurisdiction, {_ref}, game, CASE game {' '.join(f"WHEN '{g}' THEN {n}" for g, n in markets.GAME_TYPE_CODES.items())} END AS game_type_code,
       stake, payout, funding, {_route} AS route FROM play_rounds JOIN stg_accounts USING (account_id) JOIN market USING (jurisdiction)
     WHERE ('gaming', round_id) NOT IN (SELECT record_type, record_key FROM log_keys)"""
 FINAL.update({
     "expected_records": "SELECT jurisdiction, record_type, record_key, record_id, due_at FROM expected",
+    "completeness_breaks": """SELECT e.jurisdiction, e.record_type, if(r.receipt_id IS NULL, 'NOT_SUBMITTED', 'FILE_MISSING') AS problem, count(*) AS records
+        FROM expected e LEFT JOIN (SELECT record_type, record_key, min(receipt_id) AS receipt_id FROM delivery_log GROUP BY 1, 2) r USING (record_type, record_key)
+        WHERE r.receipt_id IS NULL OR (e.jurisdiction, e.record_type, e.record_id) NOT IN (
+          SELECT jurisdiction, record_type, split_part(record_key, '|', 1) FROM delivery_log
+          WHERE jurisdiction IS NOT NULL AND right(split_part(record_key, '|', 1), 1) <> '6') GROUP BY 1, 2, 3""",
     "pending_bets": out("open_bets", "slip_id jurisdiction player_ref status payout:d stake:d placed_at terminal_at log_key route"),
     "pending_payments": f"""SELECT payment_id, jurisdiction, {_ref}, direction, CAST(amount AS DOUBLE) AS amount, method, completed_ts
         FROM stg_payments JOIN stg_accounts USING (account_id) JOIN market USING (jurisdiction)
@@ -667,5 +672,19 @@ FINAL.update({
 })
 
 
+def _documents() -> None:
+    for market, types in document_formats.FORMATS.items():
+        for kind in types:
+            own = {"NL": "game_sessions", "PT": "platform_sessions"}[market] if kind == "sessions" else kind
+            FINAL[f"document_{market.lower()}_{kind}"] = oracle_documents.document_sql(market, kind, own)
+    for market, kind in (("MT", "bets"), ("BG", "payments"), ("DE", "players"), ("MT", "gaming")):
+        FINAL[f"document_{market.lower()}_{kind}"] = oracle_documents.document_sql(market, kind, kind)
+    FINAL["numeric_ids"] = out(f"SELECT slip_id, {oracle_documents._crc(chr(39) + 'bet|' + chr(39) + ' || slip_id')} AS crc FROM cdc_bet_slips",
+                               "slip_id crc:i").replace("CAST(crc AS BIGINT) AS crc", "CAST(crc AS BIGINT) AS crc, CAST(crc % 30000 AS BIGINT) AS short")
+
+
+_documents()
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: compose(sql) for name, sql in FINAL.items()}

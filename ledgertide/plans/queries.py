@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from .. import markets
 from ..functions import scalars
 from ..functions.frames import present
-from ..operators import (cdc, core, delivery, exceptions, gaming, nomenclature, ordered, protection,
-                         recon, rules, sessions, submissions)
+from ..operators import (cdc, core, delivery, document_formats, documents, exceptions, gaming, nomenclature,
+                         ordered, protection, recon, records, rules, sessions, submissions)
 from ..sources import sinks
 from . import derive, pipeline
 from .pipeline import Models
@@ -471,7 +471,7 @@ def rule_strict_thresholds(m: Models) -> DataFrame:
     """The row kinds with tight arguments, so that every kind finds rows."""
     tight = [("T-NEG", "non_negative", "ggr", None), ("T-MAX", "max_value", "stake", 45),
              ("T-SET", "in_set", "slip_status", ["SETTLED"]), ("T-RE", "matches", "slip_id", "[02468]$"),
-             ("T-zero()", "zero_when", "payout", ("slip_status", "SETTLED"))]
+             ("T-ZERO", "zero_when", "payout", ("slip_status", "SETTLED"))]
     return rules.row_rules(m["open_file"], tight, "slip_id")
 
 
@@ -715,8 +715,8 @@ def completeness_breaks(m: Models) -> DataFrame:
     log = m["cdc_delivery_log"]
     # stored documents of the deliveries, two thirds of them under a suffixed name
     stem = F.regexp_replace("record_key", r"\|.*$", "")
-    kept = log.filter(F.pmod(F.crc32("record_key"), F.lit(10)) < 9).filter("jurisdiction is not null")
-    suffix = F.when(F.pmod(F.crc32("record_key"), F.lit(3)) > 0, "-GAIN").otherwise("")
+    kept = log.filter(F.right(stem, F.lit(1)) != "6").filter("jurisdiction is not null")
+    suffix = F.when(F.substring(stem, -2, 1) > "3", "-GAIN").otherwise("")
     paths = kept.select(F.concat(F.lit("/safe/"), c("jurisdiction"), F.lit("/"), c("record_type"),
                                  F.lit("/000001-"), stem, suffix, F.lit(".xml")).alias("path"))
     return recon.completeness_breaks(expected, log, recon.stored_files(paths)).groupBy(
@@ -888,7 +888,7 @@ def log_replace(m: Models) -> DataFrame:
     """The log after the bets of one market are filed again."""
     log = m["cdc_delivery_log"]
     again = log.filter("record_type = 'bets' and jurisdiction = 'MT'").withColumns(
-        {"receipt_id": F.concat(F.lit("RE-"), c("receipt_id")), "submitted_at": derive.plus(c("submitted_at"), days=1)})
+        {"receipt_id": F.concat(F.lit("RE-"), c("receipt_id")), "submitted_at": c("submitted_at") + F.make_dt_interval(F.lit(1))})
     return sinks.log_replace(log, again)
 
 
@@ -966,6 +966,55 @@ def numeric_ids(m: Models) -> DataFrame:
     return m["platform_slips"].select("slip_id", scalars.crc_id(key).alias("crc"), scalars.crc_id(key, 30000).alias("short"))
 
 
+# ---- regulator documents -----------------------------------------------------
+
+def _records(m: Models, kind: str) -> DataFrame:
+    """Pending deliveries of all markets as canonical records."""
+    accounts, balances, log = m["dim_account"], m["platform_wallet"], m["cdc_delivery_log"]
+    if kind == "bets":
+        pending = delivery.pending_bets(m["slip_amounts"], accounts, m["market"], log)
+        return records.bets(pending.filter("route = 'DELIVER'"), m["dim_fixture"], accounts, balances)
+    if kind == "payments":
+        return records.payments(delivery.pending_payments(m["stg_payments"], accounts, m["market"], log), accounts, balances)
+    if kind == "players":
+        return records.players(delivery.pending_players(accounts, m["market"], log), accounts, balances)
+    if kind == "gaming":
+        pending = delivery.pending_gaming(m["cdc_play_rounds"], accounts, m["market"], m["licensed_games"], log)
+        # rounds that travel inside sessions keep a record of their own as well
+        return records.gaming(pending.filter("route <> 'SUPPRESSED-UNLICENSED'"), accounts, balances)
+    if kind == "platform_sessions":
+        return records.platform_sessions(
+            delivery.pending_platform_sessions(m["stg_gaming_sessions"], accounts, m["market"], log))
+    if kind == "game_sessions":
+        lists = sessions.session_round_lists(m["cdc_play_rounds"], m["stg_gaming_sessions"])
+        return records.game_sessions(delivery.pending_game_sessions(lists, accounts, m["market"], log))
+    return records.register_records(submissions.register_filings(m["filing_rows"]))
+
+
+DOCUMENT_RECORDS = {"NL": {"sessions": "game_sessions"}, "PT": {"sessions": "platform_sessions"}}
+
+
+def document_plan(market: str, record_type: str) -> Plan:
+    def run(m: Models) -> DataFrame:
+        kind = DOCUMENT_RECORDS.get(market, {}).get(record_type, record_type)
+        df = _records(m, kind).filter(c("jurisdiction") == market)
+        if kind in ("rud", "rut"):
+            df = df.filter(c("register_id") == record_type.upper())
+        if market == "GR":
+            # the file number is the record's place in the market's receipt sequence
+            wide = df.withColumn("record_type", F.lit(record_type))
+            last = delivery.stored_sequences(m["cdc_delivery_log"])
+            df = delivery.assign_receipts(wide, last, ordered.prefix_slices(c("record_key"), 6, 10))
+        return documents.documents(df, market, record_type, document_formats.docs_for(market, record_type), now())
+    return run
+
+
+DOCUMENTS = [(k, t) for k, types in document_formats.FORMATS.items() for t in types]
+DOCUMENTS += [("MT", "bets"), ("BG", "payments"), ("DE", "players"), ("MT", "gaming")]
+for _market, _type in DOCUMENTS:
+    PLANS[f"document_{_market.lower()}_{_type}"] = document_plan(_market, _type)
+
+
 def models(spark: SparkSession, sf_dir: str) -> Models:
     m = pipeline.build(spark, derive.sources(spark, sf_dir), derive.RUN_TS)
     # The rules are shown on files that nothing was withheld from.
@@ -973,6 +1022,10 @@ def models(spark: SparkSession, sf_dir: str) -> Models:
         submissions.filed_status(m["reportable"]), m["dim_fixture"], m["stg_reg_attributes"],
         m["map_sport_regulator"], m["sport_policy"])
     m._builders["open_registers"] = lambda: submissions.periodic_register(m["reportable"])
+    m._builders["platform_wallet"] = lambda: core.platform_balance(
+        m["stg_payments"], m["fct_lifecycle"], m["cdc_play_rounds"])
+    m._builders["filing_rows"] = lambda: submissions.register_rows(
+        m["fct_lifecycle"], m["dim_account"], m["market"])
     return m
 
 

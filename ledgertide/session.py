@@ -21,6 +21,11 @@ RUNTIME_CONF = {
 }
 
 
+# Settings that only take effect when the session starts. Plans here are large;
+# recording a Python call site for each expression costs more than planning them.
+STATIC_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
@@ -31,7 +36,7 @@ def build_session(app: str = "ledgertide", master: str | None = None, **conf: st
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **conf}.items():
+    for key, value in {**STATIC_CONF, **RUNTIME_CONF, **conf}.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
 
