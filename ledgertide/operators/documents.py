@@ -160,6 +160,14 @@ def field_lookup(df: DataFrame) -> Lookup:
     return lookup
 
 
+# An open tag right before a close tag is an element with nothing in it.
+EMPTY_ELEMENT = r"<([^<>/ ]+)( [^<>]*[^<>/])?></[^<>]+>"
+
+
+def tidy(payload: Column) -> Column:
+    return F.regexp_replace(payload, EMPTY_ELEMENT, "<$1$2/>")
+
+
 def documents(df: DataFrame, market: str, record_type: str, docs: Iterable[Doc], now: Column,
               namespace: str = NAMESPACE) -> DataFrame:
     """Canonical records to (jurisdiction, record_type, record_key, suffix, payload).
@@ -168,7 +176,7 @@ def documents(df: DataFrame, market: str, record_type: str, docs: Iterable[Doc],
     built = []
     for doc in docs:
         one = F.struct(F.lit(doc.suffix).cast("string").alias("suffix"),
-                       element(doc.root, rec, now, namespace).alias("payload"))
+                       tidy(element(doc.root, rec, now, namespace)).alias("payload"))
         built.append(F.when(_test(rec, doc.when), one) if doc.when else one)
     return df.select(F.lit(market).alias("jurisdiction"), F.lit(record_type).alias("record_type"),
                      "record_key", F.inline(F.array_compact(F.array(*built))))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from ..operators.documents import NAMESPACE, Doc, El, Val
+from ..operators.documents import EMPTY_ELEMENT, NAMESPACE, Doc, El, Val
 from ..operators.document_formats import docs_for
 from .derive import RUN_TS
 from .oracle_feeds import CTES, text
@@ -139,7 +139,7 @@ def document_sql(market: str, record_type: str, kind: str) -> str:
     def one(doc: Doc) -> str:
         suffix = "CAST(NULL AS VARCHAR)" if doc.suffix is None else text(doc.suffix)
         return (f"SELECT '{market}' AS jurisdiction, '{record_type}' AS record_type, record_key, {suffix} AS suffix, "
-                f"{sql.element(doc.root)} AS payload FROM {relation} WHERE jurisdiction = '{market}'{only} AND {sql.test(doc.when)}")
+                f"regexp_replace({sql.element(doc.root)}, {text(EMPTY_ELEMENT)}, '<\\1\\2/>', 'g') AS payload FROM {relation} WHERE jurisdiction = '{market}'{only} AND {sql.test(doc.when)}")
     return " UNION ALL ".join(one(d) for d in docs_for(market, record_type))
 
 
