@@ -178,8 +178,8 @@ def documents(df: DataFrame, market: str, record_type: str, docs: Iterable[Doc],
         one = F.struct(F.lit(doc.suffix).cast("string").alias("suffix"),
                        tidy(element(doc.root, rec, now, namespace)).alias("payload"))
         built.append(F.when(_test(rec, doc.when), one) if doc.when else one)
-    return df.select(F.lit(market).alias("jurisdiction"), F.lit(record_type).alias("record_type"),
-                     "record_key", F.inline(F.array_compact(F.array(*built))))
+    return (df.select("record_key", F.explode(F.array(*built)).alias("_d")).filter(F.col("_d").isNotNull())
+            .select(F.lit(market).alias("jurisdiction"), F.lit(record_type).alias("record_type"), "record_key", "_d.*"))
 
 
 def deposit_key(record_key: Column, suffix: Column) -> Column:

@@ -101,18 +101,16 @@ def breach_wallet_overspend(ledger: DataFrame) -> DataFrame:
         "account_id", "ts", "entry_type", "signed_amount", "running_balance")
 
 
-def _bands(bands: DataFrame) -> DataFrame:
-    """A market's stake bands as one array, so that judging a stake costs no shuffle."""
-    return F.broadcast(bands.groupBy("jurisdiction").agg(
-        F.collect_list(F.struct("max_stake", "min_age", "max_age", "valid_from", "valid_to")).alias("_bands")))
-
-
-def statutory_cap(bands: Column, age: Column, day: Column) -> Column:
-    """Lowest cap among the bands whose ages and dates cover the stake."""
-    covering = F.filter(bands, lambda b: (age >= b["min_age"])
-                        & (b["max_age"].isNull() | (age <= b["max_age"]))
-                        & in_force(day, b["valid_from"], b["valid_to"]))
-    return F.array_min(F.transform(covering, lambda b: b["max_stake"]))
+def statutory_cap(jurisdiction: Column, age: Column, day: Column,
+                  bands: list[tuple] = markets.STAKE_BANDS) -> Column:
+    """Lowest cap among the market's bands whose ages and dates cover the stake. The
+    few configured bands become one expression: no join, no shuffle, no lambda."""
+    date = lambda d: F.lit(d).cast("date")
+    caps = [F.when((jurisdiction == market) & (age >= low) & (F.lit(True) if high is None else age <= high)
+                   & in_force(day, date(start), date(end)), F.lit(cap).cast("decimal(18,2)"))
+            for market, cap, low, high, start, end in bands]
+    none = F.lit(None).cast("decimal(18,2)")
+    return F.least(none, none, *caps)
 
 
 def personal_stake_caps(limits: DataFrame) -> DataFrame:
@@ -121,17 +119,16 @@ def personal_stake_caps(limits: DataFrame) -> DataFrame:
 
 
 def breach_stake_limits(activity: DataFrame, accounts: DataFrame, games: DataFrame, limits: DataFrame,
-                        bands: DataFrame, market: DataFrame) -> DataFrame:
+                        market: DataFrame) -> DataFrame:
     """Stakes above the cap in force at their own instant: the statutory band on
     slots, the personal cap on every game."""
     people = accounts.select("account_id", "jurisdiction", "date_of_birth").join(
         personal_stake_caps(limits), "account_id", "left")
     df = (activity.join(people, "account_id")
           .join(market.select("jurisdiction", "timezone"), "jurisdiction")
-          .join(_bands(bands), "jurisdiction", "left")
           .join(games.select("game_id", "canonical_game_type"), "game_id", "left"))
     day = local_date(c("occurred_at"), c("timezone"))
-    cap = statutory_cap(c("_bands"), age_years(c("date_of_birth"), day), day)
+    cap = statutory_cap(c("jurisdiction"), age_years(c("date_of_birth"), day), day)
     on_slots = F.when(c("canonical_game_type") == "SLOT", cap)
     return (df.withColumn("effective_limit", F.least("_personal", on_slots))
             .filter("stake > effective_limit")
@@ -185,14 +182,14 @@ def active_exclusions(exclusions: DataFrame, now: Column) -> DataFrame:
     return exclusions.filter(active_at(c("start_ts"), c("end_ts"), now)).select("account_id", "source")
 
 
-def stake_cap_audit(rounds: DataFrame, accounts: DataFrame, limits: DataFrame, bands: DataFrame) -> DataFrame:
+def stake_cap_audit(rounds: DataFrame, accounts: DataFrame, limits: DataFrame) -> DataFrame:
     """Platform rounds over the personal cap, or over the dated slots cap of the
     player's market and age on the day of play (UTC, as the platform judges it)."""
     people = accounts.select("account_id", "jurisdiction", "date_of_birth").join(
         personal_stake_caps(limits), "account_id", "left")
-    df = rounds.join(people, "account_id").join(_bands(bands), "jurisdiction", "left")
+    df = rounds.join(people, "account_id")
     day = F.to_date("round_ts")
-    cap = F.when(c("game") == "SLOTS", statutory_cap(c("_bands"), age_years(c("date_of_birth"), day), day))
+    cap = F.when(c("game") == "SLOTS", statutory_cap(c("jurisdiction"), age_years(c("date_of_birth"), day), day))
     over_personal = c("stake") > c("_personal")
     return (df.withColumn("_cap", cap).filter(over_personal | (c("stake") > c("_cap")))
             .select("round_id", "account_id", "jurisdiction", "game", "stake",

@@ -17,6 +17,12 @@ c = F.col
 BREAK = ["jurisdiction", "report_date", "break_type", "break_key", "legacy_value", "new_value", "detail"]
 
 
+def _present(df: DataFrame) -> DataFrame:
+    """Unpacks ``_i``, leaving out NULL entries. (A filter on rows stays in generated
+    code; ``array_compact`` would evaluate the whole array outside it.)"""
+    return df.filter(c("_i").isNotNull()).select(*df.columns[:-1], "_i.*")
+
+
 def provider_breaks(rounds: DataFrame, statements: DataFrame) -> DataFrame:
     """Own gaming revenue per provider and UTC day against the provider's statement."""
     own = rounds.groupBy("provider", F.to_date("round_ts").alias("statement_date")).agg(
@@ -71,13 +77,13 @@ def legacy_field_breaks(legacy: DataFrame, new: DataFrame, key: Sequence[str] =
     """Matched rows whose amounts differ; all fields are compared in one join."""
     on = ["jurisdiction", *key]
     other = new.select(*on, *[c(f).alias("_" + f) for f in fields])
-    found = F.array_compact(F.array(*[
+    found = F.array(*[
         F.when(F.abs(c(f) - c("_" + f)) > F.lit(markets.TOLERANCE),
                F.struct(F.lit(f"FIELD_{f.upper()}").alias("break_type"),
                         c(f).cast("string").alias("legacy_value"),
-                        c("_" + f).cast("string").alias("new_value"))) for f in fields]))
-    return (legacy.join(other, on).select("jurisdiction", "report_date", c(key[0]).alias("break_key"),
-                                          F.inline(found))
+                        c("_" + f).cast("string").alias("new_value"))) for f in fields])
+    return (_present(legacy.join(other, on).select("jurisdiction", "report_date", c(key[0]).alias("break_key"),
+                                                   F.explode(found).alias("_i")))
             .withColumn("detail", F.lit(None).cast("string")).select(*BREAK))
 
 
@@ -120,10 +126,10 @@ def cash_flow(payments: DataFrame, slips: DataFrame, rounds: DataFrame) -> DataF
     """Signed money movements at their own instants. ``slips`` is :func:`slip_amounts`;
     ``payments`` and ``rounds`` carry the market."""
     def flows(df: DataFrame, *rows: tuple) -> DataFrame:
-        built = F.array_compact(F.array(*[
+        built = F.array(*[
             F.when(when, F.struct(ts.alias("ts"), amount.cast(MONEY).alias("amount"), F.lit(kind).alias("kind")))
-            for when, ts, amount, kind in rows]))
-        return df.select("jurisdiction", "account_id", "ref", F.inline(built))
+            for when, ts, amount, kind in rows])
+        return _present(df.select("jurisdiction", "account_id", "ref", F.explode(built).alias("_i")))
     done = payments.filter("status = 'COMPLETED'").withColumn("ref", c("payment_id"))
     paid = flows(done, (c("direction") == "DEPOSIT", c("completed_ts"), c("amount"), "DEPOSIT"),
                  (c("direction") == "WITHDRAWAL", c("completed_ts"), -c("amount"), "WITHDRAWAL"))
@@ -156,7 +162,7 @@ def _marks(df: DataFrame, rows: list[tuple[Column, Column, dict[str, Column]]])
     for when, ts, measures in rows:
         fields = [F.coalesce(measures.get(m, zero()), zero()).cast(MONEY).alias(m) for m in DAILY_MEASURES]
         structs.append(F.when(when, F.struct(F.to_date(ts).alias("day"), *fields)))
-    return df.select("jurisdiction", F.inline(F.array_compact(F.array(*structs))))
+    return _present(df.select("jurisdiction", F.explode(F.array(*structs)).alias("_i")))
 
 
 def daily_flows(payments: DataFrame, slips: DataFrame, rounds: DataFrame) -> DataFrame:
@@ -263,11 +269,12 @@ def expected_records(slips: DataFrame, payments: DataFrame, rounds: DataFrame, s
     ``payments``, ``rounds`` and ``sessions`` carry the market."""
     m = market.select("jurisdiction", "include_voided", "gaming_via_sessions", "session_grain")
     out = ["jurisdiction", "record_type", "record_key", "record_id", "due_at"]
-    ended = F.array_compact(F.array(
+    ended = F.array(
         F.when(c("settled_at").isNotNull(), F.struct(F.lit("SETTLED").alias("s"), c("settled_at").alias("due_at"))),
         F.when(c("voided_at").isNotNull() & c("include_voided"),
-               F.struct(F.lit("VOIDED").alias("s"), c("voided_at").alias("due_at")))))
-    bets = slips.join(m, "jurisdiction").select("jurisdiction", "slip_id", F.inline(ended)).select(
+               F.struct(F.lit("VOIDED").alias("s"), c("voided_at").alias("due_at"))))
+    both = _present(slips.join(m, "jurisdiction").select("jurisdiction", "slip_id", F.explode(ended).alias("_i")))
+    bets = both.select(
         "jurisdiction", F.lit("bets").alias("record_type"), F.concat_ws("|", "slip_id", "s").alias("record_key"),
         c("slip_id").alias("record_id"), "due_at")
     paid = payments.filter("status = 'COMPLETED'").join(m.select("jurisdiction"), "jurisdiction", "left_semi").select(

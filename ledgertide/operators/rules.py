@@ -44,8 +44,10 @@ def row_rules(df: DataFrame, rules: Sequence[Rule], key: str, date: str | None =
             broken = guard[rule_id] & broken
         flags.append(F.when(broken, F.lit(rule_id)))
     day = no_date() if date is None else c(date)
-    return df.select(F.explode(F.array_compact(F.array(*flags))).alias("rule_id"),
-                     c(key).alias("row_key"), day.alias("report_date"))
+    # Most rows break nothing: they leave before the list of flags is built.
+    return (df.filter(F.coalesce(*flags).isNotNull())
+            .select(F.explode(F.array(*flags)).alias("rule_id"), c(key).alias("row_key"), day.alias("report_date"))
+            .filter(c("rule_id").isNotNull()))
 
 
 def unique_rule(df: DataFrame, rule_id: str, *fields: str) -> DataFrame:

@@ -56,8 +56,9 @@ def minutes(n: str) -> str:
     return f"make_dt_interval(0, 0, cast({n} as int))"
 
 
-def seconds(n: str) -> str:
-    return f"make_dt_interval(0, 0, 0, cast({n} as decimal(18,6)))"
+def later(ts: str, n: str) -> str:
+    """``n`` seconds after an instant, in plain integer arithmetic."""
+    return f"timestamp_micros(unix_micros({ts}) + ({n}) * 1000000)"
 
 
 def row(**fields: str) -> str:
@@ -68,9 +69,10 @@ def when(condition: str, value: str) -> str:
     return f"if({condition}, {value}, null)"
 
 
-def rows(df: DataFrame, keep: str, *structs: str) -> DataFrame:
-    """Explodes a list of structs, leaving out those that are NULL."""
-    return df.selectExpr(keep, f"inline(array_compact(array({', '.join(structs)})))")
+def spread(df: DataFrame, keep: list[str], *structs: str) -> DataFrame:
+    """One output row per struct that is not NULL, next to the kept columns."""
+    wide = df.selectExpr(*keep, f"explode(array({', '.join(structs)})) as _i").filter("_i is not null")
+    return wide.selectExpr(*wide.columns[:-1], "_i.*")
 
 
 def sources(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFrame]]:
@@ -88,46 +90,44 @@ def sources(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFram
     def accounts() -> DataFrame:
         def image(op: str, kyc: str, lag: int) -> str:
             return row(kyc_status=f"'{kyc}'", _op=f"'{op}'", _commit_ts=f"opened_at + {days(str(lag))}")
-        return customers().selectExpr(
+        return spread(customers(), [
             "account_id", "jurisdiction", "concat('ID', cast(k * 7919 % 99999989 as string)) as national_id",
-            "date_add(date'1955-01-01', cast(k * 37 % 18993 as int)) as date_of_birth", "opened_at",
-            f"inline(array_compact(array({image('I', 'PENDING', 0)}, {when('k % 3 <> 0', image('U', 'VERIFIED', 1))}, "
-            f"{when('k % 97 = 96', image('D', 'PENDING', 2))})))")
+            "date_add(date'1955-01-01', cast(k * 37 % 18993 as int)) as date_of_birth", "opened_at"],
+            image("I", "PENDING", 0), when("k % 3 <> 0", image("U", "VERIFIED", 1)),
+            when("k % 97 = 96", image("D", "PENDING", 2)))
 
     def fixtures() -> DataFrame:
         labels = " ".join(f"when '{a}' then '{b}'" for a, b in SPORT_LABELS.items())
 
         def image(op: str, start: str, lead: int) -> str:
             return row(start_ts=start, _op=f"'{op}'", _commit_ts=f"start - {days(str(lead))}")
-        return table("part").selectExpr(
-            "*", f"timestamp'2020-01-01' + {days('p_partkey % 2000')} as start").selectExpr(
+        dated = table("part").selectExpr("*", f"timestamp'2020-01-01' + {days('p_partkey % 2000')} as start")
+        return spread(dated, [
             f"{key('F', 'p_partkey', 10)} as fixture_id", f"case p_type {labels} end as sport_name_raw",
             "p_brand as competition_raw", f"{pick(TEAM_LABELS, 'p_partkey')} as home_raw",
-            f"{pick(TEAM_LABELS, 'p_partkey div 10 + 1')} as away_raw",
-            f"inline(array_compact(array({image('I', 'start', 9)}, "
-            f"{when('p_partkey % 10 = 0', image('U', 'start + ' + minutes('90'), 2))}, "
-            f"{when('p_partkey % 101 = 100', image('D', 'start', 1))})))")
+            f"{pick(TEAM_LABELS, 'p_partkey div 10 + 1')} as away_raw"],
+            image("I", "start", 9), when("p_partkey % 10 = 0", image("U", f"start + {minutes('90')}", 2)),
+            when("p_partkey % 101 = 100", image("D", "start", 1)))
 
     @cache
     def orders() -> DataFrame:
         return (table("orders").selectExpr(
             "o_orderkey as k", "o_custkey as cust", f"{key('S', 'o_orderkey', 12)} as slip_id",
             f"{account('o_custkey')} as account_id", f"{key('F', 'o_orderkey div 10', 10)} as fixture_id",
-            f"cast(o_orderdate as timestamp) + make_ym_interval(25, 0) + {seconds('o_orderkey * 7919 % 86400')} as placed_at",
+            f"{later('cast(o_orderdate as timestamp) + make_ym_interval(25, 0)', 'o_orderkey * 7919 % 86400')} as placed_at",
             "cast(floor(o_totalprice / 100) as bigint) as stake_c",
             "cast(floor(o_totalprice / 100) as bigint) * (o_orderkey * 31 % 9) * 25 div 100 as payout_c",
             "o_orderstatus = 'F' or (o_orderstatus = 'P' and o_orderkey % 5 <> 1) as settles",
             "o_orderstatus = 'P' and o_orderkey % 5 < 2 as voids")
-            .selectExpr("*", f"placed_at + {seconds('(k % 72 + 1) * 3600')} as settled_ts")
+            .selectExpr("*", f"{later('placed_at', '(k % 72 + 1) * 3600')} as settled_ts")
             .selectExpr("*", f"if(k % 5 = 0, settled_ts + {days('1')}, placed_at + {minutes('120')}) as voided_ts"))
 
     def bet_slips() -> DataFrame:
         def image(op: str, late: int) -> str:
             return row(_op=f"'{op}'", _commit_ts=f"placed_at + {minutes(str(late))}")
-        return orders().selectExpr(
+        return spread(orders(), [
             "slip_id", "account_id", "fixture_id", "'SINGLE' as product", f"{pick(SELECTIONS, 'k')} as selection",
-            f"{money('k % 400 + 120')} as odds",
-            f"inline(array_compact(array({image('I', 0)}, {when('k % 13 = 0', image('U', 1))})))")
+            f"{money('k % 400 + 120')} as odds"], image("I", 0), when("k % 13 = 0", image("U", 1)))
 
     def bet_slip_events() -> DataFrame:
         nil = money("0")
@@ -135,7 +135,7 @@ def sources(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFram
         def image(kind: str, ts: str, stake: str = nil, payout: str = nil, late: int = 0) -> str:
             return row(event_type=f"'{kind}'", event_ts=ts, stake=stake, payout=payout, _op="'I'",
                        _commit_ts=f"{ts} + {minutes(str(late))}")
-        return rows(orders(), "slip_id", image("PLACED", "placed_at", stake=money("stake_c")),
+        return spread(orders(), ["slip_id"], image("PLACED", "placed_at", stake=money("stake_c")),
                     when("settles", image("SETTLED", "settled_ts", payout=money("payout_c"))),
                     when("settles and k % 11 = 0",
                          image("SETTLED", "settled_ts", payout=money("payout_c + 100"), late=5)),
@@ -148,17 +148,15 @@ def sources(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFram
         named = orders().filter("k % 29 <> 0").selectExpr(
             "k", "placed_at", "slip_id", f"{pick(MARKETS, 'cust')} as m",
             "upper(md5(cast(slip_id as binary))) as h", "if(k % 31 = 0, 'x', '') as bad")
-        good = named.selectExpr("k", "placed_at", "slip_id", "inline(array_compact(array(" + ", ".join([
+        good = spread(named, ["k", "placed_at", "slip_id"], *[
             attr("DK", "safe_tampertoken", "'TT-', left(h, 8)"),
             attr("BG", "nra_registration_id", key("BG-2024-", "k % 1000000000", 9)),
             attr("NL", "cruks_check_ref", "'CRUKS-', left(h, 8)"),
             attr("NL", "cdb_record_id", key("NL-CDB-", "k", 10)),
-            attr("DE", "lugas_activity_id", "'LUGAS-', left(h, 12)")]) + ")))")
+            attr("DE", "lugas_activity_id", "'LUGAS-', left(h, 12)")])
         stale = row(attr_value="'stale'", _op="'I'", _commit_ts=f"placed_at - {minutes('1')}")
-        return good.selectExpr(
-            "'SLIP' as entity_type", "slip_id as entity_id", "attr_name",
-            f"inline(array_compact(array({when('k % 17 = 0', stale)}, "
-            f"{row(attr_value='good', _op=repr('U'), _commit_ts='placed_at')})))")
+        return spread(good, ["'SLIP' as entity_type", "slip_id as entity_id", "attr_name"],
+                      when("k % 17 = 0", stale), row(attr_value="good", _op="'U'", _commit_ts="placed_at"))
 
     @cache
     def lines() -> DataFrame:
@@ -169,8 +167,8 @@ def sources(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFram
             "concat(lpad(cast(l_orderkey as string), 12, '0'), '-', cast(l_linenumber as string)) as round_ref",
             "l_partkey * 3 div 4 as cust", f"{account('l_partkey * 3 div 4')} as player_ref",
             "concat('R', cast(l_suppkey as string)) as game_ref", f"{key('G', 'l_suppkey', 8)} as game_id",
-            "cast(l_shipdate as timestamp) + make_ym_interval(25, 0) + "
-            f"{seconds('(l_orderkey * 131 + l_linenumber * 977) % 86400')} as ts",
+            f"{later('cast(l_shipdate as timestamp) + make_ym_interval(25, 0)', '(l_orderkey * 131 + l_linenumber * 977) % 86400')}"
+            " as ts",
             f"{stake} as stake_c", f"{stake} * (l_orderkey * 17 % 8) * 20 div 100 as payout_c",
             "if(l_orderkey % 53 = 52, 'D', 'I') as _op")
             .selectExpr("*", "if(ok % 7 <> 0, concat('GS', lpad(cast(cust as string), 10, '0'), "
@@ -216,14 +214,14 @@ def sources(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFram
 
     def gaming_sessions() -> DataFrame:
         opened = row(ended_at="cast(null as timestamp)", end_reason="cast(null as string)", _op="'I'",
-                     _commit_ts=f"first_ts - {seconds('60')}")
+                     _commit_ts=f"first_ts - {minutes('1')}")
         ended = (f"case when cust % 10 = 0 then null when cust % 10 < 7 then last_ts + {minutes('5')} "
                  f"when cust % 10 < 9 then last_ts + {minutes('30')} else last_ts - {minutes('1')} end")
         reason = ("case when cust % 10 = 0 then null when cust % 10 < 7 then 'LOGOUT' "
                   "when cust % 10 < 9 then 'INACTIVITY' else 'KICKED' end")
         closed = row(ended_at=ended, end_reason=reason, _op="'U'", _commit_ts=f"last_ts + {minutes('45')}")
         return sessions().selectExpr(
-            "session_id", "account_id", f"first_ts - {seconds('60')} as started_at", "last_ts as last_activity_ts",
+            "session_id", "account_id", f"first_ts - {minutes('1')} as started_at", "last_ts as last_activity_ts",
             f"inline(array({opened}, {closed}))")
 
     def games() -> DataFrame:
@@ -292,7 +290,7 @@ def sources(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFram
         def limit(condition: str, tag: str, kind: str, units: str) -> str:
             return when(condition, row(limit_id=key(f"L{tag}", "k", 10), limit_type=f"'{kind}'",
                                        amount=money(f"({units}) * 100")))
-        listed = ", ".join([
+        listed = [
             limit("k % 7 = 0", "A", "DEPOSIT_DAILY", "k % 200 + 40"),
             limit("k % 14 = 0", "B", "DEPOSIT_DAILY", "k % 90 + 20"),
             limit("k % 11 = 0", "C", "DEPOSIT_WEEKLY", "k % 300 + 60"),
@@ -300,11 +298,10 @@ def sources(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFram
             limit("k % 13 = 0", "E", "LOSS_DAILY", "k % 50 + 1"),
             limit("k % 9 = 1", "F", "LOSS_WEEKLY", "k % 60 + 5"),
             limit("k % 10 = 3", "G", "LOSS_MONTHLY", "k % 70 + 10"),
-            limit("k % 17 = 0", "H", "STAKE_CASINO", "k % 4 + 1")])
-        return customers().selectExpr(
-            "account_id", f"inline(array_compact(array({listed})))", "timestamp'2019-12-01' as set_at",
-            f"{when('k % 5 = 0', 'timestamp' + repr('2023-06-01'))} as revoked_at", "'I' as _op",
-            "timestamp'2019-12-01' as _commit_ts")
+            limit("k % 17 = 0", "H", "STAKE_CASINO", "k % 4 + 1")]
+        return spread(customers(), [
+            "account_id", "timestamp'2019-12-01' as set_at", "'I' as _op", "timestamp'2019-12-01' as _commit_ts",
+            f"{when('k % 5 = 0', 'timestamp' + repr('2023-06-01'))} as revoked_at"], *listed)
 
     def self_exclusions() -> DataFrame:
         start = f"timestamp'2022-01-01' + {days('k % 700')}"
@@ -317,11 +314,11 @@ def sources(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFram
         def check(tag: str, kind: str, status: str, ts: str) -> str:
             return row(verification_id=key(f"V{tag}", "k", 10), check_type=f"'{kind}'", status=f"'{status}'",
                        event_ts=ts)
-        listed = ", ".join([
+        listed = [
             check("P", "IDENTITY", "PENDING", "opened_at"),
             when("k % 9 <> 7", check("V", "IDENTITY", "VERIFIED", f"opened_at + {days('k % 1700 + 1')}")),
-            when("k % 4 = 0", check("A", "ADDRESS", "VERIFIED", f"opened_at + {days('2')}"))])
-        return customers().selectExpr("account_id", f"inline(array_compact(array({listed})))").selectExpr(
+            when("k % 4 = 0", check("A", "ADDRESS", "VERIFIED", f"opened_at + {days('2')}"))]
+        return spread(customers(), ["account_id"], *listed).selectExpr(
             "*", "'I' as _op", "event_ts as _commit_ts")
 
     def payments() -> DataFrame:

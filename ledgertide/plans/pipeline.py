@@ -137,8 +137,7 @@ def build(spark: SparkSession, feeds: Mapping[str, Callable[[], DataFrame]], run
             m["fct_payments"], m["stg_verifications"], m["market"]),
         "breach_wallet_overspend": lambda: protection.breach_wallet_overspend(m["fct_ledger"]),
         "breach_stake_limits": lambda: protection.breach_stake_limits(
-            m["fct_activity"], m["dim_account"], m["dim_game"], m["stg_player_limits"],
-            m["ref_stake_limits"], m["market"]),
+            m["fct_activity"], m["dim_account"], m["dim_game"], m["stg_player_limits"], m["market"]),
         # exceptions
         "addresses": lambda: exceptions.validate_addresses(
             m["stg_account_addresses"], m["dim_account"], m["cdc_postcode_regions"], m["market"]),

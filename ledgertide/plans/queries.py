@@ -359,10 +359,10 @@ def statutory_defaults(m: Models) -> DataFrame:
 def statutory_caps(m: Models) -> DataFrame:
     """The slots cap of every player on the run date, from age and bands."""
     day = F.to_date(now())
-    df = m["dim_account"].join(protection._bands(m["ref_stake_limits"]), "jurisdiction", "left")
+    df = m["dim_account"]
     age = scalars.age_years(c("date_of_birth"), day)
     return df.select("account_id", "jurisdiction", age.alias("age"),
-                     protection.statutory_cap(c("_bands"), age, day).alias("cap"))
+                     protection.statutory_cap(c("jurisdiction"), age, day).alias("cap"))
 
 
 @plan
@@ -382,8 +382,7 @@ def active_exclusions(m: Models) -> DataFrame:
 
 @plan
 def stake_cap_audit(m: Models) -> DataFrame:
-    return protection.stake_cap_audit(m["cdc_play_rounds"], m["dim_account"], m["stg_player_limits"],
-                                      m["ref_stake_limits"])
+    return protection.stake_cap_audit(m["cdc_play_rounds"], m["dim_account"], m["stg_player_limits"])
 
 
 @plan
@@ -397,7 +396,7 @@ def wager_gate_audit(m: Models) -> DataFrame:
         c("round_id").alias("wager_id"), "account_id", c("round_ts").alias("ts"), "stake",
         (c("stake") - c("payout")).cast(scalars.MONEY).alias("net"), F.lit(True).alias("casino"), "game", "funding")
     flow = m["cash_flow"].withColumn("is_wager", c("kind").isin("BET_STAKE", "CASINO_NET"))
-    caps = protection.stake_cap_audit(rounds, m["dim_account"], m["stg_player_limits"], m["ref_stake_limits"])
+    caps = protection.stake_cap_audit(rounds, m["dim_account"], m["stg_player_limits"])
     losses = protection.loss_events(m["fct_lifecycle"], rounds)
     return protection.wager_gate_audit(bets.unionByName(plays), flow, m["stg_self_exclusions"],
                                        m["stg_jackpot_optins"], losses, m["stg_player_limits"], caps)

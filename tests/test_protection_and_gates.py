@@ -24,9 +24,8 @@ def test_statutory_caps_fold_bands_by_age_and_date(spark):
     rows = spark.createDataFrame([("DE", 19, d("2026-06-30")), ("DE", 19, d("2026-07-01")), ("DE", 30, d("2026-07-01")),
                                   ("MT", 20, d("2026-09-15")), ("MT", 20, d("2026-09-14")), ("FR", 40, d("2026-09-15"))],
                                  "jurisdiction string, age int, day date")
-    df = rows.join(protection._bands(markets.stake_band_frame(spark)), "jurisdiction", "left")
-    got = {(r.jurisdiction, r.age, str(r.day)): r.cap for r in
-           df.select("*", protection.statutory_cap(F.col("_bands"), F.col("age"), F.col("day")).alias("cap")).collect()}
+    cap = protection.statutory_cap(F.col("jurisdiction"), F.col("age"), F.col("day")).alias("cap")
+    got = {(r.jurisdiction, r.age, str(r.day)): r.cap for r in rows.select("*", cap).collect()}
     assert got == {("DE", 19, "2026-06-30"): m("1.00"), ("DE", 19, "2026-07-01"): m("1.00"), ("DE", 30, "2026-07-01"): m("3.00"),
                    ("MT", 20, "2026-09-15"): m("2.00"), ("MT", 20, "2026-09-14"): m("5.00"), ("FR", 40, "2026-09-15"): None}
 
