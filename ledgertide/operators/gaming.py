@@ -188,13 +188,13 @@ def contribution_rate_breaks(rounds: DataFrame, pools: DataFrame) -> DataFrame:
 
 def wallet_pool_check(ledger: DataFrame, contributions: DataFrame) -> DataFrame:
     """Jackpot debits of the wallets against what the pools took in."""
-    debits = ledger.filter("entry_type = 'JACKPOT_CONTRIBUTION'").agg(
-        F.coalesce(F.sum(-F.col("signed_amount")), zero()).alias("wallet_debits"))
-    taken = contributions.filter("status = 'ACTIVE'").agg(
-        F.coalesce(F.sum("amount"), zero()).alias("pool_contributions"))
-    # one row each: a join on a constant key, not a product of data
-    both = debits.withColumn("_k", F.lit(1)).join(taken.withColumn("_k", F.lit(1)), "_k").drop("_k")
-    return both.withColumn("difference", F.col("wallet_debits") - F.col("pool_contributions"))
+    debits = ledger.filter("entry_type = 'JACKPOT_CONTRIBUTION'").select(
+        (-F.col("signed_amount")).cast(MONEY).alias("debit"), zero().alias("taken"))
+    taken = contributions.filter("status = 'ACTIVE'").select(zero().alias("debit"), F.col("amount").alias("taken"))
+    return debits.unionByName(taken).agg(
+        F.coalesce(F.sum("debit"), zero()).alias("wallet_debits"),
+        F.coalesce(F.sum("taken"), zero()).alias("pool_contributions")).withColumn(
+        "difference", F.col("wallet_debits") - F.col("pool_contributions"))
 
 
 def bonus_winnings(stake: Column, payout: Column) -> Column:

@@ -226,8 +226,7 @@ FINAL.update({
         count(*) FILTER (payout > 0) AS rounds_won FROM play_rounds r JOIN stg_gaming_sessions s USING (session_id)
         WHERE s.ended_at IS NOT NULL GROUP BY 1, 2""",
     "session_events": """SELECT session_id, account_id, if(t.tipo = 'LOGIN', started_at, ended_at) AS at, t.tipo
-        FROM stg_gaming_sessions JOIN stg_accounts USING (account_id) CROSS JOIN (VALUES ('LOGIN'), ('LOGOUT')) t(tipo)
-        WHERE ended_at IS NOT NULL AND jurisdiction = 'PT'""",
+        FROM stg_gaming_sessions CROSS JOIN (VALUES ('LOGIN'), ('LOGOUT')) t(tipo) WHERE ended_at IS NOT NULL""",
     "session_total_breaks": """SELECT session_id FROM (SELECT * FROM platform_sessions WHERE plays > 0) p
         FULL JOIN (SELECT session_id, sum(rounds) AS r, sum(staked) AS s, sum(won) AS w FROM game_sessions GROUP BY 1) g USING (session_id)
         WHERE plays IS DISTINCT FROM r OR staked IS DISTINCT FROM s OR p.won IS DISTINCT FROM w""",

@@ -164,9 +164,8 @@ def normalised_text(m: Models) -> DataFrame:
 @plan
 def event_names(m: Models) -> DataFrame:
     """Rendered event name of every fixture in every market's template."""
-    df = m["dim_fixture"].join(F.broadcast(m["sport_policy"].select("event_template").distinct()
-                                           .withColumn("_k", F.lit("F"))),
-                               F.substring("fixture_id", 1, 1) == c("_k"))
+    templates = sorted({p[2] for p in markets.SPORT_POLICY})
+    df = m["dim_fixture"].withColumn("event_template", F.explode(F.array(*[F.lit(x) for x in templates])))
     name = scalars.render_event_name(c("event_template"), c("home_name"), c("away_name"))
     return df.select("fixture_id", "event_template", name.alias("event_name"))
 
@@ -255,8 +254,7 @@ def session_round_lists(m: Models) -> DataFrame:
 
 @plan
 def session_events(m: Models) -> DataFrame:
-    df = m["platform_sessions"].join(m["dim_account"].select("account_id", "jurisdiction"), "account_id")
-    return sessions.session_events(df.filter("jurisdiction = 'PT'"))
+    return sessions.session_events(m["stg_gaming_sessions"])
 
 
 @plan
