@@ -35,6 +35,31 @@ def slip_lifecycle(events: DataFrame, slips: DataFrame) -> DataFrame:
         F.min(_when_event("VOIDED", ts)).alias("voided_at"),
         F.max(F.coalesce(_when_event("PLACED", F.col("stake")), zero())).alias("stake"),
         F.max(F.coalesce(_when_event("SETTLED", F.col("payout")), zero())).alias("_payout"))
+    return _with_header(pivot, slips)
+
+
+def slip_images(feed: DataFrame) -> DataFrame:
+    """One row per slip straight from the event feed: the newest image of each kind of
+    event, taken as a maximum. One shuffle on the slip, combined map-side first, where
+    staging and pivoting one after the other would shuffle every event twice."""
+    image = F.struct("_commit_ts", "event_ts", "stake", "payout")
+    newest = feed.groupBy("slip_id").agg(*[
+        F.max(_when_event(kind, image)).alias(kind) for kind in ("PLACED", "SETTLED", "VOIDED")])
+    known = F.coalesce("PLACED", "SETTLED", "VOIDED").isNotNull()
+    return newest.filter(known).select(
+        "slip_id", F.col("PLACED.event_ts").alias("placed_at"), F.col("PLACED.stake").alias("stake"),
+        F.col("SETTLED.event_ts").alias("settled_at"), F.col("SETTLED.payout").alias("payout"),
+        F.col("VOIDED.event_ts").alias("voided_at"))
+
+
+def lifecycle_from_feed(feed: DataFrame, slips: DataFrame) -> DataFrame:
+    """:func:`slip_lifecycle` of the staged events, computed from the feed."""
+    wide = slip_images(feed)
+    return _with_header(wide.withColumns({"stake": F.coalesce("stake", zero()),
+                                          "_payout": F.coalesce("payout", zero())}).drop("payout"), slips)
+
+
+def _with_header(pivot: DataFrame, slips: DataFrame) -> DataFrame:
     voided = F.col("voided_at").isNotNull()
     return (pivot.join(slips.select("slip_id", "account_id", "fixture_id"), "slip_id")
             .select("slip_id", "account_id", "fixture_id", "placed_at", "settled_at", "voided_at",

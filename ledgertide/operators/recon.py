@@ -103,17 +103,11 @@ def cutover_breaks(*breaks: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, breaks)
 
 
-def slip_amounts(events: DataFrame, slips: DataFrame, accounts: DataFrame) -> DataFrame:
+def slip_amounts(images: DataFrame, slips: DataFrame, accounts: DataFrame) -> DataFrame:
     """Per slip: when it was placed, settled, voided, and for how much, next to the
-    columns of its header. Unlike the lifecycle fact, a void does not hide an
-    earlier settlement."""
-    def of(kind: str, col: str) -> Column:
-        return F.when(c("event_type") == kind, c(col))
-    wide = events.groupBy("slip_id").agg(
-        F.min(of("PLACED", "event_ts")).alias("placed_at"), F.max(of("PLACED", "stake")).alias("stake"),
-        F.min(of("SETTLED", "event_ts")).alias("settled_at"), F.max(of("SETTLED", "payout")).alias("payout"),
-        F.min(of("VOIDED", "event_ts")).alias("voided_at"))
-    return (wide.join(slips, "slip_id")
+    columns of its header. ``images`` is :func:`core.slip_images`. Unlike the lifecycle
+    fact, a void does not hide an earlier settlement."""
+    return (images.join(slips, "slip_id")
             .join(accounts.select("account_id", "jurisdiction"), "account_id"))
 
 

@@ -110,6 +110,7 @@ FINAL.update({
     "registers": out("registers", "jurisdiction register_id period_start player_ref bets_settled stake_sum:d winnings_sum:d ggr_sum:d"),
     "gaming_tax": out("gaming_tax", "jurisdiction report_date activities total_stake:d total_payout:d total_ggr:d gaming_tax_due:d"),
 })
+FINAL["lifecycle_from_staging"] = FINAL["fct_lifecycle"]
 MONEY_COLUMNS = {"stake", "payout", "ggr", "rake_or_fee", "gaming_ggr", "winnings_withholding_tax"}
 
 

@@ -94,7 +94,7 @@ def build(spark: SparkSession, feeds: Mapping[str, Callable[[], DataFrame]], run
 
     b.update({
         "dim_account": lambda: core.account_dimension(m["stg_accounts"]),
-        "fct_lifecycle": lambda: core.slip_lifecycle(m["stg_bet_slip_events"], m["stg_bet_slips"]),
+        "fct_lifecycle": lambda: core.lifecycle_from_feed(m["cdc_bet_slip_events"], m["stg_bet_slips"]),
         "dim_fixture": lambda: nomenclature.fixture_dimension(
             m["stg_fixtures"], m["ref_sport_aliases"], m["ref_participant_aliases"]),
         "dim_game": lambda: nomenclature.game_dimension(m["stg_games"], m["ref_game_type_aliases"]),
@@ -170,7 +170,7 @@ def build(spark: SparkSession, feeds: Mapping[str, Callable[[], DataFrame]], run
         # money reconciliation
         "platform_slips": lambda: cdc.latest_image(m["cdc_bet_slips"], ["slip_id"]).drop("_op", "_commit_ts"),
         "slip_amounts": lambda: recon.slip_amounts(
-            m["stg_bet_slip_events"], m["platform_slips"], m["dim_account"]),
+            core.slip_images(m["cdc_bet_slip_events"]), m["platform_slips"], m["dim_account"]),
         "market_rounds": lambda: m["cdc_play_rounds"].join(
             m["dim_account"].select("account_id", "jurisdiction"), "account_id"),
         "market_sessions": lambda: m["stg_gaming_sessions"].join(

@@ -177,6 +177,12 @@ def slip_status_by_rank(m: Models) -> DataFrame:
     return core.slip_status_by_rank(m["stg_bet_slip_events"])
 
 
+@plan
+def lifecycle_from_staging(m: Models) -> DataFrame:
+    """The lifecycle fact by staging first and pivoting then."""
+    return core.slip_lifecycle(m["stg_bet_slip_events"], m["stg_bet_slips"])
+
+
 @plan
 def platform_balance(m: Models) -> DataFrame:
     return core.platform_balance(m["stg_payments"], m["fct_lifecycle"], m["cdc_play_rounds"])

@@ -24,6 +24,19 @@ def test_void_wins_over_settlement_and_open_stays_open(spark):
     assert got == {"S5": ("VOIDED", m("0.00"), m("10.00")), "S6": ("OPEN", m("0.00"), m("7.00"))}
 
 
+def test_lifecycle_from_feed_equals_staging_then_pivot(spark):
+    at = t("2026-07-01 10:00")
+    rows = [("S1", "PLACED", at, m("10"), m("0"), "I", at), ("S1", "SETTLED", t("2026-07-01 12:00"), m("0"), m("5"), "I", t("2026-07-01 12:00")),
+            ("S1", "SETTLED", t("2026-07-01 12:00"), m("0"), m("6"), "U", t("2026-07-01 12:05")), ("S2", "PLACED", at, m("3"), m("0"), "I", at),
+            ("S2", "VOIDED", t("2026-07-01 11:00"), m("0"), m("0"), "D", t("2026-07-01 11:00")), ("S3", "QUOTE", at, m("0"), m("0"), "I", at)]
+    feed = spark.createDataFrame(rows, EVENTS + ", _op string, _commit_ts timestamp")
+    heads = feed.select("slip_id").distinct().withColumns({"account_id": F.lit("A1"), "fixture_id": F.lit("F1")})
+    one = core.lifecycle_from_feed(feed, heads).orderBy("slip_id").collect()
+    two = core.slip_lifecycle(cdc.stage("bet_slip_events", feed), heads).orderBy("slip_id").collect()
+    assert one == two and [(r.slip_id, r.slip_status, r.payout) for r in one] == [("S1", "SETTLED", m("6.00")), ("S2", "VOIDED", m("0.00"))]
+    assert one[0].asDict().keys() == two[0].asDict().keys()
+
+
 def test_latest_image_is_idempotent_and_honours_deletes(spark):
     schema = "account_id string, kyc string, _op string, _commit_ts timestamp"
     rows = [("A1", "P", "I", t("2026-07-01 10:00")), ("A1", "V", "U", t("2026-07-01 11:00")),
