@@ -36,8 +36,8 @@ from ledgertide.llm.words import Words, grams, mix, slices, words
 
 WINDOW = 20
 GRAM = 8
-GROUP_LIMIT = 20_000
-TREE_ROWS = 20_000
+GROUP_LIMIT = 4_000
+TREE_ROWS = 4_000
 EDGE = 4
 
 
