@@ -51,6 +51,11 @@ def release(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hands texts to Python in batches of fewer rows than the default of 10,000, to bound what a task holds at once."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def text_hash(text: Column) -> Column:
     """Tells rows with the same id apart, and orders them."""
     return F.xxhash64(text)

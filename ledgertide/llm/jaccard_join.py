@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgertide.llm.common import FILTER_BITS, filter_bits, perhaps, staged, table, text_hash
+from ledgertide.llm.common import FILTER_BITS, filter_bits, perhaps, small_batches, staged, table, text_hash
 from ledgertide.llm.words import grams, mix, slices, words
 
 SHINGLE = 3
@@ -182,12 +182,13 @@ def meeting_rows(docs: DataFrame, late: np.ndarray, k: int, percent: int) -> Dat
             token, s, n = t[f:f + 1], x[f:f + 1], m[f:f + 1]
 
     dealt = docs.select("t").mapInArrow(deal, "token bigint, s bigint, n int")
+    # A set may be given out twice where a batch ends between its rows; what is made of the rows is distinct.
     return dealt.repartition("token").sortWithinPartitions("token", "s").mapInArrow(
-        meet, "token bigint, s bigint, n int, ls bigint, ln int").dropDuplicates(["token", "s"])
+        meet, "token bigint, s bigint, n int, ls bigint, ln int")
 
 
-def whole_sets(docs: DataFrame, wanted: np.ndarray, k: int, percent: int) -> DataFrame:
-    """One row per set that perhaps has candidates: ``s, n``, its text and its prefixes under the other orders."""
+def _of_each_set(docs: DataFrame, wanted: np.ndarray, k: int, percent: int, columns, ddl: str) -> DataFrame:
+    """One row per set that is perhaps wanted. ``columns(texts, h, bounds, at)`` gives its columns for the texts ``at``."""
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def read(batches):
@@ -196,31 +197,44 @@ def whole_sets(docs: DataFrame, wanted: np.ndarray, k: int, percent: int) -> Dat
             for a, b in slices(batch.column("t")):
                 texts = batch.column("t")[a:b]
                 h, bounds = shingle_sets(texts, k)
-                n, names = np.diff(bounds), set_names(h, bounds)
-                keep = perhaps(shared.value, names) & can_link(n, percent)
+                names = set_names(h, bounds)
+                keep = perhaps(shared.value, names) & can_link(np.diff(bounds), percent)
                 keep[keep] = _fresh(names[keep], seen)
-                at = np.flatnonzero(keep)
-                if not len(at):
-                    continue
-                fronts = []
-                for seed in range(2, ORDERS + 1):
-                    token, owner = prefixes(h, bounds, np.where(keep, prefix_length(n, percent), 0), seed, None)
-                    cuts = np.searchsorted(owner, np.append(at, len(n)))
-                    fronts.append(pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array((token >> np.uint64(32)).astype(np.uint32).view(np.int32))))
-                yield pa.RecordBatch.from_arrays([pa.array(names[at].view(np.int64)), pa.array(n[at].astype(np.int32)), texts.take(pa.array(at)), *fronts],
-                                                 names=["s", "n", "t", *[f"p{i}" for i in range(2, ORDERS + 1)]])
-
-    ddl = "s bigint, n int, t string, " + ", ".join(f"p{i} array<int>" for i in range(2, ORDERS + 1))
-    return docs.select("t").mapInArrow(read, ddl).dropDuplicates(["s"])
-
-
-def verified(pairs: DataFrame, sets: DataFrame, k: int, percent: int) -> DataFrame:
-    """Of the pairs ``a, b`` those whose prefixes meet under all orders and whose similarity is high enough."""
-    left = sets.select(F.col("s").alias("a"), F.col("t").alias("ta"), *[F.col(f"p{i}").alias(f"a{i}") for i in range(2, ORDERS + 1)])
-    right = sets.select(F.col("s").alias("b"), F.col("t").alias("tb"), *[F.col(f"p{i}").alias(f"b{i}") for i in range(2, ORDERS + 1)])
-    both = pairs.join(left, "a").join(right, "b")
-    for i in range(2, ORDERS + 1):
+                if keep.any():
+                    yield pa.RecordBatch.from_pydict({"s": names[keep].view(np.int64), **columns(texts, h, bounds, np.flatnonzero(keep))})
+
+    return docs.select("t").mapInArrow(read, "s bigint, " + ddl).dropDuplicates(["s"])
+
+
+def other_prefixes(docs: DataFrame, wanted: np.ndarray, k: int, percent: int) -> DataFrame:
+    """``s`` and the set's prefixes under the further orders, as 32-bit hashes."""
+    def columns(texts, h, bounds, at):
+        n = np.diff(bounds)
+        length = np.zeros(len(n), np.int64)
+        length[at] = prefix_length(n[at], percent)
+        out = {}
+        for seed in range(2, ORDERS + 1):
+            token, owner = prefixes(h, bounds, length, seed, None)
+            cuts = np.append(np.searchsorted(owner, at), len(owner)).astype(np.int32)
+            out[f"p{seed}"] = pa.ListArray.from_arrays(pa.array(cuts), pa.array((token >> np.uint64(32)).astype(np.uint32).view(np.int32)))
+        return out
+
+    return _of_each_set(docs, wanted, k, percent, columns, ", ".join(f"p{i} array<int>" for i in range(2, ORDERS + 1)))
+
+
+def verified(pairs: DataFrame, fronts: DataFrame, docs: DataFrame, k: int, percent: int, bits: int) -> DataFrame:
+    """Of the pairs ``a, b`` those whose prefixes meet under all orders and whose similarity is high enough. Texts
+    are fetched only for sets of pairs that passed all orders."""
+    orders = range(2, ORDERS + 1)
+    both = (pairs.join(fronts.select(F.col("s").alias("a"), *[F.col(f"p{i}").alias(f"a{i}") for i in orders]), "a")
+            .join(fronts.select(F.col("s").alias("b"), *[F.col(f"p{i}").alias(f"b{i}") for i in orders]), "b"))
+    for i in orders:
         both = both.where(F.arrays_overlap(f"a{i}", f"b{i}"))
+    candidates = staged(both.select("a", "b"), "jaccard-candidates")
+    wanted = filter_bits(candidates.select(F.explode(F.array("a", "b")).alias("s")), "s", bits)
+    sets = staged(_of_each_set(docs, wanted, k, percent, lambda texts, h, bounds, at: {"t": texts.take(pa.array(at))}, "t string"), "jaccard-sets")
+    both = (candidates.join(sets.select(F.col("s").alias("a"), F.col("t").alias("ta")), "a")
+            .join(sets.select(F.col("s").alias("b"), F.col("t").alias("tb")), "b"))
 
     def compare(batches):
         for batch in batches:
@@ -273,9 +287,9 @@ def linked_sets(docs: DataFrame, k: int, percent: int, bits: int = FILTER_BITS)
     """``s, comp`` of the sets that are linked with another. ``docs`` has ``t``."""
     late = frequent_shingles(docs, k, percent, bits)
     rows = staged(meeting_rows(docs, late, k, percent), "jaccard-meeting")
-    sets = staged(whole_sets(docs, filter_bits(rows, "s", bits), k, percent), "jaccard-sets")
+    fronts = staged(other_prefixes(docs, filter_bits(rows, "s", bits), k, percent), "jaccard-prefixes")
     stars = rows.where((F.col("s") != F.col("ls")) & compatible(F.col("n"), F.col("ln"), percent)).select(F.col("ls").alias("a"), F.col("s").alias("b")).distinct()
-    links = staged(verified(stars, sets, k, percent), "jaccard-links")
+    links = staged(verified(stars, fronts, docs, k, percent, bits), "jaccard-links")
     comps = staged(components(links), "jaccard-components")
     # Second round: shingles whose rows still lie in several components.
     placed = rows.join(comps, "s", "left").withColumn("comp", F.coalesce("comp", "s"))
@@ -288,12 +302,13 @@ def linked_sets(docs: DataFrame, k: int, percent: int, bits: int = FILTER_BITS)
               .where((F.col("comp") != F.col("d")) & (F.col("b") != F.col("ls")) & compatible(F.col("n"), F.col("m"), percent)
                      & ((F.col("comp") == F.col("largest")) | (F.col("a") < F.col("b"))))
               .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    more = verified(across, sets, k, percent)
+    more = verified(across, fronts, docs, k, percent, bits)
     return components(staged(links.unionByName(more), "jaccard-links"))
 
 
 def classes(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """``id, th, n, s, comp`` of every row; ``comp`` names its component (null for empty sets)."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), text_hash(F.col("text")).alias("th"), F.col("text").alias("t"))
     sizes = staged(set_sizes(rows, shingle), "jaccard-sizes")
     linked = staged(linked_sets(rows, shingle, percent), "jaccard-components")
