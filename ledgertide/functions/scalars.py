@@ -142,8 +142,8 @@ CODECS = {
         F.lit("+00:00")),
     "date": lambda c: F.date_format(c, "yyyy-MM-dd"),
     "date-compact": lambda c: F.date_format(c, "yyyyMMdd"),
-    "money": lambda c: F.format_string("%.2f", c.cast("double")),
-    "money4": lambda c: F.format_string("%.4f", c.cast("double")),
+    "money": lambda c: c.cast("decimal(38,2)").cast("string"),
+    "money4": lambda c: c.cast("decimal(38,4)").cast("string"),
     "flag-positive": lambda c: F.when(c > 0, "1").otherwise("0"),
     "digits14": lambda c: F.date_format(c, "yyyyMMddHHmmss"),
     "digits14tz": lambda c: F.concat(F.date_format(c, "yyyyMMddHHmmss"), F.lit("+0000")),

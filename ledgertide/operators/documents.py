@@ -124,6 +124,13 @@ def value(v: Val, rec: Lookup, now: Column, namespace: str = NAMESPACE) -> Colum
     return _escape(shaped) if v.codec in ("text", "fr-canonique") else shaped
 
 
+def attribute_text(col: Column) -> Column:
+    """A value inside double quotes of an attribute."""
+    for char, written in (("&", "&amp;"), ("<", "&lt;"), ('"', "&quot;")):
+        col = F.replace(col, F.lit(char), F.lit(written))
+    return col
+
+
 def element(el: El, rec: Lookup, now: Column, namespace: str = NAMESPACE) -> Column:
     """The element's text; empty where it does not apply or has nothing to say."""
     if el.each:
@@ -133,7 +140,7 @@ def element(el: El, rec: Lookup, now: Column, namespace: str = NAMESPACE) -> Col
             one, lambda n: item[n] if n in known else F.lit(None), now, namespace))
         return F.coalesce(F.array_join(items, ""), F.lit(""))
     head = F.concat(F.lit("<" + el.name), *[
-        F.concat(F.lit(f' {k}="'), rec(v[1:]).cast("string") if v.startswith("$") else F.lit(v), F.lit('"'))
+        F.concat(F.lit(f' {k}="'), attribute_text(rec(v[1:]).cast("string")) if v.startswith("$") else F.lit(v), F.lit('"'))
         for k, v in el.attrs]) if any(v.startswith("$") for _, v in el.attrs) else F.lit(
         "<" + el.name + "".join(f' {k}="{v}"' for k, v in el.attrs))
     if isinstance(el.body, Val):

@@ -27,6 +27,16 @@ def prefix_slices(key: Column, coarse: int, fine: int) -> list[Column]:
     return [F.substring(key, 1, coarse), F.substring(key, 1, fine)]
 
 
+def join_same(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Inner join on equality of ``cols`` where NULL equals NULL, so that a row
+    without a key or an instant keeps its place. Columns of ``left`` stay."""
+    renamed = right.withColumnsRenamed({c: f"_same_{c}" for c in cols})
+    on = F.lit(True)
+    for c in cols:
+        on = on & left[c].eqNullSafe(renamed[f"_same_{c}"])
+    return left.join(renamed, on).drop(*[f"_same_{c}" for c in cols])
+
+
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: Column,
                 out: str, slices: Slices) -> DataFrame:
     """Adds ``out``: the sum of ``value`` over the rows of ``keys`` up to and
@@ -46,14 +56,14 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[Column], val
             totals.groupBy(*outer, own).agg(F.sum("_total").alias("_total")))
         shifted = level.select(*outer, own, F.coalesce(F.sum("_total").over(before), F.lit(0))
                                .alias(f"_before{depth}"))
-        offsets = shifted if depth == len(names) - 1 else offsets.join(shifted, [*outer, own])
+        offsets = shifted if depth == len(names) - 1 else join_same(offsets, shifted, [*outer, own])
         carried.append(f"_before{depth}")
 
     inside = (Window.partitionBy(*keys, *names).orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     offset = sum((F.col(c) for c in carried[1:]), F.col(carried[0]))
     # Every cell of ``base`` has exactly one row in ``offsets``.
-    return (base.join(offsets, [*keys, *names])
+    return (join_same(base, offsets, [*keys, *names])
             .withColumn(out, F.sum("_value").over(inside) + offset)
             .drop(*names, *carried, "_value"))
 
@@ -74,7 +84,7 @@ def previous_instant(df: DataFrame, keys: Sequence[str], ts: str, order: Sequenc
     before = Window.partitionBy(*keys).orderBy("_slice")
     ends = ends.select(*keys, "_slice", F.lag("_last").over(before).alias("_carry"))
     inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
-    return (base.join(ends, [*keys, "_slice"])
+    return (join_same(base, ends, [*keys, "_slice"])
             .withColumn(out, F.coalesce(F.lag(ts).over(inside), F.col("_carry")))
             .drop("_slice", "_carry"))
 

@@ -73,3 +73,15 @@ def test_no_plan_sorts_a_whole_key_in_one_window(moves):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window [" in line and "_value" in line]
     assert windows and all("_slice1" in line for line in windows)
+
+
+def test_rows_without_key_or_instant_keep_their_place(moves):
+    odd = moves.withColumn("user", F.when(F.pmod(F.xxhash64("id"), F.lit(5)) != 0, F.col("user"))).withColumn(
+        "ts", F.when(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(7)) != 0, F.col("ts")))
+    order = [F.col("ts"), F.col("id")]
+    w = Window.partitionBy("user").orderBy(*order)
+    got = ordered.running_sum(odd, ["user"], order, F.col("amount"), "run", ordered.hour_slices(F.col("ts")))
+    got = ordered.previous_instant(got, ["user"], "ts", order, "prev", F.date_trunc("hour", F.col("ts")))
+    want = odd.withColumn("run", F.sum("amount").over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("prev", F.lag("ts").over(w))
+    both = [sorted((r.id, r.run, str(r.prev)) for r in x.collect()) for x in (got, want)]
+    assert len(both[0]) == 3000 and both[0] == both[1]
