@@ -113,14 +113,14 @@ def mix(docs: DataFrame, weights: list[int] | None = None, schedules: list[list[
                          (F.col("size") * F.col("copies")).cast("long").alias("taken"), "positions")
 
 
-def in_training_order(mixed: DataFrame, position: str) -> DataFrame:
-    """Rows range-sorted by a position column."""
-    return mixed.repartitionByRange(position).sortWithinPartitions(position)
+def in_training_order(mixed: DataFrame, *order: str) -> DataFrame:
+    """Rows range-sorted by position; further columns part rows without a position, or with the same one."""
+    return mixed.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents")).withColumn("first_position", F.get("positions", F.lit(0)))
-    return in_training_order(mixed, "first_position").select(
+    return in_training_order(mixed, "first_position", "doc_id").select(
         "doc_id", "size", "source_size", "target", "taken")
 
 
