@@ -206,9 +206,9 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Pipeline stage: the documents that are not contaminated, with all their columns."""
-    found = find_contamination(docs, benchmark, carry=docs.columns)
-    verdict = is_contaminated(F.col("`n_words`"), hit_words(F.col("hit_spans")))
-    return found.where(~verdict).select(*[F.col(f"`{c}`") for c in docs.columns])
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])  # one column, so that no name can clash
+    found = find_contamination(docs.select(whole.alias("_doc"), "text"), benchmark, carry=["_doc"])
+    return found.where(~is_contaminated(F.col("n_words"), hit_words(F.col("hit_spans")))).select("_doc.*")
 
 
 OP10_SQL = """

@@ -158,7 +158,7 @@ def read_page(source: str) -> Page:
                  or (not parent.main and (tag == "header" or (tag not in ("html", "body", "h1") and bool(names & SITE_HEADER)))))
         if noise and not parent.noise:
             flush()
-        node = node_id(parent.node, tag, " ".join(sorted(v for k, v in found if k == "class"))) if block else parent.node
+        node = node_id(parent.node, tag, " ".join(sorted(v for k, v in found if k != "role"))) if block else parent.node
         stack.append(Element(tag, node, noise, main and not noise, (*parent.lineage, node) if block else parent.lineage))
     if at < len(source):
         text.append(source[at:])

@@ -108,12 +108,14 @@ def test_mixing(docs, empty, spark):
     assert order((r.doc_id, r["size"]) for r in got) == order((r[0], len((r[1] or "").encode().split())) for r in rows)
     assert order(got) == order(mixing.mix(docs.repartition(7)).collect())
     assert all(r.taken <= 3 * r["size"] and all(0 <= p <= 1 for p in r.positions) for r in got)
-    assert abs(sum({r.target: r.target for r in got}.values()) - sum(r["size"] for r in got)) < 1e-6
+    sources = mixing.mix(docs, carry=["source"]).collect()
+    assert abs(sum({r.source: r.target for r in sources}.values()) - sum(r["size"] for r in got)) < 1e-6
     largest = max(r["size"] for r in got)
-    by = collections.defaultdict(int)
-    for r in got:
-        by[r.target] += r.taken
-    assert all(abs(taken - target) <= largest / 2 + 1 for target, taken in by.items())
+    by, target = collections.defaultdict(int), {}
+    for r in sources:
+        by[r.source] += r.taken
+        target[r.source] = r.target
+    assert all(abs(by[x] - target[x]) <= largest / 2 + 1 for x in by)
     assert mixing.mix(empty).count() == 0
     demand = spark.range(11).select(mixing.inverse_demand(F.col("id") / 10, F.array(*map(F.lit, [1.5, 1.0, 0.5]))).alias("t"), (F.col("id") / 10).alias("y"))
     assert all(abs((1.5 * r.t - 0.5 * r.t * r.t) - r.y) < 1e-9 for r in demand.collect())  # the integral of 1.5 - t
