@@ -648,9 +648,11 @@ FINAL.update({
                CASE WHEN record_type = 'bets' AND jurisdiction = 'MT' THEN 'RE-' || receipt_id ELSE receipt_id END AS r,
                CASE WHEN record_type = 'bets' AND jurisdiction = 'MT' THEN submitted_at + INTERVAL 1 DAY ELSE submitted_at END AS t
         FROM delivery_log) GROUP BY 1, 2""",
-    "incremental_merge": """SELECT jurisdiction, bet_id, report_date, CAST(stake AS DOUBLE) AS stake,
-        CAST(if(bet_id LIKE '%3', payout + 1, payout) AS DOUBLE) AS payout, CAST(ggr AS DOUBLE) AS ggr FROM new_pipe
-        WHERE (jurisdiction, report_date) IN (SELECT jurisdiction, report_date FROM new_pipe WHERE bet_id LIKE '%3')""",
+    "incremental_merge": """SELECT jurisdiction, bet_id, filed_on AS report_date, CAST(stake AS DOUBLE) AS stake,
+        CAST(if(bet_id LIKE '%3', payout + 1, payout) AS DOUBLE) AS payout, CAST(ggr AS DOUBLE) AS ggr
+        FROM (SELECT *, CAST(if(bet_id LIKE '%13', report_date + 1, report_date) AS DATE) AS filed_on FROM new_pipe)
+        WHERE bet_id LIKE '%3' OR (jurisdiction, report_date) IN (SELECT jurisdiction, report_date FROM new_pipe WHERE bet_id LIKE '%3'
+            UNION SELECT jurisdiction, CAST(report_date + 1 AS DATE) FROM new_pipe WHERE bet_id LIKE '%13')""",
     "report_date_read": out("new_pipe", "jurisdiction bet_id report_date stake:d payout:d ggr:d") + " WHERE jurisdiction = 'ES' AND report_date = DATE '2023-05-10'",
     # scalars
     "scalar_dates": f"""SELECT slip_id, d AS local_date, t AS local_ts, CAST(date_trunc('week', d) AS DATE) AS week_start, CAST(date_trunc('month', d) AS DATE) AS month_start,

@@ -897,10 +897,12 @@ def log_replace(m: Models) -> DataFrame:
 
 @plan
 def incremental_merge(m: Models) -> DataFrame:
-    """Touched partitions of a file after some slips settle again with more payout."""
+    """Touched partitions of a file after some slips settle again with more payout, part of them a day later."""
     old = _new_pipe(m).withColumn("version", F.lit("2020-01-01").cast("timestamp"))
+    later = F.when(F.substring("bet_id", -2, 2) == "13", F.date_add("report_date", 1)).otherwise(c("report_date"))
     new = old.filter(F.substring("bet_id", -1, 1) == "3").withColumns(
-        {"payout": (c("payout") + 1).cast(scalars.MONEY), "version": F.lit("2021-01-01").cast("timestamp")})
+        {"payout": (c("payout") + 1).cast(scalars.MONEY), "version": F.lit("2021-01-01").cast("timestamp"),
+         "report_date": later})
     return sinks.merge_incremental(old, new, ["jurisdiction", "bet_id"], ["jurisdiction", "report_date"],
                                    "version").drop("version")
 

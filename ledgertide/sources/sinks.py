@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.cdc import latest_image
+from ..operators.ordered import join_same
 from ..operators.submissions import market_file
 
 # Table: date its folders come from, columns that cluster the rows inside a file
@@ -33,16 +34,25 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def touched_partitions(old: DataFrame, new: DataFrame, keys: list[str], partitions: list[str]) -> DataFrame:
+    """Partitions of ``new``, and of the rows of ``old`` with its keys: a scan of the
+    key and partition columns alone."""
+    held = old.select(*dict.fromkeys([*keys, *partitions]))
+    held = held.join(new.select(*keys).distinct(), keys, "left_semi").select(*partitions)
+    return held.union(new.select(*partitions)).distinct()
+
+
 def merge_incremental(old: DataFrame | None, new: DataFrame, keys: list[str], partitions: list[str],
                       version: str) -> DataFrame:
-    """Old rows of the touched partitions with new rows put over them by key. Only
-    partitions that ``new`` touches come back, so a dynamic overwrite leaves the rest."""
+    """Old rows of the touched partitions with new rows put over them by key. Touched
+    are the partitions ``new`` writes to and those that hold an older row of its keys,
+    so a key that moves to another partition leaves none behind. Only touched
+    partitions come back, so a dynamic overwrite leaves the rest."""
     fresh = new.withColumns({"_commit_ts": F.col(version), "_op": F.lit("U"), "_gen": F.lit(1)})
     if old is None:
         merged = fresh
     else:
-        touched = new.select(*partitions).distinct()
-        kept = old.join(touched, partitions, "left_semi").withColumns(
+        kept = join_same(old, touched_partitions(old, new, keys, partitions), partitions).withColumns(
             {"_commit_ts": F.col(version), "_op": F.lit("U"), "_gen": F.lit(0)})
         merged = kept.unionByName(fresh, allowMissingColumns=True)
     return latest_image(merged, [*keys], ["_gen"]).drop("_commit_ts", "_op", "_gen")
@@ -52,14 +62,29 @@ def upsert_partitions(spark: SparkSession, new: DataFrame, path: str, keys: list
                       partitions: list[str], version: str) -> None:
     """Keyed upsert on plain Parquet: rewrites only the touched partitions. The
     merged rows go to a staging folder first, so the table is never read and
-    overwritten by one job, and a retried task cannot lose rows."""
+    overwritten by one job, and a retried task cannot lose rows. Partitions that all
+    rows have left are removed last; an upsert that stopped before can run again."""
     old = spark.read.parquet(path) if table_exists(spark, path) else None
     merged = merge_incremental(old, new, keys, partitions, version)
     staging = path.rstrip("/") + "__staging"
     merged.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(staging)
-    (spark.read.parquet(staging).repartition(*[F.col(p) for p in partitions])
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    rows = spark.read.schema(merged.schema).parquet(staging)
+    left = [] if old is None else _left_folders(old, new, rows, keys, partitions)
+    order = dict.fromkeys([*partitions, *keys])
+    (rows.repartitionByRange(*order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partitions).parquet(path))
+    for folder in left:
+        target = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _left_folders(old: DataFrame, new: DataFrame, merged: DataFrame, keys: list[str],
+                  partitions: list[str]) -> list[str]:
+    """Folders of touched partitions that have no row in ``merged``; as many as partitions at most."""
+    touched = touched_partitions(old, new, keys, partitions)
+    empty = touched.exceptAll(merged.select(*partitions).distinct())
+    files = old.select(*partitions, F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("_folder"))
+    return [r[0] for r in join_same(files.distinct(), empty, partitions).select("_folder").distinct().collect()]
 
 
 def log_append(log: DataFrame, new: DataFrame) -> DataFrame:

@@ -23,6 +23,7 @@ from ..sources.sinks import table_exists
 
 c = F.col
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+ZONE_SPREAD = "26 hours"  # from UTC-12 to UTC+14
 
 
 def replay_free(stream: DataFrame, keys: Sequence[str], delay: str = "1 hour") -> DataFrame:
@@ -34,9 +35,8 @@ def replay_free(stream: DataFrame, keys: Sequence[str], delay: str = "1 hour") -
 
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Output of one batch in its own folder: a batch that runs again after a
-    failure replaces what it wrote."""
-    (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+    failure replaces what it wrote, also by nothing."""
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
 
 
 def _start(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str,
@@ -94,10 +94,12 @@ def session_windows(stream: DataFrame, user: str, ts: str, gap: str | Column, de
 def limit_windows(stream: DataFrame, account: str, ts: str, zone: str, amount: str, period: str,
                   delay: str = "1 hour") -> DataFrame:
     """Live totals per account and local day or Monday week (``zone`` is a column).
-    Months are sums of days and come from the day rows."""
+    Months are sums of days and come from the day rows. Local clocks differ by up to
+    ``ZONE_SPREAD``; the watermark waits that much longer than ``delay``, so the
+    easternmost zone can't close a window that others still fill."""
     length, offset = {"DAILY": ("1 day", "0 seconds"), "WEEKLY": ("7 days", "4 days")}[period]
     local = stream.withColumn("_local", F.from_utc_timestamp(c(ts), c(zone)))
-    return (local.withWatermark("_local", delay)
+    return (local.withWatermark("_local", f"{ZONE_SPREAD} {delay}")
             .groupBy(account, F.window("_local", length, length, offset).alias("w"))
             .agg(F.sum(amount).alias("total"))
             .select(account, F.lit(period).alias("period"), F.to_date("w.start").alias("window_start"), "total"))
@@ -129,14 +131,21 @@ def ready_rows(batch: DataFrame, watermarks: DataFrame, market: DataFrame) -> Da
 
 def gate_by_readiness(stream: DataFrame, watermark_path: str, market: DataFrame, ready_path: str,
                       waiting_path: str, checkpoint: str) -> StreamingQuery:
-    """Splits each batch into rows ready to file and rows that wait. The watermark
-    table is read again for every batch."""
+    """Splits each batch, and what still waited after the batch before it, into rows
+    ready to file and rows that wait. The watermark table is read again for every
+    batch. The rows that wait now are those of the newest batch in ``waiting_path``."""
+    period = ["jurisdiction", "report_date"]
+
     def each(batch: DataFrame, batch_id: int) -> None:
-        marks = batch.sparkSession.read.parquet(watermark_path)
-        ready = ready_rows(batch, marks, market)
-        _write_batch(ready, ready_path, batch_id)
-        keys = ready.select("jurisdiction", "report_date").distinct()
-        _write_batch(batch.join(keys, ["jurisdiction", "report_date"], "left_anti"), waiting_path, batch_id)
+        spark = batch.sparkSession
+        carried = f"{waiting_path.rstrip('/')}/batch_id={batch_id - 1}"
+        if table_exists(spark, carried):
+            batch = batch.unionByName(spark.read.schema(batch.schema).parquet(carried))
+        # One reading of the watermarks decides both outputs, also if they move on meanwhile.
+        marks = spark.createDataFrame(spark.read.parquet(watermark_path).collect(), spark.read.parquet(watermark_path).schema)
+        open_periods = ready_rows(batch.select(*period).distinct(), marks, market)
+        _write_batch(batch.join(open_periods, period, "left_semi"), ready_path, batch_id)
+        _write_batch(batch.join(open_periods, period, "left_anti"), waiting_path, batch_id)
     return _start(stream, each, checkpoint)
 
 

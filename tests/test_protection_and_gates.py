@@ -220,6 +220,19 @@ def test_upsert_rewrites_only_touched_partitions(spark, tmp_path):
     assert sorted((tmp_path / "file" / "report_date=2026-07-02").glob("*.parquet")) == untouched
 
 
+def test_upsert_moves_a_key_to_another_partition(spark, tmp_path):
+    schema = "slip_id string, payout decimal(18,2), report_date date, version timestamp"
+    path = str(tmp_path / "file")
+    one = spark.createDataFrame([("S1", m("1"), d("2026-07-01"), t("2026-07-01 10:00")), ("S2", m("2"), d("2026-07-01"), t("2026-07-01 10:00")),
+                                 ("S3", m("3"), d("2026-07-03"), t("2026-07-03 10:00"))], schema)
+    sinks.upsert_partitions(spark, one, path, ["slip_id"], ["report_date"], "version")
+    two = spark.createDataFrame([("S1", m("9"), d("2026-07-02"), t("2026-07-04 10:00")), ("S3", m("4"), d("2026-07-02"), t("2026-07-04 10:00"))], schema)
+    for _ in range(2):
+        sinks.upsert_partitions(spark, two, path, ["slip_id"], ["report_date"], "version")
+    got = sorted((r.slip_id, r.payout, str(r.report_date)) for r in spark.read.parquet(path).collect())
+    assert got == [("S1", m("9.00"), "2026-07-02"), ("S2", m("2.00"), "2026-07-01"), ("S3", m("4.00"), "2026-07-02")]
+
+
 def test_table_layout_and_pruned_read(spark, tmp_path):
     from ledgertide.sources import landing
     rows = spark.createDataFrame([("A1", "x", t("2026-07-01 10:00"), m("1")), ("A2", "x", t("2026-07-02 10:00"), m("1"))],

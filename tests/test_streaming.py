@@ -115,6 +115,38 @@ def test_limit_windows_use_local_days_and_monday_weeks(spark, tmp_path):
         assert got == [(start, D("15.00"))]
 
 
+def test_limit_windows_lose_nothing_across_zones(spark, tmp_path):
+    schema = "account_id string, ts timestamp, zone string, amount decimal(18,2)"
+    path = str(tmp_path / "in")
+    from decimal import Decimal as D
+    land(spark, path, [("L", t("2026-07-05 10:00"), "Europe/Lisbon", D("10"))], schema, "a")
+    land(spark, path, [("G", t("2026-07-05 22:30"), "Pacific/Kiritimati", D("1"))], schema)
+    land(spark, path, [("L", t("2026-07-05 22:31"), "Europe/Lisbon", D("5"))], schema)
+    for day in ("2026-07-20 10:00", "2026-07-20 11:00"):
+        stream = land(spark, path, [("Z", t(day), "Europe/Lisbon", D("1"))], schema)
+    out = collect_stream(spark, jobs.limit_windows(stream, "account_id", "ts", "zone", "amount", "DAILY"), tmp_path)
+    assert [(str(r.window_start), r.total) for r in out.filter("account_id = 'L'").collect()] == [("2026-07-05", D("15.00"))]
+
+
+def test_waiting_rows_are_filed_once_their_period_opens(spark, tmp_path):
+    schema = "jurisdiction string, report_date date, slip_id string"
+    marks = "source string, jurisdiction string, complete_through timestamp"
+    path, wm = str(tmp_path / "in"), str(tmp_path / "wm")
+    d = t("2026-07-01").date()
+
+    def run(rows, through):
+        stream = land(spark, path, rows, schema)
+        spark.createDataFrame([("bet_settlement", "MT", through)], marks).write.mode("overwrite").parquet(wm)
+        jobs.gate_by_readiness(stream, wm, markets.market_frame(spark), str(tmp_path / "ready"), str(tmp_path / "waiting"),
+                               str(tmp_path / "ck")).awaitTermination(120)
+        return sorted(r.slip_id for r in spark.read.parquet(str(tmp_path / "ready")).collect())
+    assert run([("MT", d, "S1")], t("2026-07-01 12:00")) == []
+    assert run([("MT", d, "S2"), ("ES", d, "S3")], t("2026-07-02 06:00")) == ["S1", "S2"]
+    assert run([("ES", d, "S4")], t("2026-07-02 06:00")) == ["S1", "S2"]
+    waiting = spark.read.parquet(str(tmp_path / "waiting")).filter("batch_id = 2").collect()
+    assert sorted(r.slip_id for r in waiting) == ["S3", "S4"]
+
+
 def test_rolling_limits_in_batches(spark, tmp_path):
     from decimal import Decimal as D
     schema = "account_id string, payment_id string, completed_ts timestamp, amount decimal(18,2)"
