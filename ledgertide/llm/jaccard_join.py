@@ -12,8 +12,10 @@ one. So a pair is a candidate only if its prefixes meet under every one of sever
 
 Groups of copies. Equal sets are one set from the start, named by a 64-bit hash of its shingles, and each task
 passes a set on once. Where sets meet under a shingle, each is first paired with the smallest one only; linked sets
-become components. In a second round only pairs across components are made, each with a side outside the shingle's largest component,
-so that a group of near copies costs its size and not its square, and no link between components is lost.
+become components. In a second round each set is paired with several others of its shingles, chosen by hash, that lie in other
+components. In the last round all pairs across components are made, each with a side outside the shingle's largest component.
+Both rounds leave out pairs whose sketches (parities of fixed size) differ in more bits than the similarity
+lets the sets differ in members; that bound is exact, so that a group of near copies costs about its size and not its square, and no link between components is lost.
 
 Frequent shingles are counted over all documents (twice the prefix length of each). They reach the tasks
 as a bit filter of fixed size; any filter gives a valid order, so a false "perhaps" changes no result.
@@ -39,6 +41,8 @@ SHINGLE = 3
 PERCENT = 90
 FREQUENT = 64
 ORDERS = 3
+CENTRES = 16
+SKETCH = 4  # words of 64 bits
 
 
 def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -87,6 +91,15 @@ def prefixes(h: np.ndarray, bounds: np.ndarray, length: np.ndarray, seed: int, l
     return h[order][keep], owner[keep]
 
 
+def sketches(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Of each set the parity of its members per bit. Two sketches differ in at most as many bits as the sets in members."""
+    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    slot = (mix(h, 15) % np.uint64(64 * SKETCH)).astype(np.int64)
+    out = np.zeros((len(bounds) - 1, SKETCH), np.uint64)
+    np.bitwise_xor.at(out, (owner, slot >> 6), np.uint64(1) << (slot & 63).astype(np.uint64))
+    return out
+
+
 def can_link(n: np.ndarray, percent: int) -> np.ndarray:
     """Whether a set of n can be similar to a different set at all: at best one lacks a single member of the other."""
     return 100 * n >= percent * (n + 1)
@@ -207,19 +220,21 @@ def _of_each_set(docs: DataFrame, wanted: np.ndarray, k: int, percent: int, colu
 
 
 def other_prefixes(docs: DataFrame, wanted: np.ndarray, k: int, percent: int) -> DataFrame:
-    """``s`` and the set's prefixes under the further orders, as 32-bit hashes."""
+    """``s``, the set's prefixes under the further orders, as 32-bit hashes, and its sketch."""
     def columns(texts, h, bounds, at):
         n = np.diff(bounds)
         length = np.zeros(len(n), np.int64)
         length[at] = prefix_length(n[at], percent)
-        out = {}
+        sketch = sketches(h, bounds)[at].view(np.int64)
+        out = {f"x{i}": sketch[:, i].copy() for i in range(SKETCH)}
         for seed in range(2, ORDERS + 1):
             token, owner = prefixes(h, bounds, length, seed, None)
             cuts = np.append(np.searchsorted(owner, at), len(owner)).astype(np.int32)
             out[f"p{seed}"] = pa.ListArray.from_arrays(pa.array(cuts), pa.array((token >> np.uint64(32)).astype(np.uint32).view(np.int32)))
         return out
 
-    return _of_each_set(docs, wanted, k, percent, columns, ", ".join(f"p{i} array<int>" for i in range(2, ORDERS + 1)))
+    ddl = [*(f"x{i} bigint" for i in range(SKETCH)), *(f"p{i} array<int>" for i in range(2, ORDERS + 1))]
+    return _of_each_set(docs, wanted, k, percent, columns, ", ".join(ddl))
 
 
 def verified(pairs: DataFrame, fronts: DataFrame, docs: DataFrame, k: int, percent: int, bits: int) -> DataFrame:
@@ -283,6 +298,53 @@ def compatible(n: Column, m: Column, percent: int) -> Column:
     return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
 
+def near_enough(a, b, percent: int) -> Column:
+    """Whether sizes and sketches leave room for the similarity: the sets differ in at least as many members as their
+    sketches in bits. ``a`` and ``b`` give the columns of either side by name."""
+    bits = sum((F.bit_count(a(f"x{i}").bitwiseXOR(b(f"x{i}"))) for i in range(1, SKETCH)), F.bit_count(a("x0").bitwiseXOR(b("x0"))))
+    return compatible(a("n"), b("n"), percent) & (bits * (100 + percent) <= (a("n").cast("long") + b("n")) * (100 - percent))
+
+
+def still_mixed(rows: DataFrame, links: DataFrame, fronts: DataFrame) -> DataFrame:
+    """The meeting rows of shingles whose sets lie in several components so far, with ``comp`` and the set's sketch."""
+    placed = rows.join(staged(components(links), "jaccard-components"), "s", "left").withColumn("comp", F.coalesce("comp", "s"))
+    mixed = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("token")
+    sketch = fronts.select("s", *[f"x{i}" for i in range(SKETCH)])
+    return staged(placed.join(mixed, "token").select("token", "s", "n", "comp").join(sketch, "s"), "jaccard-mixed")
+
+
+def to_centres(placed: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of each row's set with its shingle's ``CENTRES`` sets that are the smallest under as many hashes,
+    where components differ. Where near copies are only loosely linked, these pairs join nearly all of
+    them, at a cost that grows with the rows; the minima are combined before the shuffle."""
+    named = F.struct("s", "n", "comp", *[f"x{i}" for i in range(SKETCH)])
+    centres = placed.groupBy("token").agg(*[
+        F.min(F.struct(F.xxhash64("s", F.lit(i)).alias("h"), named.alias("row")))["row"].alias(f"c{i}") for i in range(CENTRES)])
+    centres = centres.select("token", F.array_distinct(F.array(*[f"c{i}" for i in range(CENTRES)])).alias("centres"))
+    apart = F.filter("centres", lambda x: (x["comp"] != F.col("comp")) & near_enough(lambda c: x[c], F.col, percent))
+    return (placed.join(centres, "token").select("s", F.explode(F.transform(apart, lambda x: x["s"])).alias("c"))
+            .select(F.least("s", "c").alias("a"), F.greatest("s", "c").alias("b")).distinct())
+
+
+def across_components(placed: DataFrame, percent: int) -> DataFrame:
+    """All pairs ``a, b`` that meet under a shingle, lie in different components and may be similar by their sketches.
+    One side is outside the shingle's largest component."""
+    sizes = placed.groupBy("token", "comp").agg(F.count("*").alias("c"))
+    largest = sizes.groupBy("token").agg(F.max(F.struct("c", "comp"))["comp"].alias("largest"))
+    minor = placed.join(largest, "token").where("comp != largest").alias("minor")
+    every = placed.alias("every")
+
+    def one(c: str) -> Column:
+        return F.col(f"every.{c}")
+
+    def other(c: str) -> Column:
+        return F.col(f"minor.{c}")
+
+    met = ((one("token") == other("token")) & (one("comp") != other("comp"))
+           & ((one("comp") == other("largest")) | (one("s") < other("s"))) & near_enough(one, other, percent))
+    return every.join(minor, met).select(F.least(one("s"), other("s")).alias("a"), F.greatest(one("s"), other("s")).alias("b")).distinct()
+
+
 def linked_sets(docs: DataFrame, k: int, percent: int, bits: int = FILTER_BITS) -> DataFrame:
     """``s, comp`` of the sets that are linked with another. ``docs`` has ``t``."""
     late = frequent_shingles(docs, k, percent, bits)
@@ -290,19 +352,11 @@ def linked_sets(docs: DataFrame, k: int, percent: int, bits: int = FILTER_BITS)
     fronts = staged(other_prefixes(docs, filter_bits(rows, "s", bits), k, percent), "jaccard-prefixes")
     stars = rows.where((F.col("s") != F.col("ls")) & compatible(F.col("n"), F.col("ln"), percent)).select(F.col("ls").alias("a"), F.col("s").alias("b")).distinct()
     links = staged(verified(stars, fronts, docs, k, percent, bits), "jaccard-links")
-    comps = staged(components(links), "jaccard-components")
-    # Second round: shingles whose rows still lie in several components.
-    placed = rows.join(comps, "s", "left").withColumn("comp", F.coalesce("comp", "s"))
-    mixed = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("token")
-    placed = staged(placed.join(mixed, "token"), "jaccard-mixed")
-    sizes = placed.groupBy("token", "comp").agg(F.count("*").alias("c"))
-    largest = sizes.groupBy("token").agg(F.max(F.struct("c", "comp"))["comp"].alias("largest"))
-    minor = placed.join(largest, "token").where("comp != largest").select("token", F.col("s").alias("b"), F.col("n").alias("m"), F.col("comp").alias("d"), "largest")
-    across = (placed.where("s != ls").select("token", F.col("s").alias("a"), "n", "comp", "ls").join(minor, "token")
-              .where((F.col("comp") != F.col("d")) & (F.col("b") != F.col("ls")) & compatible(F.col("n"), F.col("m"), percent)
-                     & ((F.col("comp") == F.col("largest")) | (F.col("a") < F.col("b"))))
-              .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    more = verified(across, fronts, docs, k, percent, bits)
+    # Second round: each set with several others that its shingles name.
+    more = verified(to_centres(still_mixed(rows, links, fronts), percent), fronts, docs, k, percent, bits)
+    links = staged(links.unionByName(more), "jaccard-links")
+    # Last round: shingles whose rows still lie in several components.
+    more = verified(across_components(still_mixed(rows, links, fronts), percent), fronts, docs, k, percent, bits)
     return components(staged(links.unionByName(more), "jaccard-links"))
 
 
