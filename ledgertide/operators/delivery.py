@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import markets
 from ..functions.scalars import money
 from .core import zero
-from .ordered import hour_slices, ordered_lists, row_numbers, running_sum
+from .ordered import hour_slices, ordered_lists, part_mark, row_numbers, running_sum
 from .submissions import player_reference
 
 c = F.col
@@ -83,8 +83,9 @@ def pending_platform_sessions(sessions: DataFrame, accounts: DataFrame, market:
 
 
 def pending_game_sessions(lists: DataFrame, accounts: DataFrame, market: DataFrame, log: DataFrame) -> DataFrame:
-    """``lists`` is the ordered round list per session and game."""
-    df = not_logged(lists, log, "sessions", F.concat_ws("-", "session_id", "game"))
+    """``lists`` is the ordered round list per session and game; each part is logged under a key of its own."""
+    key = F.concat(F.concat_ws("-", "session_id", "game"), part_mark(c("part")))
+    df = not_logged(lists, log, "sessions", key)
     people = _person(market, accounts.select("account_id", "jurisdiction", "national_id"))
     return df.join(people.filter("session_grain = 'per_game'"), "account_id")
 

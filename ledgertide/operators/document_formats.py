@@ -73,11 +73,11 @@ NL = {
         el("Player_Profile_Status", field("kyc_status", table={"VERIFIED": "ACTIVE"}, default="TRIAL")),
         at("Player_Profile_EOD_Balance", "balance", "money")),
     "sessions": _nl(
-        "WOK_Game_Session_v1.11", ("nl-gsession", "$session_id", "$game"),
+        "WOK_Game_Session_v1.11", ("nl-gsession", "$session_id", "$game_part"),
         el("Game_ID", uid("nl-game", "$game")), el("Game_Session_ID", uid("nl-gsession", "$session_id", "$game")),
         at("Game_Session_Start_Datetime", "first_played_at", "datetime"),
         at("Game_Session_End_Datetime", "last_played_at", "datetime"),
-        el("Game_Session_Rounds", Val("count", ("rounds",))), el("Game_Session_Rounds_Won", field("rounds_won")),
+        el("Game_Session_Rounds", field("rounds_played")), el("Game_Session_Rounds_Won", field("rounds_won")),
         _nl_transaction("Game_Transactions", "Game_Transaction", "nl-txn", "$round_id", "STAKE", each="rounds")),
     "gaming": _nl(
         "WOK_Game_Session_v1.11", ("nl-gaming", "$round_id"),
@@ -112,9 +112,14 @@ def _es_lot(lot: Val, *registers: El) -> list[Doc]:
         ("xmlns:xsi", "http://www.w3.org/2001/XMLSchema-instance"))))]
 
 
-def _es_register(kind: str, register_id: Val, when_field: str, *body: El) -> El:
-    head = el("Cabecera", el("RegistroId", register_id), el("SubregistroId", const("1")),
-              el("SubregistroTotal", const("1")), at("Fecha", when_field, "digits14"))
+_WHOLE = (const("1"), const("1"))
+_PART = (field("part_no"), field("parts"))
+
+
+def _es_register(kind: str, register_id: Val, when_field: str, *body: El, sub: tuple[Val, Val] = _WHOLE) -> El:
+    """A register that is filed in several lots keeps its id; its subregister tells them apart."""
+    head = el("Cabecera", el("RegistroId", register_id), el("SubregistroId", sub[0]),
+              el("SubregistroTotal", sub[1]), at("Fecha", when_field, "digits14"))
     return el("Registro", head, *body, attrs=(("xsi:type", kind),))
 
 
@@ -145,8 +150,8 @@ def _es_account(**more) -> El:
 def _es_filing(kind: str, own: El, unit: tuple) -> list[Doc]:
     day = "$period_day" if unit[1] == "Dia" else "$period_month"
     balance = _es_register("RegistroCJD", text("CJD-", day), "period_start", *_es_period(*unit),
-                           _es_account(each="rows"))
-    return _es_lot(text(f"LOTE-{kind}-", day), own, balance)
+                           _es_account(each="rows"), sub=_PART)
+    return _es_lot(text(f"LOTE-{kind}-", day, "$part_mark"), own, balance)
 
 
 ES = {
@@ -189,13 +194,13 @@ ES = {
         "RegistroRUD", text("RUD-", "$period_day"), "period_start",
         *_es_period("Diaria", "Dia", "period_start", "digits8"),
         el("Jugador", el("JugadorId", field("player_ref")), at("FechaActivacion", "opened_at", "digits14"),
-           el("CambiosEnDatos", const("N")), el("RegionFiscal", const("01")), each="rows")),
+           el("CambiosEnDatos", const("N")), el("RegionFiscal", const("01")), each="rows"), sub=_PART),
         ("Diaria", "Dia", "period_start", "digits8")),
     "rut": _es_filing("RUT", _es_register(
         "RegistroRUT", text("RUT-", "$period_month"), "period_start", at("Mes", "period_start", "digits6"),
-        el("NumeroJugadores", Val("count", ("rows",))), *same("NumeroAltas", "NumeroBajas", value=0),
-        el("NumeroActividad", Val("count", ("rows",))), el("NumeroTest", const(0)),
-        el("NumeroJugadoresPorEstado", el("EstadoCNJ", const("A")), el("Numero", Val("count", ("rows",))))),
+        el("NumeroJugadores", field("players")), *same("NumeroAltas", "NumeroBajas", value=0),
+        el("NumeroActividad", field("players")), el("NumeroTest", const(0)),
+        el("NumeroJugadoresPorEstado", el("EstadoCNJ", const("A")), el("Numero", field("players"))), sub=_PART),
         ("Mensual", "Mes", "period_start", "digits6")),
 }
 

@@ -117,6 +117,17 @@ def rolling_sums(events: DataFrame, points: DataFrame, key: str, ts: str, value:
                    .cast("decimal(28,2)").alias(n) for n in spans]))
 
 
+def part_mark(part: Column) -> Column:
+    """What sets the parts of one record apart in keys and ids: nothing for the
+    first part, then ~2, ~3 and so on."""
+    return F.when(part > 0, F.concat(F.lit("~"), (part + 1).cast("string"))).otherwise(F.lit(""))
+
+
+def parts_of(rows: Column, part_rows: int) -> Column:
+    """How many parts of ``part_rows`` hold ``rows`` rows."""
+    return F.ceil(rows / part_rows).cast("int")
+
+
 def ordered_lists(df: DataFrame, keys: Sequence[str], order: Sequence[str], item: Column, out: str,
                   slices: Slices, part_rows: int) -> DataFrame:
     """Items of each key in order, as lists of at most ``part_rows``. A key with

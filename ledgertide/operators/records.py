@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .core import zero
 from .delivery import balance_before_payment, balance_fields
+from .ordered import part_mark
 
 c = F.col
 
@@ -80,13 +81,16 @@ def platform_sessions(pending: DataFrame) -> DataFrame:
 
 
 def game_sessions(pending: DataFrame) -> DataFrame:
-    """One record per part of a session's round list; ordinary sessions have one."""
+    """One record per part of a session's round list; ordinary sessions have one.
+    Parts differ in key and record id and share the session's id and whole figures."""
     rounds = F.transform("round_ids", lambda r: F.struct(r.alias("round_id"), c("player_ref").alias("player_ref")))
     return pending.select(
-        "jurisdiction", F.concat_ws("-", "session_id", "game").alias("record_key"), "part", "session_id", "game",
-        "player_ref", "first_played_at", "last_played_at", rounds.alias("rounds"), "rounds_won")
+        "jurisdiction", F.concat(F.concat_ws("-", "session_id", "game"), part_mark(c("part"))).alias("record_key"),
+        "part", "session_id", "game", F.concat("game", part_mark(c("part"))).alias("game_part"), "player_ref",
+        "first_played_at", "last_played_at", rounds.alias("rounds"), c("rounds").alias("rounds_played"), "rounds_won")
 
 
 def register_records(filings: DataFrame) -> DataFrame:
     return filings.withColumns({"period_day": F.date_format("period_start", "yyyyMMdd"),
-                                "period_month": F.date_format("period_start", "yyyyMM")})
+                                "period_month": F.date_format("period_start", "yyyyMM"),
+                                "part_no": c("part") + 1, "part_mark": part_mark(c("part"))})

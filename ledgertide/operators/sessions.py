@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import local_date, local_datetime, money
 from .core import zero
-from .ordered import hour_slices, ordered_lists, previous_instant, running_sum
+from .ordered import hour_slices, join_same, ordered_lists, parts_of, previous_instant, running_sum
 
 
 def platform_sessions(sessions: DataFrame, activity: DataFrame) -> DataFrame:
@@ -102,7 +102,8 @@ def session_summary(sessionised: DataFrame, user: str, ts: str) -> DataFrame:
 
 
 def session_round_lists(rounds: DataFrame, sessions: DataFrame, part_rows: int = 10_000) -> DataFrame:
-    """Rounds of each ended session and game, oldest first, in parts of bounded size."""
+    """Rounds of each ended session and game, oldest first, in parts of bounded size.
+    Each of the ``parts`` carries the figures of the whole session."""
     ended = sessions.filter("ended_at is not null").select("session_id")
     played = rounds.join(ended, "session_id").select("session_id", "game", "account_id", "round_id",
                                                      "round_ts", "payout")
@@ -112,7 +113,7 @@ def session_round_lists(rounds: DataFrame, sessions: DataFrame, part_rows: int =
         F.count(F.when(F.col("payout") > 0, 1)).alias("rounds_won"))
     lists = ordered_lists(played, ["session_id", "game"], ["round_ts", "round_id"], F.col("round_id"),
                           "round_ids", hour_slices(F.col("round_ts")), part_rows)
-    return lists.join(totals, ["session_id", "game"])
+    return join_same(lists, totals.withColumn("parts", parts_of(F.col("rounds"), part_rows)), ["session_id", "game"])
 
 
 def session_events(platform: DataFrame) -> DataFrame:

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from ..markets import MARKETS
 
 RUN_TS = "2026-07-08 12:00:00"
+# Part sizes at which these data fill several parts, so that split records are compared too.
+SPLIT_ROUNDS, SPLIT_PLAYERS = 1, 2
 
 SPORT_LABELS = {"ECONOMY": "Soccer", "SMALL": "  FÚTBOL ", "MEDIUM": "Lawn  Tennis",
                 "PROMO": "Basketball", "STANDARD": "Horses", "LARGE": "Padel"}

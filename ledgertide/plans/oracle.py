@@ -6,11 +6,23 @@ import re
 
 from .. import markets
 from . import oracle_documents, oracle_models  # noqa: F401  (fill CTES)
-from .derive import RUN_TS
+from .derive import RUN_TS, SPLIT_PLAYERS, SPLIT_ROUNDS
 from .oracle_feeds import CTES, text
 from .oracle_models import civil, day, norm, valid_on
 from ..operators import cdc, document_formats
 
+def _round_lists(size: int) -> str:
+    return f"""SELECT session_id, game, part, string_agg(round_id, ',' ORDER BY round_ts, round_id) AS round_ids,
+        player AS account_id, first_played_at, last_played_at, played AS rounds, rounds_won, parts
+        FROM ({oracle_documents.round_parts(size)}) GROUP BY ALL"""
+
+
+def _filings(size: int) -> str:
+    return f"""SELECT jurisdiction, register_id || '-' || strftime(period_start, '%Y-%m-%d') || {oracle_documents.MARK} AS record_key, part, parts, players,
+        CAST(count(*) AS INTEGER) AS listed, CAST(sum(stake_sum) AS DOUBLE) AS stake_sum, arg_min(player_ref, account_id) AS first_player
+        FROM ({oracle_documents.filing_parts(size)}) GROUP BY jurisdiction, register_id, period_start, part, parts, players"""
+
+
 FINAL: dict[str, str] = {}
 
 
@@ -222,10 +234,8 @@ FINAL.update({
         FROM (SELECT account_id, payment_id, requested_ts AS t,
               CASE WHEN lag(requested_ts) OVER w IS NULL OR requested_ts > lag(requested_ts) OVER w + INTERVAL 8 HOUR THEN 1 ELSE 0 END AS fresh
               FROM cdc_payments WINDOW w AS (PARTITION BY account_id ORDER BY requested_ts, payment_id))) GROUP BY 1, 2""",
-    "session_round_lists": """SELECT session_id, game, CAST(0 AS INTEGER) AS part, string_agg(round_id, ',' ORDER BY round_ts, round_id) AS round_ids,
-        min(r.account_id) AS account_id, min(round_ts) AS first_played_at, max(round_ts) AS last_played_at, count(*) AS rounds,
-        count(*) FILTER (payout > 0) AS rounds_won FROM play_rounds r JOIN stg_gaming_sessions s USING (session_id)
-        WHERE s.ended_at IS NOT NULL GROUP BY 1, 2""",
+    "session_round_lists": _round_lists(10_000),
+    "split_session_round_lists": _round_lists(SPLIT_ROUNDS),
     "session_events": """SELECT session_id, account_id, if(t.tipo = 'LOGIN', started_at, ended_at) AS at, t.tipo
         FROM stg_gaming_sessions CROSS JOIN (VALUES ('LOGIN'), ('LOGOUT')) t(tipo) WHERE ended_at IS NOT NULL""",
     "session_total_breaks": """SELECT session_id FROM (SELECT * FROM platform_sessions WHERE plays > 0) p
@@ -266,9 +276,8 @@ CTES["register_row_set"] = """
 FINAL.update({
     "register_rows": out("register_row_set", "jurisdiction register_id period_start period_end account_id opened_at bets_settled "
                          "stake_sum:d winnings_sum:d ggr_sum:d player_ref"),
-    "register_filings": """SELECT jurisdiction, register_id || '-' || strftime(period_start, '%Y-%m-%d') AS record_key, CAST(0 AS INTEGER) AS part,
-        CAST(count(*) AS INTEGER) AS players, CAST(sum(stake_sum) AS DOUBLE) AS stake_sum, arg_min(player_ref, account_id) AS first_player
-        FROM register_row_set GROUP BY 1, 2""",
+    "register_filings": _filings(5000),
+    "split_register_filings": _filings(SPLIT_PLAYERS),
     "daily_financial_summary": f"""SELECT a.jurisdiction, {day('g.occurred_at', 'm.timezone')} AS report_date, coalesce(d.canonical_game_type, 'UNMAPPED') AS game_type,
         CAST(sum(stake) AS DOUBLE) AS total_stakes, CAST(sum(payout) AS DOUBLE) AS total_winnings, CAST(sum(rake_or_fee) AS DOUBLE) AS total_commissions,
         CAST(0 AS DOUBLE) AS total_refunds FROM fct_activity g JOIN stg_accounts a USING (account_id) JOIN market m USING (jurisdiction)
@@ -679,6 +688,8 @@ def _documents() -> None:
         for kind in types:
             own = {"NL": "game_sessions", "PT": "platform_sessions"}[market] if kind == "sessions" else kind
             FINAL[f"document_{market.lower()}_{kind}"] = oracle_documents.document_sql(market, kind, own)
+    for market, kind, own in (("NL", "sessions", "game_sessions"), ("ES", "rud", "rud"), ("ES", "rut", "rut")):
+        FINAL[f"split_document_{market.lower()}_{kind}"] = oracle_documents.document_sql(market, kind, own, "_split")
     for market, kind in (("MT", "bets"), ("BG", "payments"), ("DE", "players"), ("MT", "gaming")):
         FINAL[f"document_{market.lower()}_{kind}"] = oracle_documents.document_sql(market, kind, kind)
     FINAL["numeric_ids"] = out(f"SELECT slip_id, {oracle_documents._crc(chr(39) + 'bet|' + chr(39) + ' || slip_id')} AS crc FROM cdc_bet_slips",

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from ..operators.documents import EMPTY_ELEMENT, NAMESPACE, Doc, El, Val
 from ..operators.document_formats import docs_for
-from .derive import RUN_TS
+from .derive import RUN_TS, SPLIT_PLAYERS, SPLIT_ROUNDS
 from .oracle_feeds import CTES, text
 
 ITEM_FIELDS = {"participants": {"name"}, "events": {"player_ref", "session_id", "at", "tipo"},
@@ -24,8 +24,10 @@ FIELDS = {
                "session_id", "played_at", "session_or_round", "played_day", "balance_before_stake", "balance_after_stake",
                "balance_before_credit", "balance_after_credit", "balance_net", "seq"},
     "platform_sessions": {"record_key", "session_id", "player_ref", "started_at", "ended_at", "end_reason", "events"},
-    "game_sessions": {"record_key", "session_id", "game", "player_ref", "first_played_at", "last_played_at", "rounds", "rounds_won"},
-    "filings": {"record_key", "register_id", "period_start", "period_day", "period_month", "rows"},
+    "game_sessions": {"record_key", "session_id", "game", "player_ref", "first_played_at", "last_played_at", "rounds", "rounds_won",
+                      "rounds_played", "game_part"},
+    "filings": {"record_key", "register_id", "period_start", "period_day", "period_month", "rows", "players", "parts",
+                "part_no", "part_mark"},
 }
 
 
@@ -131,9 +133,9 @@ class Sql:
         return f"coalesce(CASE WHEN {self.test(el.when)} THEN {built} END, '')" if el.when else f"coalesce({built}, '')"
 
 
-def document_sql(market: str, record_type: str, kind: str) -> str:
+def document_sql(market: str, record_type: str, kind: str, suffix: str = "") -> str:
     sql = Sql(FIELDS["filings" if kind in ("rud", "rut") else kind])
-    relation = "filing_records" if kind in ("rud", "rut") else f"records_{kind}"
+    relation = ("filing_records" if kind in ("rud", "rut") else f"records_{kind}") + suffix
     only = f" AND register_id = '{kind.upper()}'" if kind in ("rud", "rut") else ""
 
     def one(doc: Doc) -> str:
@@ -194,15 +196,42 @@ CTES.update({
         SELECT a.jurisdiction, s.session_id AS record_key, s.session_id, {_ref}, s.started_at, s.ended_at, s.end_reason
         FROM stg_gaming_sessions s JOIN stg_accounts a USING (account_id) JOIN market m USING (jurisdiction)
         WHERE m.session_grain = 'platform' AND s.ended_at IS NOT NULL AND ('sessions', s.session_id) NOT IN (SELECT record_type, record_key FROM log_keys))""",
-    "records_game_sessions": f"""SELECT jurisdiction, session_id || '-' || game AS record_key, session_id, game, player_ref, min(round_ts) AS first_played_at,
-        max(round_ts) AS last_played_at, count(*) FILTER (payout > 0) AS rounds_won,
-        list({{'round_id': round_id, 'player_ref': player_ref}} ORDER BY round_ts, round_id) AS rounds FROM (
-        SELECT a.jurisdiction, r.session_id, r.game, {_ref}, r.round_id, r.round_ts, r.payout
-        FROM play_rounds r JOIN stg_gaming_sessions s USING (session_id) JOIN stg_accounts a ON a.account_id = r.account_id JOIN market m USING (jurisdiction)
-        WHERE m.session_grain = 'per_game' AND s.ended_at IS NOT NULL
-          AND ('sessions', r.session_id || '-' || r.game) NOT IN (SELECT record_type, record_key FROM log_keys)) GROUP BY 1, 3, 4, 5""",
-    "filing_records": """SELECT jurisdiction, register_id || '-' || strftime(period_start, '%Y-%m-%d') AS record_key, register_id, period_start,
-        strftime(period_start, '%Y%m%d') AS period_day, strftime(period_start, '%Y%m') AS period_month,
-        list({'player_ref': player_ref, 'opened_at': opened_at, 'bets_settled': bets_settled, 'stake_sum': stake_sum, 'winnings_sum': winnings_sum,
-              'ggr_sum': ggr_sum} ORDER BY account_id) AS rows FROM register_row_set GROUP BY 1, 2, 3, 4, 5, 6""",
 })
+
+
+MARK = "if(part > 0, '~' || (part + 1), '')"
+
+
+def filing_parts(size: int) -> str:
+    """Register rows with the part each falls in and the players of its whole period."""
+    whole = "PARTITION BY jurisdiction, register_id, period_start"
+    return f"""SELECT *, CAST((row_number() OVER ({whole} ORDER BY account_id) - 1) // {size} AS INTEGER) AS part,
+        count(*) OVER ({whole}) AS players, CAST((count(*) OVER ({whole}) + {size - 1}) // {size} AS INTEGER) AS parts FROM register_row_set"""
+
+
+def round_parts(size: int) -> str:
+    """Rounds of ended sessions with the part each falls in and the figures of the whole session and game."""
+    whole = "PARTITION BY r.session_id, r.game"
+    return f"""SELECT r.session_id, r.game, r.account_id, r.round_id, r.round_ts,
+        CAST((row_number() OVER ({whole} ORDER BY round_ts, round_id) - 1) // {size} AS INTEGER) AS part,
+        min(r.account_id) OVER ({whole}) AS player, min(round_ts) OVER ({whole}) AS first_played_at, max(round_ts) OVER ({whole}) AS last_played_at,
+        count(*) OVER ({whole}) AS played, count(*) FILTER (payout > 0) OVER ({whole}) AS rounds_won,
+        CAST((count(*) OVER ({whole}) + {size - 1}) // {size} AS INTEGER) AS parts
+        FROM play_rounds r JOIN stg_gaming_sessions s USING (session_id) WHERE s.ended_at IS NOT NULL"""
+
+
+def _part_records(suffix: str, rounds: int, players: int) -> dict[str, str]:
+    return {
+        "records_game_sessions" + suffix: f"""SELECT * FROM (
+        SELECT a.jurisdiction, r.session_id || '-' || r.game || {MARK} AS record_key, r.session_id, r.game, r.game || {MARK} AS game_part, {_ref},
+        r.first_played_at, r.last_played_at, r.rounds_won, r.played AS rounds_played, list_transform(r.ids, lambda i: {{'round_id': i, 'player_ref': player_ref}}) AS rounds
+        FROM (SELECT session_id, game, part, player, first_played_at, last_played_at, played, rounds_won, list(round_id ORDER BY round_ts, round_id) AS ids
+              FROM ({round_parts(rounds)}) GROUP BY ALL) r JOIN stg_accounts a ON a.account_id = r.player JOIN market m USING (jurisdiction)
+        WHERE m.session_grain = 'per_game') WHERE ('sessions', record_key) NOT IN (SELECT record_type, record_key FROM log_keys)""",
+        "filing_records" + suffix: f"""SELECT jurisdiction, register_id || '-' || strftime(period_start, '%Y-%m-%d') || {MARK} AS record_key, register_id, period_start,
+        strftime(period_start, '%Y%m%d') AS period_day, strftime(period_start, '%Y%m') AS period_month, players, parts, part + 1 AS part_no, {MARK} AS part_mark,
+        list({{'player_ref': player_ref, 'opened_at': opened_at, 'bets_settled': bets_settled, 'stake_sum': stake_sum, 'winnings_sum': winnings_sum,
+              'ggr_sum': ggr_sum}} ORDER BY account_id) AS rows FROM ({filing_parts(players)}) GROUP BY ALL"""}
+
+
+CTES.update(_part_records("", 10_000, 5000) | _part_records("_split", SPLIT_ROUNDS, SPLIT_PLAYERS))

@@ -252,10 +252,19 @@ def activity_sessions(m: Models) -> DataFrame:
     return sessions.session_summary(numbered, "account_id", "requested_ts")
 
 
+def _round_lists(m: Models, **size: int) -> DataFrame:
+    df = sessions.session_round_lists(m["cdc_play_rounds"], m["stg_gaming_sessions"], **size)
+    return df.withColumn("round_ids", F.array_join("round_ids", ","))
+
+
 @plan
 def session_round_lists(m: Models) -> DataFrame:
-    df = sessions.session_round_lists(m["cdc_play_rounds"], m["stg_gaming_sessions"])
-    return df.withColumn("round_ids", F.array_join("round_ids", ","))
+    return _round_lists(m)
+
+
+@plan
+def split_session_round_lists(m: Models) -> DataFrame:
+    return _round_lists(m, part_rows=derive.SPLIT_ROUNDS)
 
 
 @plan
@@ -336,16 +345,24 @@ def register_rows(m: Models) -> DataFrame:
     return submissions.register_rows(m["fct_lifecycle"], m["dim_account"], m["market"])
 
 
-@plan
-def register_filings(m: Models) -> DataFrame:
-    rows = submissions.register_rows(m["fct_lifecycle"], m["dim_account"], m["market"])
-    filed = submissions.register_filings(rows)
+def _filings(m: Models, **size: int) -> DataFrame:
+    filed = submissions.register_filings(m["filing_rows"], **size)
     total = F.aggregate("rows", F.lit(0).cast("decimal(28,2)"),
                         lambda acc, r: (acc + r["stake_sum"]).cast("decimal(28,2)"))
-    return filed.select("jurisdiction", "record_key", "part", F.size("rows").alias("players"),
+    return filed.select("jurisdiction", "record_key", "part", "parts", "players", F.size("rows").alias("listed"),
                         total.alias("stake_sum"), c("rows")[0]["player_ref"].alias("first_player"))
 
 
+@plan
+def register_filings(m: Models) -> DataFrame:
+    return _filings(m)
+
+
+@plan
+def split_register_filings(m: Models) -> DataFrame:
+    return _filings(m, part_rows=derive.SPLIT_PLAYERS)
+
+
 @plan
 def daily_financial_summary(m: Models) -> DataFrame:
     return submissions.daily_financial_summary(m["fct_activity"], m["dim_account"], m["dim_game"], m["market"])
@@ -973,8 +990,8 @@ def numeric_ids(m: Models) -> DataFrame:
 
 # ---- regulator documents -----------------------------------------------------
 
-def _records(m: Models, kind: str) -> DataFrame:
-    """Pending deliveries of all markets as canonical records."""
+def _records(m: Models, kind: str, **size: int) -> DataFrame:
+    """Pending deliveries of all markets as canonical records; ``size`` is that of a part of a long record."""
     accounts, balances, log = m["dim_account"], m["platform_wallet"], m["cdc_delivery_log"]
     if kind == "bets":
         pending = delivery.pending_bets(m["slip_amounts"], accounts, m["market"], log)
@@ -991,18 +1008,18 @@ def _records(m: Models, kind: str) -> DataFrame:
         return records.platform_sessions(
             delivery.pending_platform_sessions(m["stg_gaming_sessions"], accounts, m["market"], log))
     if kind == "game_sessions":
-        lists = sessions.session_round_lists(m["cdc_play_rounds"], m["stg_gaming_sessions"])
+        lists = sessions.session_round_lists(m["cdc_play_rounds"], m["stg_gaming_sessions"], **size)
         return records.game_sessions(delivery.pending_game_sessions(lists, accounts, m["market"], log))
-    return records.register_records(submissions.register_filings(m["filing_rows"]))
+    return records.register_records(submissions.register_filings(m["filing_rows"], **size))
 
 
 DOCUMENT_RECORDS = {"NL": {"sessions": "game_sessions"}, "PT": {"sessions": "platform_sessions"}}
 
 
-def document_plan(market: str, record_type: str) -> Plan:
+def document_plan(market: str, record_type: str, **size: int) -> Plan:
     def run(m: Models) -> DataFrame:
         kind = DOCUMENT_RECORDS.get(market, {}).get(record_type, record_type)
-        df = _records(m, kind).filter(c("jurisdiction") == market)
+        df = _records(m, kind, **size).filter(c("jurisdiction") == market)
         if kind in ("rud", "rut"):
             df = df.filter(c("register_id") == record_type.upper())
         if market == "GR":
@@ -1018,6 +1035,10 @@ DOCUMENTS = [(k, t) for k, types in document_formats.FORMATS.items() for t in ty
 DOCUMENTS += [("MT", "bets"), ("BG", "payments"), ("DE", "players"), ("MT", "gaming")]
 for _market, _type in DOCUMENTS:
     PLANS[f"document_{_market.lower()}_{_type}"] = document_plan(_market, _type)
+SPLIT_DOCUMENTS = {("NL", "sessions"): derive.SPLIT_ROUNDS, ("ES", "rud"): derive.SPLIT_PLAYERS,
+                   ("ES", "rut"): derive.SPLIT_PLAYERS}
+for (_market, _type), _rows in SPLIT_DOCUMENTS.items():
+    PLANS[f"split_document_{_market.lower()}_{_type}"] = document_plan(_market, _type, part_rows=_rows)
 
 
 def models(spark: SparkSession, sf_dir: str) -> Models:
