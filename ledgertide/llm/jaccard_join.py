@@ -17,6 +17,8 @@ components. In the last round all pairs across components are made, each with a
 Both rounds leave out pairs whose sketches (parities of fixed size) differ in more bits than the similarity
 lets the sets differ in members; that bound is exact, so that a group of near copies costs about its size and not its square, and no link between components is lost.
 
+The first pass stores each set's name beside its text; the later ones pick the sets they need by name before they take words from any text.
+
 Frequent shingles are counted over all documents (twice the prefix length of each). They reach the tasks
 as a bit filter of fixed size; any filter gives a valid order, so a false "perhaps" changes no result.
 
@@ -115,33 +117,47 @@ def _fresh(names: np.ndarray, seen: set[int]) -> np.ndarray:
     return out
 
 
-def set_sizes(docs: DataFrame, k: int) -> DataFrame:
-    """``id, th, n, s`` of every row: its set's size and name. ``docs`` has ``id, th, t``."""
+def named_sets(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """``id, th, n, s, t`` of every row: its set's size and name; the text only where a task meets a set that can link
+    for the first time, so that later passes read no copies. ``docs`` has ``id, th, t``."""
     def read(batches):
+        seen: set[int] = set()
         for batch in batches:
             for a, b in slices(batch.column("t")):
-                h, bounds = shingle_sets(batch.column("t")[a:b], k)
+                texts = batch.column("t")[a:b]
+                h, bounds = shingle_sets(texts, k)
+                n, names = np.diff(bounds), set_names(h, bounds)
+                keep = can_link(n, percent)
+                keep[keep] = _fresh(names[keep], seen)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").slice(a, b - a), batch.column("th").slice(a, b - a), pa.array(np.diff(bounds)),
-                     pa.array(set_names(h, bounds).view(np.int64))], names=["id", "th", "n", "s"])
+                    [batch.column("id").slice(a, b - a), batch.column("th").slice(a, b - a), pa.array(n), pa.array(names.view(np.int64)),
+                     texts.take(pa.array(np.arange(len(n)), mask=~keep))], names=["id", "th", "n", "s", "t"])
 
-    return docs.mapInArrow(read, "id bigint, th bigint, n bigint, s bigint")
+    return docs.mapInArrow(read, "id bigint, th bigint, n bigint, s bigint, t string")
 
 
-def frequent_shingles(docs: DataFrame, k: int, percent: int, bits: int) -> np.ndarray:
+def texts_once(batches, wanted: np.ndarray | None = None):
+    """Names and texts, in slices, of the sets that this task meets for the first time; of those perhaps ``wanted`` if it is given."""
+    seen: set[int] = set()
+    for batch in batches:
+        names = batch.column("s").to_numpy().view(np.uint64)
+        keep = np.ones(len(names), bool) if wanted is None else perhaps(wanted, names)
+        keep[keep] = _fresh(names[keep], seen)
+        names, texts = names[keep], batch.column("t").filter(pa.array(keep))
+        for a, b in slices(texts):
+            yield names[a:b], texts[a:b]
+
+
+def frequent_shingles(sets: DataFrame, k: int, percent: int, bits: int) -> np.ndarray:
     """Bit filter of the shingles that are most often near the front under the plain hash order."""
     def read(batches):
-        seen: set[int] = set()
-        for batch in batches:
-            for a, b in slices(batch.column("t")):
-                h, bounds = shingle_sets(batch.column("t")[a:b], k)
-                n = np.diff(bounds)
-                fresh = _fresh(set_names(h, bounds), seen) & can_link(n, percent)
-                front, _ = prefixes(h, bounds, np.where(fresh, 2 * prefix_length(n, percent), 0), 1, None)
-                found, c = np.unique(front, return_counts=True)
-                yield pa.RecordBatch.from_pydict({"token": found.view(np.int64), "c": c})
-
-    counted = docs.select("t").mapInArrow(read, "token bigint, c bigint").groupBy("token").agg(F.sum("c").alias("c"))
+        for _, texts in texts_once(batches):
+            h, bounds = shingle_sets(texts, k)
+            front, _ = prefixes(h, bounds, 2 * prefix_length(np.diff(bounds), percent), 1, None)
+            found, c = np.unique(front, return_counts=True)
+            yield pa.RecordBatch.from_pydict({"token": found.view(np.int64), "c": c})
+
+    counted = sets.select("s", "t").mapInArrow(read, "token bigint, c bigint").groupBy("token").agg(F.sum("c").alias("c"))
     counted = staged(counted.where(F.col("c") > FREQUENT), "jaccard-frequent")
     level = F.floor(F.log2("c")).cast("int")
     by_level = sorted(counted.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"])
@@ -154,19 +170,16 @@ def frequent_shingles(docs: DataFrame, k: int, percent: int, bits: int) -> np.nd
     return filter_bits(counted.where(F.col("c") >= least), "token", bits)
 
 
-def meeting_rows(docs: DataFrame, late: np.ndarray, k: int, percent: int) -> DataFrame:
+def meeting_rows(sets: DataFrame, late: np.ndarray, k: int, percent: int) -> DataFrame:
     """Where two or more sets meet in a prefix of the first order: ``token, s, n`` with the smallest set's ``ls, ln``."""
-    shared = docs.sparkSession.sparkContext.broadcast(late)
+    shared = sets.sparkSession.sparkContext.broadcast(late)
 
     def deal(batches):
-        seen: set[int] = set()
-        for batch in batches:
-            for a, b in slices(batch.column("t")):
-                h, bounds = shingle_sets(batch.column("t")[a:b], k)
-                n, names = np.diff(bounds), set_names(h, bounds)
-                length = np.where(_fresh(names, seen) & can_link(n, percent), prefix_length(n, percent), 0)
-                token, owner = prefixes(h, bounds, length, 1, perhaps(shared.value, h))
-                yield pa.RecordBatch.from_pydict({"token": token.view(np.int64), "s": names[owner].view(np.int64), "n": n[owner].astype(np.int32)})
+        for names, texts in texts_once(batches):
+            h, bounds = shingle_sets(texts, k)
+            n = np.diff(bounds)
+            token, owner = prefixes(h, bounds, prefix_length(n, percent), 1, perhaps(shared.value, h))
+            yield pa.RecordBatch.from_pydict({"token": token.view(np.int64), "s": names[owner].view(np.int64), "n": n[owner].astype(np.int32)})
 
     def meet(batches):  # rows come sorted by (token, s): only the current token's first row is carried on
         token = s = n = None
@@ -194,50 +207,41 @@ def meeting_rows(docs: DataFrame, late: np.ndarray, k: int, percent: int) -> Dat
             passed = bool(len(t) - f > 1) or (bool(passed) and f == 0 and token is not None)
             token, s, n = t[f:f + 1], x[f:f + 1], m[f:f + 1]
 
-    dealt = docs.select("t").mapInArrow(deal, "token bigint, s bigint, n int")
+    dealt = sets.select("s", "t").mapInArrow(deal, "token bigint, s bigint, n int")
     # A set may be given out twice where a batch ends between its rows; what is made of the rows is distinct.
     return dealt.repartition("token").sortWithinPartitions("token", "s").mapInArrow(
         meet, "token bigint, s bigint, n int, ls bigint, ln int")
 
 
-def _of_each_set(docs: DataFrame, wanted: np.ndarray, k: int, percent: int, columns, ddl: str) -> DataFrame:
-    """One row per set that is perhaps wanted. ``columns(texts, h, bounds, at)`` gives its columns for the texts ``at``."""
-    shared = docs.sparkSession.sparkContext.broadcast(wanted)
+def _of_each_set(sets: DataFrame, wanted: np.ndarray, columns, ddl: str) -> DataFrame:
+    """One row per set that is perhaps wanted. ``columns(texts)`` gives its columns."""
+    shared = sets.sparkSession.sparkContext.broadcast(wanted)
 
     def read(batches):
-        seen: set[int] = set()
-        for batch in batches:
-            for a, b in slices(batch.column("t")):
-                texts = batch.column("t")[a:b]
-                h, bounds = shingle_sets(texts, k)
-                names = set_names(h, bounds)
-                keep = perhaps(shared.value, names) & can_link(np.diff(bounds), percent)
-                keep[keep] = _fresh(names[keep], seen)
-                if keep.any():
-                    yield pa.RecordBatch.from_pydict({"s": names[keep].view(np.int64), **columns(texts, h, bounds, np.flatnonzero(keep))})
+        for names, texts in texts_once(batches, shared.value):
+            yield pa.RecordBatch.from_pydict({"s": names.view(np.int64), **columns(texts)})
 
-    return docs.select("t").mapInArrow(read, "s bigint, " + ddl).dropDuplicates(["s"])
+    return sets.select("s", "t").mapInArrow(read, "s bigint, " + ddl).dropDuplicates(["s"])
 
 
-def other_prefixes(docs: DataFrame, wanted: np.ndarray, k: int, percent: int) -> DataFrame:
+def other_prefixes(sets: DataFrame, wanted: np.ndarray, k: int, percent: int) -> DataFrame:
     """``s``, the set's prefixes under the further orders, as 32-bit hashes, and its sketch."""
-    def columns(texts, h, bounds, at):
-        n = np.diff(bounds)
-        length = np.zeros(len(n), np.int64)
-        length[at] = prefix_length(n[at], percent)
-        sketch = sketches(h, bounds)[at].view(np.int64)
+    def columns(texts):
+        h, bounds = shingle_sets(texts, k)
+        length = prefix_length(np.diff(bounds), percent)
+        sketch = sketches(h, bounds).view(np.int64)
         out = {f"x{i}": sketch[:, i].copy() for i in range(SKETCH)}
         for seed in range(2, ORDERS + 1):
             token, owner = prefixes(h, bounds, length, seed, None)
-            cuts = np.append(np.searchsorted(owner, at), len(owner)).astype(np.int32)
+            cuts = np.searchsorted(owner, np.arange(len(texts) + 1)).astype(np.int32)
             out[f"p{seed}"] = pa.ListArray.from_arrays(pa.array(cuts), pa.array((token >> np.uint64(32)).astype(np.uint32).view(np.int32)))
         return out
 
     ddl = [*(f"x{i} bigint" for i in range(SKETCH)), *(f"p{i} array<int>" for i in range(2, ORDERS + 1))]
-    return _of_each_set(docs, wanted, k, percent, columns, ", ".join(ddl))
+    return _of_each_set(sets, wanted, columns, ", ".join(ddl))
 
 
-def verified(pairs: DataFrame, fronts: DataFrame, docs: DataFrame, k: int, percent: int, bits: int) -> DataFrame:
+def verified(pairs: DataFrame, fronts: DataFrame, sets: DataFrame, k: int, percent: int, bits: int) -> DataFrame:
     """Of the pairs ``a, b`` those whose prefixes meet under all orders and whose similarity is high enough. Texts
     are fetched only for sets of pairs that passed all orders."""
     orders = range(2, ORDERS + 1)
@@ -247,9 +251,9 @@ def verified(pairs: DataFrame, fronts: DataFrame, docs: DataFrame, k: int, perce
         both = both.where(F.arrays_overlap(f"a{i}", f"b{i}"))
     candidates = staged(both.select("a", "b"), "jaccard-candidates")
     wanted = filter_bits(candidates.select(F.explode(F.array("a", "b")).alias("s")), "s", bits)
-    sets = staged(_of_each_set(docs, wanted, k, percent, lambda texts, h, bounds, at: {"t": texts.take(pa.array(at))}, "t string"), "jaccard-sets")
-    both = (candidates.join(sets.select(F.col("s").alias("a"), F.col("t").alias("ta")), "a")
-            .join(sets.select(F.col("s").alias("b"), F.col("t").alias("tb")), "b"))
+    texts = staged(_of_each_set(sets, wanted, lambda t: {"t": t}, "t string"), "jaccard-sets")
+    both = (candidates.join(texts.select(F.col("s").alias("a"), F.col("t").alias("ta")), "a")
+            .join(texts.select(F.col("s").alias("b"), F.col("t").alias("tb")), "b"))
 
     def compare(batches):
         for batch in batches:
@@ -345,18 +349,18 @@ def across_components(placed: DataFrame, percent: int) -> DataFrame:
     return every.join(minor, met).select(F.least(one("s"), other("s")).alias("a"), F.greatest(one("s"), other("s")).alias("b")).distinct()
 
 
-def linked_sets(docs: DataFrame, k: int, percent: int, bits: int = FILTER_BITS) -> DataFrame:
-    """``s, comp`` of the sets that are linked with another. ``docs`` has ``t``."""
-    late = frequent_shingles(docs, k, percent, bits)
-    rows = staged(meeting_rows(docs, late, k, percent), "jaccard-meeting")
-    fronts = staged(other_prefixes(docs, filter_bits(rows, "s", bits), k, percent), "jaccard-prefixes")
+def linked_sets(sets: DataFrame, k: int, percent: int, bits: int = FILTER_BITS) -> DataFrame:
+    """``s, comp`` of the sets that are linked with another. ``sets`` has ``s, t``: names and texts of sets that can link, each at least once."""
+    late = frequent_shingles(sets, k, percent, bits)
+    rows = staged(meeting_rows(sets, late, k, percent), "jaccard-meeting")
+    fronts = staged(other_prefixes(sets, filter_bits(rows, "s", bits), k, percent), "jaccard-prefixes")
     stars = rows.where((F.col("s") != F.col("ls")) & compatible(F.col("n"), F.col("ln"), percent)).select(F.col("ls").alias("a"), F.col("s").alias("b")).distinct()
-    links = staged(verified(stars, fronts, docs, k, percent, bits), "jaccard-links")
+    links = staged(verified(stars, fronts, sets, k, percent, bits), "jaccard-links")
     # Second round: each set with several others that its shingles name.
-    more = verified(to_centres(still_mixed(rows, links, fronts), percent), fronts, docs, k, percent, bits)
+    more = verified(to_centres(still_mixed(rows, links, fronts), percent), fronts, sets, k, percent, bits)
     links = staged(links.unionByName(more), "jaccard-links")
     # Last round: shingles whose rows still lie in several components.
-    more = verified(across_components(still_mixed(rows, links, fronts), percent), fronts, docs, k, percent, bits)
+    more = verified(across_components(still_mixed(rows, links, fronts), percent), fronts, sets, k, percent, bits)
     return components(staged(links.unionByName(more), "jaccard-links"))
 
 
@@ -364,9 +368,9 @@ def classes(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """``id, th, n, s, comp`` of every row; ``comp`` names its component (null for empty sets)."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), text_hash(F.col("text")).alias("th"), F.col("text").alias("t"))
-    sizes = staged(set_sizes(rows, shingle), "jaccard-sizes")
-    linked = staged(linked_sets(rows, shingle, percent), "jaccard-components")
-    return sizes.join(linked, "s", "left").withColumn("comp", F.when(F.col("n") > 0, F.coalesce("comp", "s")))
+    named = staged(named_sets(rows, shingle, percent), "jaccard-sets")
+    linked = staged(linked_sets(named.where("t IS NOT NULL").select("s", "t"), shingle, percent), "jaccard-components")
+    return named.select("id", "th", "n", "s").join(linked, "s", "left").withColumn("comp", F.when(F.col("n") > 0, F.coalesce("comp", "s")))
 
 
 def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
