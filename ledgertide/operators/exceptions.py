@@ -18,14 +18,17 @@ STATE = ["entity_type", "entity_id", "reason_code", "error_class", "attempt_coun
 def validate_addresses(addresses: DataFrame, accounts: DataFrame, regions: DataFrame,
                        market: DataFrame) -> DataFrame:
     """Every address with its verdict. A malformed postcode (DATA) outranks a
-    region that is not known yet (TRANSIENT). Prefixes hold no space, so the
-    prefix match is an equality on the postcode's first word."""
+    region that is not known yet (TRANSIENT). A prefix matches where a space follows
+    it in the postcode; it may hold spaces itself. So each distinct postcode meets
+    the regions by equality on what stands before each of its spaces."""
     known = regions.select(c("postcode_prefix").alias("_prefix"), "region_name")
+    before_spaces = F.expr("transform(sequence(1, size(split(postcode, ' ')) - 1), i -> substring_index(postcode, ' ', i))")
+    regional = (addresses.filter(F.contains("postcode", F.lit(" "))).select("postcode").distinct()
+                .select("postcode", F.explode(F.array_distinct(before_spaces)).alias("_prefix"))
+                .join(known, "_prefix").select("postcode", "region_name"))
     rules = market.select("jurisdiction", "postcode_pattern", "region_required")
-    first = F.when(F.contains("postcode", F.lit(" ")), F.substring_index("postcode", " ", 1))
     df = (addresses.join(accounts.select("account_id", "jurisdiction"), "account_id")
-          .join(rules, "jurisdiction", "left").withColumn("_prefix", first)
-          .join(known, "_prefix", "left"))
+          .join(rules, "jurisdiction", "left").join(regional, "postcode", "left"))
     valid = F.coalesce(F.when(c("postcode_pattern").isNotNull(),
                               matches(c("postcode"), c("postcode_pattern"))).otherwise(True), F.lit(True))
     missing = F.coalesce("region_required", F.lit(False)) & c("region_name").isNull()

@@ -246,9 +246,9 @@ FINAL.update({
         WHERE slip_status = 'SETTLED' OR include_voided GROUP BY ALL""",
     "carried_attributes": "SELECT slip_id, " + ", ".join(markets.CARRIED) + " FROM attributes",
     "winnings_withholding": "SELECT slip_id, CAST(payout AS DOUBLE) AS payout, " + ", ".join(
-        "CAST(round(" + " + ".join(f"{r} * greatest({f'least({p}, {hi})' if hi else p} - {lo}, 0)" for _, lo, hi, r in markets.WITHHOLDING)
-        + f", 2) AS DOUBLE) AS {n}" for p, n in (("payout", "tax"), ("(payout * 10)", "tax_on_tenfold")))
-        + " FROM reportable WHERE jurisdiction = 'GR'",
+        "CASE WHEN jurisdiction = 'GR' THEN CAST(round(" + " + ".join(f"{r} * greatest({f'least({p}, {hi})' if hi else p} - {lo}, 0)" for _, lo, hi, r in markets.WITHHOLDING)
+        + f", 2) AS DOUBLE) END AS {n}" for p, n in (("payout", "tax"), ("(payout * 10)", "tax_on_tenfold")))
+        + " FROM reportable",
     "vertical_tax": """SELECT b.jurisdiction, CAST(sum(stake) AS DOUBLE) AS total_stake, CAST(round(sum(stake * coalesce(rate, 0)), 2) AS DOUBLE) AS tax_due
         FROM settled_bets b LEFT JOIN vertical_rates r USING (jurisdiction, vertical)
         WHERE b.jurisdiction IN (SELECT jurisdiction FROM vertical_rates) GROUP BY 1""",

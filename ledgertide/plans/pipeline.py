@@ -22,11 +22,13 @@ from ..sources import landing as landing_source
 
 
 def work_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a temporary folder only where the
-    session names none, as in local tests."""
+    """``spark.checkpoint.dir`` of the session; a temporary folder only where a
+    local session names none, as in tests. A cluster must name one."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return f"{configured.rstrip('/')}/ledgertide"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     global _LOCAL_FOLDER
     _LOCAL_FOLDER = _LOCAL_FOLDER or tempfile.mkdtemp(prefix="spark-ledgertide-")
     return _LOCAL_FOLDER

@@ -302,7 +302,7 @@ def carried_attributes(m: Models) -> DataFrame:
 
 @plan
 def winnings_withholding(m: Models) -> DataFrame:
-    df = m["reportable"].filter("jurisdiction = 'GR'")
+    df = m["reportable"]  # NULL in markets that withhold nothing
     # the derived payouts are small, so the brackets are also met at ten times the amount
     return df.select("slip_id", "payout", submissions.withholding(c("payout"), c("jurisdiction")).alias("tax"),
                      submissions.withholding((c("payout") * 10).cast("decimal(18,2)"), c("jurisdiction"))
