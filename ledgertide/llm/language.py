@@ -72,7 +72,7 @@ def page_evidence(pages: DataFrame, langs: list[str], model: np.ndarray, evidenc
                 html = source.as_py() or ""
                 found = _DECLARED.search(html)
                 declared.append(found.group(1).lower() if found else None)
-                at = trigram_buckets(main_text(read_page(html), set()).lower().encode("utf-8", "replace"), buckets)
+                at = trigram_buckets(main_text(read_page(html), {}).lower().encode("utf-8", "replace"), buckets)
                 total = table_[:, at].sum(axis=1) * min(1.0, evidence / max(1, len(at)))
                 scores.append((total - total.max()).tolist())
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("host"), pa.array(declared, pa.string()),

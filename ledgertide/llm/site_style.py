@@ -6,10 +6,12 @@ text). A node's importance joins the entropies of both, relative to the largest
 and reads the same on every page has importance near 0 and is removed, a branch that differs from page to page is kept. A
 node seen on one page only has importance 1.
 
-Entropy alone can't tell an advert that changes with each page from an article, nor an article that a host repeats from a
-notice. So elements whose tag, role, class or id says what they are enter with a fixed importance: menus, headers, footers,
-sidebars, notices, adverts, forms, scripts, styles and reader comments with 0, ``article`` and ``main`` with 1. Where a
-page has such a main element with text, its text is taken; elsewhere all branches of high enough importance.
+Entropy alone can't tell an advert that changes with each page from an article. So elements whose tag, role, class or id
+says what they are add a prior to the importance of the nodes in them: menus, headers, footers, sidebars, notices, adverts,
+forms and reader comments ``NOISE_PRIOR``, which outweighs any entropy, ``article`` and ``main`` ``MAIN_PRIOR``. All
+branches are counted, and on every page a block is taken if the importance of its lowest node and its prior are together
+at least ``LOW_IMPORTANCE``, so a marked branch is dropped if its text is the same on many pages, and an unmarked one that
+differs from page to page is kept beside an article. Scripts, styles and other elements without text to read are cut.
 
 The tree is built by grouped counts, so a host with a third of all pages is summed up before it is shuffled. Each page
 meets its host's list of low nodes, by broadcast if the lists are proven small, else by a shuffled join.
@@ -34,6 +36,9 @@ from ledgertide.llm.common import staged, table
 
 LOW_IMPORTANCE = 0.2
 PRESENTATION_SHARE = 0.2
+NOISE_PRIOR = -0.85
+MAIN_PRIOR = 0.18
+SMOOTHING = 0.4  # unseen pages on which a node differs, added to those seen
 MIN_PAGES = 8
 BROADCAST_ROWS = 100_000
 
@@ -42,8 +47,8 @@ BLOCKS = set("""address article aside blockquote body caption center dd details
 footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section
 select summary table tbody td tfoot th thead tr ul""".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-NOISE_TAGS = set("""aside audio button canvas datalist dialog footer form head iframe input map menu nav noscript object script
-search select style svg template textarea title video""".split())
+CUT = set("audio canvas datalist head iframe noscript object script style svg template textarea title video".split())
+NOISE_TAGS = set("aside button dialog footer form input map menu nav search select".split())
 NOISE_ROLES = set("banner complementary contentinfo navigation search form dialog alertdialog menu menubar toolbar alert".split())
 NOISE_NAMES = set("""ad ads adbox advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie
 cookies disclaimer disqus footer form gdpr login menu modal nav navbar navigation newsletter notice notices pager pagination popup promo
@@ -73,42 +78,46 @@ def node_id(parent: int, tag: str, names: str) -> int:
     return _node_ids[key]
 
 
+def text_id(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
 @dataclass(slots=True)
 class Element:
     tag: str
     node: int
+    cut: bool
     noise: bool
     main: bool
-    lineage: tuple[int, ...]
     children: list[str] = field(default_factory=list)
 
 
 @dataclass
 class Page:
-    blocks: list = field(default_factory=list)  # (lineage, in main, text)
+    blocks: list = field(default_factory=list)  # (node, prior, text)
     presentations: dict = field(default_factory=dict)  # node -> children's tags
 
 
 def read_page(source: str) -> Page:
-    """The blocks of a page outside elements that say they are no main text, and the presentation of its nodes."""
+    """All blocks of a page with their priors, and the presentation of its nodes."""
     page = Page()
-    root = Element("", 0, False, False, ())
+    root = Element("", 0, False, False, False)
     stack, text, at = [root], [], 0
 
     def flush() -> None:
         if text:
             top = stack[-1]
-            if not top.noise:
+            if not top.cut:
                 words = html.unescape("".join(text)).split()
                 if words:
-                    block = next((e for e in reversed(stack) if e.tag in BLOCKS or e is root))
-                    page.blocks.append((block.lineage, block.main, " ".join(words)))
+                    prior = NOISE_PRIOR if top.noise else MAIN_PRIOR if top.main else 0.0
+                    page.blocks.append((top.node, prior, " ".join(words)))
             text.clear()
 
     def close(depth: int) -> None:
         while len(stack) > depth:
             done = stack.pop()
-            if done.children and not done.noise:
+            if done.children and not done.cut:
                 page.presentations[done.node] = " ".join(done.children)
 
     for match in _TOKEN.finditer(source):
@@ -122,7 +131,7 @@ def read_page(source: str) -> Page:
         if match.group(2):
             depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
             if depth:
-                if any(e.tag in BLOCKS for e in stack[depth:]):
+                if any(e.tag in BLOCKS or e.node != stack[depth - 1].node or e.cut for e in stack[depth:]):
                     flush()
                 close(depth)
             continue
@@ -153,13 +162,15 @@ def read_page(source: str) -> Page:
         names = {p for k, v in found if k != "role" for p in _PARTS.findall(v.lower())}
         roles = {v.strip().lower() for k, v in found if k == "role"}
         main = parent.main or ((tag in ("article", "main") or "main" in roles or "article" in roles) and not parent.noise)
+        cut = parent.cut or tag in CUT
         noise = (parent.noise or tag in NOISE_TAGS or bool(roles & NOISE_ROLES)
                  or (tag not in ("html", "body", "main") and bool(names & NOISE_NAMES))
                  or (not parent.main and (tag == "header" or (tag not in ("html", "body", "h1") and bool(names & SITE_HEADER)))))
-        if noise and not parent.noise:
+        if (noise and not parent.noise) or (cut and not parent.cut):
             flush()
-        node = node_id(parent.node, tag, " ".join(sorted(v for k, v in found if k != "role"))) if block else parent.node
-        stack.append(Element(tag, node, noise, main and not noise, (*parent.lineage, node) if block else parent.lineage))
+        own = block or (noise and not parent.noise)
+        node = node_id(parent.node, tag, " ".join(sorted(v for _, v in found))) if own else parent.node
+        stack.append(Element(tag, node, cut, noise, main and not noise))
     if at < len(source):
         text.append(source[at:])
     flush()
@@ -167,10 +178,9 @@ def read_page(source: str) -> Page:
     return page
 
 
-def main_text(page: Page, low: set[int]) -> str:
-    """Blocks joined by a line end: those of main elements where there are any, else those of no low branch."""
-    inside = [t for _, main, t in page.blocks if main]
-    return "\n".join(inside or [t for lineage, _, t in page.blocks if not low.intersection(lineage)])
+def main_text(page: Page, importance: dict[int, float], low_importance: float = LOW_IMPORTANCE) -> str:
+    """Blocks joined by a line end whose joint importance is high enough; a node that isn't listed has importance 1."""
+    return "\n".join(t for node, prior, t in page.blocks if importance.get(node, 1.0) + prior >= low_importance)
 
 
 def host_of(url: Column) -> Column:
@@ -178,23 +188,20 @@ def host_of(url: Column) -> Column:
 
 
 def site_nodes(pages: DataFrame) -> DataFrame:
-    """One row per node of each page: ``host, node, presentation, content`` (hashes; null where a node has none)."""
+    """One row per node with text of each page: ``host, node, look, content`` (hashes; a look is null where a node has none)."""
     def read(batches):
         for batch in batches:
             hosts, nodes, looks, contents = [], [], [], []
             for host, source in zip(batch.column("host").to_pylist(), batch.column("html")):
                 page = read_page(source.as_py() or "")
                 texts: dict[int, list[str]] = {}
-                for lineage, _, text in page.blocks:
-                    for node in set(lineage):
-                        texts.setdefault(node, []).append(text)
-                for node in texts.keys() | page.presentations.keys():
+                for node, _, text in page.blocks:
+                    texts.setdefault(node, []).append(text)
+                for node, body in texts.items():
                     hosts.append(host)
                     nodes.append(node)
                     looks.append(node_id(0, "look", page.presentations[node]) if node in page.presentations else None)
-                    body = "\n".join(texts[node]) if node in texts else None
-                    contents.append(None if body is None else int.from_bytes(
-                        hashlib.blake2b(body.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True))
+                    contents.append(text_id("\n".join(body)))
             yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), *(pa.array(c, pa.int64()) for c in (nodes, looks, contents))],
                                              names=["host", "node", "look", "content"])
 
@@ -209,7 +216,8 @@ def node_importance(nodes: DataFrame) -> DataFrame:
         per = counts.groupBy("host", "node").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.ln("c")).alias("s"))
         m = F.col("m")
         return per.select("host", "node", m.alias(f"{column}_pages"),
-                          F.when(m > 1, (F.ln(m) - F.col("s") / m) / F.ln(m)).otherwise(1.0).alias(f"{column}_entropy"))
+                          F.when(m > 1, ((F.ln(m) - F.col("s") / m) / F.ln(m) * m + SMOOTHING) / (m + SMOOTHING)).otherwise(1.0)
+                          .alias(f"{column}_entropy"))
 
     both = entropy("look").join(entropy("content"), ["host", "node"], "full")
     look, content = F.col("look_entropy"), F.col("content_entropy")
@@ -223,7 +231,7 @@ def extract_main_text(pages: DataFrame, low_importance: float = LOW_IMPORTANCE,
     # Entropies sum in another order on another run: rounding keeps the verdict the same.
     tree = node_importance(staged(site_nodes(pages), "site-nodes"))
     low = (tree.where((F.col("pages") >= min_pages) & (F.round("importance", 9) < low_importance))
-           .groupBy("host").agg(F.array_sort(F.collect_list("node")).alias("low")))
+           .groupBy("host").agg(F.array_sort(F.collect_list(F.struct("node", F.round("importance", 9).alias("importance")))).alias("low")))
     low = staged(low, "site-low")
     bounded = (low.agg(F.coalesce(F.sum(F.size("low")), F.lit(0)).alias("n")).first()["n"] or 0) <= BROADCAST_ROWS
     rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
@@ -231,7 +239,7 @@ def extract_main_text(pages: DataFrame, low_importance: float = LOW_IMPORTANCE,
 
     def extract(batches):
         for batch in batches:
-            texts = [main_text(read_page(source.as_py() or ""), set(nodes.as_py() or ()))
+            texts = [main_text(read_page(source.as_py() or ""), {x["node"]: x["importance"] for x in nodes.as_py() or ()}, low_importance)
                      for source, nodes in zip(batch.column("html"), batch.column("low"))]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
                                              names=["page_id", "url", "text"])
