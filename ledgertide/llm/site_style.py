@@ -4,7 +4,9 @@ Pages of one host are merged into a style tree: a node is a path of elements (ta
 Over the host's pages each node has a distribution of presentations (the sequence of its children's tags) and of contents (its
 text). A node's importance joins the entropies of both, relative to the largest possible: a branch that looks
 and reads the same on every page has importance near 0 and is removed, a branch that differs from page to page is kept. A
-node seen on one page only has importance 1.
+node seen on one page only has importance 1. Copies of a page (equal text outside noise elements) count as one page of
+their host, and ``SMOOTHING`` lets two pages decide as well as thousands. Only the node that holds a text is judged, never its
+ancestors; ``html`` and ``body`` are no nodes, and text that stands right in them is taken.
 
 Entropy alone can't tell an advert that changes with each page from an article. So elements whose tag, role, class or id
 says what they are add a prior to the importance of the nodes in them: menus, headers, footers, sidebars, notices, adverts,
@@ -16,7 +18,7 @@ differs from page to page is kept beside an article. Scripts, styles and other e
 The tree is built by grouped counts, so a host with a third of all pages is summed up before it is shuffled. Each page
 meets its host's list of low nodes, by broadcast if the lists are proven small, else by a shuffled join.
 
-Defined results: a null or empty page has an empty text. A null address belongs to host ''. Repeated rows count each.
+Defined results: a null or empty page has an empty text. A null address belongs to host ''. Repeated rows have a text each.
 Broken markup is read as far as it goes: unclosed elements end with their parent, stray ``<`` are text.
 An empty table gives an empty result. Extra columns are ignored.
 """
@@ -39,7 +41,6 @@ PRESENTATION_SHARE = 0.2
 NOISE_PRIOR = -0.85
 MAIN_PRIOR = 0.18
 SMOOTHING = 0.4  # unseen pages on which a node differs, added to those seen
-MIN_PAGES = 8
 BROADCAST_ROWS = 100_000
 
 # Fixed values of the markup language.
@@ -168,7 +169,7 @@ def read_page(source: str) -> Page:
                  or (not parent.main and (tag == "header" or (tag not in ("html", "body", "h1") and bool(names & SITE_HEADER)))))
         if (noise and not parent.noise) or (cut and not parent.cut):
             flush()
-        own = block or (noise and not parent.noise)
+        own = tag not in ("html", "body") and (block or (noise and not parent.noise))
         node = node_id(parent.node, tag, " ".join(sorted(v for _, v in found))) if own else parent.node
         stack.append(Element(tag, node, cut, noise, main and not noise))
     if at < len(source):
@@ -188,29 +189,36 @@ def host_of(url: Column) -> Column:
 
 
 def site_nodes(pages: DataFrame) -> DataFrame:
-    """One row per node with text of each page: ``host, node, look, content`` (hashes; a look is null where a node has none)."""
+    """One row per node with text of each page: ``host, page, node, look, content`` (hashes; copies of a page have one
+    ``page``; a look is null where a node has none)."""
     def read(batches):
         for batch in batches:
-            hosts, nodes, looks, contents = [], [], [], []
+            hosts, copies, nodes, looks, contents = [], [], [], [], []
             for host, source in zip(batch.column("host").to_pylist(), batch.column("html")):
                 page = read_page(source.as_py() or "")
+                told = [t for _, prior, t in page.blocks if prior > NOISE_PRIOR]
+                copy = text_id("\n".join(told or [t for _, _, t in page.blocks]))
                 texts: dict[int, list[str]] = {}
                 for node, _, text in page.blocks:
-                    texts.setdefault(node, []).append(text)
+                    if node:
+                        texts.setdefault(node, []).append(text)
                 for node, body in texts.items():
                     hosts.append(host)
+                    copies.append(copy)
                     nodes.append(node)
                     looks.append(node_id(0, "look", page.presentations[node]) if node in page.presentations else None)
                     contents.append(text_id("\n".join(body)))
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), *(pa.array(c, pa.int64()) for c in (nodes, looks, contents))],
-                                             names=["host", "node", "look", "content"])
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), *(pa.array(c, pa.int64()) for c in (copies, nodes, looks, contents))],
+                                             names=["host", "page", "node", "look", "content"])
 
     rows = pages.select(host_of(F.col("url")).alias("host"), "html")
-    return rows.mapInArrow(read, "host string, node bigint, look bigint, content bigint")
+    return rows.mapInArrow(read, "host string, page bigint, node bigint, look bigint, content bigint")
 
 
 def node_importance(nodes: DataFrame) -> DataFrame:
-    """``host, node, pages, importance`` from the entropies of presentation and content."""
+    """``host, node, pages, importance`` from the entropies of presentation and content over a host's distinct pages."""
+    nodes = nodes.groupBy("host", "node", "page").agg(F.min("look").alias("look"), F.min("content").alias("content"))
+
     def entropy(column: str) -> DataFrame:
         counts = nodes.where(F.col(column).isNotNull()).groupBy("host", "node", column).agg(F.count("*").alias("c"))
         per = counts.groupBy("host", "node").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.ln("c")).alias("s"))
@@ -226,11 +234,11 @@ def node_importance(nodes: DataFrame) -> DataFrame:
     return both.select("host", "node", F.greatest("look_pages", "content_pages").alias("pages"), joined.alias("importance"))
 
 
-def extract_main_text(pages: DataFrame, low_importance: float = LOW_IMPORTANCE, min_pages: int = MIN_PAGES) -> DataFrame:
+def extract_main_text(pages: DataFrame, low_importance: float = LOW_IMPORTANCE) -> DataFrame:
     """``page_id, url, text`` of every page."""
     # Entropies sum in another order on another run: rounding keeps the verdict the same.
     tree = node_importance(staged(site_nodes(pages), "site-nodes"))
-    low = (tree.where((F.col("pages") >= min_pages) & (F.round("importance", 9) < low_importance))
+    low = (tree.where(F.round("importance", 9) < low_importance)
            .groupBy("host").agg(F.array_sort(F.collect_list(F.struct("node", F.round("importance", 9).alias("importance")))).alias("low")))
     low = staged(low, "site-low")
     bounded = (low.agg(F.coalesce(F.sum(F.size("low")), F.lit(0)).alias("n")).first()["n"] or 0) <= BROADCAST_ROWS

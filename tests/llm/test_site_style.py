@@ -13,3 +13,16 @@ def test_the_tree_decides_beside_and_inside_a_marked_article(spark):
             '<article><h2>Teaser {i}</h2><div class="club">Join the club</div></article><div class="ad">Buy {i}</div></body></html>')
     got = texts(spark, [(i, f"http://a.example.org/{i}", page.format(i=i)) for i in range(30)])
     assert all(got[i] == f"Story {i}\nTeaser {i}" for i in range(30))
+
+
+def test_copies_count_once_and_small_hosts_are_judged(spark):
+    page = "<html><body class=p{i}><ul><li>Start<li>Shop</ul><div><p>Story {i}</p></div></body></html>"
+    rows = [(i, "http://copies.example.org/", page.format(i=0)) for i in range(20)]
+    rows += [(100 + i, "http://most.example.org/", page.format(i=max(0, i - 80))) for i in range(100)]
+    rows += [(300 + i, "http://two.example.org/", page.format(i=i)) for i in range(2)]
+    rows += [(400 + i, "http://bare.example.org/", "<body>All the same<p>Part " + str(i)) for i in range(9)]
+    got = texts(spark, rows)
+    assert all(got[i] == "Start\nShop\nStory 0" for i in range(20))  # one page only: nothing to tell the menu by
+    assert all(got[100 + i] == f"Story {max(0, i - 80)}" for i in range(100))
+    assert [got[300], got[301]] == ["Story 0", "Story 1"]
+    assert all(got[400 + i] == f"All the same\nPart {i}" for i in range(9))
