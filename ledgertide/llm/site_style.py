@@ -15,11 +15,18 @@ branches are counted, and on every page a block is taken if the importance of it
 at least ``LOW_IMPORTANCE``, so a marked branch is dropped if its text is the same on many pages, and an unmarked one that
 differs from page to page is kept beside an article. Scripts, styles and other elements without text to read are cut.
 
+A class or id says so as a whole word, or joined only with words of place or shape (``site-footer``, not ``no-sidebar``); one
+of a heading, which names what follows, says nothing. A wrapper is no noise by its name, nor is a form: an element that
+holds the page's first ``article`` or ``main``, or its first ``h1``, or, where no article is marked outside it, most of the page's
+text. Elements that are noise by tag or role stay so unless they hold both the first article and most of the text, as an unclosed
+menu does.
+
 The tree is built by grouped counts, so a host with a third of all pages is summed up before it is shuffled. Each page
 meets its host's list of low nodes, by broadcast if the lists are proven small, else by a shuffled join.
 
 Defined results: a null or empty page has an empty text. A null address belongs to host ''. Repeated rows have a text each.
-Broken markup is read as far as it goes: unclosed elements end with their parent, stray ``<`` are text.
+Broken markup is read as far as it goes: unclosed elements end with their parent (scripts, styles, titles and comments with the
+page, as in browsers), stray ``<`` are text.
 An empty table gives an empty result. Extra columns are ignored.
 """
 
@@ -29,6 +36,7 @@ import hashlib
 import html
 import re
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,16 +64,20 @@ cookies disclaimer disqus footer form gdpr login menu modal nav navbar navigatio
 promoted related reply replies respond search share sharing sidebar signup skip social sponsor sponsored subscribe toolbar
 widget widgets""".split())
 SITE_HEADER = {"header", "masthead", "topbar"}
+PLACE_NAMES = set("""area bar block bottom box button buttons container footer global group inner item items left link links list main outer page
+primary right secondary section site top wrap wrapper""".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+HEAD_ONLY = set("base link meta noscript object script style template title".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
           "option": {"option"}}
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"},
           "option": {"select"}}
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title|noscript|template|iframe|svg)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title|iframe)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>", re.S | re.I)
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-_PARTS = re.compile(r"[a-z0-9]+")
+_PARTS = re.compile(r"[-_:.]+")
 _node_ids: dict[tuple, int] = {}
 
 
@@ -83,12 +95,20 @@ def text_id(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
+@lru_cache(100_000)
+def says_noise(name: str, header: bool) -> bool:
+    """Whether a class or id as a whole says that its element is no main text."""
+    telling = NOISE_NAMES | SITE_HEADER if header else NOISE_NAMES
+    parts = [p for p in _PARTS.split(name) if p]
+    return any(p in telling for p in parts) and all(p in telling or p in PLACE_NAMES or p.isdigit() for p in parts)
+
+
 @dataclass(slots=True)
 class Element:
     tag: str
     node: int
     cut: bool
-    noise: bool
+    noise: tuple[int, ...]  # numbers of the elements around it, itself included, that may be noise
     main: bool
     children: list[str] = field(default_factory=list)
 
@@ -102,17 +122,17 @@ class Page:
 def read_page(source: str) -> Page:
     """All blocks of a page with their priors, and the presentation of its nodes."""
     page = Page()
-    root = Element("", 0, False, False, False)
+    root = Element("", 0, False, (), False)
     stack, text, at = [root], [], 0
+    found_blocks: list[tuple[Element, str]] = []
+    by_name: list[bool] = []  # of each element that may be noise: whether its name says so, or it is a form
+    first: dict[str, tuple[int, ...]] = {}  # the first h1 and the first article, with what may be noise around them
 
     def flush() -> None:
         if text:
-            top = stack[-1]
-            if not top.cut:
-                words = html.unescape("".join(text)).split()
-                if words:
-                    prior = NOISE_PRIOR if top.noise else MAIN_PRIOR if top.main else 0.0
-                    page.blocks.append((top.node, prior, " ".join(words)))
+            words = html.unescape("".join(text)).split()
+            if words:
+                found_blocks.append((next(e for e in reversed(stack) if not e.cut), " ".join(words)))
             text.clear()
 
     def close(depth: int) -> None:
@@ -122,7 +142,7 @@ def read_page(source: str) -> Page:
                 page.presentations[done.node] = " ".join(done.children)
 
     for match in _TOKEN.finditer(source):
-        if match.start() > at:
+        if match.start() > at and not stack[-1].cut:
             text.append(source[at:match.start()])
         at = match.end()
         tag = match.group(3)
@@ -132,13 +152,22 @@ def read_page(source: str) -> Page:
         if match.group(2):
             depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
             if depth:
-                if any(e.tag in BLOCKS or e.node != stack[depth - 1].node or e.cut for e in stack[depth:]):
+                if any(e.tag in BLOCKS or e.node != stack[depth - 1].node for e in stack[depth:]):
                     flush()
                 close(depth)
             continue
         block = tag in BLOCKS
+        if tag not in HEAD_ONLY:  # anything else ends an open head
+            depth = next((i for i in range(1, min(len(stack), 4)) if stack[i].tag == "head"), 0)
+            if depth:
+                flush()
+                close(depth)
         if block:
             flush()
+            for i in range(len(stack) - 1, 0, -1):  # a block ends an open drawing
+                if stack[i].tag == "svg":
+                    close(i)
+                    break
             for i in range(len(stack) - 1, 0, -1):  # a block ends an open paragraph
                 if stack[i].tag == "p":
                     close(i)
@@ -156,26 +185,45 @@ def read_page(source: str) -> Page:
         parent = stack[-1]
         if not parent.children or parent.children[-1] != tag:
             parent.children.append(tag)
-        if tag in VOID:
-            continue
         attributes = match.group(4)
+        if tag in VOID or (attributes.endswith("/") and (tag == "svg" or any(e.tag == "svg" for e in stack))):
+            continue
         found = [(k.lower(), a or b or c) for k, a, b, c in _NAMES.findall(attributes)] if attributes else []
-        names = {p for k, v in found if k != "role" for p in _PARTS.findall(v.lower())}
+        names = [n for k, v in found if k != "role" for n in v.lower().split()]
         roles = {v.strip().lower() for k, v in found if k == "role"}
-        main = parent.main or ((tag in ("article", "main") or "main" in roles or "article" in roles) and not parent.noise)
+        article = tag in ("article", "main") or "main" in roles or "article" in roles
         cut = parent.cut or tag in CUT
-        noise = (parent.noise or tag in NOISE_TAGS or bool(roles & NOISE_ROLES)
-                 or (tag not in ("html", "body", "main") and bool(names & NOISE_NAMES))
-                 or (not parent.main and (tag == "header" or (tag not in ("html", "body", "h1") and bool(names & SITE_HEADER)))))
-        if (noise and not parent.noise) or (cut and not parent.cut):
+        header = not parent.main
+        named = tag not in ("html", "body", "main") and tag not in HEADINGS and any(says_noise(n, header) for n in names)
+        noise = parent.noise
+        if not cut and (named or tag in NOISE_TAGS or roles & NOISE_ROLES or (header and tag == "header")):
+            noise = (*noise, len(by_name))
+            by_name.append(not (tag in NOISE_TAGS - {"form"} or roles & NOISE_ROLES - {"form"} or (header and tag == "header")))
+        if article and not cut and not all(says_noise(n, header) for n in names or [""]):
+            first.setdefault("article", noise)
+        elif tag == "h1" and not cut and all(by_name[k] for k in noise):
+            first.setdefault("h1", noise)
+        if noise != parent.noise:
             flush()
-        own = tag not in ("html", "body") and (block or (noise and not parent.noise))
+        own = tag not in ("html", "body") and (block or noise != parent.noise)
         node = node_id(parent.node, tag, " ".join(sorted(v for _, v in found))) if own else parent.node
-        stack.append(Element(tag, node, cut, noise, main and not noise))
-    if at < len(source):
+        stack.append(Element(tag, node, cut, noise, parent.main or article))
+    if at < len(source) and not stack[-1].cut:
         text.append(source[at:])
     flush()
     close(1)
+    chars = [0] * len(by_name)
+    for top, words in found_blocks:
+        for k in top.noise:
+            chars[k] += len(words)
+    half = sum(len(words) for _, words in found_blocks) / 2
+    around = set(first.get("article", ()))
+    wrappers = {k for k, named in enumerate(by_name) if (
+        k in around or k in first.get("h1", ()) or ("article" not in first and chars[k] > half) if named
+        else k in around and chars[k] > half)}
+    for top, words in found_blocks:
+        prior = NOISE_PRIOR if not wrappers.issuperset(top.noise) else MAIN_PRIOR if top.main else 0.0
+        page.blocks.append((top.node, prior, words))
     return page
 
 
