@@ -20,7 +20,7 @@ from ledgertide.llm.decontaminate import without_contaminated
 from ledgertide.llm.jaccard_join import one_of_each_group
 from ledgertide.llm.mixing import mixed_documents
 from ledgertide.llm.quality_rules import good_documents
-from ledgertide.llm.sharding import shard
+from ledgertide.llm.sharding import shard, written_order
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,10 +44,12 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document with its shard and its slot there; both are named so that no column of the documents is lost."""
+    """Each document with its shard and its slot there, in training order: slots follow the order in which the mix was
+    written. Both are named so that no column of the documents is lost."""
     kept = [c for c in docs.columns if c.lower() not in ("shard", "slot", "size", "text_crc32", "home")]
     whole = F.struct(*[F.col(f"`{c}`") for c in kept])
-    out = shard(docs.withColumn("__columns", whole), carry=["__columns"])
+    rows = written_order(docs).withColumn("__columns", whole)
+    out = shard(rows, carry=["__columns"], order=["__part", "__file", "__row"])
     return out.select("__columns.*", "size", "text_crc32", "home", "shard", "slot")
 
 

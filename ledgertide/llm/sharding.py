@@ -9,7 +9,9 @@ most. Only overflowing rows leave the shard that plain hashing gives them.
 Rows are counted per cell (arc and the leading bits of the hash) before anything is placed. The ring's state
 then has one row per arc, a number fixed by the parameters, and is walked in SQL. Each row's rank within its arc
 is its cell's offset plus its rank within the cell, so no task sorts more than one cell. Slots follow from the same
-figures without another shuffle of rows.
+figures without another shuffle of rows. Where the rows have an order, slots follow it: rows are counted per shard and chunk of
+the order, and a row's slot is its chunk's offset plus its rank in the chunk, so copies of a row, which share a place on
+the ring, stand as far apart in their shard as they do in the order.
 
 Defined results: a null text has size 8 and CRC-32 0 (as the empty text). A null id hashes by its text.
 Repeated rows are rows of their own; ties within a cell are ordered by id, CRC and size, and rows equal in all
@@ -28,6 +30,7 @@ SHARDS = 24
 VIRTUAL_NODES = 64
 CELLS = 1 << 14
 RING = 1 << 60
+CHUNK_BITS = 12
 
 
 def ring(spark: SparkSession, shards: int, virtual_nodes: int) -> DataFrame:
@@ -112,17 +115,28 @@ def placements(arcs: DataFrame, counts: DataFrame, shards: int, epsilon: float)
         "slot0", F.coalesce(F.sum(F.col("to_rank") - F.col("from_rank")).over(w), F.lit(0)))
 
 
+def written_order(docs: DataFrame) -> DataFrame:
+    """Rows read from files with ``__part``, ``__file`` and ``__row``, by which they stand in the order in which a sorted table was
+    written: tasks number their files, and write their rows in order."""
+    file = docs.metadataColumn("_metadata")
+    part = F.regexp_extract(file["file_name"], r"^part-(\d{1,9})", 1)
+    return docs.select("*", F.when(part != "", part).cast("int").alias("__part"), file["file_path"].alias("__file"),
+                       file["row_index"].alias("__row"))
+
+
 def shard(docs: DataFrame, shards: int = SHARDS, virtual_nodes: int = VIRTUAL_NODES, epsilon: float = 0.0,
-          cells: int = CELLS, carry: list[str] | None = None) -> DataFrame:
+          cells: int = CELLS, carry: list[str] | None = None, order: list[str] | None = None) -> DataFrame:
     """Rows with ``size``, ``text_crc32``, ``home`` (the shard of plain hashing), ``shard`` and ``slot``, besides the
-    carried columns (default doc_id)."""
+    carried columns (default doc_id). ``order`` names columns that tell all rows apart, the last a row number; slots follow
+    it."""
     carry = carry or ["doc_id"]
     spark = docs.sparkSession
     names = [f"c{i}" for i in range(len(carry))]
+    nth = [f"n{i}" for i in range(len(order or []))]
     text = F.coalesce(F.col("text"), F.lit(""))
     key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text-"), F.md5(text.cast("binary"))))
     rows = staged(docs.select(
-        *[F.col(f"`{c}`").alias(n) for c, n in zip(carry, names)], F.col("doc_id").alias("id"),
+        *[F.col(f"`{c}`").alias(n) for c, n in zip(carry + (order or []), names + nth)], F.col("doc_id").alias("id"),
         (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("crc"),
         hex_position(key).alias("position")), "shard-rows")
     arcs = staged(ring(spark, shards, virtual_nodes), "shard-ring")  # shards * virtual_nodes + 1 rows
@@ -133,16 +147,26 @@ def shard(docs: DataFrame, shards: int = SHARDS, virtual_nodes: int = VIRTUAL_NO
     offsets = per_cell.select("arc", "cell", (F.sum("n").over(W.partitionBy("arc").orderBy("cell")) - F.col("n")).alias("before"))
     segments = placements(arcs, per_cell.groupBy("arc").agg(F.sum("n").alias("n")), shards, epsilon)
     segments = staged(segments, "shard-segments")
-    within = F.row_number().over(W.partitionBy("arc", "cell").orderBy("position", "id", "crc", "size")) - 1
+    within = F.row_number().over(W.partitionBy("arc", "cell").orderBy("position", "id", "crc", "size", *nth)) - 1
     ranked = (rows.withColumn("in_cell", within).join(offsets, ["arc", "cell"])
               .withColumn("rank", F.col("before") + F.col("in_cell")))
     placed = ranked.join(F.broadcast(segments.withColumnRenamed("arc", "seg_arc")),
                          (F.col("arc") == F.col("seg_arc")) & (F.col("rank") >= F.col("from_rank"))
                          & (F.col("rank") < F.col("to_rank")))
+    placed = placed.withColumn("slot", (F.col("slot0") + F.col("rank") - F.col("from_rank")).cast("long"))
+    if nth:
+        chunk = F.struct(*nth[:-1], F.shiftright(nth[-1], CHUNK_BITS).alias("chunk"))
+        placed = placed.withColumn("chunk", chunk)
+        counts = placed.groupBy("shard", "chunk").agg(F.count("*").alias("n"))
+        before = F.sum("n").over(W.partitionBy("shard").orderBy("chunk")) - F.col("n")
+        starts = counts.select(F.col("shard").alias("at_shard"), F.col("chunk").alias("at_chunk"), before.alias("start"))
+        in_chunk = F.row_number().over(W.partitionBy("shard", "chunk").orderBy(*nth)) - 1
+        placed = placed.withColumn("in_chunk", in_chunk).join(
+            starts, (F.col("shard") == F.col("at_shard")) & F.col("chunk").eqNullSafe(F.col("at_chunk")))
+        placed = placed.withColumn("slot", (F.col("start") + F.col("in_chunk")).cast("long"))
     home = F.broadcast(arcs.select("arc", F.col("shard").alias("home")))
     return placed.join(home, "arc").select(
-        *[F.col(n).alias(c) for n, c in zip(names, carry)], "size", F.col("crc").alias("text_crc32"), "home", "shard",
-        (F.col("slot0") + F.col("rank") - F.col("from_rank")).cast("long").alias("slot"))
+        *[F.col(n).alias(c) for n, c in zip(names, carry)], "size", F.col("crc").alias("text_crc32"), "home", "shard", "slot")
 
 
 def op3_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
