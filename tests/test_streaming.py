@@ -45,6 +45,16 @@ def test_replays_are_dropped_and_latest_image_matches_batch(spark, tmp_path):
     assert sorted(got) == sorted(want) == [("A1", "VERIFIED")]
 
 
+def test_late_first_images_are_kept_and_late_replays_dropped(spark, tmp_path):
+    path = str(tmp_path / "in")
+    land(spark, path, [("A1", "PENDING", "I", t("2026-07-01 10:00"))], CDC)
+    land(spark, path, [("A2", "PENDING", "I", t("2026-07-01 15:00"))], CDC)
+    land(spark, path, [("A3", "PENDING", "I", t("2026-07-01 20:00"))], CDC)
+    stream = land(spark, path, [("A4", "PENDING", "I", t("2026-07-01 09:00")), ("A1", "PENDING", "I", t("2026-07-01 10:00"))], CDC)
+    once = collect_stream(spark, jobs.replay_free(stream, ["account_id"]), tmp_path / "dedup")
+    assert sorted(r.account_id for r in once.collect()) == ["A1", "A2", "A3", "A4"]
+
+
 def test_delivery_logs_each_key_once_over_batches(spark, tmp_path):
     schema = "slip_id string, jurisdiction string, terminal_at timestamp"
     path = str(tmp_path / "in")
