@@ -23,6 +23,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import uuid
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -123,7 +124,7 @@ class ByteWindow:
 
 
 def parse_header(head: bytes) -> dict[str, str] | None:
-    lines = head.split(b"\r\n")
+    lines = re.sub(rb"\r\n[ \t]+", b" ", head).split(b"\r\n")  # a line that begins with a space continues the one before
     if not lines[0].startswith(b"WARC/1."):
         return None
     fields = {}
@@ -135,8 +136,9 @@ def parse_header(head: bytes) -> dict[str, str] | None:
     return fields if fields.get("content-length", "").isdigit() and "warc-type" in fields else None
 
 
-def read_member(window: ByteWindow, at: int) -> tuple[dict[str, str], bytes, int] | None:
-    """Header, block and end position of the record in the member at ``at``, or None if there is no such member."""
+def read_member(window: ByteWindow, at: int, doubtful: bool) -> tuple[dict[str, str], bytes, int] | None:
+    """Header, block and end position of the record in the member at ``at``, or None if there is no such member. A ``doubtful`` one,
+    which may lie inside a member that began earlier, counts only if the file ends or another member begins behind it."""
     unpack, out, position = zlib.decompressobj(31), [], at
     while not unpack.eof:
         window.ensure(position + 1)
@@ -155,6 +157,8 @@ def read_member(window: ByteWindow, at: int) -> tuple[dict[str, str], bytes, int
     fields = parse_header(head) if found else None
     if fields is None or len(rest) != int(fields["content-length"]) + 4 or not rest.endswith(END):
         return None
+    if not doubtful:
+        return fields, rest[:-4], position
     window.ensure(position + len(MAGIC))
     follows = window.data[position - window.base:position - window.base + len(MAGIC)]
     return (fields, rest[:-4], position) if follows in (b"", MAGIC) else None
@@ -162,7 +166,7 @@ def read_member(window: ByteWindow, at: int) -> tuple[dict[str, str], bytes, int
 
 def records_in_range(source, size: int, start: int, end: int) -> Iterator[tuple[int, dict[str, str], bytes]]:
     """(position, header, block) of the records that begin in [start, end)."""
-    window, at = ByteWindow(source, start, size), start
+    window, at, doubtful = ByteWindow(source, start, size), start, start > 0
     while at < end:
         window.ensure(at + READ_BYTES)
         found = window.data.find(MAGIC, at - window.base)
@@ -175,12 +179,12 @@ def records_in_range(source, size: int, start: int, end: int) -> Iterator[tuple[
         at = window.base + found
         if at >= end:
             return
-        record = read_member(window, at)
+        record = read_member(window, at, doubtful)
         if record is None:
             at += 1
             continue
         yield at, record[0], record[1]
-        at = record[2]
+        at, doubtful = record[2], False
         window.forget(at)
 
 
