@@ -22,8 +22,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import uuid
 import re
+import uuid
 import zlib
 from collections.abc import Iterator
 
