@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from ledgertide.llm import (decontaminate, jaccard_join, language, mixing, quality_rules, sharding, site_style,
-                            substring_dedup, token_counts, warc)
+                            substring_dedup, suffix_array, token_counts, warc)
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,6 +23,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": quality_rules.op8_quality_rules,
         "op9_token_counts": token_counts.op9_token_counts,
         "op10_decontaminate": decontaminate.op10_decontaminate,
+        "op13_suffix_array": suffix_array.op13_suffix_array,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -34,6 +35,7 @@ def check_sql() -> dict[str, str]:
         "op6_mix": mixing.OP6_SQL,
         "op7_substring_dedup": substring_dedup.OP7_SQL,
         "op10_decontaminate": decontaminate.OP10_SQL,
+        "op13_suffix_array": suffix_array.OP13_SQL,
         "pipeline": corpus_pipeline.ORACLE_SQL,
     }
     return {name: text for name, text in sql.items() if text}
