@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from ledgertide.llm import (decontaminate, jaccard_join, language, mixing, quality_rules, sharding, site_style,
-                            substring_dedup, suffix_array, token_counts, warc)
+from ledgertide.llm import (decontaminate, jaccard_join, language, mixing, prefix_trie, quality_rules,
+                            sharding, site_style, substring_dedup, suffix_array, token_alignment, token_counts, warc)
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,6 +23,8 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": quality_rules.op8_quality_rules,
         "op9_token_counts": token_counts.op9_token_counts,
         "op10_decontaminate": decontaminate.op10_decontaminate,
+        "op11_prefix_trie": prefix_trie.op11_prefix_trie,
+        "op12_token_alignment": token_alignment.op12_token_alignment,
         "op13_suffix_array": suffix_array.op13_suffix_array,
         "pipeline": corpus_pipeline.run,
     }
@@ -35,6 +37,7 @@ def check_sql() -> dict[str, str]:
         "op6_mix": mixing.OP6_SQL,
         "op7_substring_dedup": substring_dedup.OP7_SQL,
         "op10_decontaminate": decontaminate.OP10_SQL,
+        "op11_prefix_trie": prefix_trie.OP11_SQL,
         "op13_suffix_array": suffix_array.OP13_SQL,
         "pipeline": corpus_pipeline.ORACLE_SQL,
     }
