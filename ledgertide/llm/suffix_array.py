@@ -31,7 +31,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -42,7 +42,7 @@ LENGTH = 100
 GRAM = 48
 FILTER_BITS = 1 << 26
 SLICE = 1 << 18
-HELD = 200_000  # pairs a task remembers at once to mark its own copies
+HELD = 100_000  # pairs a task remembers at once to mark its own copies
 
 _U = np.uint64
 _BASE = 0xA0761D6478BD642F | 1
@@ -142,39 +142,49 @@ _POSITION = "a bigint, b bigint, id bigint, th bigint, start int, count int, fir
 
 
 class Firsts:
-    """A task's first position of each pair; all others are marked at once. Bounded: ``HELD`` pairs, then they are sent on."""
+    """A task's first position of each pair; all others are marked at once. Bounded: beyond ``HELD`` pairs they are sent on."""
 
     def __init__(self) -> None:
-        self.held: dict[tuple[int, int], tuple] = {}
-
-    def add(self, a: np.ndarray, b: np.ndarray, doc: np.ndarray, start: np.ndarray, count: np.ndarray, ids: list, th: list):
-        marks, held = [], self.held
-        for pair in zip(a.tolist(), b.tolist(), doc.tolist(), start.tolist(), count.tolist()):
-            key, d = pair[:2], pair[2]
-            mine = (ids[d] is None, ids[d] or 0, th[d], pair[3], pair[4])
-            best = held.setdefault(key, mine)
-            if mine[:4] != best[:4]:
-                if mine < best:
-                    held[key], mine = mine, best
-                marks.append((key, mine))
-        if marks:
-            yield self.batch(marks, False)
-        if len(held) > HELD:
-            yield from self.flush()
+        self.waiting: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, a: np.ndarray, b: np.ndarray, doc: np.ndarray, start: np.ndarray, count: np.ndarray, ids: pa.Array, th: pa.Array):
+        none = ids.is_null().to_numpy(zero_copy_only=False)
+        columns = (a, b, none[doc], ids.fill_null(0).to_numpy()[doc], th.to_numpy()[doc], start, count)
+        self.waiting.append(np.stack([c.view(np.int64) if c.dtype == np.uint64 else c.astype(np.int64) for c in columns]))
+        self.size += len(a)
+        if self.size >= 2 * HELD:
+            yield from self.settle()
+            if self.size > HELD:
+                yield from self.flush()
+
+    def settle(self):
+        """Keeps the first of each pair and marks the rest."""
+        rows = np.concatenate(self.waiting, 1)
+        rows = rows[:, np.lexsort(rows[5::-1])]
+        new = np.ones(rows.shape[1], bool)
+        new[1:] = (rows[:2, 1:] != rows[:2, :-1]).any(0)
+        head = np.flatnonzero(new)[np.cumsum(new) - 1]
+        later = (rows[2:6] != rows[2:6, head]).any(0)
+        self.waiting = [rows[:, ~later]]
+        self.size = self.waiting[0].shape[1]
+        marks = rows[:, later]
+        marks[0], marks[1] = mix((marks[3] ^ marks[4] ^ marks[5]).view(np.uint64)).view(np.int64), 0  # dealt out evenly, not by pair
+        yield from self.batches(marks, False)
 
     def flush(self):
-        items = list(self.held.items())
-        self.held.clear()
-        for k in range(0, len(items), 20_000):
-            yield self.batch(items[k:k + 20_000], True)
+        if self.size:
+            yield from self.settle()
+            yield from self.batches(self.waiting[0], True)
+        self.waiting, self.size = [], 0
 
     @staticmethod
-    def batch(items: list, first: bool) -> pa.RecordBatch:
-        key = np.array([k for k, _ in items], np.uint64).view(np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_pydict({
-            "a": key[:, 0], "b": key[:, 1], "id": pa.array([None if m[0] else m[1] for _, m in items], pa.int64()),
-            "th": pa.array([m[2] for _, m in items], pa.int64()), "start": pa.array([m[3] for _, m in items], pa.int32()),
-            "count": pa.array([m[4] for _, m in items], pa.int32()), "first": np.full(len(items), first)})
+    def batches(rows: np.ndarray, first: bool):
+        for k in range(0, rows.shape[1], 20_000):
+            a, b, none, id_, th, start, count = rows[:, k:k + 20_000]
+            yield pa.RecordBatch.from_pydict({
+                "a": a, "b": b, "id": pa.array(id_, mask=none.astype(bool)), "th": th, "start": start.astype(np.int32),
+                "count": count.astype(np.int32), "first": np.full(len(a), first)})
 
 
 def run_pairs(rows: DataFrame, repeated: np.ndarray, length: int, gram: int) -> DataFrame:
@@ -189,17 +199,13 @@ def run_pairs(rows: DataFrame, repeated: np.ndarray, length: int, gram: int) ->
                 runs = Runs(texts[a:b], length, gram)
                 runs.keep(perhaps(shared.value, runs.key))
                 if len(runs.key):
-                    ids, th = batch.column("id")[a:b].to_pylist(), batch.column("th")[a:b].to_pylist()
-                    yield from firsts.add(runs.key, runs.names(), runs.doc, runs.first - runs.begin, runs.count, ids, th)
+                    yield from firsts.add(runs.key, runs.names(), runs.doc, runs.first - runs.begin, runs.count,
+                                          batch.column("id")[a:b], batch.column("th")[a:b])
         yield from firsts.flush()
 
     return rows.mapInArrow(pairs, _POSITION)
 
 
-def place(a: Column, b: Column, id_: Column, th: Column, start: Column) -> Column:
-    return F.xxhash64(a, b, F.coalesce(id_, F.lit(-1)), th, start)
-
-
 def byte_pairs(rows: DataFrame, several: np.ndarray, heads: np.ndarray, length: int, gram: int, half: int) -> DataFrame:
     """Round 3: the byte positions of first runs of sampled positions with several pairs, each with the pair of its ranks at
     ``half`` bytes, at i and at ``i + length - half``."""
@@ -223,7 +229,7 @@ def byte_pairs(rows: DataFrame, several: np.ndarray, heads: np.ndarray, length:
                 i = np.repeat(runs.first, runs.count) + shift
                 rank = fingerprints(runs.data, half)
                 yield from firsts.add(rank[i], rank[i + length - half], np.repeat(runs.doc, runs.count), i - np.repeat(runs.begin, runs.count),
-                                      np.ones(len(i), np.int32), ids.to_pylist(), th.to_pylist())
+                                      np.ones(len(i), np.int32), ids, th)
         yield from firsts.flush()
 
     return rows.mapInArrow(pairs, _POSITION)
@@ -239,17 +245,15 @@ def occurrence(a: np.ndarray, b: np.ndarray, id_: np.ndarray, th: np.ndarray, st
 
 def reranked(positions: DataFrame) -> DataFrame:
     """Positions sorted by pair: ``first`` stays only with the first position of each pair in the order of documents."""
-    sent = positions.where("first")
     order = W.partitionBy("a", "b").orderBy(F.col("id").isNull(), "id", "th", "start")
-    ranked = sent.withColumn("first", F.rank().over(order) == 1)
-    return ranked.unionByName(positions.where("NOT first"))
+    return positions.withColumn("first", F.col("first") & (F.rank().over(order) == 1))
 
 
 def repeated_spans(rows: DataFrame, length: int, gram: int, half: int, filter_size: int) -> DataFrame:
     """``id, th, starts``: of each document (start, count) of the windows that repeat an earlier one."""
     keys = staged(sampled_ranks(rows, length, gram), "rank-sampled")
     repeated = filter_of(keys, "key", filter_size)
-    runs = staged(reranked(staged(run_pairs(rows, repeated, length, gram), "rank-positions")), "rank-runs")
+    runs = staged(reranked(run_pairs(rows, repeated, length, gram)), "rank-runs")
     heads = runs.where("first").groupBy("a").agg(F.count("*").alias("n"))
     several = staged(heads.where("n > 1").select("a"), "rank-several")
     many = filter_of(several, "a", filter_size)
@@ -264,8 +268,8 @@ def repeated_spans(rows: DataFrame, length: int, gram: int, half: int, filter_si
             yield pa.RecordBatch.from_pydict({"h": occurrence(*got).view(np.int64)})
 
     heads = staged(runs.where("first").select("a", "b", "id", "th", "start").mapInArrow(hashes, "h bigint"), "rank-heads")
-    bytes_ = staged(byte_pairs(rows, many, filter_of(heads, "h", filter_size), length, gram, half), "rank-bytes")
-    marks = runs.where("NOT first").unionByName(reranked(bytes_).where("NOT first"))
+    left = byte_pairs(rows, many, filter_of(heads, "h", filter_size), length, gram, half)
+    marks = runs.where("NOT first").unionByName(reranked(left).where("NOT first"))
     return marks.groupBy("id", "th").agg(F.collect_set(F.struct("start", "count")).alias("starts"))
 
 
