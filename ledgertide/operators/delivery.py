@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import markets
 from ..functions.scalars import money
 from .core import zero
-from .ordered import hour_slices, ordered_lists, part_mark, row_numbers, running_sum
+from .ordered import part_mark, row_numbers, running_sum
 from .submissions import player_reference
 
 c = F.col
@@ -105,7 +105,7 @@ def balance_before_payment(balance: Column, direction: Column, amount: Column) -
 def as_of_balances(flows: DataFrame) -> DataFrame:
     """Balance of the wallet right after each movement."""
     order = [c("ts"), F.desc("amount"), c("kind"), c("ref")]
-    return running_sum(flows, ["account_id"], order, c("amount"), "balance", hour_slices(c("ts")))
+    return running_sum(flows, ["account_id"], order, c("amount"), "balance")
 
 
 def routed_log(pending: DataFrame, record_type: str, at: Column) -> DataFrame:
@@ -115,12 +115,12 @@ def routed_log(pending: DataFrame, record_type: str, at: Column) -> DataFrame:
         c("route").alias("receipt_id"), at.alias("submitted_at"))
 
 
-def assign_receipts(deposits: DataFrame, stored: DataFrame, slices: list[Column]) -> DataFrame:
+def assign_receipts(deposits: DataFrame, stored: DataFrame) -> DataFrame:
     """Next receipt numbers per market and record type, in key order, after the
-    highest number stored. ``slices`` cut the key order (see ``ordered``)."""
+    highest number stored."""
     key = ["jurisdiction", "record_type"]
     last = stored.select(*key, c("last_seq"))
-    df = row_numbers(deposits, key, [c("record_key")], "_n", slices)
+    df = row_numbers(deposits, key, [c("record_key")], "_n")
     df = df.join(last, key, "left").withColumn("seq", F.coalesce("last_seq", F.lit(0)) + c("_n"))
     return (df.withColumn("receipt_id", F.format_string("%s-%s-%06d", "jurisdiction", F.upper("record_type"), "seq"))
             .withColumn("file_name", F.format_string("%06d-%s.xml", "seq", "record_key"))
@@ -139,7 +139,7 @@ def receipt_totals(filed: DataFrame, receipt: str = "receipt_id") -> DataFrame:
         F.count("*").alias("row_count"), money(F.sum("stake")).alias("total_stake"))
 
 
-def envelopes(rows: DataFrame, key: str, slices: list[Column], sizes: dict[str, int] | None = None,
+def envelopes(rows: DataFrame, key: str, sizes: dict[str, int] | None = None,
               default: int = markets.DEFAULT_ENVELOPE_ROWS) -> DataFrame:
     """Adds ``batch_id``: rows of one market and date in key order, at most the
     market's envelope size each."""
@@ -147,7 +147,7 @@ def envelopes(rows: DataFrame, key: str, slices: list[Column], sizes: dict[str,
     size = F.lit(default)
     for market, n in sizes.items():
         size = F.when(c("jurisdiction") == market, n).otherwise(size)
-    numbered = row_numbers(rows, ["jurisdiction", "report_date"], [c(key)], "_n", slices)
+    numbered = row_numbers(rows, ["jurisdiction", "report_date"], [c(key)], "_n")
     return numbered.withColumn("batch_id", F.floor((c("_n") - 1) / size).cast("bigint")).drop("_n")
 
 
@@ -198,10 +198,3 @@ def odds_board(odds: DataFrame, keys: list[str]) -> DataFrame:
     """One row per fixture with its three prices."""
     price = lambda s: F.max(F.when(c("selection") == s, c("odds"))).alias(f"{s.lower()}_odds")
     return odds.groupBy(*keys).agg(price("HOME"), price("DRAW"), price("AWAY"))
-
-
-def envelope_lists(rows: DataFrame, key: str, slices: list[Column], size: int) -> DataFrame:
-    """Rows of one market and date packed into envelopes of at most ``size`` rows."""
-    item = F.struct(*[x for x in rows.columns if x not in ("jurisdiction", "report_date")])
-    return ordered_lists(rows.withColumn("_row", item), ["jurisdiction", "report_date"], [key], c("_row"),
-                         "rows", slices, size)

@@ -1,30 +1,140 @@
 """Order-dependent operators that never put one key's whole history in a task.
 
 A plain ``Window.partitionBy(account).orderBy(ts)`` sends every row of a hot
-account to one task. Here each key is cut into *slices*, expressions that never
-decrease along the sort order (an hour, a key prefix). Rows are ordered inside
-one (key, slice) cell, and cells are chained through their totals, which are
-pre-aggregated before the shuffle. The result equals the plain window exactly.
+account to one task. Here rows are range-partitioned once by key and order, so a
+hot key spreads over many tasks. Each task scans its sorted rows and says
+with which key it opens and what its last key amounts to; these ends, one row per task,
+give what every task has to add for the key it goes on with. The input is
+read into one exchange and the result equals the plain window exactly, NULLs included.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from decimal import Decimal
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-Slices = Sequence[Column]
-
-
-def hour_slices(ts: Column) -> list[Column]:
-    """Day, then hour: bounded by the calendar at both levels."""
-    return [F.to_date(ts), F.date_trunc("hour", ts)]
-
-
-def prefix_slices(key: Column, coarse: int, fine: int) -> list[Column]:
-    """Leading characters of a fixed-width sortable key."""
-    return [F.substring(key, 1, coarse), F.substring(key, 1, fine)]
+from pyspark.sql import types as T
+
+from ..scratch import staged
+
+_SCAN = [("_sum", "long"), ("_seen", "long"), ("_prev", "long"), ("_opens", "boolean"), ("_part", "int"), ("_end", "boolean"),
+         ("_open", "long"), ("_first", "long")]
+
+
+class Fragment:
+    """What a scan carries from row to row: the key, its sum, how many values it had and the last instant."""
+
+    def __init__(self) -> None:
+        self.key, self.open, self.first = None, None, None
+        self.sum = self.seen = 0
+        self.last: int | None = None
+        self.opening = True  # still at the key the task began with
+
+    def scan(self, key: np.ndarray, value: pa.Array, instant: pa.Array, gap: int | None) -> dict[str, pa.Array]:
+        n = len(key)
+        if self.key is None:
+            self.open, self.first = int(key[0]), instant[0].as_py()
+        same = np.empty(n, bool)
+        same[1:] = key[1:] == key[:-1]
+        same[0] = self.key is not None and key[0] == self.key
+        begins = self.key is None  # the very first row of a task may go on with the task before
+        at = np.arange(n)
+        before = pa.concat_arrays([pa.array([self.last], pa.int64()), instant[:-1]])
+        none = before.is_null().to_numpy(zero_copy_only=False) | ~same
+        if gap is not None:
+            now, then = instant.fill_null(0).to_numpy(), before.fill_null(0).to_numpy()
+            late = (now > then + gap) & instant.is_valid().to_numpy(zero_copy_only=False)
+            value = pa.array(np.where(none | late, 1, 0))
+        valid, amount = value.is_valid().to_numpy(zero_copy_only=False).astype(np.int64), value.fill_null(0).to_numpy()
+        start = np.maximum.accumulate(np.where(same, 0, at))
+        carried = np.cumsum(~same) == 0
+        out = {}
+        for name, x, had in (("_sum", amount, self.sum), ("_seen", valid, self.seen)):
+            run = np.cumsum(x)
+            out[name] = run - np.where(carried, -had, (run - x)[start])
+        still = carried if not begins else np.cumsum(~same) == 1
+        opening = still & self.opening
+        self.opening = bool(opening[-1])
+        self.key, self.sum, self.seen, self.last = int(key[-1]), int(out["_sum"][-1]), int(out["_seen"][-1]), instant[-1].as_py()
+        opens = np.zeros(n, bool)
+        opens[0] = begins
+        return {"_sum": pa.array(out["_sum"]), "_seen": pa.array(out["_seen"]), "_prev": pc.if_else(pa.array(none), pa.scalar(None, pa.int64()), before),
+                "_opens": pa.array(opens)}
+
+
+def carried_ends(ends: list) -> list[tuple]:
+    """(task, key, sum, seen, last instant, joined) that each task adds for the key it opens with; ``ends`` has a row per task, in order."""
+    out = []
+    key, total, seen, last = None, 0, 0, None
+    for end in ends:
+        goes_on = key is not None and end._open == key
+        joined = int(goes_on and last is not None and end._first is not None and end._gap is not None and end._first <= last + end._gap)
+        if goes_on:
+            out.append((end._part, key, total - joined, seen, last))
+        if goes_on and end._open == end._k:
+            total, seen = total - joined + end._sum, seen + end._seen
+        else:
+            total, seen = end._sum, end._seen
+        key, last = end._k, end._prev
+    return out
+
+
+def scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: Column | None = None, instant: Column | None = None,
+         gap: Column | None = None) -> DataFrame:
+    """Adds ``_sum`` and ``_seen`` (sum and number of the non-NULL values of the key up to this row) and ``_prev`` (microseconds of the
+    instant of the row before). With ``gap`` (microseconds) a row that comes later than that after the one before counts 1, others 0."""
+    spark = df.sparkSession
+    nothing = F.lit(None).cast("long")
+    marked = df.withColumns({
+        "_k": F.xxhash64(*[x for k in keys for x in (F.col(k), F.col(k).isNull())]), "_v": nothing if value is None else value.cast("long"),
+        "_t": nothing if instant is None else F.unix_micros(instant), "_gap": nothing if gap is None else gap.cast("long")})
+    by = [*[F.col(k) for k in keys], *order]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = marked.repartitionByRange(parts, *by).sortWithinPartitions(*by)
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in dealt.schema] + [T.StructField(n, t, True) for n, t in (
+        (n, {"long": T.LongType(), "int": T.IntegerType(), "boolean": T.BooleanType()}[t]) for n, t in _SCAN)])
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state, part, gap_, fields = Fragment(), TaskContext.get().partitionId(), None, None
+        for batch in batches:
+            fields = batch.schema
+            n = batch.num_rows
+            if not n:
+                continue
+            gap_ = batch.column("_gap")[0].as_py()
+            new = state.scan(batch.column("_k").to_numpy(), batch.column("_v"), batch.column("_t"), gap_)
+            extra = [*new.values(), pa.array(np.full(n, part, np.int32)), pa.array(np.zeros(n, bool)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names=[*batch.schema.names, *[name for name, _ in _SCAN]])
+        if state.key is not None:
+            own = {"_k": pa.array([state.key], pa.int64()), "_gap": pa.array([gap_], pa.int64())}
+            extra = [pa.array([x], t) for x, t in ((state.sum, pa.int64()), (state.seen, pa.int64()), (state.last, pa.int64()), (False, pa.bool_()),
+                                                   (part, pa.int32()), (True, pa.bool_()), (state.open, pa.int64()), (state.first, pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*[own.get(f.name, pa.nulls(1, f.type)) for f in fields], *extra],
+                                             names=[*fields.names, *[name for name, _ in _SCAN]])
+
+    walked = staged(dealt.mapInArrow(walk, schema), "scan")
+    ends = walked.where("_end").select("_part", "_k", "_gap", "_sum", "_seen", "_prev", "_open", "_first").orderBy("_part").collect()
+    carry = spark.createDataFrame(carried_ends(ends), "_part int, _k long, _sum0 long, _seen0 long, _prev0 long")  # at most one row per task
+    rows = walked.where("NOT _end").join(F.broadcast(carry), ["_part", "_k"], "left")
+    zero = F.lit(0).cast("long")
+    return rows.select(*df.columns, (F.col("_sum") + F.coalesce("_sum0", zero)).alias("_sum"), (F.col("_seen") + F.coalesce("_seen0", zero)).alias("_seen"),
+                       F.when(F.col("_opens"), F.col("_prev0")).otherwise(F.col("_prev")).alias("_prev"))
+
+
+def units(df: DataFrame, value: Column) -> tuple[Column, int]:
+    """An exact number as a whole number of its last digit, and how many digits follow the point."""
+    kind = df.select(value.alias("v")).schema["v"].dataType
+    if isinstance(kind, T.DecimalType):
+        return (value * F.lit(10 ** kind.scale)).cast("decimal(38,0)"), kind.scale
+    if isinstance(kind, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
+        return value, 0
+    raise TypeError(f"running sums are exact: whole numbers and decimals only, not {kind.simpleString()}")
 
 
 def join_same(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -37,56 +147,33 @@ def join_same(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFra
     return left.join(renamed, on).drop(*[f"_same_{c}" for c in cols])
 
 
-def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: Column,
-                out: str, slices: Slices) -> DataFrame:
+def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: Column, out: str) -> DataFrame:
     """Adds ``out``: the sum of ``value`` over the rows of ``keys`` up to and
-    including this one in ``order``. ``order`` must be total for a stable result."""
-    keys = list(keys)
-    names = [f"_slice{i}" for i in range(len(slices))]
-    base = df.withColumns({**dict(zip(names, slices)), "_value": value})
-
-    totals = base.groupBy(*keys, *names).agg(F.sum("_value").alias("_total"))
-    offsets = totals
-    carried = []
-    for depth in range(len(names) - 1, -1, -1):
-        outer, own = [*keys, *names[:depth]], names[depth]
-        before = (Window.partitionBy(*outer).orderBy(own)
-                  .rowsBetween(Window.unboundedPreceding, -1))
-        level = totals if depth == len(names) - 1 else (
-            totals.groupBy(*outer, own).agg(F.sum("_total").alias("_total")))
-        shifted = level.select(*outer, own, F.coalesce(F.sum("_total").over(before), F.lit(0))
-                               .alias(f"_before{depth}"))
-        offsets = shifted if depth == len(names) - 1 else join_same(offsets, shifted, [*outer, own])
-        carried.append(f"_before{depth}")
-
-    inside = (Window.partitionBy(*keys, *names).orderBy(*order)
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    offset = sum((F.col(c) for c in carried[1:]), F.col(carried[0]))
-    # Every cell of ``base`` has exactly one row in ``offsets``.
-    return (join_same(base, offsets, [*keys, *names])
-            .withColumn(out, F.sum("_value").over(inside) + offset)
-            .drop(*names, *carried, "_value"))
-
-
-def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str,
-                slices: Slices) -> DataFrame:
+    including this one in ``order``; NULL up to the first value. ``order`` must be total for a stable result.
+    Sums are whole numbers of the last digit and must stay below 2^63 of them."""
+    whole, digits = units(df, value)
+    total = F.col("_sum")
+    if digits:
+        total = (total.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-digits))).cast(f"decimal(38,{digits})")
+    return scan(df, keys, order, value=whole).select(*[c for c in df.columns if c != out], F.when(F.col("_seen") > 0, total).alias(out))
+
+
+def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str) -> DataFrame:
     """1-based position within ``keys``, without one task per key."""
-    numbered = running_sum(df, keys, order, F.lit(1).cast("bigint"), out, slices)
-    return numbered.withColumn(out, F.col(out).cast("bigint"))
+    return running_sum(df, keys, order, F.lit(1).cast("bigint"), out)
 
 
-def previous_instant(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[Column],
-                     out: str, slice_: Column) -> DataFrame:
+def previous_instant(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[Column], out: str) -> DataFrame:
     """Adds ``out``: the instant of the row before this one within ``keys``."""
-    keys = list(keys)
-    base = df.withColumn("_slice", slice_)
-    ends = base.groupBy(*keys, "_slice").agg(F.max(ts).alias("_last"))
-    before = Window.partitionBy(*keys).orderBy("_slice")
-    ends = ends.select(*keys, "_slice", F.lag("_last").over(before).alias("_carry"))
-    inside = Window.partitionBy(*keys, "_slice").orderBy(*order)
-    return (join_same(base, ends, [*keys, "_slice"])
-            .withColumn(out, F.coalesce(F.lag(ts).over(inside), F.col("_carry")))
-            .drop("_slice", "_carry"))
+    return scan(df, keys, order, instant=F.col(ts)).select(*[c for c in df.columns if c != out], F.timestamp_micros("_prev").alias(out))
+
+
+def gap_sessions(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[Column], minutes: int, out: str) -> DataFrame:
+    """Adds ``out``: the number of the row's session within ``keys``, from 1; a gap longer than ``minutes`` starts a new
+    one. One scan finds gaps and numbers; a session cut by the edge of a task is one fragment there and one behind,
+    and is joined if the two lie within the gap."""
+    gap = F.lit(minutes * 60_000_000).cast("long")
+    return scan(df, keys, order, instant=F.col(ts), gap=gap).select(*[c for c in df.columns if c != out], F.col("_sum").alias(out))
 
 
 def rolling_sums(events: DataFrame, points: DataFrame, key: str, ts: str, value: str, point_id: str,
@@ -108,8 +195,7 @@ def rolling_sums(events: DataFrame, points: DataFrame, key: str, ts: str, value:
     asked = (points.select(key, point_id, F.explode(F.array(*marks)).alias("m"))
              .select(key, point_id, "m.*", F.lit(0).cast("decimal(18,2)").alias("v")))
     order = [F.col("at"), F.col("kind"), F.col(point_id), F.col("span")]
-    run = running_sum(stream.unionByName(asked), [key], order, F.col("v"), "_run",
-                      hour_slices(F.col("at")))
+    run = running_sum(stream.unionByName(asked), [key], order, F.col("v"), "_run")
     total = F.max(F.when(F.col("span") == "_end", F.col("_run")))
     return (run.filter(F.col("span").isNotNull()).groupBy(key, point_id)
             .agg(F.max(F.when(F.col("span") == "_end", F.col("at"))).alias(ts),
@@ -129,11 +215,11 @@ def parts_of(rows: Column, part_rows: int) -> Column:
 
 
 def ordered_lists(df: DataFrame, keys: Sequence[str], order: Sequence[str], item: Column, out: str,
-                  slices: Slices, part_rows: int) -> DataFrame:
+                  part_rows: int) -> DataFrame:
     """Items of each key in order, as lists of at most ``part_rows``. A key with
     no more than that has exactly one part; a larger one goes on in further
     parts, so no list outgrows a task and no item is dropped."""
-    numbered = row_numbers(df.withColumn("_item", item), keys, [F.col(c) for c in order], "_n", slices)
+    numbered = row_numbers(df.withColumn("_item", item), keys, [F.col(c) for c in order], "_n")
     part = F.floor((F.col("_n") - 1) / part_rows).cast("int")
     grouped = (numbered.withColumn("part", part)
                .groupBy(*keys, "part")

@@ -9,7 +9,7 @@ from .. import markets
 from ..functions.scalars import age_years, local_date, money, period_start
 from .core import active_limits, zero
 from .nomenclature import in_force
-from .ordered import hour_slices, rolling_sums, running_sum
+from .ordered import rolling_sums, running_sum
 
 c = F.col
 PERIODS = ["DAILY", "WEEKLY", "MONTHLY"]
@@ -95,8 +95,7 @@ def breach_unverified_withdrawals(payments: DataFrame, verifications: DataFrame,
 def breach_wallet_overspend(ledger: DataFrame) -> DataFrame:
     """Entries that leave the wallet below zero; at one instant credits come first."""
     order = [c("ts"), F.desc("signed_amount"), c("entry_type"), c("ref")]
-    run = running_sum(ledger, ["account_id"], order, c("signed_amount"), "running_balance",
-                      hour_slices(c("ts")))
+    run = running_sum(ledger, ["account_id"], order, c("signed_amount"), "running_balance")
     return run.filter("running_balance < 0").select(
         "account_id", "ts", "entry_type", "signed_amount", "running_balance")
 
@@ -220,7 +219,7 @@ def wager_gate_audit(wagers: DataFrame, cash_flow: DataFrame, exclusions: DataFr
     bonus = fail(wagers.filter((c("funding") != "CASH") & ~c("game").isin(markets.BONUS_GAMES)), "BONUS_GAME")
 
     run = running_sum(cash_flow, ["account_id"], [c("ts"), F.desc("amount"), c("ref")], c("amount"),
-                      "_run", hour_slices(c("ts")))
+                      "_run")
     before = run.filter("is_wager").select(c("ref").alias("wager_id"), (c("_run") - c("amount")).alias("_before"))
     o = optins.select("account_id", "opted_in_at", "opted_out_at")
     joined_pool = (cash.filter("casino").join(o, "account_id")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import local_date, local_datetime, money
 from .core import zero
-from .ordered import hour_slices, join_same, ordered_lists, parts_of, previous_instant, running_sum
+from .ordered import gap_sessions, join_same, ordered_lists, parts_of
 
 
 def platform_sessions(sessions: DataFrame, activity: DataFrame) -> DataFrame:
@@ -88,12 +88,7 @@ def close_inactive(sessions: DataFrame, accounts: DataFrame, market: DataFrame,
 def sessionise(activity: DataFrame, user: str, ts: str, row_id: str, minutes: int) -> DataFrame:
     """A gap longer than ``minutes`` starts a new session; adds ``session_no``."""
     order = [F.col(ts), F.col(row_id)]
-    seen = previous_instant(activity, [user], ts, order, "_prev", F.date_trunc("hour", F.col(ts)))
-    gap = F.col(ts) > F.col("_prev") + F.make_interval(mins=F.lit(minutes))
-    starts = F.when(F.col("_prev").isNull() | gap, 1).otherwise(0).cast("bigint")
-    numbered = running_sum(seen.withColumn("_new", starts), [user], order, F.col("_new"),
-                           "session_no", hour_slices(F.col(ts)))
-    return numbered.drop("_prev", "_new")
+    return gap_sessions(activity, [user], ts, order, minutes, "session_no")
 
 
 def session_summary(sessionised: DataFrame, user: str, ts: str) -> DataFrame:
@@ -112,7 +107,7 @@ def session_round_lists(rounds: DataFrame, sessions: DataFrame, part_rows: int =
         F.max("round_ts").alias("last_played_at"), F.count("*").alias("rounds"),
         F.count(F.when(F.col("payout") > 0, 1)).alias("rounds_won"))
     lists = ordered_lists(played, ["session_id", "game"], ["round_ts", "round_id"], F.col("round_id"),
-                          "round_ids", hour_slices(F.col("round_ts")), part_rows)
+                          "round_ids", part_rows)
     return join_same(lists, totals.withColumn("parts", parts_of(F.col("rounds"), part_rows)), ["session_id", "game"])
 
 

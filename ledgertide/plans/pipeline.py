@@ -7,8 +7,6 @@ feeds (``sources.landing``) or feeds derived from other tables.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,26 +15,11 @@ from pyspark.sql import functions as F
 from .. import markets
 from ..operators import (cdc, core, exceptions, gaming, nomenclature, protection, recon, sessions,
                          submissions)
+from ..scratch import staged
 from ..session import configure
 from ..sources import landing as landing_source
 
 
-def work_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a temporary folder only where a
-    local session names none, as in tests. A cluster must name one."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return f"{configured.rstrip('/')}/ledgertide"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    global _LOCAL_FOLDER
-    _LOCAL_FOLDER = _LOCAL_FOLDER or tempfile.mkdtemp(prefix="spark-ledgertide-")
-    return _LOCAL_FOLDER
-
-
-_LOCAL_FOLDER: str | None = None
-
-
 class Models(Mapping[str, DataFrame]):
     """Builds each model once, on first use."""
 
@@ -54,10 +37,7 @@ class Models(Mapping[str, DataFrame]):
         executor. The folder is the cluster's shared checkpoint folder."""
         for name in names:
             if name not in self._shared:
-                df = self[name]
-                path = f"{work_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-                df.write.mode("overwrite").parquet(path)
-                self._built[name] = df.sparkSession.read.schema(df.schema).parquet(path)
+                self._built[name] = staged(self[name], name)
                 self._shared.add(name)
         return self
 

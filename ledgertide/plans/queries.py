@@ -870,7 +870,7 @@ def receipts(m: Models) -> DataFrame:
     pending = m["slip_amounts"].filter("settled_at is not null").select(
         "jurisdiction", F.lit("bets").alias("record_type"), c("slip_id").alias("record_key"))
     stored = delivery.stored_sequences(m["cdc_delivery_log"])
-    return delivery.assign_receipts(pending, stored, ordered.prefix_slices(c("record_key"), 6, 10)).select(
+    return delivery.assign_receipts(pending, stored).select(
         "jurisdiction", "record_type", "record_key", "seq", "receipt_id", "file_name")
 
 
@@ -885,7 +885,7 @@ def receipt_totals(m: Models) -> DataFrame:
 def envelope_batches(m: Models) -> DataFrame:
     """Envelope of every settled bet, with small envelopes so that several fill."""
     df = delivery.envelopes(m["cdc_settled_bets"].withColumn("report_date", F.trunc(F.to_date("settled_at"), "year")),
-                            "bet_id", ordered.prefix_slices(c("bet_id"), 6, 10), {"MT": 50, "NL": 12}, 30)
+                            "bet_id", {"MT": 50, "NL": 12}, 30)
     return df.select("jurisdiction", "report_date", "bet_id", "batch_id")
 
 
@@ -1026,7 +1026,7 @@ def document_plan(market: str, record_type: str, **size: int) -> Plan:
             # the file number is the record's place in the market's receipt sequence
             wide = df.withColumn("record_type", F.lit(record_type))
             last = delivery.stored_sequences(m["cdc_delivery_log"])
-            df = delivery.assign_receipts(wide, last, ordered.prefix_slices(c("record_key"), 6, 10))
+            df = delivery.assign_receipts(wide, last)
         return documents.documents(df, market, record_type, document_formats.docs_for(market, record_type), now())
     return run
 

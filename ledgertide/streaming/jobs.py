@@ -16,9 +16,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
 
 from .. import markets
-from ..operators import exceptions, protection
+from ..operators import exceptions
 from ..operators.cdc import latest_image
-from ..operators.ordered import rolling_sums
 from ..sources.sinks import table_exists
 
 c = F.col
@@ -105,23 +104,6 @@ def limit_windows(stream: DataFrame, account: str, ts: str, zone: str, amount: s
             .select(account, F.lit(period).alias("period"), F.to_date("w.start").alias("window_start"), "total"))
 
 
-def rolling_limits(stream: DataFrame, history_path: str, limits: DataFrame, out_path: str,
-                   checkpoint: str) -> StreamingQuery:
-    """Deposits of each batch that take the trailing 1, 7 or 30 days over a limit.
-    The batch joins the last thirty days of the deposits table (which has this
-    batch's rows too), so no per-player history sits in state."""
-    caps = protection._limit_rows(limits, "DEPOSIT")
-
-    def each(batch: DataFrame, batch_id: int) -> None:
-        points = batch.select("account_id", "payment_id", "completed_ts")
-        touched = points.groupBy("account_id").agg(F.min("completed_ts").alias("_first"))
-        history = batch.sparkSession.read.parquet(history_path).join(touched, "account_id").filter(
-            c("completed_ts") >= c("_first") - F.make_dt_interval(F.lit(max(protection.SPANS.values()))))
-        totals = rolling_sums(history, points, "account_id", "completed_ts", "amount", "payment_id", protection.SPANS)
-        _write_batch(protection._rolling_breaches(totals, caps, "payment_id", "completed_ts"), out_path, batch_id)
-    return _start(stream, each, checkpoint)
-
-
 def ready_rows(batch: DataFrame, watermarks: DataFrame, market: DataFrame) -> DataFrame:
     """Rows of a batch whose period is closed; a market without a watermark waits."""
     readiness = exceptions.period_readiness(batch.select("jurisdiction", "report_date"), watermarks, market)

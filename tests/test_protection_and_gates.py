@@ -191,10 +191,10 @@ def test_completeness_accepts_suffixed_files(spark):
 def test_receipts_continue_the_sequence_and_envelopes_hold_their_size(spark):
     keys = spark.createDataFrame([("MT", "bets", f"S{i:06d}") for i in range(25)], "jurisdiction string, record_type string, record_key string")
     stored = spark.createDataFrame([("MT", "bets", 41)], "jurisdiction string, record_type string, last_seq bigint")
-    got = delivery.assign_receipts(keys, stored, ordered.prefix_slices(F.col("record_key"), 4, 6)).orderBy("record_key").collect()
+    got = delivery.assign_receipts(keys, stored).orderBy("record_key").collect()
     assert got[0].receipt_id == "MT-BETS-000042" and got[0].file_name == "000042-S000000.xml" and got[-1].seq == 66
     rows = keys.withColumn("report_date", F.lit("2026-07-01").cast("date"))
-    packed = delivery.envelopes(rows, "record_key", ordered.prefix_slices(F.col("record_key"), 4, 6), {"MT": 10})
+    packed = delivery.envelopes(rows, "record_key", {"MT": 10})
     assert sorted(r["count"] for r in packed.groupBy("batch_id").count().collect()) == [5, 10, 10]
 
 

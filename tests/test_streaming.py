@@ -157,19 +157,6 @@ def test_waiting_rows_are_filed_once_their_period_opens(spark, tmp_path):
     assert sorted(r.slip_id for r in waiting) == ["S3", "S4"]
 
 
-def test_rolling_limits_in_batches(spark, tmp_path):
-    from decimal import Decimal as D
-    schema = "account_id string, payment_id string, completed_ts timestamp, amount decimal(18,2)"
-    path = str(tmp_path / "in")
-    land(spark, path, [("A1", "P1", t("2026-07-01 10:00"), D("60"))], schema)
-    stream = land(spark, path, [("A1", "P2", t("2026-07-02 09:00"), D("50")), ("A1", "P3", t("2026-07-02 10:01"), D("45"))], schema)
-    limits = spark.createDataFrame([("L1", "A1", "DEPOSIT_DAILY", D("100"), None)],
-                                   "limit_id string, account_id string, limit_type string, amount decimal(18,2), revoked_at timestamp")
-    jobs.rolling_limits(stream, path, limits, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination(120)
-    got = [(r.payment_id, r.window_total) for r in spark.read.parquet(str(tmp_path / "out")).collect()]
-    assert got == [("P2", D("110.00"))]
-
-
 def test_readiness_gate_waits_for_watermark_and_late_rows_split(spark, tmp_path):
     schema = "jurisdiction string, report_date date, slip_id string"
     path = str(tmp_path / "in")
