@@ -111,11 +111,22 @@ def ready_rows(batch: DataFrame, watermarks: DataFrame, market: DataFrame) -> Da
                       ["jurisdiction", "report_date"], "left_semi")
 
 
+MARKS = 10_000  # rows of the watermark table: sources times markets
+
+
+def heartbeat(stream: DataFrame) -> DataFrame:
+    """``stream`` with a source beside it that has something new at every trigger but gives no rows: a batch starts
+    although the stream is quiet."""
+    beat = stream.sparkSession.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).load().where("value < 0")
+    return stream.unionByName(beat.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in stream.schema]))
+
+
 def gate_by_readiness(stream: DataFrame, watermark_path: str, market: DataFrame, ready_path: str,
-                      waiting_path: str, checkpoint: str) -> StreamingQuery:
+                      waiting_path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
     """Splits each batch, and what still waited after the batch before it, into rows
     ready to file and rows that wait. The watermark table is read again for every
-    batch. The rows that wait now are those of the newest batch in ``waiting_path``."""
+    batch. The rows that wait now are those of the newest batch in ``waiting_path``.
+    With an ``interval``, waiting rows are looked at that often, also when no new rows come."""
     period = ["jurisdiction", "report_date"]
 
     def each(batch: DataFrame, batch_id: int) -> None:
@@ -124,11 +135,14 @@ def gate_by_readiness(stream: DataFrame, watermark_path: str, market: DataFrame,
         if table_exists(spark, carried):
             batch = batch.unionByName(spark.read.schema(batch.schema).parquet(carried))
         # One reading of the watermarks decides both outputs, also if they move on meanwhile.
-        marks = spark.createDataFrame(spark.read.parquet(watermark_path).collect(), spark.read.parquet(watermark_path).schema)
-        open_periods = ready_rows(batch.select(*period).distinct(), marks, market)
+        stored = spark.read.parquet(watermark_path)
+        rows = stored.limit(MARKS + 1).collect()
+        if len(rows) > MARKS:
+            raise ValueError(f"the watermark table has more than {MARKS} rows")
+        open_periods = ready_rows(batch.select(*period).distinct(), spark.createDataFrame(rows, stored.schema), market)
         _write_batch(batch.join(open_periods, period, "left_semi"), ready_path, batch_id)
         _write_batch(batch.join(open_periods, period, "left_anti"), waiting_path, batch_id)
-    return _start(stream, each, checkpoint)
+    return _start(heartbeat(stream) if interval else stream, each, checkpoint, interval)
 
 
 def split_late(batch: DataFrame, ts: str, complete_through: Column) -> tuple[DataFrame, DataFrame]:
