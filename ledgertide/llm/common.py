@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -36,19 +38,47 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
 
 
+_recording: list[list[str]] = []
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The folders that ``staged`` writes in the block."""
+    folders: list[str] = []
+    _recording.append(folders)
+    try:
+        yield folders
+    finally:
+        _recording.remove(folders)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: cuts the lineage, so that a
     lost executor costs no more than its own tasks."""
     path = new_folder(df.sparkSession, name)
+    for folders in _recording:
+        folders.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Deletes what this session's operators staged. Call it when their results are written."""
+def release(spark: SparkSession, folders: list[str] | None = None) -> None:
+    """Deletes folders that ``staged`` wrote, or all of this session. Call it when the results that read them are written."""
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/llm")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    for folder in folders if folders is not None else [f"{shared_dir(spark)}/llm"]:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def is_table(df: DataFrame) -> bool:
+    """Whether ``df`` is a written table as it was read, so that file and row number tell its rows apart."""
+    return df._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation" and bool(df.inputFiles())
+
+
+def row_keys(df: DataFrame) -> tuple[Column, Column]:
+    """File and row number of a written table's rows: stable keys, also where a task runs again."""
+    meta = df.metadataColumn("_metadata")
+    return meta["file_path"].alias("__file"), meta["row_index"].alias("__row")
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:

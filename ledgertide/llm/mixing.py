@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgertide.llm.common import SPACE_CLASS, hex_position, staged, table, text_hash
+from ledgertide.llm.common import SPACE_CLASS, hex_position, is_table, row_keys, staged, table, text_hash
 
 MAX_PASSES = 3
 CELLS = 1 << 12
@@ -125,10 +125,13 @@ def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """Pipeline stage: one row per copy taken, with all columns of the documents, in training order."""
-    mixed = mix(docs.withColumn("__columns", F.struct(*[F.col(f"`{c}`") for c in docs.columns])), carry=["__columns"])
-    copies = mixed.select("__columns", F.explode("positions").alias("__position"))
-    return in_training_order(copies, "__position").select("__columns.*")
+    """Pipeline stage: one row per copy taken, with all columns of the documents, in training order. Positions are found for
+    row keys alone; the documents meet them once and are range-sorted."""
+    docs = docs if is_table(docs) else staged(docs, "mix-documents")
+    narrow = docs.select("doc_id", "text", "source", *row_keys(docs))
+    copies = staged(mix(narrow, carry=["__file", "__row"]).select("__file", "__row", F.explode("positions").alias("__position")), "mix-copies")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__columns"), *row_keys(docs))
+    return in_training_order(copies.join(whole, ["__file", "__row"]), "__position").select("__columns.*")
 
 
 OP6_SQL = """
