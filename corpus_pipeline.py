@@ -11,17 +11,20 @@ last stage returns them beside its own.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgertide.llm.common import staged, table
+from ledgertide.llm.common import is_table, recorded, release, row_keys, staged, table
 from ledgertide.llm.decontaminate import without_contaminated
 from ledgertide.llm.jaccard_join import one_of_each_group
 from ledgertide.llm.mixing import mixed_documents
 from ledgertide.llm.quality_rules import good_documents
 from ledgertide.llm.sharding import shard, written_order
 
+NEW = ["size", "text_crc32", "home", "shard", "slot"]
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rule and the learned decision list."""
@@ -45,20 +48,45 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document with its shard and its slot there, in training order: slots follow the order in which the mix was
-    written. Both are named so that no column of the documents is lost."""
-    kept = [c for c in docs.columns if c.lower() not in ("shard", "slot", "size", "text_crc32", "home")]
-    whole = F.struct(*[F.col(f"`{c}`") for c in kept])
-    rows = written_order(docs).withColumn("__columns", whole)
-    out = shard(rows, carry=["__columns"], order=["__part", "__file", "__row"])
-    return out.select("__columns.*", "size", "text_crc32", "home", "shard", "slot")
-
-
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality rules", quality),
-    ("n-gram Jaccard join", near_copies),
-    ("benchmark decontamination", decontaminated),
-    ("mixing", mixed),
-    ("sharding", sharded),
+    written. A column of the documents that has the name of a new one comes back with ``document_`` before it. Shards are
+    found for row keys alone; the documents meet them once."""
+    docs = docs if is_table(docs) else staged(docs, "shard-documents")
+    taken = {c.lower() for c in docs.columns}
+    names = {}
+    for c in docs.columns:
+        names[c] = c
+        while names[c].lower() in NEW or (names[c] != c and names[c].lower() in taken):
+            names[c] = "document_" + names[c]
+    order = ["__part", "__file", "__row"]
+    found = shard(written_order(docs), carry=["__file", "__row"], order=order)
+    whole = docs.select(F.struct(*[F.col(f"`{c}`").alias(n) for c, n in names.items()]).alias("__columns"), *row_keys(docs))
+    return found.join(whole, ["__file", "__row"]).select("__columns.*", *NEW)
+
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_left: dict[str, list[str]] = {}  # by dataset: what the stage before has staged and its result still reads
+
+
+def tidy(stage: Stage, first: bool = False) -> Stage:
+    """The stage, which deletes what the stage before it staged: that one's result is written by now, or its documents
+    could not be read. The first stage follows none; what the last stage of an earlier run staged may still be wanted."""
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        before = _left.pop(sf_dir, [])
+        release(spark, [] if first else before)
+        with recorded() as folders:
+            out = stage(spark, docs, sf_dir)
+        _left[sf_dir] = folders
+        return out
+    return run_stage
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", tidy(quality, first=True)),
+    ("n-gram Jaccard join", tidy(near_copies)),
+    ("benchmark decontamination", tidy(decontaminated)),
+    ("mixing", tidy(mixed)),
+    ("sharding", tidy(sharded)),
 ]
 
 # The first stage learns its rules from labels by repeated covering, which SQL can't express.
