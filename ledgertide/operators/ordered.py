@@ -176,6 +176,32 @@ def gap_sessions(df: DataFrame, keys: Sequence[str], ts: str, order: Sequence[Co
     return scan(df, keys, order, instant=F.col(ts), gap=gap).select(*[c for c in df.columns if c != out], F.col("_sum").alias(out))
 
 
+def as_of(events: DataFrame, changes: DataFrame, keys: Sequence[str], at: str, since: str, values: Sequence[str],
+          tie: Sequence[str] = ()) -> DataFrame:
+    """Events with the ``values`` of the newest change of their key at or before their instant (NULL where there is none). Of
+    changes at one instant the last by ``tie`` holds.
+
+    Changes and events are merged into one sorted scan that counts the changes of a key; the count at an event names
+    the change in force. The final join is on key and count, so no event meets a change that isn't its own, however many changes
+    a key has. A change without instant never applies; an event without instant has none."""
+    row = F.struct(*[F.col(x) for x in events.columns])
+    held = F.struct(*[F.col(x) for x in values])
+    ties = [F.col(x) for x in tie]
+    right = changes.where(F.col(since).isNotNull()).select(*keys, F.col(since).alias("_at"), F.lit(0).alias("_kind"),
+                                                           *[t.alias(f"_tie{i}") for i, t in enumerate(ties)], held.alias("_held"))
+    left = events.select(*keys, F.col(at).alias("_at"), F.lit(1).alias("_kind"),
+                         *[F.lit(None).cast(right.schema[f"_tie{i}"].dataType).alias(f"_tie{i}") for i in range(len(ties))], row.alias("_row"))
+    both = left.unionByName(right, allowMissingColumns=True)
+    order = [F.col("_at"), F.col("_kind"), *[F.col(f"_tie{i}") for i in range(len(ties))]]
+    merged = scan(both, keys, order, value=F.when(F.col("_kind") == 0, 1).otherwise(0))
+    known = merged.where("_kind = 0").select(*[F.col(k).alias(f"_known_{k}") for k in keys], F.col("_sum").alias("_known"), F.col("_held").alias("_now"))
+    on = F.col("_sum") == F.col("_known")
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_known_{k}"))
+    found = merged.where("_kind = 1").drop("_held").join(known, on, "left")
+    return found.select(*[F.col(f"_row.`{x}`").alias(x) for x in events.columns], *[F.col(f"_now.`{x}`").alias(x) for x in values])
+
+
 def rolling_sums(events: DataFrame, points: DataFrame, key: str, ts: str, value: str, point_id: str,
                  spans: dict[str, int]) -> DataFrame:
     """For each point, the sum of event values of its key in the trailing days up

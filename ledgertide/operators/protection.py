@@ -9,7 +9,7 @@ from .. import markets
 from ..functions.scalars import age_years, local_date, money, period_start
 from .core import active_limits, zero
 from .nomenclature import in_force
-from .ordered import rolling_sums, running_sum
+from .ordered import as_of, rolling_sums, running_sum
 
 c = F.col
 PERIODS = ["DAILY", "WEEKLY", "MONTHLY"]
@@ -196,6 +196,22 @@ def stake_cap_audit(rounds: DataFrame, accounts: DataFrame, limits: DataFrame) -
                     F.when(over_personal, c("_personal")).otherwise(c("_cap")).alias("cap")))
 
 
+def caps_in_force(limits: DataFrame) -> DataFrame:
+    """``account_id, since, personal_cap``: a row for each instant at which an account's lowest cap may change. An account's
+    changes are few (limits a person sets), so each meets the caps of its own account."""
+    caps = limits.filter("limit_type = 'STAKE_CASINO'").select("account_id", "amount", "set_at", "revoked_at")
+    instants = caps.select("account_id", F.explode(F.array("set_at", "revoked_at")).alias("since")).filter("since is not null").distinct()
+    held = F.when(active_at(c("set_at"), c("revoked_at"), c("since")), c("amount"))
+    return instants.join(caps, "account_id").groupBy("account_id", "since").agg(F.min(held).alias("personal_cap"))
+
+
+def stakes_over_cap_then(rounds: DataFrame, limits: DataFrame) -> DataFrame:
+    """Rounds over the personal cap in force at their own instant, whatever holds now (``stake_cap_audit`` judges by what is active now)."""
+    judged = as_of(rounds.select("round_id", "account_id", "game", "stake", "round_ts"), caps_in_force(limits), ["account_id"],
+                   "round_ts", "since", ["personal_cap"])
+    return judged.filter("stake > personal_cap")
+
+
 WAGER_CHECKS = ["NON_POSITIVE", "EXCLUDED", "BONUS_GAME", "INSUFFICIENT_BALANCE", "LOSS_LIMIT", "STAKE_CAP"]
 
 

@@ -299,19 +299,58 @@ def licensed_only(rounds: DataFrame, licensed: DataFrame) -> DataFrame:
             .filter(c("_listed").isNull() | c("_ok")).drop("_listed", "_ok"))
 
 
+def stored_names(paths: DataFrame) -> DataFrame:
+    """(market, record_type, file_name) of stored document paths ``.../MKT/type/000001-KEY[-SUFFIX].xml``, each a file or a
+    folder of one file, with or without column names before the folders' values."""
+    p = F.regexp_replace("path", r"/part-[^/]+$", "")
+    part = lambda n: F.regexp_extract(p, r"(?:[a-z_]+=)?([^/=]+)" + r"/[^/]+" * n + "$", 1)
+    return paths.select(F.url_decode(part(2)).alias("jurisdiction"), F.url_decode(part(1)).alias("record_type"),
+                        F.url_decode(part(0)).alias("file_name"))
+
+
 def stored_files(paths: DataFrame) -> DataFrame:
-    """(market, record_type, record_id) of stored document paths
-    ``.../MKT/type/000001-KEY[-SUFFIX].xml``; a suffixed file proves its record too.
+    """(market, record_type, record_id) of stored document paths; a suffixed file proves its record too.
     A key ending in dash and capitals is listed both whole and cut."""
-    p = c("path")
-    name = F.regexp_extract(p, r"/[0-9]+-([^/]+)\.xml$", 1)
+    named = stored_names(paths)
+    name = F.regexp_extract("file_name", r"^[0-9]+-([^/]+)\.xml$", 1)
     cut = F.regexp_replace(name, r"-[A-Z]+$", "")
-    return (paths.select(F.regexp_extract(p, r"([^/]+)/[^/]+/[^/]+$", 1).alias("jurisdiction"),
-                         F.regexp_extract(p, r"([^/]+)/[^/]+$", 1).alias("record_type"),
-                         F.explode(F.array_distinct(F.array(name, cut))).alias("record_id"))
+    return (named.select("jurisdiction", "record_type", F.explode(F.array_distinct(F.array(name, cut))).alias("record_id"))
             .filter("record_id <> ''").distinct())
 
 
+def bucket_digests(rows: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    """Number and combined hash of the rows in each bucket of their keys: ``buckets`` rows, however many there are."""
+    h = F.xxhash64(*[x for k in keys for x in (F.col(k), F.col(k).isNull())])
+    return rows.select(F.pmod(h, F.lit(buckets)).cast("int").alias("bucket"), h.alias("h")).groupBy("bucket").agg(
+        F.count("*").alias("n"), F.bit_xor("h").alias("x"))
+
+
+def differences(sides: dict[str, DataFrame], keys: list[str], buckets: int = 4096) -> DataFrame:
+    """Keys that not every side has, with a flag per side. Sides are compared by digests of buckets first; only the
+    rows of buckets that differ are itemised, so equal sides cost one small aggregation each. A side holds each key once."""
+    h = F.pmod(F.xxhash64(*[x for k in keys for x in (F.col(k), F.col(k).isNull())]), F.lit(buckets)).cast("int")
+    digests = [bucket_digests(df, keys, buckets).withColumn("side", F.lit(name)) for name, df in sides.items()]
+    seen = reduce(DataFrame.unionByName, digests).groupBy("bucket").agg(
+        F.count("*").alias("sides"), F.countDistinct("n", "x").alias("kinds"))
+    odd = F.broadcast(seen.where((F.col("sides") < len(sides)) | (F.col("kinds") > 1)).select("bucket"))  # ``buckets`` rows at most
+    listed = [df.select(*keys, h.alias("bucket"), F.lit(name).alias("side")).join(odd, "bucket", "left_semi") for name, df in sides.items()]
+    found = reduce(DataFrame.unionByName, listed).groupBy(*keys).agg(F.collect_set("side").alias("_in"))
+    return found.where(F.size("_in") < len(sides)).select(*keys, *[F.array_contains("_in", name).alias(name) for name in sides])
+
+
+def store_breaks(log: DataFrame, manifest: DataFrame, paths: DataFrame) -> DataFrame:
+    """Where the delivery log, the manifest and the files themselves disagree, by market, record type and file name (record key for
+    receipts without a manifest entry)."""
+    entry = ["jurisdiction", "record_type", "record_key"]
+    filed = differences({"logged": log.select(*entry).distinct(), "listed": manifest.select(*entry).distinct()}, entry)
+    name = ["jurisdiction", "record_type", "file_name"]
+    kept = differences({"listed": manifest.select(*name).distinct(), "stored": stored_names(paths).distinct()}, name)
+    first = filed.select("jurisdiction", "record_type", c("record_key").alias("item"),
+                         F.when(c("logged"), "NOT_LISTED").otherwise("NO_RECEIPT").alias("problem"))
+    return first.unionByName(kept.select("jurisdiction", "record_type", c("file_name").alias("item"),
+                                         F.when(c("listed"), "FILE_MISSING").otherwise("UNKNOWN_FILE").alias("problem")))
+
+
 def completeness_breaks(expected: DataFrame, log: DataFrame, files: DataFrame) -> DataFrame:
     """Expected records without a receipt, or with one but no stored document."""
     receipts = log.groupBy("record_type", "record_key").agg(F.min("receipt_id").alias("receipt_id"))

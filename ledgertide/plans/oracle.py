@@ -351,6 +351,10 @@ FINAL.update({
     "rolling_deposit_audit": _rolling("SELECT * FROM stg_payments WHERE direction = 'DEPOSIT' AND status = 'COMPLETED'",
                                       "payment_id", "completed_ts", "amount", "DEPOSIT"),
     "rolling_loss_audit": _rolling("SELECT * FROM loss_rows", "ref", "ts", "net", "LOSS"),
+    "stakes_over_cap_then": out("""SELECT r.round_id, r.account_id, r.game, r.stake, r.round_ts, min(l.amount) AS personal_cap
+        FROM play_rounds r JOIN stg_player_limits l ON l.account_id = r.account_id AND l.limit_type = 'STAKE_CASINO'
+          AND r.round_ts >= l.set_at AND (l.revoked_at IS NULL OR r.round_ts < l.revoked_at)
+        GROUP BY ALL HAVING r.stake > min(l.amount)""", "round_id account_id game stake:d round_ts personal_cap:d"),
     "stake_cap_audit": out("cap_breaks", "round_id account_id jurisdiction game stake:d cap_kind cap:d"),
     "wager_gate_audit": """SELECT wager_id, account_id, ts, CAST(stake AS DOUBLE) AS stake,
         list_extract(['NON_POSITIVE', 'EXCLUDED', 'BONUS_GAME', 'INSUFFICIENT_BALANCE', 'LOSS_LIMIT', 'STAKE_CAP'], min(n) + 1) AS reason

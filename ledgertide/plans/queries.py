@@ -406,6 +406,11 @@ def stake_cap_audit(m: Models) -> DataFrame:
     return protection.stake_cap_audit(m["cdc_play_rounds"], m["dim_account"], m["stg_player_limits"])
 
 
+@plan
+def stakes_over_cap_then(m: Models) -> DataFrame:
+    return protection.stakes_over_cap_then(m["cdc_play_rounds"], m["stg_player_limits"])
+
+
 @plan
 def wager_gate_audit(m: Models) -> DataFrame:
     rounds = m.share("cash_flow")["cdc_play_rounds"]

@@ -87,8 +87,27 @@ def test_plain_record_leaves_absent_fields_out(spark):
 
 
 def test_documents_are_written_and_found(spark, tmp_path):
-    rows = spark.createDataFrame([("FR", "bets", "<a/>")], "jurisdiction string, record_type string, payload string")
-    sinks.write_documents(rows, str(tmp_path / "docs"))
-    assert spark.read.text(str(tmp_path / "docs")).first().value == "<a/>"
-    sinks.write_xml(rows, str(tmp_path / "xml"), "Root", "Row")
+    from ledgertide.operators import recon
+    root, n = str(tmp_path / "docs"), 60
+    rows = [("FR" if i % 3 else "M/T", "bets", f"S{i}|SETTLED", f"S{i}", "GAIN" if i % 5 == 0 else None, f"R{i}", i, f"<a n='{i}'/>") for i in range(n)]
+    docs = spark.createDataFrame(rows, "jurisdiction string, record_type string, record_key string, record_id string, suffix string, "
+                                       "receipt_id string, seq int, payload string")
+    sinks.write_documents(docs, root)
+    log, listed, paths = docs.select("jurisdiction", "record_type", "record_key"), sinks.manifest(spark, root), sinks.document_paths(spark, root)
+    assert listed.count() == paths.count() == n
+    assert {r.value for r in spark.read.text(root + "/files").collect()} == {r[-1] for r in rows}
+    assert recon.store_breaks(log, listed, paths).collect() == []
+    assert {r.record_id for r in recon.stored_files(paths).collect()} >= {f"S{i}" for i in range(n)}
+    gone = tmp_path / "docs" / "files" / "jurisdiction=FR" / "record_type=bets" / "file_name=000010-S10-GAIN.xml"
+    for f in gone.iterdir():
+        f.unlink()
+    gone.rmdir()
+    extra = gone.with_name("file_name=000999-S999.xml")
+    extra.mkdir()
+    (extra / "part-0.txt").write_text("<a/>")
+    got = recon.store_breaks(log.where("record_key <> 'S7|SETTLED'").union(spark.createDataFrame([("FR", "bets", "S900|VOIDED")], log.schema)),
+                             listed, sinks.document_paths(spark, root)).collect()
+    assert sorted((r.item, r.problem) for r in got) == [("000010-S10-GAIN.xml", "FILE_MISSING"), ("000999-S999.xml", "UNKNOWN_FILE"),
+                                                        ("S7|SETTLED", "NO_RECEIPT"), ("S900|VOIDED", "NOT_LISTED")]
+    sinks.write_xml(docs.select("jurisdiction", "record_type", "payload"), str(tmp_path / "xml"), "Root", "Row")
     assert list((tmp_path / "xml" / "jurisdiction=FR" / "record_type=bets").glob("part-*"))

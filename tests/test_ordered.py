@@ -125,3 +125,21 @@ def test_the_input_of_a_running_sum_is_read_into_one_exchange(spark, moves, tmp_
     got = ordered.running_sum(stored, ["user"], [F.col("ts"), F.col("id")], F.col("amount"), "run")
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1 and "/moves" not in plan and "Window" not in plan
+
+
+def test_as_of_join_with_many_changes(spark):
+    rng, start = random.Random(11), datetime(2026, 7, 1)
+    at = lambda: start + timedelta(minutes=rng.randrange(4000))
+    who = lambda: "HOT" if rng.random() < 0.5 else rng.choice(["A", "B", None])
+    events = [(who(), i, None if i % 50 == 0 else at()) for i in range(600)]
+    changes = [(who(), i, None if i % 40 == 0 else at(), None if i % 7 == 0 else i) for i in range(300)]
+    events += [(c[0], 1000 + c[1], c[2]) for c in changes[:60]]  # an event at the very instant of a change
+    changes += [(c[0], 500 + c[1], c[2], 500 + c[1]) for c in changes[:20]]  # two changes at one instant
+    e = spark.createDataFrame(events, "user string, id int, at timestamp")
+    ch = spark.createDataFrame(changes, "user string, no int, since timestamp, cap int")
+    got = ordered.as_of(e, ch, ["user"], "at", "since", ["no", "cap"], ["no"]).collect()
+    want = {}
+    for user, i, when in events:
+        before = [(c[2], c[1], c[3]) for c in changes if c[0] == user and c[2] is not None and when is not None and c[2] <= when]
+        want[i] = max(before)[1:] if before else (None, None)
+    assert {r.id: (r.no, r.cap) for r in got} == want and len(got) == len(events)

@@ -233,6 +233,32 @@ def test_upsert_moves_a_key_to_another_partition(spark, tmp_path):
     assert got == [("S1", m("9.00"), "2026-07-02"), ("S2", m("2.00"), "2026-07-01"), ("S3", m("4.00"), "2026-07-02")]
 
 
+def test_upsert_reads_only_partitions_that_may_hold_a_key(spark, tmp_path):
+    schema = "slip_id string, payout decimal(18,2), report_date date, version timestamp"
+    path = str(tmp_path / "file")
+    rows = [(f"S{day}-{i}", m("1"), d(f"2026-07-{day:02d}"), t("2026-07-30 10:00")) for day in range(1, 21) for i in range(5)]
+    sinks.upsert_partitions(spark, spark.createDataFrame(rows, schema), path, ["slip_id"], ["report_date"], "version")
+    new = spark.createDataFrame([("S3-1", m("2"), d("2026-07-10"), t("2026-07-31 10:00")), ("X1", m("3"), d("2026-07-12"), t("2026-07-31 10:00"))], schema)
+    bits = spark.read.schema("word int, mask bigint, report_date date").parquet(sinks.index_path(path))
+    found = sinks.may_hold(bits, new, ["slip_id"], ["report_date"]).collect()
+    assert [str(r.report_date) for r in found] == ["2026-07-03"]
+    table = sinks.only_partitions(spark.read.parquet(path), found, ["report_date"]).select("slip_id")
+    assert table.count() == 5
+    table.collect()
+    leaves = table._jdf.queryExecution().executedPlan().collectLeaves()
+    folder = list((tmp_path / "file" / "report_date=2026-07-03").glob("*.parquet"))
+    assert leaves.apply(0).metrics().get("numFiles").get().value() == len(folder)
+    still = {f: f.stat().st_mtime_ns for day in (1, 2, 4, 20) for f in (tmp_path / "file" / f"report_date=2026-07-{day:02d}").glob("*.parquet")}
+    for _ in range(2):
+        sinks.upsert_partitions(spark, new, path, ["slip_id"], ["report_date"], "version")
+    assert all(f.stat().st_mtime_ns == at for f, at in still.items())
+    got = {r.slip_id: str(r.report_date) for r in spark.read.parquet(path).collect()}
+    assert len(got) == 101 and got["S3-1"] == "2026-07-10" and got["X1"] == "2026-07-12"
+    back = spark.createDataFrame([("S3-1", m("4"), d("2026-07-03"), t("2026-08-01 10:00"))], schema)
+    sinks.upsert_partitions(spark, back, path, ["slip_id"], ["report_date"], "version")
+    assert {r.slip_id: str(r.report_date) for r in spark.read.parquet(path).collect()}["S3-1"] == "2026-07-03"
+
+
 def test_table_layout_and_pruned_read(spark, tmp_path):
     from ledgertide.sources import landing
     rows = spark.createDataFrame([("A1", "x", t("2026-07-01 10:00"), m("1")), ("A2", "x", t("2026-07-02 10:00"), m("1"))],
