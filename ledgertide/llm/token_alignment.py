@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +27,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgertide.llm.common import staged, table
+from ledgertide.llm.token_counts import PIECE_PATTERN
 
 HOT_PAIRS = 1 << 17
 SLICE_CHARS = 1 << 18
+MEMO, MEMO_CHARS = 300_000, 64  # pieces a worker remembers, and how long they may be
 _SPACE = "▁"
 
 
@@ -50,6 +53,11 @@ class ByteTokenizer:
         self.model.encode_special_tokens = True
         self.model.no_truncation()
         self.model.no_padding()
+        import regex
+        if "ByteLevel(add_prefix_space=False" not in str(self.model.pre_tokenizer) or self.model.normalizer:
+            raise ValueError(f"{path} is no byte-level tokenizer without normaliser and prefix space")
+        self.pattern, self.beyond = regex.compile(PIECE_PATTERN), regex.compile(r"[^\x00-ԯ]")
+        self.memo: dict[str, list[int]] = {}
         letters = byte_letters()
         vocabulary = self.model.get_vocab(with_added_tokens=True)
         self.bytes = [b""] * (max(vocabulary.values()) + 1)
@@ -57,7 +65,22 @@ class ByteTokenizer:
             self.bytes[i] = bytes(letters[c] for c in entry) if all(c in letters for c in entry) else entry.encode()
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.model.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+        """Token ids of space and text. Pieces are encoded one by one, as the library does it, and short ones remembered; texts with
+        characters where the pattern was not compared with the library go to the library whole."""
+        texts = [" " + t for t in texts]
+        pieces = [None if self.beyond.search(t) else self.pattern.findall(t) for t in texts]
+        new = [p for p in dict.fromkeys(chain.from_iterable(p for p in pieces if p)) if p not in self.memo]
+        if len(self.memo) + len(new) > MEMO:
+            self.memo.clear()
+            new = list(dict.fromkeys(chain.from_iterable(p for p in pieces if p)))
+        fresh = dict(zip(new, (e.ids for e in self.model.encode_batch_fast(new, add_special_tokens=False))))
+        self.memo.update(fresh)
+        out = [self.model.encode(t, add_special_tokens=False).ids if p is None else list(chain.from_iterable(map(self.memo.__getitem__, p)))
+               for t, p in zip(texts, pieces)]
+        for p in fresh:
+            if len(p) > MEMO_CHARS:
+                del self.memo[p]
+        return out
 
 
 class PieceTokenizer:
@@ -74,38 +97,28 @@ class PieceTokenizer:
         return self.model.encode(texts, num_threads=1)
 
 
-def sliced_groups(a: list[int], b: list[int], size_a: list[int], size_b: list[int]) -> list[tuple[int, int]]:
-    """The (end in a, end in b) of each group: places after which both sequences end at the same byte."""
-    at_a, at_b, total = {}, {}, 0
-    for i, t in enumerate(a, 1):
-        total += size_a[t]
-        at_a[total] = i
-    total = 0
-    for i, t in enumerate(b, 1):
-        total += size_b[t]
-        at_b[total] = i
-    return [(at_a[end], at_b[end]) for end in sorted(at_a.keys() & at_b.keys())]
+def sliced_groups(a: list[int], b: list[int], size_a: list[int], size_b: list[int]) -> tuple[list[int], list[int]]:
+    """The ends of the groups in a and in b: places after which both sequences end at the same byte."""
+    at_a = dict(zip(accumulate(map(size_a.__getitem__, a)), range(1, len(a) + 1)))
+    at_b = dict(zip(accumulate(map(size_b.__getitem__, b)), range(1, len(b) + 1)))
+    common = sorted(filter(at_b.__contains__, at_a))
+    return list(map(at_a.__getitem__, common)), list(map(at_b.__getitem__, common))
 
 
-def linked_pairs(a: list[int], b: list[int], cuts: np.ndarray) -> np.ndarray:
+def linked_pairs(a: list[int], b: list[int], cuts: tuple[list[int], list[int]]) -> np.ndarray:
     """Every token of a with every token of b of the same group, as ``a * 2^32 + b``."""
-    ends = np.vstack([np.zeros((1, 2), np.int64), cuts])
-    n = np.diff(ends, axis=0)
+    n_a, n_b = (np.diff(np.array(c, np.int64), prepend=0) for c in cuts)
     ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
-    width = np.repeat(n[:, 1], n[:, 0])  # each token of a meets all of b in its group
-    first = np.repeat(ends[:-1, 1], n[:, 0])
+    width = np.repeat(n_b, n_a)  # each token of a meets all of b in its group
+    first = np.repeat(np.cumsum(n_b) - n_b, n_a)
     shift = np.arange(int(width.sum())) - np.repeat(np.cumsum(width) - width, width)
     return (np.repeat(ids_a, width) << 32) | ids_b[np.repeat(first, width) + shift]
 
 
-def groups_digest(a: list[int], b: list[int], cuts: list[tuple[int, int]], names: list[str]) -> str:
-    out, i, j = [], 0, 0
-    for x, y in cuts:
-        if x - i == 1 and y - j == 1:
-            out.append(names[a[i]] + "|" + names[b[j]])
-        else:
-            out.append(",".join([names[t] for t in a[i:x]]) + "|" + ",".join([names[t] for t in b[j:y]]))
-        i, j = x, y
+def groups_digest(a: list[int], b: list[int], cuts: tuple[list[int], list[int]], names: list[str]) -> str:
+    first, second = list(map(names.__getitem__, a)), list(map(names.__getitem__, b))
+    out = [first[i] + "|" + second[j] if x - i == 1 and y - j == 1 else ",".join(first[i:x]) + "|" + ",".join(second[j:y])
+           for i, j, x, y in zip(chain((0,), cuts[0]), chain((0,), cuts[1]), *cuts)]
     return hashlib.sha256(";".join(out).encode()).hexdigest()
 
 
@@ -133,8 +146,8 @@ def encoded(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                     yield (id_, 0, 0, 0, 0, "", b"", b"")
                     continue
                 cuts = sliced_groups(a, b, size_a, size_b)
-                pairs, times = np.unique(linked_pairs(a, b, np.array(cuts, np.int64)), return_counts=True)
-                yield (id_, len(a), len(b), len(cuts), int(times.sum()), groups_digest(a, b, cuts, names), pairs.tobytes(), times.astype(np.int32).tobytes())
+                pairs, times = np.unique(linked_pairs(a, b, cuts), return_counts=True)
+                yield (id_, len(a), len(b), len(cuts[0]), int(times.sum()), groups_digest(a, b, cuts, names), pairs.tobytes(), times.astype(np.int32).tobytes())
 
         def batch_of(out):
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out)) or [()] * len(_ROW), _ROW.values())], names=list(_ROW))
