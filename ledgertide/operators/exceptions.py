@@ -60,6 +60,24 @@ def period_readiness(periods: DataFrame, watermarks: DataFrame, market: DataFram
                     F.coalesce(c("_through") > c("report_date"), F.lit(False)).alias("is_ready")))
 
 
+def calendar(days: DataFrame) -> DataFrame:
+    """Days per market as a bitmap: 64 days in a word. One row for each configured market, whose words
+    are bounded by the calendar, so it may be broadcast beside any number of facts."""
+    n = F.unix_date("report_date")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(n, F.lit(64)).cast("int"))
+    words = (days.filter(c("jurisdiction").isin(list(markets.MARKETS)) & c("report_date").isNotNull())
+             .groupBy("jurisdiction", F.floor(n / 64).cast("int").alias("word")).agg(F.bit_or(bit).alias("mask")))
+    return F.broadcast(words.groupBy("jurisdiction").agg(F.map_from_entries(F.collect_list(F.struct("word", "mask"))).alias("_days")))
+
+
+def on_days(rows: DataFrame, days: DataFrame) -> DataFrame:
+    """Rows whose (jurisdiction, report_date) is among ``days``, looked up in the bitmap row by row: no shuffle of ``rows``."""
+    n = F.unix_date("report_date")
+    mask = F.try_element_at("_days", F.floor(n / 64).cast("int"))
+    bit = F.call_function("shiftright", mask, F.pmod(n, F.lit(64)).cast("int")).bitwiseAND(F.lit(1).cast("long"))
+    return rows.join(calendar(days), "jurisdiction").filter(bit == 1).select(*[rows[x] for x in rows.columns])
+
+
 def backoff_minutes(attempt: Column) -> Column:
     return F.lit(markets.BACKOFF_MINUTES) * F.pow(F.lit(2), attempt - 1)
 
@@ -124,7 +142,7 @@ def exception_store(addresses: DataFrame, next_state: DataFrame, periods: DataFr
                     "entity_id", nil_day, c("reason_code"), "TRANSIENT", "WARNING", c("status"),
                     c("attempt_count"), c("next_retry_at"), "region not known yet")
     unready = readiness.filter("not is_ready").select("jurisdiction", "report_date")
-    waiting = rows(periods.join(unready, ["jurisdiction", "report_date"]), "PERIOD", "PERIOD", "account_id",
+    waiting = rows(on_days(periods, unready), "PERIOD", "PERIOD", "account_id",
                    c("report_date"), F.lit("period_not_complete"), "COMPLETENESS", "WARNING",
                    F.lit("WAITING_DATA"), nil_n, nil_ts, "feed not complete through the period")
     held = rows(holds, "ACCOUNT", "COMPLIANCE", "account_id", nil_day, c("breach"), "COMPLIANCE",

@@ -9,6 +9,7 @@ from .. import markets
 from ..functions.scalars import (local_date, local_datetime, local_day_bounds, money, period_start,
                                  render_event_name, sha256_hex)
 from .core import zero
+from .exceptions import on_days
 from .gaming import gaming_revenue
 from .nomenclature import dated_code, dated_rate, with_bucket
 
@@ -30,11 +31,11 @@ def filed_status(df: DataFrame) -> DataFrame:
 
 
 def admissible(df: DataFrame, blocked: DataFrame, readiness: DataFrame) -> DataFrame:
-    """Without blocked accounts and periods that are not closed. Explicit anti and
-    semi joins: a NULL id in the store cannot empty the file."""
+    """Without blocked accounts and periods that are not closed. An explicit anti
+    join: a NULL id in the store cannot empty the file. Periods are looked up in the calendar, so slips do not move for them."""
     ids = blocked.filter(c("account_id").isNotNull()).select("account_id").distinct()
     ready = readiness.filter("is_ready").select("jurisdiction", "report_date")
-    return df.join(ids, "account_id", "left_anti").join(ready, ["jurisdiction", "report_date"], "left_semi")
+    return on_days(df.join(ids, "account_id", "left_anti"), ready)
 
 
 def carried_attributes(attributes: DataFrame, names: list[str], entity: str = "SLIP",

@@ -6,7 +6,9 @@ A query that reads facts shared by several models writes those facts once
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ from ..functions import scalars
 from ..functions.frames import present
 from ..operators import (cdc, core, delivery, document_formats, documents, exceptions, gaming, nomenclature,
                          ordered, protection, recon, records, rules, sessions, submissions)
+from ..scratch import work_folder
 from ..sources import sinks
 from . import derive, pipeline
 from .pipeline import Models
@@ -327,11 +330,17 @@ def settled_on_local_day(m: Models) -> DataFrame:
 
 @plan
 def market_fan_out(m: Models) -> DataFrame:
-    """Columns and rows of the file each market gets."""
-    file = submissions.filed_status(m["reportable"])
-    return file.groupBy("jurisdiction").agg(F.count("*").alias("rows")).withColumn(
-        "columns", F.create_map(*[F.lit(x) for k in markets.MARKETS for x in (
-            k, len(markets.BETTING_FILES[k]) + len(markets.EXTENSIONS.get(k, [])))])[c("jurisdiction")])
+    """Columns and rows of the file each market gets, as read back from one write of all markets' files."""
+    file = submissions.betting_file(submissions.filed_status(m["reportable"]), m["dim_fixture"], m["stg_reg_attributes"],
+                                    m["map_sport_regulator"], m["sport_policy"])
+    spark, root = file.sparkSession, f"{work_folder(file.sparkSession)}/market-files-{uuid.uuid4().hex}"
+    sinks.fan_out(file, root, list(markets.MARKETS), ("jurisdiction",))  # one folder a market: days would be some thousand folders here
+    found = [r[0] for r in spark.read.parquet(root).select("jurisdiction").distinct().collect()]  # folder names alone
+    counts = []
+    for k in sorted(found):
+        mine = sinks.market_rows(spark, root, k)
+        counts.append(mine.agg(F.count("*").alias("rows")).select(F.lit(k).alias("jurisdiction"), "rows", F.lit(len(mine.columns) - 1).alias("columns")))
+    return reduce(DataFrame.unionByName, counts).filter("rows > 0")
 
 
 @plan

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import markets
 from ..operators.cdc import latest_image
 from ..operators.ordered import join_same
 from ..operators.submissions import market_file
@@ -176,14 +177,24 @@ def log_replace(log: DataFrame, new: DataFrame) -> DataFrame:
     return best.select("record_type", "record_key", *[F.col(f"r.{c}").alias(c) for c in cols])
 
 
-def fan_out(df: DataFrame, root: str, wanted: list[str]) -> dict[str, str]:
-    """One file set per market with exactly its declared columns."""
-    paths = {}
-    for market in wanted:
-        paths[market] = f"{root}/jurisdiction={market}"
-        (market_file(df, market).drop("jurisdiction").write.mode("overwrite")
-         .partitionBy("report_date").parquet(paths[market]))
-    return paths
+def fan_out(df: DataFrame, root: str, wanted: list[str], folders: tuple[str, ...] = ("jurisdiction", "report_date")) -> None:
+    """The files of all markets in one write: a folder per market and report date (or per market alone). A column that a market
+    does not declare is NULL in its rows and takes no room in its files; :func:`market_rows` gives each market exactly its own."""
+    declared = {m: [*markets.BETTING_FILES[m], *markets.EXTENSIONS.get(m, [])] for m in wanted}
+    columns = []
+    for name in dict.fromkeys(x for names in declared.values() for x in names):
+        has = [m for m in wanted if name in declared[m]]
+        columns.append(F.when(F.col("jurisdiction").isin(has), F.col(name)).alias(name) if len(has) < len(wanted) else F.col(name))
+    rows = df.filter(F.col("jurisdiction").isin(wanted)).select("jurisdiction", "report_date", *columns)
+    order = [F.col("jurisdiction"), F.col("report_date")]
+    (rows.repartitionByRange(*order, F.monotonically_increasing_id()).sortWithinPartitions(*order)
+     .write.mode("overwrite").option("partitionOverwriteMode", "static").option("maxRecordsPerFile", ROWS_PER_FILE)
+     .partitionBy(*folders).parquet(root))
+
+
+def market_rows(spark: SparkSession, root: str, market: str) -> DataFrame:
+    """One market's file as written by :func:`fan_out`: its folders and exactly its declared columns are read."""
+    return market_file(spark.read.option("basePath", root).parquet(f"{root.rstrip('/')}/jurisdiction={market}"), market).drop("jurisdiction")
 
 
 def write_documents(documents: DataFrame, root: str) -> None:
