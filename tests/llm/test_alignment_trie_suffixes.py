@@ -162,10 +162,24 @@ def test_alignment(spark, hot):
     docs = [*enumerate(texts), (None, "same words here"), (3, "one")]
     df = spark.createDataFrame([(i, t, "p", 1) for i, t in docs], "doc_id long, text string, pairs string, row int").repartition(3)
     got = token_alignment.aligned(df, path_a, path_b, hot).collect()
-    assert sorted(tuple(-1 if x is None else x for x in r) for r in got) == brute_alignment(docs, path_a, path_b)
+    want = brute_alignment(docs, path_a, path_b)
+    assert sorted(tuple(-1 if x is None else x for x in r) for r in got) == want
+    got = token_alignment.aligned(df, path_a, path_b, hot, tokenizer_files.path("byte_bpe_50k.tiktoken")).collect()
+    assert sorted(tuple(-1 if x is None else x for x in r) for r in got) == want
     assert token_alignment.aligned(df.where("false"), path_a, path_b, hot).collect() == []
 
 
+def test_ranks_give_the_ids_of_the_tokenizers_file():
+    path, ranks = tokenizer_files.path("byte_bpe_50k.json"), tokenizer_files.path("byte_bpe_50k.tiktoken")
+    rng = random.Random(6)
+    kinds = [(32, 127), (0, 0x250), (0x250, 0xD7FF), (0xE000, 0x10FFFF), (9, 33)]
+    texts = ["".join(chr(rng.randrange(*rng.choice(kinds))) for _ in range(rng.randrange(1, 60))) for _ in range(4000)]
+    texts += ["<|endoftext|> x", "a  \n\n b'll  c", " " * 300, "x" * 5000]
+    assert token_alignment.ByteTokenizer(path, ranks).encode(texts) == token_alignment.ByteTokenizer(path).encode(texts)
+    with pytest.raises(ValueError):
+        token_alignment.ByteTokenizer(path, tokenizer_files.path("byte_bpe_multi_50k.tiktoken"))
+
+
 def test_sharding_stage_keeps_columns_of_the_new_ones_names(spark):
     rows = [(i, f"text {i}", "s", i, -i, "old", 7) for i in range(60)] + [(None, None, None, None, None, None, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, shard int, slot long, size string, document_size int")
