@@ -36,6 +36,7 @@ from ledgertide.llm.common import new_folder, staged, table
 MAGIC = b"\x1f\x8b\x08"
 SPLIT_BYTES = 8 << 20
 READ_BYTES = 1 << 20
+READ_TASKS = 20_000  # ranges beyond this number share tasks
 END = b"\r\n\r\n"
 # Fixed values of the format.
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -197,7 +198,8 @@ def read_archives(files: DataFrame, split_bytes: int = SPLIT_BYTES, payload: boo
     the payload as read; a revisit gives those of the payload it stands for. ``payload`` asks for the bytes themselves."""
     ranges = files.select("uri", "n_bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("n_bytes") - 1, F.lit(0)),
                                                                  F.lit(split_bytes).cast("long"))).alias("start"))
-    ranges = ranges.repartition(F.col("uri"), F.col("start"))  # a few bytes per range: deals the reading out
+    # A range is a few bytes here and many in the archive: without a number, all of them would be merged into one task.
+    ranges = ranges.repartition(max(1, min(ranges.count(), READ_TASKS)))
 
     def read(batches) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
