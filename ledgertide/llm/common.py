@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -49,16 +49,34 @@ def recorded() -> Iterator[list[str]]:
     try:
         yield folders
     finally:
-        _recording.remove(folders)
+        del _recording[next(i for i, own in enumerate(_recording) if own is folders)]  # equal lists are not the same list
+
+
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def set_for(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """The session with a setting that holds in the block only."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: cuts the lineage, so that a
-    lost executor costs no more than its own tasks."""
+    lost executor costs no more than its own tasks. The shuffles of the write go with its end, as nothing reads them again."""
     path = new_folder(df.sparkSession, name)
     for folders in _recording:
         folders.append(path)
-    df.write.parquet(path)
+    with set_for(df.sparkSession, CLEAN_UP, "true"):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -70,6 +88,15 @@ def release(spark: SparkSession, folders: list[str] | None = None) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def settled(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What ``make`` gives, staged; the tables that ``make`` staged on the way are deleted once that is written."""
+    with recorded() as folders:
+        df = make()
+    out = staged(df, name)
+    release(df.sparkSession, folders)
+    return out
+
+
 def is_table(df: DataFrame) -> bool:
     """Whether ``df`` is a written table as it was read, so that file and row number tell its rows apart."""
     return df._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation" and bool(df.inputFiles())
@@ -81,9 +108,10 @@ def row_keys(df: DataFrame) -> tuple[Column, Column]:
     return meta["file_path"].alias("__file"), meta["row_index"].alias("__row")
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Hands texts to Python in batches of fewer rows than the default of 10,000, to bound what a task holds at once."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def small_batches(spark: SparkSession, rows: int = 1000):
+    """A block in which texts go to Python in batches of fewer rows than the default of 10,000, to bound what a task holds at
+    once. What reads them must run inside the block."""
+    return set_for(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def text_hash(text: Column) -> Column:
@@ -112,7 +140,8 @@ def filter_bits(members: DataFrame, column: str, bits: int = FILTER_BITS) -> np.
     words = (one.select(slot.alias("slot"))
              .groupBy(F.shiftright("slot", 5).cast("int").alias("word"))
              .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 31 AS int))")).alias("mask")))
-    got = words.toArrow()
+    with set_for(members.sparkSession, CLEAN_UP, "true"):
+        got = words.toArrow()
     out = np.zeros(bits // 32, np.uint32)
     out[got.column("word").to_numpy()] = got.column("mask").to_numpy().astype(np.uint32)
     return out

@@ -19,8 +19,11 @@ lets the sets differ in members; that bound is exact, so that a group of near co
 
 The first pass stores each set's name beside its text; the later ones pick the sets they need by name before they take words from any text.
 
-Frequent shingles are counted over all documents (twice the prefix length of each). They reach the tasks
-as a bit filter of fixed size; any filter gives a valid order, so a false "perhaps" changes no result.
+Frequent shingles are counted over all documents (twice the prefix length of each), by slots of their hashes in a table of fixed size
+per task, so that counting shuffles these tables and no shingles. Any choice of slots gives a valid order, so shingles that share a slot change
+no result.
+
+Each round's tables are deleted once its links are written.
 
 Defined results: null or empty texts, and texts without words, have an empty set and link with nothing. Texts with fewer words than
 a shingle have their whole word sequence as one. Null ids are never the smallest id of a component that has another.
@@ -36,7 +39,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgertide.llm.common import FILTER_BITS, filter_bits, perhaps, small_batches, staged, table, text_hash
+from ledgertide.llm.common import (CLEAN_UP, FILTER_BITS, filter_bits, perhaps, recorded, release, set_for, settled, small_batches,
+                                   staged, table, text_hash)
 from ledgertide.llm.words import grams, mix, slices, words
 
 SHINGLE = 3
@@ -44,6 +48,8 @@ PERCENT = 90
 FREQUENT = 64
 ORDERS = 3
 CENTRES = 16
+COUNT_SLOTS = 1 << 21
+COUNT_BLOCK = 1 << 14
 SKETCH = 4  # words of 64 bits
 
 
@@ -148,26 +154,43 @@ def texts_once(batches, wanted: np.ndarray | None = None):
             yield names[a:b], texts[a:b]
 
 
-def frequent_shingles(sets: DataFrame, k: int, percent: int, bits: int) -> np.ndarray:
-    """Bit filter of the shingles that are most often near the front under the plain hash order."""
-    def read(batches):
+def frequent_shingles(sets: DataFrame, k: int, percent: int, slots: int = COUNT_SLOTS) -> np.ndarray:
+    """By slot of a shingle's hash, whether its shingles are most often near the front under the plain hash order. Each task counts in
+    a table of fixed size; the tables are summed block by block, and one byte per slot reaches the driver."""
+    block = min(COUNT_BLOCK, slots)
+
+    def count(batches):
+        counts = np.zeros(slots, np.uint32)
         for _, texts in texts_once(batches):
             h, bounds = shingle_sets(texts, k)
             front, _ = prefixes(h, bounds, 2 * prefix_length(np.diff(bounds), percent), 1, None)
-            found, c = np.unique(front, return_counts=True)
-            yield pa.RecordBatch.from_pydict({"token": found.view(np.int64), "c": c})
-
-    counted = sets.select("s", "t").mapInArrow(read, "token bigint, c bigint").groupBy("token").agg(F.sum("c").alias("c"))
-    counted = staged(counted.where(F.col("c") > FREQUENT), "jaccard-frequent")
-    level = F.floor(F.log2("c")).cast("int")
-    by_level = sorted(counted.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"])
-    least, have = 1, 0
-    for row in by_level:  # as many of the most frequent as the filter tells apart well
-        have += row["count"]
-        if have > bits // 16:
-            least = 1 << (row["level"] + 1)
-            break
-    return filter_bits(counted.where(F.col("c") >= least), "token", bits)
+            found, c = np.unique((front & np.uint64(slots - 1)).astype(np.int64), return_counts=True)
+            counts[found] += c.astype(np.uint32)
+        blocks = np.minimum(counts, 255).astype(np.uint8).reshape(-1, block)  # more in one task tells no more
+        used = np.flatnonzero(blocks.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array([blocks[i].tobytes() for i in used], pa.binary())],
+                                         names=["block", "counts"])
+
+    def total(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, counts in zip(batch.column("block").to_pylist(), batch.column("counts")):
+                sums.setdefault(i, np.zeros(block, np.uint64))
+                sums[i] += np.frombuffer(counts.as_buffer(), np.uint8)
+        # Quarters of powers of two are fine enough to choose by.
+        levels = [(4 * np.log2(np.maximum(c, 1))).astype(np.uint8).tobytes() for c in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(levels, pa.binary())], names=["block", "counts"])
+
+    ddl = "block int, counts binary"
+    summed = sets.select("s", "t").mapInArrow(count, ddl).repartition("block").mapInArrow(total, ddl)
+    level = np.zeros((slots // block, block), np.uint8)
+    with set_for(sets.sparkSession, CLEAN_UP, "true"):
+        for row in summed.toArrow().to_pylist():
+            level[row["block"]] = np.frombuffer(row["counts"], np.uint8)
+    level = level.ravel()
+    above = np.cumsum(np.bincount(level, minlength=256)[::-1])[::-1]  # slots at a level or higher
+    least = int(np.argmax(above <= slots // 16))  # no more than the slots tell apart well
+    return level >= max(least, int(4 * np.log2(FREQUENT)))
 
 
 def meeting_rows(sets: DataFrame, late: np.ndarray, k: int, percent: int) -> DataFrame:
@@ -175,10 +198,11 @@ def meeting_rows(sets: DataFrame, late: np.ndarray, k: int, percent: int) -> Dat
     shared = sets.sparkSession.sparkContext.broadcast(late)
 
     def deal(batches):
+        late = shared.value
         for names, texts in texts_once(batches):
             h, bounds = shingle_sets(texts, k)
             n = np.diff(bounds)
-            token, owner = prefixes(h, bounds, prefix_length(n, percent), 1, perhaps(shared.value, h))
+            token, owner = prefixes(h, bounds, prefix_length(n, percent), 1, late[(h & np.uint64(len(late) - 1)).astype(np.int64)])
             yield pa.RecordBatch.from_pydict({"token": token.view(np.int64), "s": names[owner].view(np.int64), "n": n[owner].astype(np.int32)})
 
     def meet(batches):  # rows come sorted by (token, s): only the current token's first row is carried on
@@ -281,15 +305,22 @@ def components(edges: DataFrame) -> DataFrame:
     def state(pairs: DataFrame):
         return pairs.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")), F.lit(0))).first()
 
-    now = staged(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "edges")
-    mark = state(now)
-    while mark[0]:
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    def stars(pairs: DataFrame) -> DataFrame:
+        both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = both.join(grouped(both), "u").where("v > u AND v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = staged(large, "edges")
         small = large.join(grouped(large), "u")
-        small = small.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v"))).distinct()
-        now = staged(small, "edges")
+        return small.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v"))).distinct()
+
+    spark = edges.sparkSession
+    with recorded() as old:
+        now = staged(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "edges")
+    mark = state(now)
+    while mark[0]:
+        with recorded() as new:
+            now = settled(lambda: stars(now), "edges")
+        release(spark, old)
+        old = new
         before, mark = mark, state(now)
         if before == mark:
             break
@@ -351,32 +382,36 @@ def across_components(placed: DataFrame, percent: int) -> DataFrame:
 
 def linked_sets(sets: DataFrame, k: int, percent: int, bits: int = FILTER_BITS) -> DataFrame:
     """``s, comp`` of the sets that are linked with another. ``sets`` has ``s, t``: names and texts of sets that can link, each at least once."""
-    late = frequent_shingles(sets, k, percent, bits)
+    late = frequent_shingles(sets, k, percent)
     rows = staged(meeting_rows(sets, late, k, percent), "jaccard-meeting")
     fronts = staged(other_prefixes(sets, filter_bits(rows, "s", bits), k, percent), "jaccard-prefixes")
+
+    def met(pairs: DataFrame) -> DataFrame:
+        return verified(pairs, fronts, sets, k, percent, bits)
+
     stars = rows.where((F.col("s") != F.col("ls")) & compatible(F.col("n"), F.col("ln"), percent)).select(F.col("ls").alias("a"), F.col("s").alias("b")).distinct()
-    links = staged(verified(stars, fronts, sets, k, percent, bits), "jaccard-links")
+    links = settled(lambda: met(stars), "jaccard-links")
     # Second round: each set with several others that its shingles name.
-    more = verified(to_centres(still_mixed(rows, links, fronts), percent), fronts, sets, k, percent, bits)
-    links = staged(links.unionByName(more), "jaccard-links")
+    more = settled(lambda: met(to_centres(still_mixed(rows, links, fronts), percent)), "jaccard-links")
+    links = links.unionByName(more)
     # Last round: shingles whose rows still lie in several components.
-    more = verified(across_components(still_mixed(rows, links, fronts), percent), fronts, sets, k, percent, bits)
-    return components(staged(links.unionByName(more), "jaccard-links"))
+    more = settled(lambda: met(across_components(still_mixed(rows, links, fronts), percent)), "jaccard-links")
+    return components(links.unionByName(more))
 
 
 def classes(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """``id, th, n, s, comp`` of every row; ``comp`` names its component (null for empty sets)."""
-    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), text_hash(F.col("text")).alias("th"), F.col("text").alias("t"))
-    named = staged(named_sets(rows, shingle, percent), "jaccard-sets")
-    linked = staged(linked_sets(named.where("t IS NOT NULL").select("s", "t"), shingle, percent), "jaccard-components")
+    with small_batches(docs.sparkSession):
+        named = staged(named_sets(rows, shingle, percent), "jaccard-sets")
+        linked = settled(lambda: linked_sets(named.where("t IS NOT NULL").select("s", "t"), shingle, percent), "jaccard-components")
     return named.select("id", "th", "n", "s").join(linked, "s", "left").withColumn("comp", F.when(F.col("n") > 0, F.coalesce("comp", "s")))
 
 
 def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row: documents linked at ``percent`` similarity, directly or
     through others, have the smallest of their ids in common."""
-    rows = staged(classes(docs, shingle, percent), "jaccard-classes")
+    rows = settled(lambda: classes(docs, shingle, percent), "jaccard-classes")
     smallest = rows.where("comp IS NOT NULL").groupBy("comp").agg(F.min("id").alias("component_id"))
     return rows.join(smallest, "comp", "left").select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
@@ -386,7 +421,7 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
 def one_of_each_group(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Pipeline stage: of each component the document with the smallest id stays (ties: by a hash of the text,
     then any one of equal rows), with all columns; documents with empty sets all stay."""
-    rows = staged(classes(docs, shingle, percent), "jaccard-classes")
+    rows = settled(lambda: classes(docs, shingle, percent), "jaccard-classes")
     order = F.struct(F.col("id").isNull().alias("none"), "id", "th")
     kept = rows.where("comp IS NOT NULL").groupBy("comp").agg(F.min(order).alias("k")).select(
         F.col("k.id").alias("kept_id"), F.col("k.th").alias("kept_th"), F.lit(True).alias("single"))
