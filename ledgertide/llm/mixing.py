@@ -119,9 +119,10 @@ def in_training_order(mixed: DataFrame, *order: str) -> DataFrame:
 
 
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``first_position`` is the training position of a document's first copy (null: not taken), to nine decimals."""
     mixed = mix(table(spark, sf_dir, "documents")).withColumn("first_position", F.get("positions", F.lit(0)))
     return in_training_order(mixed, "first_position", "doc_id").select(
-        "doc_id", "size", "source_size", "target", "taken")
+        "doc_id", "size", "source_size", "target", "taken", "copies", F.round("first_position", 9).alias("first_position"))
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
@@ -147,13 +148,19 @@ lev AS (
               / sum(w) OVER (ORDER BY 3 * s / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
     FROM ranked),
 tgt AS (
-    SELECT source, s, CASE WHEN 3 * s <= level * w THEN 3 * s
+    SELECT source, s, w, CASE WHEN 3 * s <= level * w THEN 3 * s
                            ELSE w * max(CASE WHEN 3 * s > level * w THEN level END) OVER () END AS target FROM lev),
 run AS (
-    SELECT doc.doc_id, doc.size, s, target,
+    SELECT doc.doc_id, doc.size, s, w, target,
            coalesce(sum(size) OVER (PARTITION BY doc.source ORDER BY place, text, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c
-    FROM doc JOIN tgt ON doc.source IS NOT DISTINCT FROM tgt.source)
-SELECT doc_id, size, s::BIGINT AS source_size, target,
-       CAST(size * CASE WHEN s = 0 THEN 1 ELSE least(greatest(floor((target - c - size / 2.0) / s) + 1, 0), 3) END AS BIGINT) AS taken
-FROM run
+    FROM doc JOIN tgt ON doc.source IS NOT DISTINCT FROM tgt.source),
+-- Intensity falls from 1.5 to 0.5 at weight 1, is flat at 2 and rises at 3: in time t its integral is c0*t + (c1/2)*t*t.
+demand AS (
+    SELECT *, CASE WHEN s = 0 THEN 1 ELSE least(greatest(floor((target - c - size / 2.0) / s) + 1, 0), 3) END AS copies,
+           CASE WHEN target > 0 THEN least(c / target, 1.0) ELSE 0.0 END AS f,
+           CASE w WHEN 1 THEN 1.5 WHEN 2 THEN 1.0 ELSE 0.5 END AS c0, CASE w WHEN 1 THEN -1.0 WHEN 2 THEN 0.0 ELSE 1.0 END AS c1
+    FROM run)
+SELECT doc_id, size, s::BIGINT AS source_size, target, CAST(size * copies AS BIGINT) AS taken, CAST(copies AS INTEGER) AS copies,
+       CASE WHEN copies > 0 THEN round(CASE WHEN f <= 0 THEN 0.0 ELSE 2 * f / (c0 + sqrt(greatest(c0 * c0 + 2 * c1 * f, 0.0))) END, 9) END AS first_position
+FROM demand
 """
