@@ -38,6 +38,7 @@ CHUNK_CHARS = 1 << 15
 OVERLAP = 256
 TOKEN_LIMIT = 512
 MEMO = 400_000
+MEMO_CHARS = 64  # longer pieces hardly recur; with both bounds the memory of a worker is bounded in bytes
 
 # Fixed value: the published pattern of this family of byte-level tokenizers.
 PIECE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -77,17 +78,15 @@ class PieceCounter:
             return [text[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
         return self.pattern.findall(text)
 
-    def learn(self, pieces: set[str]) -> None:
-        """Remembers the counts of these pieces."""
+    def counts(self, pieces: list[str]) -> list[int]:
+        """Tokens of each piece; short pieces are remembered."""
         if len(self.memo) > self.most:
             self.memo.clear()
-        new = [p for p in pieces if p not in self.memo]
+        here: dict[str, int] = {}
+        new = [p for p in dict.fromkeys(pieces) if p not in self.memo]
         for piece, encoded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.memo[piece] = len(encoded)
-
-    def counts(self, pieces: list[str]) -> list[int]:
-        self.learn(set(pieces))
-        return [self.memo[p] for p in pieces]
+            (self.memo if len(piece) <= MEMO_CHARS else here)[piece] = len(encoded)
+        return [self.memo[p] if p in self.memo else here[p] for p in pieces]
 
 
 def chunk_pieces(counter: PieceCounter, text: str, start: int, end: int) -> tuple[list[int], list[int]]:

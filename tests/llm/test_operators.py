@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import os
 import random
 import re
 import zlib
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from ledgertide.llm import (decontaminate, jaccard_join, language, mixing, quality_rules, sharding, site_style,
                             substring_dedup, token_counts, warc)
-from ledgertide.llm.common import new_folder
+from ledgertide.llm.common import new_folder, recorded
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, shard int, n_words string"
 
@@ -121,6 +122,36 @@ def test_mixing(docs, empty, spark):
     assert all(abs((1.5 * r.t - 0.5 * r.t * r.t) - r.y) < 1e-9 for r in demand.collect())  # the integral of 1.5 - t
 
 
+def test_another_schedule_gives_other_positions(docs):
+    """Positions follow the schedule; what a document counts doesn't."""
+    def taken(schedules):
+        return {r.place: (r.copies, r.positions) for r in mixing.mix(docs.withColumn("place", F.xxhash64(*docs.columns)), schedules=schedules,
+                                                                     carry=["place"]).collect()}
+
+    flat, early = taken([[1.0, 1.0, 1.0]]), taken([[2.0, 1.0, 0.0]])
+    assert {k: v[0] for k, v in flat.items()} == {k: v[0] for k, v in early.items()}
+    assert any(v[1] != early[k][1] for k, v in flat.items())
+    assert all(b <= a + 1e-12 for k, v in flat.items() for a, b in zip(v[1], early[k][1]))  # early demand stands earlier
+
+
+def test_a_passage_that_thousands_share_links_nothing(spark):
+    """Two thirds of each text are one passage: no pair is similar enough, and no shingle's group is paired out."""
+    common = " ".join(f"same{i}" for i in range(20))
+    rows = [(i, common + " " + " ".join(f"own{i}x{j}" for j in range(10))) for i in range(3000)]
+    docs = spark.createDataFrame([*rows, (9000, rows[7][1])], "doc_id long, text string")
+    got = jaccard_join.jaccard_components(docs).where("doc_id != component_id").collect()
+    assert [(r.doc_id, r.component_id) for r in got] == [(9000, 7)]
+
+
+def test_settings_and_staged_tables_last_no_longer_than_needed(spark, docs):
+    batches = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    with recorded() as folders, recorded() as inner:
+        jaccard_join.jaccard_components(docs, 3, 90)
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == batches and folders == inner
+    left = [f for f in folders if os.path.exists(f)]
+    assert len(folders) > 5 and len(left) == 1 and "jaccard-classes" in left[0]
+
+
 def brute_removal(rows, n):
     placed = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))
     seen, out = {}, []
@@ -176,6 +207,8 @@ def test_token_counts(docs, empty):
     got = token_counts.count_tokens(docs, path, chunk_chars=100, overlap=10).collect()
     assert order(got) == order((r[0], len((r[1] or "").encode()), size(r[1])) for r in make_docs())
     assert token_counts.count_tokens(empty, path).count() == 0
+    counter = token_counts.PieceCounter(path)
+    assert counter.counts(["ab", "7" * 5000, "ab"])[0] == counter.counts(["ab"])[0] and list(counter.memo) == ["ab"]
     counter, rnd = token_counts.PieceCounter(path), random.Random(2)
     odd = ["<|endoftext|>", "<|endof", "   ", "\n\n \n", "a" * 90, " " * 70, "'ll", "!?" * 20, "漢字", "\x1c", "😀", "word ", "é"]
     for _ in range(150):
@@ -240,6 +273,16 @@ def test_warc_round_trip(spark):
     assert warc.read_archives(warc.write_archives(pages.limit(0), new_folder(spark, "warc"))).count() == 0
 
 
+def test_warc_ranges_are_read_by_many_tasks(spark):
+    pages = spark.range(64).selectExpr("id AS page_id", "'u' AS url", "repeat(sha2(cast(id AS string), 256), 40) AS html").coalesce(1)
+    manifest = warc.write_archives(pages, new_folder(spark, "warc"))
+    n_bytes = manifest.agg(F.sum("n_bytes")).first()[0]
+    read = warc.read_archives(manifest, split_bytes=n_bytes // 12 + 1)
+    assert read.rdd.getNumPartitions() == 12
+    assert sum(1 for r in read.select(F.spark_partition_id().alias("p")).distinct().collect()) > 8
+    assert sorted(r.record_id for r in read.collect()) == sorted(f"<urn:page:{i}>" for i in range(64))
+
+
 def test_language_on_held_out_text(spark):
     rnd = random.Random(3)
     parts = {"aa": ["tha", "ing", "er"], "bb": ["oui", "eau", "que"]}
