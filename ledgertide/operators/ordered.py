@@ -158,6 +158,53 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[Column], val
     return scan(df, keys, order, value=whole).select(*[c for c in df.columns if c != out], F.when(F.col("_seen") > 0, total).alias(out))
 
 
+def lowest_sums(df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: Column, out: str) -> DataFrame:
+    """Each key once with ``out``, the lowest of its running sums in ``order``; NULL values are passed over, and a key that has no
+    other is left out. Rows are dealt as in :func:`scan`, but a task gives one row per key: what the key amounts to there and its lowest
+    sum from there. A key over several tasks adds up over these rows. Nothing is written."""
+    whole, digits = units(df, value)
+    rows = df.withColumns({"_k": F.xxhash64(*[x for k in keys for x in (F.col(k), F.col(k).isNull())]), "_v": whole.cast("long")})
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = [*[F.col(k) for k in keys], *order]
+    dealt = rows.where("_v IS NOT NULL").repartitionByRange(parts, *by).sortWithinPartitions(*by).select(*keys, "_k", "_v")
+    schema = T.StructType([*[dealt.schema[k] for k in keys], *[T.StructField(n, t) for n, t in (
+        ("_part", T.IntegerType()), ("_total", T.LongType()), ("_lowest", T.LongType()))]])
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held, key, total, lowest = TaskContext.get().partitionId(), None, None, 0, 0
+
+        def given(columns: list, totals: np.ndarray, lows: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(totals), part, np.int32)), pa.array(totals), pa.array(lows)],
+                                              names=schema.names)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            k, v = batch.column("_k").to_numpy(), batch.column("_v").to_numpy()
+            start = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+            run = np.cumsum(v)
+            before = (run - v)[start]
+            last = np.r_[start[1:], len(k)] - 1
+            totals, lows = run[last] - before, np.minimum.reduceat(run, start) - before
+            columns = [batch.column(i).take(pa.array(start)) for i in range(len(keys))]
+            if held is not None and k[0] == key:
+                lows[0] = min(lowest, total + lows[0])
+                totals[0] += total
+            elif held is not None:
+                yield given(held, np.array([total]), np.array([lowest]))
+            yield given([x[:-1] for x in columns], totals[:-1], lows[:-1])
+            held, key, total, lowest = [x[-1:] for x in columns], k[-1], int(totals[-1]), int(lows[-1])
+        if held is not None:
+            yield given(held, np.array([total]), np.array([lowest]))
+
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_total").over(earlier), F.lit(0).cast("long"))
+    low = F.min("_low")
+    if digits:
+        low = (low.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-digits))).cast(f"decimal(38,{digits})")
+    return (dealt.mapInArrow(walk, schema).withColumn("_low", F.col("_lowest") + before).groupBy(*keys).agg(low.alias(out)))
+
+
 def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str) -> DataFrame:
     """1-based position within ``keys``, without one task per key."""
     return running_sum(df, keys, order, F.lit(1).cast("bigint"), out)

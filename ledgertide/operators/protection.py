@@ -9,7 +9,7 @@ from .. import markets
 from ..functions.scalars import age_years, local_date, money, period_start
 from .core import active_limits, zero
 from .nomenclature import in_force
-from .ordered import as_of, rolling_sums, running_sum
+from .ordered import as_of, lowest_sums, rolling_sums, running_sum
 
 c = F.col
 PERIODS = ["DAILY", "WEEKLY", "MONTHLY"]
@@ -27,39 +27,34 @@ def effective_deposit_limits(compliance: DataFrame, market: DataFrame) -> DataFr
             .withColumn("effective_limit", F.least("personal_limit", "default_limit")))
 
 
-def _windowed(daily: DataFrame, amount: str, out: str) -> DataFrame:
-    """Day totals per account to local day, Monday week and month totals."""
-    windows = F.array(*[F.struct(F.lit(p).alias("period"),
-                                 period_start(c("day"), p.lower()).alias("window_start")) for p in PERIODS])
-    return (daily.select("account_id", "jurisdiction", amount, F.inline(windows))
-            .groupBy("account_id", "jurisdiction", "period", "window_start")
-            .agg(F.sum(amount).alias(out)))
-
-
-def _local_days(df: DataFrame, market: DataFrame, ts: str, value: Column) -> DataFrame:
+def _over_caps(events: DataFrame, caps: DataFrame, market: DataFrame, ts: str, value: Column, out: str, cap: str) -> DataFrame:
+    """Totals per account over local days, Monday weeks and months that exceed the account's cap of that period. ``caps`` has
+    ``account_id`` and a column per period. A row counts only in the periods its account has a cap for, and the caps
+    travel in the key of the totals, so one aggregation on the join's own partitions does all: no task holds days and windows side by side."""
     day = local_date(c(ts), c("timezone"))
-    return (df.join(market.select("jurisdiction", "timezone"), "jurisdiction")
-            .groupBy("account_id", "jurisdiction", day.alias("day")).agg(F.sum(value).alias("_day")))
+    watched = events.select("account_id", "jurisdiction", ts, value.alias("_value")).join(caps, "account_id")
+    entries = F.array(*[F.struct(F.lit(p).alias("period"), period_start(c("_local"), p.lower()).alias("window_start"),
+                                 c(p).alias(cap)) for p in PERIODS])
+    return (watched.join(market.select("jurisdiction", "timezone"), "jurisdiction").withColumn("_local", day)
+            .select("account_id", "jurisdiction", "_value", F.inline(entries)).filter(c(cap).isNotNull())
+            .groupBy("account_id", "jurisdiction", "period", "window_start", cap).agg(F.sum("_value").alias(out))
+            .filter(c(out) > c(cap))
+            .select("account_id", "jurisdiction", "period", "window_start", out, cap))
 
 
 def breach_deposit_limits(payments: DataFrame, limits: DataFrame, market: DataFrame) -> DataFrame:
+    """``limits`` has one row per account and period."""
     deposits = payments.filter("direction = 'DEPOSIT' and status = 'COMPLETED'")
-    totals = _windowed(_local_days(deposits, market, "completed_ts", c("amount")), "_day", "deposited")
-    caps = limits.filter("effective_limit is not null").select("account_id", "period", "effective_limit")
-    return (totals.join(caps, ["account_id", "period"]).filter("deposited > effective_limit")
-            .select("account_id", "jurisdiction", "period", "window_start", "deposited", "effective_limit"))
+    caps = limits.filter("effective_limit is not null").groupBy("account_id").agg(
+        *[F.max(F.when(c("period") == p, c("effective_limit"))).alias(p) for p in PERIODS])
+    return _over_caps(deposits, caps, market, "completed_ts", c("amount"), "deposited", "effective_limit")
 
 
 def breach_loss_limits(gambling: DataFrame, limits: DataFrame, market: DataFrame) -> DataFrame:
-    wide = active_limits(limits, "max", ("LOSS",))
-    caps = wide.select("account_id", F.inline(F.array(*[
-        F.struct(F.lit(p).alias("period"), c(f"loss_{p.lower()}").alias("loss_limit")) for p in PERIODS
-    ]))).filter("loss_limit is not null")
-    # Only players with a limit can breach one: drop the others before adding up.
-    watched = gambling.join(caps.select("account_id").distinct(), "account_id", "left_semi")
-    totals = _windowed(_local_days(watched, market, "occurred_at", c("stake") - c("payout")), "_day", "net_loss")
-    return (totals.join(caps, ["account_id", "period"]).filter("net_loss > loss_limit")
-            .select("account_id", "jurisdiction", "period", "window_start", "net_loss", "loss_limit"))
+    # Only players with a limit can breach one: the join drops the others before adding up.
+    caps = active_limits(limits, "max", ("LOSS",)).select("account_id", *[c(f"loss_{p.lower()}").alias(p) for p in PERIODS])
+    caps = caps.filter(F.coalesce(*PERIODS).isNotNull())
+    return _over_caps(gambling, caps, market, "occurred_at", c("stake") - c("payout"), "net_loss", "loss_limit")
 
 
 def active_at(start: Column, end: Column, t: Column) -> Column:
@@ -100,6 +95,14 @@ def breach_wallet_overspend(ledger: DataFrame) -> DataFrame:
         "account_id", "ts", "entry_type", "signed_amount", "running_balance")
 
 
+def overspent_accounts(ledger: DataFrame) -> DataFrame:
+    """The accounts of :func:`breach_wallet_overspend`. As credits come first at one instant, a wallet is below zero at an
+    entry only if it is so at the end of some instant: entries are told apart by instant and amount alone, and tasks
+    give the lowest balance of an account, not its entries."""
+    lowest = lowest_sums(ledger, ["account_id"], [c("ts"), F.desc("signed_amount")], c("signed_amount"), "lowest")
+    return lowest.filter("lowest < 0").select("account_id")
+
+
 def statutory_cap(jurisdiction: Column, age: Column, day: Column,
                   bands: list[tuple] = markets.STAKE_BANDS) -> Column:
     """Lowest cap among the market's bands whose ages and dates cover the stake. The
@@ -120,15 +123,17 @@ def personal_stake_caps(limits: DataFrame) -> DataFrame:
 def breach_stake_limits(activity: DataFrame, accounts: DataFrame, games: DataFrame, limits: DataFrame,
                         market: DataFrame) -> DataFrame:
     """Stakes above the cap in force at their own instant: the statutory band on
-    slots, the personal cap on every game."""
+    slots, the personal cap on every game. Only stakes above one of the two meet the games."""
     people = accounts.select("account_id", "jurisdiction", "date_of_birth").join(
         personal_stake_caps(limits), "account_id", "left")
+    day = local_date(c("occurred_at"), c("timezone"))
+    cap = statutory_cap(c("jurisdiction"), age_years(c("date_of_birth"), day), day)
     df = (activity.join(people, "account_id")
           .join(market.select("jurisdiction", "timezone"), "jurisdiction")
+          .withColumn("_cap", cap).filter(c("stake") > F.least("_personal", "_cap"))
+          .select("activity_id", "account_id", "jurisdiction", "vertical", "stake", "occurred_at", "game_id", "_personal", "_cap")
           .join(games.select("game_id", "canonical_game_type"), "game_id", "left"))
-    day = local_date(c("occurred_at"), c("timezone"))
-    cap = statutory_cap(c("jurisdiction"), age_years(c("date_of_birth"), day), day)
-    on_slots = F.when(c("canonical_game_type") == "SLOT", cap)
+    on_slots = F.when(c("canonical_game_type") == "SLOT", c("_cap"))
     return (df.withColumn("effective_limit", F.least("_personal", on_slots))
             .filter("stake > effective_limit")
             .select("activity_id", "account_id", "jurisdiction", "vertical", "stake", "effective_limit",

@@ -105,6 +105,7 @@ def build(spark: SparkSession, feeds: Mapping[str, Callable[[], DataFrame]], run
         "fct_gambling": lambda: core.gambling_activity(m["fct_lifecycle"], m["fct_activity"], m["dim_account"]),
         "fct_ledger": lambda: core.wallet_ledger(
             m["fct_payments"], m["fct_lifecycle"], m["fct_activity"], m["cdc_jackpot_wins"]),
+        "wallet_moves": lambda: m["fct_ledger"].select("account_id", "ts", "signed_amount"),
         "dim_balance": lambda: core.wallet_balance(m["fct_ledger"], m["dim_account"]),
         "dim_compliance": lambda: core.player_compliance(
             m["dim_account"], m["stg_verifications"], m["stg_self_exclusions"], m["stg_player_limits"]),
@@ -118,6 +119,7 @@ def build(spark: SparkSession, feeds: Mapping[str, Callable[[], DataFrame]], run
         "breach_unverified_withdrawals": lambda: protection.breach_unverified_withdrawals(
             m["fct_payments"], m["stg_verifications"], m["market"]),
         "breach_wallet_overspend": lambda: protection.breach_wallet_overspend(m["fct_ledger"]),
+        "overspent": lambda: protection.overspent_accounts(m["wallet_moves"]),
         "breach_stake_limits": lambda: protection.breach_stake_limits(
             m["fct_activity"], m["dim_account"], m["dim_game"], m["stg_player_limits"], m["market"]),
         # exceptions
@@ -129,7 +131,7 @@ def build(spark: SparkSession, feeds: Mapping[str, Callable[[], DataFrame]], run
         "retry_state": lambda: exceptions.retry_step(m["addresses"], m["cdc_exception_state"], now),
         "holds": lambda: exceptions.compliance_holds({
             "deposit_limit": m["breach_deposit_limits"], "loss_limit": m["breach_loss_limits"],
-            "wallet_overspend": m["breach_wallet_overspend"],
+            "wallet_overspend": m["overspent"],
             "activity_while_excluded": m["breach_activity_while_excluded"],
             "unverified_withdrawal": m["breach_unverified_withdrawals"],
             "stake_limit": m["breach_stake_limits"]}),
@@ -170,5 +172,7 @@ def from_landing(spark: SparkSession, root: str, run_ts: str) -> Models:
 
 
 # Models that several outputs of one run read, in the order to share them.
-FACTS = ["fct_lifecycle", "fct_activity"]
+FACTS = ["dim_account", "fct_lifecycle", "fct_activity"]
+# What the holds read besides: payments, and the ledger without references.
+MONEY = ["fct_payments", "wallet_moves"]
 GATES = ["readiness", "fct_exceptions"]

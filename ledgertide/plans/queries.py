@@ -38,7 +38,7 @@ def now() -> F.Column:
 
 
 # Models that are a query as they stand, with the models they share first.
-FACTS = tuple(pipeline.FACTS)
+FACTS = (*pipeline.FACTS, *pipeline.MONEY)
 STRAIGHT: dict[str, tuple[str, ...]] = {
     **{f"stg_{feed}": () for feed in cdc.STAGING},
     "dim_account": (), "fct_lifecycle": (), "dim_fixture": (), "dim_game": (), "unmapped_sports": (),
@@ -49,9 +49,9 @@ STRAIGHT: dict[str, tuple[str, ...]] = {
     "deposit_limits": (), "breach_deposit_limits": (), "breach_loss_limits": (),
     "breach_activity_while_excluded": (), "breach_unverified_withdrawals": (),
     "breach_wallet_overspend": ("fct_ledger",), "breach_stake_limits": (), "addresses": (), "terminal_periods": (),
-    "readiness": (), "retry_state": (), "holds": (*FACTS, "fct_ledger"),
-    "fct_exceptions": (*FACTS, "fct_ledger"), "betting_file": (*FACTS, "fct_ledger", "blocked"),
-    "betting_tax": (*FACTS, "fct_ledger", "blocked"), "registers": (*FACTS, "fct_ledger", "blocked"),
+    "readiness": (), "retry_state": (), "holds": FACTS,
+    "fct_exceptions": FACTS, "betting_file": (*FACTS, "blocked"),
+    "betting_tax": (*FACTS, "blocked"), "registers": (*FACTS, "blocked"),
     "gaming_file": (), "gaming_tax": (), "slip_amounts": (), "cash_flow": (), "daily_flows": (), "daily_recon": (),
 }
 for _name, _shared in STRAIGHT.items():
@@ -59,7 +59,7 @@ for _name, _shared in STRAIGHT.items():
 
 
 def gated(m: Models) -> Models:
-    return m.share(*FACTS, "fct_ledger", "blocked", "readiness")
+    return m.share(*FACTS, "blocked", "readiness")
 
 
 # ---- sources, references -----------------------------------------------------
@@ -468,7 +468,7 @@ def admissible_slips(m: Models) -> DataFrame:
 
 @plan
 def isolation_breaches(m: Models) -> DataFrame:
-    m.share(*FACTS, "fct_ledger", "fct_exceptions", "readiness", "betting_file")
+    m.share(*FACTS, "fct_exceptions", "readiness", "betting_file")
     return exceptions.isolation_breaches(m["betting_file"], m["fct_lifecycle"], m["fct_exceptions"])
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import SparkSession
 
 # Runtime settings, safe to set on a session somebody else created. Partition
-# counts and memory stay with the cluster; only semantics and skew handling are
-# fixed here.
+# counts and memory stay with the cluster; only semantics, skew handling and the
+# most that a joined partition reads are fixed here.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -26,9 +28,18 @@ RUNTIME_CONF = {
 STATIC_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
+# Joined partitions are filled up to this many MB, as written. The rows, sorts and totals that a task then holds side by side
+# are several times larger; a cluster may ask for less.
+ADVISORY, MOST_READ = "spark.sql.adaptive.advisoryPartitionSizeInBytes", 16
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    asked = spark.conf.get(ADVISORY, "64m").lower()
+    number, unit = re.fullmatch(r"(\d+)([kmgtp]?)b?|.*", asked).groups()
+    if number is None or int(number) * 1024 ** " kmgtp".index(unit or " ") > MOST_READ * 1024 ** 2:
+        spark.conf.set(ADVISORY, f"{MOST_READ}m")
     return spark
 
 
