@@ -101,10 +101,7 @@ def _entries(df: DataFrame, ref: str, *entries: tuple[Column, Column, Column, Co
             .filter(F.col("e").isNotNull()).select("account_id", "ref", "e.*"))
 
 
-def wallet_ledger(payments: DataFrame, lifecycle: DataFrame, activity: DataFrame,
-                  provider_wins: DataFrame) -> DataFrame:
-    """Every money movement of a player as one signed amount, with the source
-    key kept as ``ref`` so that the order of the ledger is total."""
+def _ledger_beside_plays(payments: DataFrame, lifecycle: DataFrame, provider_wins: DataFrame) -> DataFrame:
     c = F.col
     paid = _entries(
         payments.filter("status = 'COMPLETED'"), "payment_id",
@@ -115,6 +112,16 @@ def wallet_ledger(payments: DataFrame, lifecycle: DataFrame, activity: DataFrame
         (F.lit(True), c("placed_at"), F.lit("BET_STAKE"), -c("stake")),
         ((c("slip_status") == "SETTLED") & (c("payout") > 0), c("settled_at"), F.lit("BET_PAYOUT"),
          c("payout")))
+    wins = _entries(provider_wins, "win_id",
+                    (F.lit(True), c("win_ts"), F.lit("PROVIDER_JACKPOT_WIN"), c("amount")))
+    return paid.unionByName(bets).unionByName(wins)
+
+
+def wallet_ledger(payments: DataFrame, lifecycle: DataFrame, activity: DataFrame,
+                  provider_wins: DataFrame) -> DataFrame:
+    """Every money movement of a player as one signed amount, with the source
+    key kept as ``ref`` so that the order of the ledger is total."""
+    c = F.col
     pool = c("vertical") == "OPERATOR_JACKPOT"
     plays = _entries(
         activity, "activity_id",
@@ -122,9 +129,16 @@ def wallet_ledger(payments: DataFrame, lifecycle: DataFrame, activity: DataFrame
          F.when(pool, "JACKPOT_CONTRIBUTION").otherwise("GAMING_STAKE"), -c("stake")),
         (c("payout") > 0, c("occurred_at"),
          F.when(pool, "JACKPOT_WIN").otherwise("GAMING_PAYOUT"), c("payout")))
-    wins = _entries(provider_wins, "win_id",
-                    (F.lit(True), c("win_ts"), F.lit("PROVIDER_JACKPOT_WIN"), c("amount")))
-    return paid.unionByName(bets).unionByName(plays).unionByName(wins)
+    return _ledger_beside_plays(payments, lifecycle, provider_wins).unionByName(plays)
+
+
+def wallet_moves(payments: DataFrame, lifecycle: DataFrame, activity: DataFrame, provider_wins: DataFrame) -> DataFrame:
+    """The amounts of :func:`wallet_ledger` without references, for what reads balances at the end of an instant: a play's stake
+    and payout fall on one instant and are one move; a move of nothing is left out."""
+    c = F.col
+    net = (F.coalesce(F.when(c("payout") > 0, c("payout")), zero()) - F.coalesce(F.when(c("stake") > 0, c("stake")), zero())).cast(MONEY)
+    plays = activity.select("account_id", c("occurred_at").alias("ts"), net.alias("signed_amount")).filter("signed_amount <> 0")
+    return _ledger_beside_plays(payments, lifecycle, provider_wins).select(*plays.columns).unionByName(plays)
 
 
 def wallet_balance(ledger: DataFrame, accounts: DataFrame) -> DataFrame:

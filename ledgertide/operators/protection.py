@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -115,6 +117,16 @@ def statutory_cap(jurisdiction: Column, age: Column, day: Column,
     return F.least(none, none, *caps)
 
 
+def least_statutory_cap(jurisdiction: Column, ts: Column, bands: list[tuple] = markets.STAKE_BANDS) -> Column:
+    """What :func:`statutory_cap` is not below at an instant, whatever the age and the zone: the lowest cap of the market's bands whose
+    dates, two days wider on either side, hold the instant. Plain comparisons, so it may stand in a filter over all plays."""
+    edge = lambda d, wider: F.lit(date.fromisoformat(d) + timedelta(days=wider)).cast("timestamp")
+    caps = [F.when((jurisdiction == market) & (ts >= edge(start, -2)) & (F.lit(True) if end is None else ts < edge(end, 2)),
+                   F.lit(cap).cast("decimal(18,2)")) for market, cap, _, _, start, end in bands]
+    none = F.lit(None).cast("decimal(18,2)")
+    return F.least(none, none, *caps)
+
+
 def personal_stake_caps(limits: DataFrame) -> DataFrame:
     return (limits.filter("limit_type = 'STAKE_CASINO' and revoked_at is null")
             .groupBy("account_id").agg(F.min("amount").alias("_personal")))
@@ -123,14 +135,16 @@ def personal_stake_caps(limits: DataFrame) -> DataFrame:
 def breach_stake_limits(activity: DataFrame, accounts: DataFrame, games: DataFrame, limits: DataFrame,
                         market: DataFrame) -> DataFrame:
     """Stakes above the cap in force at their own instant: the statutory band on
-    slots, the personal cap on every game. Only stakes above one of the two meet the games."""
+    slots, the personal cap on every game. Only stakes above one that may apply at their instant meet the games; days and
+    ages are worked out for them alone, once each: a filter would repeat them for every band it names."""
     people = accounts.select("account_id", "jurisdiction", "date_of_birth").join(
         personal_stake_caps(limits), "account_id", "left")
     day = local_date(c("occurred_at"), c("timezone"))
     cap = statutory_cap(c("jurisdiction"), age_years(c("date_of_birth"), day), day)
     df = (activity.join(people, "account_id")
           .join(market.select("jurisdiction", "timezone"), "jurisdiction")
-          .withColumn("_cap", cap).filter(c("stake") > F.least("_personal", "_cap"))
+          .filter(c("stake") > F.least(c("_personal"), least_statutory_cap(c("jurisdiction"), c("occurred_at"))))
+          .withColumn("_cap", cap)
           .select("activity_id", "account_id", "jurisdiction", "vertical", "stake", "occurred_at", "game_id", "_personal", "_cap")
           .join(games.select("game_id", "canonical_game_type"), "game_id", "left"))
     on_slots = F.when(c("canonical_game_type") == "SLOT", c("_cap"))

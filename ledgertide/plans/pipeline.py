@@ -88,6 +88,8 @@ def build(spark: SparkSession, feeds: Mapping[str, Callable[[], DataFrame]], run
             m["stg_operator_jackpot_contributions"], m["fct_lifecycle"], m["cdc_game_round_voids"]),
         "fct_activity": lambda: gaming.gaming_activity(
             m["stg_rounds"], m["stg_poker_activity"], m["fct_contributions"], m["stg_operator_jackpot_wins"]),
+        "plays": lambda: m["fct_activity"].select("account_id", "game_id", "vertical", "stake", "payout", "occurred_at"),
+        "nameless_plays": lambda: m["plays"].withColumn("activity_id", F.lit(None).cast("string")),
         "pool_liability": lambda: gaming.pool_liability(
             m["cdc_jackpot_pools"], m["stg_rounds"], m["cdc_jackpot_wins"]),
         "operator_pool_liability": lambda: gaming.operator_pool_liability(
@@ -102,10 +104,11 @@ def build(spark: SparkSession, feeds: Mapping[str, Callable[[], DataFrame]], run
             m["game_sessions"], m["platform_sessions"], m["dim_account"], m["dim_game"], m["market"]),
         # players and money
         "fct_payments": lambda: core.payments_fact(m["stg_payments"], m["dim_account"]),
-        "fct_gambling": lambda: core.gambling_activity(m["fct_lifecycle"], m["fct_activity"], m["dim_account"]),
+        "fct_gambling": lambda: core.gambling_activity(m["fct_lifecycle"], m["plays"], m["dim_account"]),
         "fct_ledger": lambda: core.wallet_ledger(
             m["fct_payments"], m["fct_lifecycle"], m["fct_activity"], m["cdc_jackpot_wins"]),
-        "wallet_moves": lambda: m["fct_ledger"].select("account_id", "ts", "signed_amount"),
+        "wallet_moves": lambda: core.wallet_moves(
+            m["fct_payments"], m["fct_lifecycle"], m["plays"], m["cdc_jackpot_wins"]),
         "dim_balance": lambda: core.wallet_balance(m["fct_ledger"], m["dim_account"]),
         "dim_compliance": lambda: core.player_compliance(
             m["dim_account"], m["stg_verifications"], m["stg_self_exclusions"], m["stg_player_limits"]),
@@ -132,9 +135,11 @@ def build(spark: SparkSession, feeds: Mapping[str, Callable[[], DataFrame]], run
         "holds": lambda: exceptions.compliance_holds({
             "deposit_limit": m["breach_deposit_limits"], "loss_limit": m["breach_loss_limits"],
             "wallet_overspend": m["overspent"],
-            "activity_while_excluded": m["breach_activity_while_excluded"],
+            "activity_while_excluded": protection.breach_activity_while_excluded(
+                m["fct_payments"], m["fct_lifecycle"], m["nameless_plays"], m["stg_self_exclusions"]),
             "unverified_withdrawal": m["breach_unverified_withdrawals"],
-            "stake_limit": m["breach_stake_limits"]}),
+            "stake_limit": protection.breach_stake_limits(
+                m["nameless_plays"], m["dim_account"], m["dim_game"], m["stg_player_limits"], m["market"])}),
         "fct_exceptions": lambda: exceptions.exception_store(
             m["addresses"], m["retry_state"], m["terminal_periods"], m["readiness"], m["holds"]),
         "blocked": lambda: exceptions.blocked_accounts(m["fct_exceptions"]),
@@ -172,7 +177,8 @@ def from_landing(spark: SparkSession, root: str, run_ts: str) -> Models:
 
 
 # Models that several outputs of one run read, in the order to share them.
-FACTS = ["dim_account", "fct_lifecycle", "fct_activity"]
+# The files and registers read plays for the holds alone, which need neither their keys nor sessions and pools.
+FACTS = ["dim_account", "fct_lifecycle", "plays"]
 # What the holds read besides: payments, and the ledger without references.
 MONEY = ["fct_payments", "wallet_moves"]
 GATES = ["readiness", "fct_exceptions"]
