@@ -253,8 +253,8 @@ def wager_gate_audit(wagers: DataFrame, cash_flow: DataFrame, exclusions: DataFr
                     "EXCLUDED")
     bonus = fail(wagers.filter((c("funding") != "CASH") & ~c("game").isin(markets.BONUS_GAMES)), "BONUS_GAME")
 
-    run = running_sum(cash_flow, ["account_id"], [c("ts"), F.desc("amount"), c("ref")], c("amount"),
-                      "_run")
+    moved = cash_flow.select("account_id", "ref", "ts", "amount", "is_wager")  # the scan sorts and writes whole rows
+    run = running_sum(moved, ["account_id"], [c("ts"), F.desc("amount"), c("ref")], c("amount"), "_run")
     before = run.filter("is_wager").select(c("ref").alias("wager_id"), (c("_run") - c("amount")).alias("_before"))
     o = optins.select("account_id", "opted_in_at", "opted_out_at")
     joined_pool = (cash.filter("casino").join(o, "account_id")
