@@ -117,9 +117,10 @@ def routed_log(pending: DataFrame, record_type: str, at: Column) -> DataFrame:
 
 def assign_receipts(deposits: DataFrame, stored: DataFrame) -> DataFrame:
     """Next receipt numbers per market and record type, in key order, after the
-    highest number stored."""
+    highest number stored. ``stored`` has one row per market and record type, so it is broadcast:
+    a join by market and type would put all rows of one file in one task."""
     key = ["jurisdiction", "record_type"]
-    last = stored.select(*key, c("last_seq"))
+    last = F.broadcast(stored.select(*key, c("last_seq")))
     df = row_numbers(deposits, key, [c("record_key")], "_n")
     df = df.join(last, key, "left").withColumn("seq", F.coalesce("last_seq", F.lit(0)) + c("_n"))
     return (df.withColumn("receipt_id", F.format_string("%s-%s-%06d", "jurisdiction", F.upper("record_type"), "seq"))
