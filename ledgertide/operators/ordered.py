@@ -288,13 +288,15 @@ def parts_of(rows: Column, part_rows: int) -> Column:
 
 
 def ordered_lists(df: DataFrame, keys: Sequence[str], order: Sequence[str], item: Column, out: str,
-                  part_rows: int) -> DataFrame:
+                  part_rows: int, whole: Sequence[Column] = ()) -> DataFrame:
     """Items of each key in order, as lists of at most ``part_rows``. A key with
     no more than that has exactly one part; a larger one goes on in further
-    parts, so no list outgrows a task and no item is dropped."""
+    parts, so no list outgrows a task and no item is dropped. ``whole`` are totals of the whole key, given beside each of its
+    parts; they read the rows as numbered, so ``df`` is not worked out again for them."""
     numbered = row_numbers(df.withColumn("_item", item), keys, [F.col(c) for c in order], "_n")
     part = F.floor((F.col("_n") - 1) / part_rows).cast("int")
     grouped = (numbered.withColumn("part", part)
                .groupBy(*keys, "part")
                .agg(F.array_sort(F.collect_list(F.struct("_n", "_item"))).alias("_items")))
-    return grouped.withColumn(out, F.transform("_items", lambda x: x["_item"])).drop("_items")
+    lists = grouped.withColumn(out, F.transform("_items", lambda x: x["_item"])).drop("_items")
+    return join_same(lists, numbered.groupBy(*keys).agg(*whole), keys) if whole else lists

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import local_date, local_datetime, money
 from .core import zero
-from .ordered import gap_sessions, join_same, ordered_lists, parts_of
+from .ordered import gap_sessions, ordered_lists, parts_of
 
 
 def platform_sessions(sessions: DataFrame, activity: DataFrame) -> DataFrame:
@@ -96,19 +96,22 @@ def session_summary(sessionised: DataFrame, user: str, ts: str) -> DataFrame:
         F.min(ts).alias("started_at"), F.max(ts).alias("last_activity_ts"), F.count("*").alias("activities"))
 
 
-def session_round_lists(rounds: DataFrame, sessions: DataFrame, part_rows: int = 10_000) -> DataFrame:
+def session_round_lists(rounds: DataFrame, sessions: DataFrame, part_rows: int = 10_000, players: DataFrame | None = None) -> DataFrame:
     """Rounds of each ended session and game, oldest first, in parts of bounded size.
-    Each of the ``parts`` carries the figures of the whole session."""
+    Each of the ``parts`` carries the figures of the whole session. With ``players`` only the sessions in which one of them has
+    a round are listed, and those wholly."""
     ended = sessions.filter("ended_at is not null").select("session_id")
+    if players is not None:
+        theirs = rounds.join(players.select("account_id"), "account_id", "left_semi").select("session_id")
+        ended = ended.join(theirs, "session_id", "left_semi")
     played = rounds.join(ended, "session_id").select("session_id", "game", "account_id", "round_id",
                                                      "round_ts", "payout")
-    totals = played.groupBy("session_id", "game").agg(
-        F.min("account_id").alias("account_id"), F.min("round_ts").alias("first_played_at"),
-        F.max("round_ts").alias("last_played_at"), F.count("*").alias("rounds"),
-        F.count(F.when(F.col("payout") > 0, 1)).alias("rounds_won"))
+    totals = [F.min("account_id").alias("account_id"), F.min("round_ts").alias("first_played_at"),
+              F.max("round_ts").alias("last_played_at"), F.count("*").alias("rounds"),
+              F.count(F.when(F.col("payout") > 0, 1)).alias("rounds_won")]
     lists = ordered_lists(played, ["session_id", "game"], ["round_ts", "round_id"], F.col("round_id"),
-                          "round_ids", part_rows)
-    return join_same(lists, totals.withColumn("parts", parts_of(F.col("rounds"), part_rows)), ["session_id", "game"])
+                          "round_ids", part_rows, totals)
+    return lists.withColumn("parts", parts_of(F.col("rounds"), part_rows))
 
 
 def session_events(platform: DataFrame) -> DataFrame:

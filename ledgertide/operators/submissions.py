@@ -262,13 +262,13 @@ def player_reference(hashed: Column, national_id: Column, account_id: Column) ->
 def register_filings(rows: DataFrame, part_rows: int = markets.DEFAULT_ENVELOPE_ROWS) -> DataFrame:
     """All players of one register period as filing records of bounded size. Each of the
     ``parts`` has a key of its own and the number of ``players`` of the whole period."""
-    from .ordered import join_same, ordered_lists, part_mark, parts_of
+    from .ordered import ordered_lists, part_mark, parts_of
     key = ["jurisdiction", "register_id", "period_start", "period_end"]
     item = F.struct("player_ref", "opened_at", "bets_settled", "stake_sum", "winnings_sum", "ggr_sum")
     packed = rows.withColumn("_row", item)
-    lists = ordered_lists(packed.select(*key, "account_id", "_row"), key, ["account_id"], c("_row"), "rows", part_rows)
-    totals = rows.groupBy(*key).agg(F.count("*").alias("players"))
-    whole = join_same(lists, totals.withColumn("parts", parts_of(c("players"), part_rows)), key)
+    lists = ordered_lists(packed.select(*key, "account_id", "_row"), key, ["account_id"], c("_row"), "rows", part_rows,
+                          [F.count("*").alias("players")])
+    whole = lists.withColumn("parts", parts_of(c("players"), part_rows))
     day = F.date_format("period_start", "yyyy-MM-dd")
     return whole.withColumn("record_key", F.concat(F.concat_ws("-", "register_id", day), part_mark(c("part"))))
 

@@ -1004,8 +1004,9 @@ def numeric_ids(m: Models) -> DataFrame:
 
 # ---- regulator documents -----------------------------------------------------
 
-def _records(m: Models, kind: str, **size: int) -> DataFrame:
-    """Pending deliveries of all markets as canonical records; ``size`` is that of a part of a long record."""
+def _records(m: Models, kind: str, market: str | None = None, **size: int) -> DataFrame:
+    """Pending deliveries of all markets as canonical records; ``size`` is that of a part of a long record. With ``market`` those of
+    others may be left out where Spark can't see by itself that they are not needed."""
     accounts, balances, log = m["dim_account"], m["platform_wallet"], m["cdc_delivery_log"]
     if kind == "bets":
         pending = delivery.pending_bets(m["slip_amounts"], accounts, m["market"], log)
@@ -1022,7 +1023,11 @@ def _records(m: Models, kind: str, **size: int) -> DataFrame:
         return records.platform_sessions(
             delivery.pending_platform_sessions(m["stg_gaming_sessions"], accounts, m["market"], log))
     if kind == "game_sessions":
-        lists = sessions.session_round_lists(m["cdc_play_rounds"], m["stg_gaming_sessions"], **size)
+        filed = m["market"].filter("session_grain = 'per_game'").select("jurisdiction")
+        if market:
+            filed = filed.filter(c("jurisdiction") == market)
+        players = accounts.join(F.broadcast(filed), "jurisdiction", "left_semi")
+        lists = sessions.session_round_lists(m["cdc_play_rounds"], m["stg_gaming_sessions"], players=players, **size)
         return records.game_sessions(delivery.pending_game_sessions(lists, accounts, m["market"], log))
     return records.register_records(submissions.register_filings(m["filing_rows"], **size))
 
@@ -1033,7 +1038,7 @@ DOCUMENT_RECORDS = {"NL": {"sessions": "game_sessions"}, "PT": {"sessions": "pla
 def document_plan(market: str, record_type: str, **size: int) -> Plan:
     def run(m: Models) -> DataFrame:
         kind = DOCUMENT_RECORDS.get(market, {}).get(record_type, record_type)
-        df = _records(m, kind, **size).filter(c("jurisdiction") == market)
+        df = _records(m, kind, market, **size).filter(c("jurisdiction") == market)
         if kind in ("rud", "rut"):
             df = df.filter(c("register_id") == record_type.upper())
         if market == "GR":
