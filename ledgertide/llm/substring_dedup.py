@@ -15,7 +15,8 @@ windows are the maximal repeats.
   occurrences, so that a passage of a third of all documents reaches the next stage once per task.
 
 Which anchors repeat, and which are frequent, is told to the tasks by bit filters of fixed size: a false "perhaps" moves
-a little more text and changes no result. Words and windows are compared by 64-bit hashes.
+a little more text and changes no result. Words and windows are compared by 64-bit hashes. Texts go to Python in small batches,
+and touched documents are cut and written there; all others are only spaced by expressions.
 
 Defined results: a null or empty text has no words. Null ids come last; rows with equal ids are ordered by a hash of
 their text; of rows equal in both, one is the first and the others repeat it whole. Documents shorter
@@ -25,13 +26,13 @@ than a window are never touched. An empty table gives an empty result. Extra col
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgertide.llm.common import FILTER_BITS, filter_bits, perhaps, staged, table, text_hash
+from ledgertide.llm.common import (FILTER_BITS, SPACE_CLASS, filter_bits, perhaps, recorded, release, small_batches, staged, table,
+                                   text_hash)
 from ledgertide.llm.words import Words, grams, mix, slices, words
 
 WINDOW = 20
@@ -248,51 +249,60 @@ def grow_trees(dealt: DataFrame, window: int) -> DataFrame:
     return parts.mapInArrow(grow, "id bigint, th bigint, from int, to int")
 
 
+def cut_out(batches, window: int):
+    """Rows of ``remove_repeats`` from ``id, t, spans, copy``."""
+    for batch in batches:
+        n_words, n_removed, kept = [], [], []
+        for text, spans_, copy in zip(batch.column("t"), batch.column("spans").to_pylist(), batch.column("copy").to_pylist()):
+            parts = (text.as_py() or "").encode().split()
+            n = len(parts)
+            if copy > 1 and n >= window:
+                parts = []
+            elif spans_:
+                stay = np.ones(n, bool)
+                for span in spans_:
+                    stay[span["from"]:span["to"]] = False
+                parts = [parts[i] for i in np.flatnonzero(stay)]
+            n_words.append(n)
+            n_removed.append(n - len(parts))
+            kept.append(b" ".join(parts))
+        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
+                                          pa.array(kept, pa.binary()).cast(pa.string())], names=["doc_id", "n_words", "n_removed", "kept_text"])
+
+
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group_limit: int = GROUP_LIMIT,
                    filter_size: int = FILTER_BITS) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_text`` (kept words joined by one space) of every document."""
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), text_hash(F.col("text")).alias("th"), F.col("text").alias("t"))
-    anchors = staged(count_anchors(rows, window, gram), "repeat-anchors")
-    repeated = filter_bits(anchors, "anchor", filter_size)
-    hot = filter_bits(anchors.where(F.col("n") > group_limit), "anchor", filter_size >> 5)
-    marks = grow_trees(suffixes(rows, repeated, hot, window, gram), window)
     pair = F.xxhash64("id", "th")
-    spans = staged(marks.groupBy("id", "th").agg(F.collect_set(F.struct("from", "to")).alias("spans")), "repeat-spans")
-    copies = staged(rows.select("id", "th").groupBy("id", "th").agg(F.count("*").alias("n")).where("n > 1").select("id", "th"), "repeat-rows")
-    # Documents that surely have no mark and no copy under the same id go straight through.
-    touched = filter_bits(spans.select(pair.alias("h")).unionByName(copies.select(pair.alias("h"))), "h", filter_size)
-    shared = docs.sparkSession.sparkContext.broadcast(touched)
-
-    @F.pandas_udf("boolean")
-    def may_be_touched(h: pd.Series) -> pd.Series:
-        return pd.Series(perhaps(shared.value, h.to_numpy().view(np.uint64)))
-
-    flagged = may_be_touched(pair)
-    straight = rows.where(~flagged).select("id", F.col("t"), F.lit(None).cast("array<struct<from:int,to:int>>").alias("spans"), F.lit(1).alias("copy"))
-    met = rows.where(flagged).join(spans.select(F.col("id").alias("sid"), F.col("th").alias("sth"), "spans"),
-                                   F.col("id").eqNullSafe(F.col("sid")) & (F.col("th") == F.col("sth")), "left")
-    met = met.withColumn("copy", F.row_number().over(W.partitionBy("id", "th").orderBy(F.lit(1)))).select("id", "t", "spans", "copy")
-
-    def cut(batches):
-        for batch in batches:
-            n_words, n_removed, kept = [], [], []
-            for text, spans_, copy in zip(batch.column("t"), batch.column("spans").to_pylist(), batch.column("copy").to_pylist()):
-                parts = (text.as_py() or "").encode().split()
-                n = len(parts)
-                if copy > 1 and n >= window:
-                    parts = []
-                elif spans_:
-                    stay = np.ones(n, bool)
-                    for span in spans_:
-                        stay[span["from"]:span["to"]] = False
-                    parts = [parts[i] for i in np.flatnonzero(stay)]
-                n_words.append(n)
-                n_removed.append(n - len(parts))
-                kept.append(b" ".join(parts))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
-                                              pa.array(kept, pa.binary()).cast(pa.string())], names=["doc_id", "n_words", "n_removed", "kept_text"])
-
-    return straight.unionByName(met).mapInArrow(cut, "doc_id bigint, n_words bigint, n_removed bigint, kept_text string")
+    with small_batches(docs.sparkSession):
+        with recorded() as folders:
+            anchors = staged(count_anchors(rows, window, gram), "repeat-anchors")
+            repeated = filter_bits(anchors, "anchor", filter_size)
+            hot = filter_bits(anchors.where(F.col("n") > group_limit), "anchor", filter_size >> 5)
+            marks = grow_trees(suffixes(rows, repeated, hot, window, gram), window)
+            spans = staged(marks.groupBy("id", "th").agg(F.collect_set(F.struct("from", "to")).alias("spans")), "repeat-spans")
+            copies = staged(rows.select("id", "th").groupBy("id", "th").agg(F.count("*").alias("n")).where("n > 1").select("id", "th"), "repeat-rows")
+            # Documents that surely have no mark and no copy under the same id go straight through.
+            touched = filter_bits(spans.select(pair.alias("h")).unionByName(copies.select(pair.alias("h"))), "h", filter_size)
+        shared = docs.sparkSession.sparkContext.broadcast(touched)
+
+        @F.arrow_udf("boolean")
+        def may_be_touched(h: pa.Array) -> pa.Array:
+            return pa.array(perhaps(shared.value, h.to_numpy().view(np.uint64)))
+
+        flagged = may_be_touched(pair)
+        met = rows.where(flagged).join(spans.select(F.col("id").alias("sid"), F.col("th").alias("sth"), "spans"),
+                                       F.col("id").eqNullSafe(F.col("sid")) & (F.col("th") == F.col("sth")), "left")
+        met = met.withColumn("copy", F.row_number().over(W.partitionBy("id", "th").orderBy(F.lit(1)))).select("id", "t", "spans", "copy")
+        met = staged(met.mapInArrow(lambda batches: cut_out(batches, window), "doc_id bigint, n_words bigint, n_removed bigint, kept_text string"),
+                     "repeat-touched")
+    release(docs.sparkSession, folders)
+    kept = F.trim(F.regexp_replace(F.coalesce("t", F.lit("")), SPACE_CLASS, " "))
+    straight = rows.where(~flagged).select(F.col("id").alias("doc_id"), kept.alias("kept_text"))
+    spaces = F.length("kept_text") - F.length(F.replace("kept_text", F.lit(" "), F.lit("")))
+    n_words = F.when(F.col("kept_text") == "", 0).otherwise(spaces + 1).cast("long")
+    return straight.select("doc_id", n_words.alias("n_words"), F.lit(0).cast("long").alias("n_removed"), "kept_text").unionByName(met)
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

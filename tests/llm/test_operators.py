@@ -175,6 +175,23 @@ def test_substring_removal(spark, empty, limit, monkeypatch):
         assert substring_dedup.remove_repeats(empty).count() == 0
 
 
+def test_substring_removal_holds_few_texts(spark, docs, monkeypatch):
+    """Python is given texts in small batches only, and what is returned sorts none and keeps one staged table."""
+    asked, stage = [], substring_dedup.staged
+
+    def watched(df, name):
+        asked.append(int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")))
+        return stage(df, name)
+
+    monkeypatch.setattr(substring_dedup, "staged", watched)
+    with recorded() as folders:
+        got = substring_dedup.remove_repeats(docs)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert max(asked) <= 1000 and "Window" not in plan and "MapInArrow" not in plan
+    assert [f for f in folders if os.path.isdir(f.removeprefix("file:"))] == folders[-1:]
+    assert got.where("n_removed > 0").count() > 0
+
+
 def test_quality(docs, empty, spark):
     stats = {(r["_id"], r["_n"], r["_chars"], r["_symbols"], r["_dup"], r["_repeat"]) for r in
              quality_rules.text_statistics(docs, [F.col("doc_id").alias("_id")]).collect()}
