@@ -20,7 +20,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import os
-from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -93,29 +92,36 @@ class PieceTokenizer:
         return self.model.encode(texts, num_threads=1)
 
 
-def sliced_groups(a: list[int], b: list[int], size_a: list[int], size_b: list[int]) -> tuple[list[int], list[int]]:
+def sliced_groups(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The ends of the groups in a and in b: places after which both sequences end at the same byte."""
-    at_a = dict(zip(accumulate(map(size_a.__getitem__, a)), range(1, len(a) + 1)))
-    at_b = dict(zip(accumulate(map(size_b.__getitem__, b)), range(1, len(b) + 1)))
-    common = sorted(filter(at_b.__contains__, at_a))
-    return list(map(at_a.__getitem__, common)), list(map(at_b.__getitem__, common))
+    at_a = dict(zip(ends_a.tolist(), range(1, len(ends_a) + 1)))
+    at_b = dict(zip(ends_b.tolist(), range(1, len(ends_b) + 1)))
+    common = list(filter(at_b.__contains__, at_a))  # keys come in the order of the bytes
+    return tuple(np.fromiter(map(at.__getitem__, common), np.int64, len(common)) for at in (at_a, at_b))
 
 
-def linked_pairs(a: list[int], b: list[int], cuts: tuple[list[int], list[int]]) -> np.ndarray:
+def linked_pairs(a: np.ndarray, b: np.ndarray, cuts: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """Every token of a with every token of b of the same group, as ``a * 2^32 + b``."""
-    n_a, n_b = (np.diff(np.array(c, np.int64), prepend=0) for c in cuts)
-    ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
+    n_a, n_b = (np.diff(c, prepend=0) for c in cuts)
     width = np.repeat(n_b, n_a)  # each token of a meets all of b in its group
     first = np.repeat(np.cumsum(n_b) - n_b, n_a)
     shift = np.arange(int(width.sum())) - np.repeat(np.cumsum(width) - width, width)
-    return (np.repeat(ids_a, width) << 32) | ids_b[np.repeat(first, width) + shift]
+    return (np.repeat(a, width) << 32) | b[np.repeat(first, width) + shift]
 
 
-def groups_digest(a: list[int], b: list[int], cuts: tuple[list[int], list[int]], names: list[str]) -> str:
-    first, second = list(map(names.__getitem__, a)), list(map(names.__getitem__, b))
-    out = [first[i] + "|" + second[j] if x - i == 1 and y - j == 1 else ",".join(first[i:x]) + "|" + ",".join(second[j:y])
-           for i, j, x, y in zip(chain((0,), cuts[0]), chain((0,), cuts[1]), *cuts)]
-    return hashlib.sha256(";".join(out).encode()).hexdigest()
+def id_names(n: int) -> np.ndarray:
+    """Ids below n as they are written inside a group, at the end of its first half, and at its end."""
+    return np.array([[f"{i}{mark}" for i in range(n)] for mark in ",|;"], object)
+
+
+def groups_digest(a: np.ndarray, b: np.ndarray, cuts: tuple[np.ndarray, np.ndarray], names: np.ndarray) -> str:
+    ends_a, ends_b = cuts
+    last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+    last_a[ends_a - 1], last_b[ends_b - 1] = 1, 2
+    out = np.empty(len(a) + len(b), object)  # the tokens of a group's a, then those of its b
+    out[np.arange(len(a)) + np.repeat(np.append(0, ends_b[:-1]), np.diff(ends_a, prepend=0))] = names[last_a, a]
+    out[np.arange(len(b)) + np.repeat(ends_a, np.diff(ends_b, prepend=0))] = names[last_b, b]
+    return hashlib.sha256("".join(out.tolist())[:-1].encode()).hexdigest()
 
 
 _ROW = {"doc_id": pa.int64(), "n_a": pa.int64(), "n_b": pa.int64(), "n_groups": pa.int64(), "n_links": pa.int64(), "groups_sha256": pa.string(),
@@ -126,8 +132,9 @@ def encoded(docs: DataFrame, path_a: str, path_b: str, ranks_a: str | None = Non
     """One row per document: token, group and link numbers, the digest, and the distinct pairs packed (8 bytes a pair, 4 bytes a number)."""
     def encode(batches):
         first, second = ByteTokenizer(path_a, ranks_a), PieceTokenizer(path_b)
-        size_a, size_b = [len(x) for x in first.bytes], [len(x) for x in second.bytes]
-        names = [str(i) for i in range(max(len(size_a), len(size_b)))]
+        bytes_a, bytes_b = np.array(first.bytes, object), np.array(second.bytes, object)
+        size_a, size_b = (np.array([len(x) for x in t.bytes], np.int64) for t in (first, second))
+        names = id_names(max(len(size_a), len(size_b)))
 
         def rows(ids, texts):
             known = [t for t in texts if t]
@@ -136,12 +143,12 @@ def encoded(docs: DataFrame, path_a: str, path_b: str, ranks_a: str | None = Non
                 if not text:
                     yield (id_, 0, 0, 0, 0, "", b"", b"")
                     continue
-                a, b = next(encodings)
+                a, b = (np.array(x, np.int64) for x in next(encodings))
                 whole = b" " + text.encode()
-                if b"".join([second.bytes[t] for t in b]) != whole or b"".join([first.bytes[t] for t in a]) != whole:
+                if b"".join(bytes_b[b].tolist()) != whole or b"".join(bytes_a[a].tolist()) != whole:
                     yield (id_, 0, 0, 0, 0, "", b"", b"")
                     continue
-                cuts = sliced_groups(a, b, size_a, size_b)
+                cuts = sliced_groups(np.cumsum(size_a[a]), np.cumsum(size_b[b]))
                 pairs, times = np.unique(linked_pairs(a, b, cuts), return_counts=True)
                 yield (id_, len(a), len(b), len(cuts[0]), int(times.sum()), groups_digest(a, b, cuts, names), pairs.tobytes(), times.astype(np.int32).tobytes())
 

@@ -169,6 +169,28 @@ def test_alignment(spark, hot):
     assert token_alignment.aligned(df.where("false"), path_a, path_b, hot).collect() == []
 
 
+def test_groups_of_arrays():
+    """Groups, links and digest of id arrays, tokens without bytes and wide groups among them."""
+    rng = random.Random(8)
+    names = token_alignment.id_names(30)
+    for _ in range(200):
+        size = [0, 1, *(rng.randrange(1, 5) for _ in range(28))]
+        a, b, total = [], [], rng.randrange(1, 40)
+        for ids in (a, b):
+            while (left := total - sum(size[t] for t in ids)) > 0:
+                ids += [t] if size[t := rng.randrange(30)] <= left else []
+            ids += [0] * rng.randrange(2)
+        ends = [[sum(size[t] for t in ids[:i + 1]) for i in range(len(ids))] for ids in (a, b)]
+        cuts = [[max(i for i, e in enumerate(own) if e == end) + 1 for end in sorted(set(ends[0]) & set(ends[1]))] for own in ends]
+        parts = [(a[i:x], b[j:y]) for i, j, x, y in zip([0, *cuts[0]], [0, *cuts[1]], *cuts)]
+        got = token_alignment.sliced_groups(*(np.array(e) for e in ends))
+        assert [c.tolist() for c in got] == cuts
+        ids = np.array(a), np.array(b)
+        assert token_alignment.linked_pairs(*ids, got).tolist() == [x << 32 | y for p, q in parts for x in p for y in q]
+        written = ";".join(",".join(map(str, p)) + "|" + ",".join(map(str, q)) for p, q in parts)
+        assert token_alignment.groups_digest(*ids, got, names) == hashlib.sha256(written.encode()).hexdigest()
+
+
 def test_ranks_give_the_ids_of_the_tokenizers_file():
     path, ranks = tokenizer_files.path("byte_bpe_50k.json"), tokenizer_files.path("byte_bpe_50k.tiktoken")
     rng = random.Random(6)
