@@ -19,6 +19,8 @@ lets the sets differ in members; that bound is exact, so that a group of near co
 
 The first pass stores each set's name beside its text; the later ones pick the sets they need by name before they take words from any text.
 
+Shingles under which exactly the same sets meet give the same pairs, so one of them is kept before any round.
+
 Frequent shingles are counted over all documents (twice the prefix length of each), by slots of their hashes in a table of fixed size
 per task, so that counting shuffles these tables and no shingles. Any choice of slots gives a valid order, so shingles that share a slot change
 no result.
@@ -50,7 +52,7 @@ ORDERS = 3
 CENTRES = 16
 COUNT_SLOTS = 1 << 21
 COUNT_BLOCK = 1 << 14
-SKETCH = 4  # words of 64 bits
+SKETCH = 12  # words of 64 bits: fewer tell long sets that are nearly similar enough from those that are no longer
 
 
 def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -237,6 +239,15 @@ def meeting_rows(sets: DataFrame, late: np.ndarray, k: int, percent: int) -> Dat
         meet, "token bigint, s bigint, n int, ls bigint, ln int")
 
 
+def once_per_group(rows: DataFrame) -> DataFrame:
+    """Of shingles under which the same sets meet, one only: the others give the same pairs. Near copies meet under most of their prefixes. Sets
+    of members are told apart by their number and sums of 31-bit pieces of two 64-bit hashes."""
+    pieces = [piece for i in range(2) for h in [F.xxhash64("s", F.lit(i))] for piece in (h.bitwiseAND(0x7FFFFFFF), F.shiftrightunsigned(h, 33))]
+    members = rows.groupBy("token").agg(F.count("*").alias("c"), *[F.sum(piece).alias(f"h{i}") for i, piece in enumerate(pieces)])
+    kept = members.groupBy("c", *[f"h{i}" for i in range(len(pieces))]).agg(F.min("token").alias("token")).select("token")
+    return rows.join(kept, "token", "left_semi")
+
+
 def _of_each_set(sets: DataFrame, wanted: np.ndarray, columns, ddl: str) -> DataFrame:
     """One row per set that is perhaps wanted. ``columns(texts)`` gives its columns."""
     shared = sets.sparkSession.sparkContext.broadcast(wanted)
@@ -383,7 +394,7 @@ def across_components(placed: DataFrame, percent: int) -> DataFrame:
 def linked_sets(sets: DataFrame, k: int, percent: int, bits: int = FILTER_BITS) -> DataFrame:
     """``s, comp`` of the sets that are linked with another. ``sets`` has ``s, t``: names and texts of sets that can link, each at least once."""
     late = frequent_shingles(sets, k, percent)
-    rows = staged(meeting_rows(sets, late, k, percent), "jaccard-meeting")
+    rows = settled(lambda: once_per_group(staged(meeting_rows(sets, late, k, percent), "jaccard-meeting")), "jaccard-meeting")
     fronts = staged(other_prefixes(sets, filter_bits(rows, "s", bits), k, percent), "jaccard-prefixes")
 
     def met(pairs: DataFrame) -> DataFrame:

@@ -143,6 +143,25 @@ def test_a_passage_that_thousands_share_links_nothing(spark):
     assert [(r.doc_id, r.component_id) for r in got] == [(9000, 7)]
 
 
+def test_pairs_meet_once_per_group_of_shingles(spark):
+    """Of shingles under which the same sets meet one is left, and no pair of sets is lost."""
+    rnd = random.Random(3)
+    groups = {t: set(range(12)) - set(rnd.sample(range(12), t % 4)) for t in range(40)} | {50: {20, 21}, 51: {20, 21}, 52: {21, 22}}
+    rows = spark.createDataFrame([(t, x) for t, g in groups.items() for x in g], "token long, s long").repartition(3)
+
+    def left(df):
+        out = collections.defaultdict(set)
+        for r in df.collect():
+            out[r.token].add(r.s)
+        return out
+
+    def pairs(gs):
+        return {(a, b) for g in gs.values() for a in g for b in g if a < b}
+
+    once = left(jaccard_join.once_per_group(rows))
+    assert len(once) == len({frozenset(g) for g in groups.values()}) and pairs(once) == pairs(groups)
+
+
 def test_settings_and_staged_tables_last_no_longer_than_needed(spark, docs):
     batches = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     with recorded() as folders, recorded() as inner:
