@@ -85,32 +85,39 @@ def carried_ends(ends: list) -> list[tuple]:
     return out
 
 
+def dealt_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column], **extra: Column) -> DataFrame:
+    """Rows dealt by ranges of key number, key and order, and sorted so in each task, with the key number ``_k`` and ``extra``.
+    The exchange holds the rows alone; key numbers and extra columns are worked out in front of it for the ranges and behind it for the task."""
+    number = F.xxhash64(*[x for k in keys for x in (F.col(k), F.col(k).isNull())])
+    within = [*[F.col(k) for k in keys], *order]  # numbers sort faster than keys, whose first letters are often the same
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(parts, number, *within).withColumns({"_k": number, **extra}).sortWithinPartitions(F.col("_k"), *within)
+
+
 def scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: Column | None = None, instant: Column | None = None,
-         gap: Column | None = None) -> DataFrame:
+         gap: Column | None = None, keep: Sequence[str] | None = None, where: Column | None = None) -> DataFrame:
     """Adds ``_sum`` and ``_seen`` (sum and number of the non-NULL values of the key up to this row) and ``_prev`` (microseconds of the
-    instant of the row before). With ``gap`` (microseconds) a row that comes later than that after the one before counts 1, others 0."""
-    spark = df.sparkSession
+    instant of the row before). With ``gap`` (microseconds) a row that comes later than that after the one before counts 1, others 0.
+    Every row is scanned; what is written can be held to the columns ``keep`` and the rows ``where`` (an expression over them)."""
+    spark, kept = df.sparkSession, list(df.columns if keep is None else keep)
     nothing = F.lit(None).cast("long")
-    marked = df.withColumns({
-        "_k": F.xxhash64(*[x for k in keys for x in (F.col(k), F.col(k).isNull())]), "_v": nothing if value is None else value.cast("long"),
-        "_t": nothing if instant is None else F.unix_micros(instant), "_gap": nothing if gap is None else gap.cast("long")})
-    by = [F.col("_k"), *[F.col(k) for k in keys], *order]  # numbers sort faster than keys, whose first letters are often the same
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = marked.repartitionByRange(parts, *by).sortWithinPartitions(*by)
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in dealt.schema] + [T.StructField(n, t, True) for n, t in (
+    dealt = dealt_by(df, keys, order, _v=nothing if value is None else value.cast("long"), _t=nothing if instant is None else F.unix_micros(instant),
+                     _gap=nothing if gap is None else gap.cast("long")).select(*kept, "_k", "_gap", "_v", "_t")
+    carried_on = [*kept, "_k", "_gap"]
+    schema = T.StructType([T.StructField(n, dealt.schema[n].dataType, True) for n in carried_on] + [T.StructField(n, t, True) for n, t in (
         (n, {"long": T.LongType(), "int": T.IntegerType(), "boolean": T.BooleanType()}[t]) for n, t in _SCAN)])
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state, part, gap_, fields = Fragment(), TaskContext.get().partitionId(), None, None
         for batch in batches:
-            fields = batch.schema
+            fields = pa.schema([batch.schema.field(n) for n in carried_on])
             n = batch.num_rows
             if not n:
                 continue
             gap_ = batch.column("_gap")[0].as_py()
             new = state.scan(batch.column("_k").to_numpy(), batch.column("_v"), batch.column("_t"), gap_)
             extra = [*new.values(), pa.array(np.full(n, part, np.int32)), pa.array(np.zeros(n, bool)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names=[*batch.schema.names, *[name for name, _ in _SCAN]])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(carried_on)], *extra], names=[*carried_on, *[name for name, _ in _SCAN]])
         if state.key is not None:
             own = {"_k": pa.array([state.key], pa.int64()), "_gap": pa.array([gap_], pa.int64())}
             extra = [pa.array([x], t) for x, t in ((state.sum, pa.int64()), (state.seen, pa.int64()), (state.last, pa.int64()), (False, pa.bool_()),
@@ -118,12 +125,13 @@ def scan(df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: Col
             yield pa.RecordBatch.from_arrays([*[own.get(f.name, pa.nulls(1, f.type)) for f in fields], *extra],
                                              names=[*fields.names, *[name for name, _ in _SCAN]])
 
-    walked = staged(dealt.mapInArrow(walk, schema), "scan")
+    scanned = dealt.mapInArrow(walk, schema)
+    walked = staged(scanned if where is None else scanned.where(F.col("_end") | where), "scan")
     ends = walked.where("_end").select("_part", "_k", "_gap", "_sum", "_seen", "_prev", "_open", "_first").orderBy("_part").collect()
     carry = spark.createDataFrame(carried_ends(ends), "_part int, _k long, _sum0 long, _seen0 long, _prev0 long")  # at most one row per task
     rows = walked.where("NOT _end").join(F.broadcast(carry), ["_part", "_k"], "left")
     zero = F.lit(0).cast("long")
-    return rows.select(*df.columns, (F.col("_sum") + F.coalesce("_sum0", zero)).alias("_sum"), (F.col("_seen") + F.coalesce("_seen0", zero)).alias("_seen"),
+    return rows.select(*kept, (F.col("_sum") + F.coalesce("_sum0", zero)).alias("_sum"), (F.col("_seen") + F.coalesce("_seen0", zero)).alias("_seen"),
                        F.when(F.col("_opens"), F.col("_prev0")).otherwise(F.col("_prev")).alias("_prev"))
 
 
@@ -147,15 +155,17 @@ def join_same(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> DataFra
     return left.join(renamed, on).drop(*[f"_same_{c}" for c in cols])
 
 
-def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: Column, out: str) -> DataFrame:
+def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: Column, out: str, keep: Sequence[str] | None = None,
+                where: Column | None = None) -> DataFrame:
     """Adds ``out``: the sum of ``value`` over the rows of ``keys`` up to and
     including this one in ``order``; NULL up to the first value. ``order`` must be total for a stable result.
-    Sums are whole numbers of the last digit and must stay below 2^63 of them."""
+    Sums are whole numbers of the last digit and must stay below 2^63 of them. ``keep`` and ``where``: the columns and rows given, as in :func:`scan`."""
     whole, digits = units(df, value)
     total = F.col("_sum")
     if digits:
         total = (total.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-digits))).cast(f"decimal(38,{digits})")
-    return scan(df, keys, order, value=whole).select(*[c for c in df.columns if c != out], F.when(F.col("_seen") > 0, total).alias(out))
+    return scan(df, keys, order, value=whole, keep=keep, where=where).select(
+        *[c for c in (df.columns if keep is None else keep) if c != out], F.when(F.col("_seen") > 0, total).alias(out))
 
 
 def lowest_sums(df: DataFrame, keys: Sequence[str], order: Sequence[Column], value: Column, out: str) -> DataFrame:
@@ -163,10 +173,7 @@ def lowest_sums(df: DataFrame, keys: Sequence[str], order: Sequence[Column], val
     other is left out. Rows are dealt as in :func:`scan`, but a task gives one row per key: what the key amounts to there and its lowest
     sum from there. A key over several tasks adds up over these rows. Nothing is written."""
     whole, digits = units(df, value)
-    rows = df.withColumns({"_k": F.xxhash64(*[x for k in keys for x in (F.col(k), F.col(k).isNull())]), "_v": whole.cast("long")})
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    by = [F.col("_k"), *[F.col(k) for k in keys], *order]
-    dealt = rows.where("_v IS NOT NULL").repartitionByRange(parts, *by).sortWithinPartitions(*by).select(*keys, "_k", "_v")
+    dealt = dealt_by(df.where(whole.isNotNull()), keys, order, _v=whole.cast("long")).select(*keys, "_k", "_v")
     schema = T.StructType([*[dealt.schema[k] for k in keys], *[T.StructField(n, t) for n, t in (
         ("_part", T.IntegerType()), ("_total", T.LongType()), ("_lowest", T.LongType()))]])
 
@@ -250,13 +257,14 @@ def as_of(events: DataFrame, changes: DataFrame, keys: Sequence[str], at: str, s
 
 
 def rolling_sums(events: DataFrame, points: DataFrame, key: str, ts: str, value: str, point_id: str,
-                 spans: dict[str, int]) -> DataFrame:
+                 spans: dict[str, int], asked: str | None = None) -> DataFrame:
     """For each point, the sum of event values of its key in the trailing days up
     to and including the point's instant (what ``RANGE BETWEEN n DAYS PRECEDING``
     gives). ``spans`` maps an output column to days.
 
     A point marks where each window opens and where it closes; the answer is the
-    difference of two running totals over events and marks together.
+    difference of two running totals over events and marks together. ``asked`` names an array column of the points with the
+    spans that count for a point: the others are NULL and set no mark.
     Returns key, point_id, ts and the output columns.
     """
     nil = F.lit(None).cast("string")
@@ -265,12 +273,14 @@ def rolling_sums(events: DataFrame, points: DataFrame, key: str, ts: str, value:
     marks = [F.struct(F.col(ts).alias("at"), F.lit(2).alias("kind"), F.lit("_end").alias("span"))]
     marks += [F.struct((F.col(ts) - F.make_dt_interval(F.lit(d))).alias("at"), F.lit(0).alias("kind"),
                        F.lit(n).alias("span")) for n, d in spans.items()]
-    asked = (points.select(key, point_id, F.explode(F.array(*marks)).alias("m"))
-             .select(key, point_id, "m.*", F.lit(0).cast("decimal(18,2)").alias("v")))
+    set_for = F.array(*marks) if asked is None else F.array(marks[0], *[
+        F.when(F.array_contains(asked, n), m) for n, m in zip(spans, marks[1:])])
+    marked = points.select(key, point_id, F.explode(set_for).alias("m")).filter(F.col("m").isNotNull()).select(
+        key, point_id, "m.*", F.lit(0).cast("decimal(18,2)").alias("v"))
     order = [F.col("at"), F.col("kind"), F.col(point_id), F.col("span")]
-    run = running_sum(stream.unionByName(asked), [key], order, F.col("v"), "_run")
+    run = running_sum(stream.unionByName(marked), [key], order, F.col("v"), "_run", [key, point_id, "at", "span"], F.col("span").isNotNull())
     total = F.max(F.when(F.col("span") == "_end", F.col("_run")))
-    return (run.filter(F.col("span").isNotNull()).groupBy(key, point_id)
+    return (run.groupBy(key, point_id)
             .agg(F.max(F.when(F.col("span") == "_end", F.col("at"))).alias(ts),
                  *[(total - F.max(F.when(F.col("span") == n, F.col("_run"))))
                    .cast("decimal(28,2)").alias(n) for n in spans]))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import markets
 from ..functions.scalars import age_years, local_date, money, period_start
+from ..scratch import settled
 from .core import active_limits, zero
 from .nomenclature import in_force
 from .ordered import as_of, lowest_sums, rolling_sums, running_sum
@@ -234,53 +235,68 @@ def stakes_over_cap_then(rounds: DataFrame, limits: DataFrame) -> DataFrame:
 WAGER_CHECKS = ["NON_POSITIVE", "EXCLUDED", "BONUS_GAME", "INSUFFICIENT_BALANCE", "LOSS_LIMIT", "STAKE_CAP"]
 
 
-def wager_gate_audit(wagers: DataFrame, cash_flow: DataFrame, exclusions: DataFrame, optins: DataFrame,
+def balances_before(cash_flow: DataFrame) -> DataFrame:
+    """``wager_id, _before``: what an account held in front of each wager, written. ``cash_flow``: account_id, ref, ts, amount, is_wager,
+    in the order money moved. The scan writes wagers alone, without account and instant."""
+    moved = cash_flow.select("account_id", "ref", "ts", "amount", "is_wager")  # the scan sorts whole rows
+    run = running_sum(moved, ["account_id"], [c("ts"), F.desc("amount"), c("ref")], c("amount"), "_run", ["ref", "amount", "is_wager"], c("is_wager"))
+    return run.select(c("ref").alias("wager_id"), (c("_run") - c("amount")).alias("_before"))
+
+
+def wager_gate_audit(wagers: DataFrame, balances: DataFrame, exclusions: DataFrame, optins: DataFrame,
                      losses: DataFrame, limits: DataFrame, caps: DataFrame) -> DataFrame:
     """Recorded wagers that the gate should have refused, with the first reason.
 
     Every check emits only its failing wagers; the lowest-ranked reason per wager
-    wins, so the final shuffle carries failures, not wagers.
+    wins, so the final shuffle carries failures, not wagers. Checks that move wagers are written one after the other, and the
+    shuffles of one are gone before the next begins.
     ``wagers``: wager_id, account_id, ts, stake, net, casino, game, funding.
-    ``cash_flow``: account_id, ref, ts, amount, in the order money moved.
+    ``balances``: :func:`balances_before`.
     """
     def fail(df: DataFrame, reason: str) -> DataFrame:
         return df.select("wager_id", "account_id", "ts", "stake",
                          F.lit(WAGER_CHECKS.index(reason)).alias("_rank"))
     cash = wagers.filter("funding = 'CASH'")
     positive = fail(wagers.filter("stake <= 0"), "NON_POSITIVE")
-    x = exclusions.select("account_id", "start_ts", "end_ts")
-    excluded = fail(wagers.join(x, "account_id").filter(active_at(c("start_ts"), c("end_ts"), c("ts"))),
-                    "EXCLUDED")
     bonus = fail(wagers.filter((c("funding") != "CASH") & ~c("game").isin(markets.BONUS_GAMES)), "BONUS_GAME")
+    plain = settled(lambda: positive.unionByName(bonus), "failed-plain")
+
+    # What a pool takes besides the stake matters to the few wagers that the balance covers with it or without it alone. A balance
+    # that covers the highest stake of all doesn't meet its wager.
+    pool = F.when(c("casino"), money(c("stake") * F.lit(markets.POOL_RATE))).otherwise(zero())
+    most = F.broadcast(cash.agg(F.max(F.greatest("stake", c("stake") + pool)).alias("_most")))
+    low = balances.join(most, c("_before") < c("_most")).drop("_most")
+    close = settled(lambda: cash.select("wager_id", "account_id", "ts", "stake", "casino").join(low, "wager_id").withColumn("_pooled", c("stake") + pool)
+                    .filter(F.greatest("stake", "_pooled") > c("_before"))
+                    .select("wager_id", "account_id", "ts", "stake", (F.least("stake", "_pooled") > c("_before")).alias("_either"),
+                            (c("_pooled") > c("stake")).alias("_opted")), "failed-balance")
+    o = optins.select(c("account_id").alias("_player"), "opted_in_at", "opted_out_at")
+    joined = (c("account_id") == c("_player")) & active_at(c("opted_in_at"), c("opted_out_at"), c("ts"))
+    with_pool = close.filter("NOT _either AND _opted").join(o, joined, "left_semi")
+    without = close.filter("NOT _either AND NOT _opted").join(o, joined, "left_anti")  # a stake below zero
+    short = fail(close.filter("_either").unionByName(with_pool).unionByName(without), "INSUFFICIENT_BALANCE")
 
-    moved = cash_flow.select("account_id", "ref", "ts", "amount", "is_wager")  # the scan sorts and writes whole rows
-    run = running_sum(moved, ["account_id"], [c("ts"), F.desc("amount"), c("ref")], c("amount"), "_run")
-    before = run.filter("is_wager").select(c("ref").alias("wager_id"), (c("_run") - c("amount")).alias("_before"))
-    o = optins.select("account_id", "opted_in_at", "opted_out_at")
-    joined_pool = (cash.filter("casino").join(o, "account_id")
-                   .filter(active_at(c("opted_in_at"), c("opted_out_at"), c("ts")))
-                   .select("wager_id", money(c("stake") * F.lit(markets.POOL_RATE)).alias("_pool"))
-                   .groupBy("wager_id").agg(F.max("_pool").alias("_pool")))
-    needed = c("stake") + F.coalesce("_pool", zero())
-    short = fail(cash.join(before, "wager_id").join(joined_pool, "wager_id", "left")
-                 .filter(needed > c("_before")), "INSUFFICIENT_BALANCE")
-
-    loss_caps = _limit_rows(limits, "LOSS")
-    watched = loss_caps.select("account_id").distinct()
-    points = cash.join(watched, "account_id", "left_semi")
-    totals = rolling_sums(losses.join(watched, "account_id", "left_semi"), points, "account_id", "ts",
-                          "net", "wager_id", SPANS)
-    rows = totals.select("account_id", "wager_id", F.inline(F.array(*[
-        F.struct(F.lit(p).alias("period"), c(p).alias("_total")) for p in PERIODS])))
-    # A round's own result falls on its own instant: take it out again.
-    own = F.when(c("casino"), c("net")).otherwise(zero())
-    over = fail(points.join(rows, ["account_id", "wager_id"]).join(loss_caps, ["account_id", "period"])
-                .filter(c("_total") - own + c("stake") > c("limit_amount")), "LOSS_LIMIT")
-    capped = fail(wagers.join(caps.select(c("round_id").alias("wager_id")).distinct(), "wager_id", "left_semi"),
-                  "STAKE_CAP")
-
-    failures = (positive.unionByName(excluded).unionByName(bonus).unionByName(short)
-                .unionByName(over).unionByName(capped))
+    x = exclusions.select("account_id", "start_ts", "end_ts")
+    excluded = settled(lambda: fail(wagers.select("wager_id", "account_id", "ts", "stake").join(x, "account_id")
+                                    .filter(active_at(c("start_ts"), c("end_ts"), c("ts"))), "EXCLUDED"), "failed-excluded")
+    capped = settled(lambda: fail(wagers.select("wager_id", "account_id", "ts", "stake").join(
+        settled(lambda: caps.select(c("round_id").alias("wager_id")).distinct(), "capped"), "wager_id", "left_semi"), "STAKE_CAP"), "failed-capped")
+
+    def over_limit() -> DataFrame:
+        loss_caps = _limit_rows(limits, "LOSS")
+        watched = loss_caps.groupBy("account_id").agg(F.collect_set("period").alias("_asked"))
+        points = settled(lambda: cash.select("wager_id", "account_id", "ts", "stake", "net", "casino").join(watched, "account_id"), "watched")
+        totals = rolling_sums(losses.join(watched.select("account_id"), "account_id", "left_semi"), points, "account_id", "ts",
+                              "net", "wager_id", SPANS, "_asked")
+        rows = totals.select("account_id", "wager_id", F.inline(F.array(*[
+            F.struct(F.lit(p).alias("period"), c(p).alias("_total")) for p in PERIODS])))
+        # A round's own result falls on its own instant: take it out again.
+        own = F.when(c("casino"), c("net")).otherwise(zero())
+        return fail(points.join(rows, ["account_id", "wager_id"]).join(loss_caps, ["account_id", "period"])
+                    .filter(c("_total") - own + c("stake") > c("limit_amount")), "LOSS_LIMIT")
+    over = settled(over_limit, "failed-loss")
+
+    failures = plain.unionByName(excluded).unionByName(short).unionByName(over).unionByName(capped)
     names = F.array(*[F.lit(n) for n in WAGER_CHECKS])
     return (failures.groupBy("wager_id", "account_id", "ts", "stake").agg(F.min("_rank").alias("_first"))
             .select("wager_id", "account_id", "ts", "stake",

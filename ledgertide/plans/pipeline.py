@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .. import markets
 from ..operators import (cdc, core, exceptions, gaming, nomenclature, protection, recon, sessions,
                          submissions)
-from ..scratch import staged
+from ..scratch import recorded, release, staged
 from ..session import configure
 from ..sources import landing as landing_source
 
@@ -24,7 +24,7 @@ class Models(Mapping[str, DataFrame]):
     """Builds each model once, on first use."""
 
     def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
-        self._builders, self._built, self._shared = builders, {}, set()
+        self._builders, self._built, self._shared = builders, {}, {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
@@ -37,8 +37,19 @@ class Models(Mapping[str, DataFrame]):
         executor. The folder is the cluster's shared checkpoint folder."""
         for name in names:
             if name not in self._shared:
-                self._built[name] = staged(self[name], name)
-                self._shared.add(name)
+                with recorded() as folders:
+                    self._built[name] = staged(self[name], name)
+                self._shared[name] = folders
+        return self
+
+    def release(self, *names: str) -> Models:
+        """Deletes what ``share`` wrote of models that nothing reads any more. Whatever was built on the way is forgotten, so a model
+        asked for later is built anew, from its sources if need be."""
+        for name in names:
+            found = self._shared.pop(name, None)
+            if found:
+                release(self._built[name].sparkSession, found)
+        self._built = {name: df for name, df in self._built.items() if name in self._shared}
         return self
 
     def __iter__(self):

@@ -18,7 +18,7 @@ from ..functions import scalars
 from ..functions.frames import present
 from ..operators import (cdc, core, delivery, document_formats, documents, exceptions, gaming, nomenclature,
                          ordered, protection, recon, records, rules, sessions, submissions)
-from ..scratch import work_folder
+from ..scratch import recorded, release, work_folder
 from ..sources import sinks
 from . import derive, pipeline
 from .pipeline import Models
@@ -422,7 +422,11 @@ def stakes_over_cap_then(m: Models) -> DataFrame:
 
 @plan
 def wager_gate_audit(m: Models) -> DataFrame:
-    rounds = m.share("cash_flow")["cdc_play_rounds"]
+    rounds = m.share("slip_amounts", "cash_flow")["cdc_play_rounds"]
+    flow = m["cash_flow"].withColumn("is_wager", c("kind").isin("BET_STAKE", "CASINO_NET"))
+    with recorded() as folders:
+        balances = protection.balances_before(flow)
+    m.release("cash_flow")
     bets = m["slip_amounts"].select(
         c("slip_id").alias("wager_id"), "account_id", c("placed_at").alias("ts"), "stake",
         core.zero().alias("net"), F.lit(False).alias("casino"), F.lit(None).cast("string").alias("game"),
@@ -430,11 +434,13 @@ def wager_gate_audit(m: Models) -> DataFrame:
     plays = rounds.select(
         c("round_id").alias("wager_id"), "account_id", c("round_ts").alias("ts"), "stake",
         (c("stake") - c("payout")).cast(scalars.MONEY).alias("net"), F.lit(True).alias("casino"), "game", "funding")
-    flow = m["cash_flow"].withColumn("is_wager", c("kind").isin("BET_STAKE", "CASINO_NET"))
     caps = protection.stake_cap_audit(rounds, m["dim_account"], m["stg_player_limits"])
     losses = protection.loss_events(m["fct_lifecycle"], rounds)
-    return protection.wager_gate_audit(bets.unionByName(plays), flow, m["stg_self_exclusions"],
-                                       m["stg_jackpot_optins"], losses, m["stg_player_limits"], caps)
+    audit = protection.wager_gate_audit(bets.unionByName(plays), balances, m["stg_self_exclusions"],
+                                        m["stg_jackpot_optins"], losses, m["stg_player_limits"], caps)
+    release(rounds.sparkSession, folders)  # what is returned reads the failures alone
+    m.release("slip_amounts")
+    return audit
 
 
 # ---- exceptions --------------------------------------------------------------
