@@ -116,10 +116,9 @@ def resolved_failures(addresses: DataFrame, state: DataFrame) -> DataFrame:
                     F.lit("RESOLVED").alias("status")))
 
 
-def compliance_holds(breaches: dict[str, DataFrame]) -> DataFrame:
-    """One row per account and kind of breach."""
-    parts = [df.select("account_id", F.lit(kind).alias("breach")).distinct() for kind, df in breaches.items()]
-    return reduce(DataFrame.unionByName, parts)
+def compliance_hold(kind: str, breaches: DataFrame) -> DataFrame:
+    """One row per account that has a breach of this kind."""
+    return breaches.select("account_id", F.lit(kind).alias("breach")).distinct()
 
 
 def exception_store(addresses: DataFrame, next_state: DataFrame, periods: DataFrame, readiness: DataFrame,

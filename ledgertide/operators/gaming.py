@@ -105,20 +105,30 @@ def operator_contributions(contributions: DataFrame, lifecycle: DataFrame,
                     F.when(F.col("_voided"), "REFUNDED").otherwise("ACTIVE").alias("status")))
 
 
-def gaming_activity(rounds: DataFrame, poker: DataFrame, contributions: DataFrame,
-                    wins: DataFrame) -> DataFrame:
-    """Every play on one grain: rounds, poker, pool contributions and pool wins."""
+def casino_activity(rounds: DataFrame) -> DataFrame:
     c = F.col
-    casino = rounds.select(
+    return rounds.select(
         c("round_id").alias("activity_id"), "account_id", "game_id",
         F.lit("CASINO_ROUND").alias("vertical"), c("wager").alias("stake"), "payout",
         zero().alias("rake_or_fee"), "jackpot_contribution", "jackpot_id", "session_id",
         c("round_ts").alias("occurred_at"))
-    hands = poker.select(
+
+
+def _without_pool(df: DataFrame) -> DataFrame:
+    return df.withColumns({"jackpot_contribution": zero(), "jackpot_id": F.lit(None).cast("string")})
+
+
+def poker_activity(poker: DataFrame) -> DataFrame:
+    c = F.col
+    return _without_pool(poker.select(
         "activity_id", "account_id", "game_id",
         F.when(c("kind") == "CASH_HAND", "POKER_CASH").otherwise("POKER_TOURNAMENT").alias("vertical"),
         c("amount_in").alias("stake"), c("amount_out").alias("payout"), "rake_or_fee", "session_id",
-        c("activity_ts").alias("occurred_at"))
+        c("activity_ts").alias("occurred_at")))
+
+
+def pool_activity(contributions: DataFrame, wins: DataFrame) -> DataFrame:
+    c = F.col
 
     def pool(df, ref, ts, stake, payout):
         return df.select(c(ref).alias("activity_id"), "account_id", "game_id",
@@ -128,9 +138,13 @@ def gaming_activity(rounds: DataFrame, poker: DataFrame, contributions: DataFram
     paid_in = pool(contributions.filter("status = 'ACTIVE'"), "contribution_id", "contributed_at",
                    c("amount"), zero())
     paid_out = pool(wins, "win_id", "win_ts", zero(), c("amount"))
-    rest = hands.unionByName(paid_in).unionByName(paid_out).withColumns(
-        {"jackpot_contribution": zero(), "jackpot_id": F.lit(None).cast("string")})
-    return casino.unionByName(rest)
+    return _without_pool(paid_in.unionByName(paid_out))
+
+
+def gaming_activity(rounds: DataFrame, poker: DataFrame, contributions: DataFrame,
+                    wins: DataFrame) -> DataFrame:
+    """Every play on one grain: rounds, poker, pool contributions and pool wins."""
+    return casino_activity(rounds).unionByName(poker_activity(poker)).unionByName(pool_activity(contributions, wins))
 
 
 def gaming_revenue(deduct: Column) -> Column:

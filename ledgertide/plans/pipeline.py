@@ -7,7 +7,8 @@ feeds (``sources.landing``) or feeds derived from other tables.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,10 +22,10 @@ from ..sources import landing as landing_source
 
 
 class Models(Mapping[str, DataFrame]):
-    """Builds each model once, on first use."""
+    """Builds each model once, on first use. ``parts`` names the models of which another is the union."""
 
-    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
-        self._builders, self._built, self._shared = builders, {}, {}
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]], parts: Mapping[str, Sequence[str]]):
+        self._builders, self._built, self._shared, self._parts = builders, {}, {}, parts
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._built:
@@ -34,18 +35,24 @@ class Models(Mapping[str, DataFrame]):
     def share(self, *names: str) -> Models:
         """Writes models that several others read and builds on the written
         tables from then on: columnar, pruned on read, and not lost with an
-        executor. The folder is the cluster's shared checkpoint folder."""
+        executor. The folder is the cluster's shared checkpoint folder. A union is
+        written part by part, so the shuffles of one part are gone before the next."""
         for name in names:
-            if name not in self._shared:
-                with recorded() as folders:
-                    self._built[name] = staged(self[name], name)
-                self._shared[name] = folders
+            if name in self._shared:
+                continue
+            if name in self._parts:
+                self.share(*self._parts[name])
+                self._built[name], self._shared[name] = self._builders[name](), []
+                continue
+            with recorded() as folders:
+                self._built[name] = staged(self[name], name)
+            self._shared[name] = folders
         return self
 
     def release(self, *names: str) -> Models:
         """Deletes what ``share`` wrote of models that nothing reads any more. Whatever was built on the way is forgotten, so a model
         asked for later is built anew, from its sources if need be."""
-        for name in names:
+        for name in [*names, *[part for name in names for part in self._parts.get(name, ())]]:
             found = self._shared.pop(name, None)
             if found:
                 release(self._built[name].sparkSession, found)
@@ -64,7 +71,7 @@ def build(spark: SparkSession, feeds: Mapping[str, Callable[[], DataFrame]], run
     configure(spark)
     now = F.lit(run_ts).cast("timestamp")
     b: dict[str, Callable[[], DataFrame]] = {f"cdc_{n}": f for n, f in feeds.items()}
-    m = Models(b)
+    m = Models(b, PARTS)
 
     b.update({
         "market": lambda: markets.market_frame(spark),
@@ -82,6 +89,12 @@ def build(spark: SparkSession, feeds: Mapping[str, Callable[[], DataFrame]], run
         "ref_participant_aliases": lambda: nomenclature.participant_aliases(spark),
         "ref_game_type_aliases": lambda: nomenclature.game_type_aliases(spark),
     })
+    def plays(activity: DataFrame) -> DataFrame:
+        return activity.select("account_id", "game_id", "vertical", "stake", "payout", "occurred_at")
+
+    def union(name: str) -> DataFrame:
+        return reduce(DataFrame.unionByName, [m[part] for part in PARTS[name]])
+
     for feed in cdc.STAGING:
         b[f"stg_{feed}"] = lambda feed=feed: cdc.stage(feed, m[f"cdc_{feed}"])
 
@@ -99,7 +112,11 @@ def build(spark: SparkSession, feeds: Mapping[str, Callable[[], DataFrame]], run
             m["stg_operator_jackpot_contributions"], m["fct_lifecycle"], m["cdc_game_round_voids"]),
         "fct_activity": lambda: gaming.gaming_activity(
             m["stg_rounds"], m["stg_poker_activity"], m["fct_contributions"], m["stg_operator_jackpot_wins"]),
-        "plays": lambda: m["fct_activity"].select("account_id", "game_id", "vertical", "stake", "payout", "occurred_at"),
+        **{f"plays_{n}": lambda n=n: plays(gaming.casino_activity(
+            gaming.normalise_feed(m[f"cdc_{n}"], gaming.FEEDS[n], m["stg_games"]))) for n in gaming.FEEDS},
+        "plays_poker": lambda: plays(gaming.poker_activity(m["stg_poker_activity"])),
+        "plays_pools": lambda: plays(gaming.pool_activity(m["fct_contributions"], m["stg_operator_jackpot_wins"])),
+        "plays": lambda: union("plays"),
         "nameless_plays": lambda: m["plays"].withColumn("activity_id", F.lit(None).cast("string")),
         "pool_liability": lambda: gaming.pool_liability(
             m["cdc_jackpot_pools"], m["stg_rounds"], m["cdc_jackpot_wins"]),
@@ -143,14 +160,17 @@ def build(spark: SparkSession, feeds: Mapping[str, Callable[[], DataFrame]], run
         "readiness": lambda: exceptions.period_readiness(
             m["terminal_periods"], m["cdc_source_watermarks"], m["market"]),
         "retry_state": lambda: exceptions.retry_step(m["addresses"], m["cdc_exception_state"], now),
-        "holds": lambda: exceptions.compliance_holds({
-            "deposit_limit": m["breach_deposit_limits"], "loss_limit": m["breach_loss_limits"],
-            "wallet_overspend": m["overspent"],
-            "activity_while_excluded": protection.breach_activity_while_excluded(
-                m["fct_payments"], m["fct_lifecycle"], m["nameless_plays"], m["stg_self_exclusions"]),
-            "unverified_withdrawal": m["breach_unverified_withdrawals"],
-            "stake_limit": protection.breach_stake_limits(
-                m["nameless_plays"], m["dim_account"], m["dim_game"], m["stg_player_limits"], m["market"])}),
+        "held_deposit_limit": lambda: exceptions.compliance_hold("deposit_limit", m["breach_deposit_limits"]),
+        "held_loss_limit": lambda: exceptions.compliance_hold("loss_limit", m["breach_loss_limits"]),
+        "held_wallet_overspend": lambda: exceptions.compliance_hold("wallet_overspend", m["overspent"]),
+        "held_activity_while_excluded": lambda: exceptions.compliance_hold(
+            "activity_while_excluded", protection.breach_activity_while_excluded(
+                m["fct_payments"], m["fct_lifecycle"], m["nameless_plays"], m["stg_self_exclusions"])),
+        "held_unverified_withdrawal": lambda: exceptions.compliance_hold(
+            "unverified_withdrawal", m["breach_unverified_withdrawals"]),
+        "held_stake_limit": lambda: exceptions.compliance_hold("stake_limit", protection.breach_stake_limits(
+            m["nameless_plays"], m["dim_account"], m["dim_game"], m["stg_player_limits"], m["market"])),
+        "holds": lambda: union("holds"),
         "fct_exceptions": lambda: exceptions.exception_store(
             m["addresses"], m["retry_state"], m["terminal_periods"], m["readiness"], m["holds"]),
         "blocked": lambda: exceptions.blocked_accounts(m["fct_exceptions"]),
@@ -187,9 +207,21 @@ def from_landing(spark: SparkSession, root: str, run_ts: str) -> Models:
     return build(spark, feeds, run_ts)
 
 
+# Unions, and the models that they are written from.
+PARTS = {"plays": [*[f"plays_{feed}" for feed in gaming.FEEDS], "plays_poker", "plays_pools"],
+         "holds": ["held_deposit_limit", "held_loss_limit", "held_wallet_overspend", "held_activity_while_excluded",
+                   "held_unverified_withdrawal", "held_stake_limit"]}
+
 # Models that several outputs of one run read, in the order to share them.
 # The files and registers read plays for the holds alone, which need neither their keys nor sessions and pools.
 FACTS = ["dim_account", "fct_lifecycle", "plays"]
-# What the holds read besides: payments, and the ledger without references.
-MONEY = ["fct_payments", "wallet_moves"]
+# What the holds read besides. The ledger without references is the union of written models and read once: it isn't written again.
+MONEY = ["fct_payments"]
+# What nothing but the holds reads.
+FOR_HOLDS = ["plays", "fct_payments"]
 GATES = ["readiness", "fct_exceptions"]
+
+
+def withheld(m: Models) -> Models:
+    """Writes the facts and the holds, and deletes what only the holds read."""
+    return m.share(*FACTS, *MONEY, "holds").release(*FOR_HOLDS)

@@ -38,7 +38,6 @@ def now() -> F.Column:
 
 
 # Models that are a query as they stand, with the models they share first.
-FACTS = (*pipeline.FACTS, *pipeline.MONEY)
 STRAIGHT: dict[str, tuple[str, ...]] = {
     **{f"stg_{feed}": () for feed in cdc.STAGING},
     "dim_account": (), "fct_lifecycle": (), "dim_fixture": (), "dim_game": (), "unmapped_sports": (),
@@ -49,17 +48,20 @@ STRAIGHT: dict[str, tuple[str, ...]] = {
     "deposit_limits": (), "breach_deposit_limits": (), "breach_loss_limits": (),
     "breach_activity_while_excluded": (), "breach_unverified_withdrawals": (),
     "breach_wallet_overspend": ("fct_ledger",), "breach_stake_limits": (), "addresses": (), "terminal_periods": (),
-    "readiness": (), "retry_state": (), "holds": FACTS,
-    "fct_exceptions": FACTS, "betting_file": (*FACTS, "blocked"),
-    "betting_tax": (*FACTS, "blocked"), "registers": (*FACTS, "blocked"),
+    "readiness": (), "retry_state": (),
     "gaming_file": (), "gaming_tax": (), "slip_amounts": (), "cash_flow": (), "daily_flows": (), "daily_recon": (),
 }
 for _name, _shared in STRAIGHT.items():
     PLANS[_name] = lambda m, n=_name, s=_shared: m.share(*s)[n]
 
 
+# Models that stand on the holds, with the models they share after these.
+for _name, _shared in {"holds": (), "fct_exceptions": (), "betting_file": ("blocked",), "betting_tax": ("blocked",), "registers": ("blocked",)}.items():
+    PLANS[_name] = lambda m, n=_name, s=_shared: pipeline.withheld(m).share(*s)[n]
+
+
 def gated(m: Models) -> Models:
-    return m.share(*FACTS, "blocked", "readiness")
+    return pipeline.withheld(m).share("blocked", "readiness")
 
 
 # ---- sources, references -----------------------------------------------------
@@ -474,7 +476,7 @@ def admissible_slips(m: Models) -> DataFrame:
 
 @plan
 def isolation_breaches(m: Models) -> DataFrame:
-    m.share(*FACTS, "fct_exceptions", "readiness", "betting_file")
+    pipeline.withheld(m).share("fct_exceptions", "readiness", "betting_file")
     return exceptions.isolation_breaches(m["betting_file"], m["fct_lifecycle"], m["fct_exceptions"])
 
 

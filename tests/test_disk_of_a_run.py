@@ -8,8 +8,8 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from ledgertide import markets
-from ledgertide.operators import ordered, protection
-from ledgertide.plans import queries
+from ledgertide.operators import gaming, ordered, protection
+from ledgertide.plans import pipeline, queries
 from ledgertide.scratch import recorded, release, settled, staged, work_folder
 
 from .helpers import m, t
@@ -101,3 +101,19 @@ def test_the_wager_gate_keeps_its_failures_alone(spark):
     audit = queries.PLANS["wager_gate_audit"](queries.models(spark, "/root/testdata/sf0.001"))
     assert {name.rsplit("-", 1)[0].split("-")[0] for name in tables(spark) - before} == {"failed"}
     assert audit.count() > 0
+
+
+def test_what_only_the_holds_read_goes_with_them(spark):
+    before, models, fresh = tables(spark), queries.models(spark, "/root/testdata/sf0.001"), queries.models(spark, "/root/testdata/sf0.001")
+    file = queries.PLANS["betting_file"](models)
+    left = {name.rsplit("-", 1)[0] for name in tables(spark) - before}
+    assert left == {"dim_account", "fct_lifecycle", "blocked", *pipeline.PARTS["holds"]}
+    assert sorted(map(str, file.collect())) == sorted(map(str, fresh["betting_file"].collect()))
+    assert models["plays"].count() == fresh["fct_activity"].count() > 0  # a released model is built anew
+
+
+def test_parts_make_up_the_plays(spark):
+    models = queries.models(spark, "/root/testdata/sf0.001")
+    assert set(pipeline.PARTS["plays"]) == {"plays_poker", "plays_pools", *[f"plays_{feed}" for feed in gaming.FEEDS]}
+    whole = models["fct_activity"].select(models["plays"].columns)
+    assert models["plays"].exceptAll(whole).count() == whole.exceptAll(models["plays"]).count() == 0
