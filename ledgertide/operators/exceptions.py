@@ -157,12 +157,12 @@ def blocked_accounts(store: DataFrame) -> DataFrame:
 def isolation_breaches(file: DataFrame, lifecycle: DataFrame, store: DataFrame) -> DataFrame:
     """Filed slips that should have been withheld; must be empty. An account-wide
     block counts for every slip, an open period only for slips of that date: an
-    account may have closed and open periods at once."""
+    account may have closed and open periods at once. The file is read once, both kinds of block meet it on the account."""
     owner = file.select("slip_id", "report_date").join(lifecycle.select("slip_id", "account_id"), "slip_id")
-    account_wide = owner.join(blocked_accounts(store), "account_id", "left_semi")
-    periods = store.filter("block_scope = 'PERIOD'").select("account_id", "report_date").distinct()
-    in_open_period = owner.join(periods, ["account_id", "report_date"], "left_semi")
-    return account_wide.unionByName(in_open_period).select("slip_id", "account_id").distinct()
+    whole = blocked_accounts(store).withColumn("_blocked", F.lit(True))
+    periods = store.filter("block_scope = 'PERIOD'").select("account_id", "report_date").distinct().withColumn("_open", F.lit(True))
+    met = owner.join(whole, "account_id", "left").join(periods, ["account_id", "report_date"], "left")
+    return met.filter(F.coalesce("_blocked", "_open", F.lit(False))).select("slip_id", "account_id").distinct()
 
 
 class GateClosed(RuntimeError):

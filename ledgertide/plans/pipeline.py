@@ -180,6 +180,7 @@ def build(spark: SparkSession, feeds: Mapping[str, Callable[[], DataFrame]], run
         "betting_file": lambda: submissions.betting_file(
             submissions.filed_status(m["admissible"]), m["dim_fixture"], m["stg_reg_attributes"],
             m["map_sport_regulator"], m["sport_policy"]),
+        "filed": lambda: m["betting_file"].select("slip_id", "report_date"),
         "betting_tax": lambda: submissions.betting_tax(m["admissible"], m["betting_rates"]),
         "registers": lambda: submissions.periodic_register(m["admissible"]),
         "gaming_reportable": lambda: submissions.gaming_reportable(

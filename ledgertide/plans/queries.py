@@ -476,8 +476,8 @@ def admissible_slips(m: Models) -> DataFrame:
 
 @plan
 def isolation_breaches(m: Models) -> DataFrame:
-    pipeline.withheld(m).share("fct_exceptions", "readiness", "betting_file")
-    return exceptions.isolation_breaches(m["betting_file"], m["fct_lifecycle"], m["fct_exceptions"])
+    pipeline.withheld(m).share("fct_exceptions", "readiness", "filed")  # of the file, what the gate reads
+    return exceptions.isolation_breaches(m["filed"], m["fct_lifecycle"], m["fct_exceptions"])
 
 
 @plan

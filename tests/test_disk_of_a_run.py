@@ -8,11 +8,11 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from ledgertide import markets
-from ledgertide.operators import gaming, ordered, protection
+from ledgertide.operators import exceptions, gaming, ordered, protection
 from ledgertide.plans import pipeline, queries
 from ledgertide.scratch import recorded, release, settled, staged, work_folder
 
-from .helpers import m, t
+from .helpers import d, m, t
 
 
 def shuffle_files(spark) -> int:
@@ -117,3 +117,29 @@ def test_parts_make_up_the_plays(spark):
     assert set(pipeline.PARTS["plays"]) == {"plays_poker", "plays_pools", *[f"plays_{feed}" for feed in gaming.FEEDS]}
     whole = models["fct_activity"].select(models["plays"].columns)
     assert models["plays"].exceptAll(whole).count() == whole.exceptAll(models["plays"]).count() == 0
+
+
+def test_the_isolation_gate_reads_the_file_once(spark):
+    rnd = random.Random(11)
+    days = [d(f"2026-07-{n:02d}") for n in range(1, 6)]
+    owners = [(f"S{i}", rnd.choice([None, *"ABCDEFGH"])) for i in range(200)]
+    filed = [(rnd.choice([None, *[s for s, _ in owners], "S-unknown"]), rnd.choice([None, *days])) for _ in range(300)]
+    kinds = [("ACCOUNT", "QUARANTINED"), ("ACCOUNT", "RETRYING"), ("ACCOUNT", "RESOLVED"), ("PERIOD", "WAITING_DATA")]
+    store = [(*rnd.choice(kinds), rnd.choice([None, *"ABCDEF"]), rnd.choice([None, *days])) for _ in range(9)]
+    file = staged(spark.createDataFrame(filed, "slip_id string, report_date date"), "gate")
+    got = exceptions.isolation_breaches(file, spark.createDataFrame(owners, "slip_id string, account_id string"),
+                                        spark.createDataFrame(store, "block_scope string, status string, account_id string, report_date date"))
+    blocked = {a for scope, status, a, _ in store if scope == "ACCOUNT" and status != "RESOLVED" and a}
+    waiting = {(a, day) for scope, _, a, day in store if scope == "PERIOD" and a and day}
+    of = dict(owners)
+    want = {(s, of[s]) for s, day in filed if of.get(s) and (of[s] in blocked or (of[s], day) in waiting)}
+    assert sorted(map(tuple, got.collect())) == sorted(want) and want
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+
+
+def test_the_isolation_gate_writes_what_it_reads_of_the_file(spark):
+    before = tables(spark)
+    queries.PLANS["isolation_breaches"](queries.models(spark, "/root/testdata/sf0.001"))
+    names = {name.rsplit("-", 1)[0]: name for name in tables(spark) - before}
+    assert "betting_file" not in names and "plays" not in names
+    assert set(spark.read.parquet(f"{work_folder(spark)}/{names['filed']}").columns) == {"slip_id", "report_date"}
